@@ -43,9 +43,8 @@ def label_share(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
 
 def item_series(labelled: DataFrame, order_cols: list[str], by: list[str] = PLATFORM) -> DataFrame:
     """A3: ``Item i`` series per group in arrival order -> ordinal, colour."""
-    base = labelled.select(*by, *[c for c in order_cols if c not in by], "content_id", "sentiment") \
-        if "content_id" not in order_cols else \
-        labelled.select(*by, *[c for c in order_cols if c not in by], "sentiment")
+    cols = list(dict.fromkeys([*by, *order_cols, "content_id", "sentiment"]))
+    base = labelled.select(*cols)
     numbered = number_rows(base, by, order_cols, "item")
     return numbered.select(*by, "item", F.concat(F.lit("Item "), F.col("item").cast("string")).alias("item_label"),
                            "content_id", "sentiment",
@@ -75,7 +74,10 @@ def _ranked_labels(cond: Column) -> Column:
 
 def dominant_and_least(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
     """Most and least common label among those present; ties together."""
-    shares = label_share(labelled, by)
+    return dominant_from_shares(label_share(labelled, by), by)
+
+
+def dominant_from_shares(shares: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
     w = Window.partitionBy(*by)
     ranked = (shares.withColumn("_max", F.max("n").over(w))
               .withColumn("_min", F.min("n").over(w)))
@@ -89,7 +91,10 @@ def dominant_and_least(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFra
 
 def distribution_insights(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
     """Peak share, absent labels, extremes and polarisation flags."""
-    shares = label_share(labelled, by)
+    return insights_from_shares(label_share(labelled, by), by)
+
+
+def insights_from_shares(shares: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
     scale = F.array(*[F.lit(x) for x in LABELS])
     is_extreme = F.col("sentiment").isin(EXTREMES)
     agg = shares.groupBy(*by).agg(
@@ -118,8 +123,8 @@ def render_summary(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
         (-F.col("share")).alias("k"), F.col("ordinal"), F.col("sentiment"), F.col("share")))).alias("_d"))
     dist = dist.select(*by, F.array_join(F.transform("_d", lambda x: F.format_string(
         "%s %.1f%%", x.getField("sentiment"), x.getField("share"))), ", ").alias("_dist"))
-    dom = dominant_and_least(labelled, by)
-    ins = distribution_insights(labelled, by)
+    dom = dominant_from_shares(shares, by)
+    ins = insights_from_shares(shares, by)
     j = dist.join(dom, by).join(ins, by)
     absent = F.when(F.col("absent") == "", F.lit("no label is absent")) \
         .otherwise(F.concat(F.lit("absent: "), F.col("absent")))

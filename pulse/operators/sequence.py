@@ -25,7 +25,10 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
     checkpoint_root(spark)
     keys = [*group_cols, *order_cols]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Materialise the (narrow) input once: the range partitioner samples it
+    # and the sort reads it, and neither should recompute its lineage.
+    src = df.checkpoint(eager=True)
+    ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = (ranged.withColumn("_task", F.spark_partition_id())
               .withColumn("_rid", F.monotonically_increasing_id())
               .checkpoint(eager=True))

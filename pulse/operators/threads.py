@@ -11,7 +11,8 @@ from pulse.operators.limits import top_comments
 from pulse.schema import (COMMENT_STRUCT, COMMENTS_PER_POST, CONTENT_COLUMNS, REDDIT,
                           THREAD_SEPARATOR, YOUTUBE)
 
-_EMPTY_COMMENTS = F.array().cast(f"array<{COMMENT_STRUCT.simpleString()}>")
+def _empty_comments() -> Column:
+    return F.array().cast(f"array<{COMMENT_STRUCT.simpleString()}>")
 
 
 def nest_threads(posts: DataFrame, comments: DataFrame, limit: int = COMMENTS_PER_POST) -> DataFrame:
@@ -24,7 +25,7 @@ def nest_threads(posts: DataFrame, comments: DataFrame, limit: int = COMMENTS_PE
     Posts without comments keep an empty array.
     """
     if limit <= 0:
-        return posts.withColumn("comments", _EMPTY_COMMENTS)
+        return posts.withColumn("comments", _empty_comments())
     head = top_comments(comments, limit)
     entry = F.struct(F.col("position"), F.col("content_id").alias("_id"),
                      F.struct(*CONTENT_COLUMNS).alias("c"))
@@ -33,7 +34,7 @@ def nest_threads(posts: DataFrame, comments: DataFrame, limit: int = COMMENTS_PE
               .select(F.col("post_id").alias("_post"),
                       F.transform("_cs", lambda x: x.getField("c")).alias("comments")))
     joined = posts.join(nested, posts["content_id"] == nested["_post"], "left").drop("_post")
-    return joined.withColumn("comments", F.coalesce(F.col("comments"), _EMPTY_COMMENTS))
+    return joined.withColumn("comments", F.coalesce(F.col("comments"), _empty_comments()))
 
 
 def thread_text(post_text: Column | str = "comment_raw_text",
@@ -47,7 +48,7 @@ def thread_text(post_text: Column | str = "comment_raw_text",
     post = F.col(post_text) if isinstance(post_text, str) else post_text
     cs = F.col(comments) if isinstance(comments, str) else comments
     start = F.when(has_text(post), post).otherwise(F.lit(""))
-    return F.aggregate(drop_blank_comments(F.coalesce(cs, _EMPTY_COMMENTS)), start,
+    return F.aggregate(drop_blank_comments(F.coalesce(cs, _empty_comments())), start,
                        lambda acc, c: F.concat(acc, F.lit(THREAD_SEPARATOR),
                                                c.getField("comment_raw_text")))
 
@@ -63,7 +64,7 @@ def item_texts(df: DataFrame) -> Column:
            .otherwise(F.array().cast("array<string>"))
     if "comments" not in df.columns:
         return own
-    kids = F.transform(drop_blank_comments(F.coalesce(F.col("comments"), _EMPTY_COMMENTS)),
+    kids = F.transform(drop_blank_comments(F.coalesce(F.col("comments"), _empty_comments())),
                        lambda c: c.getField("comment_raw_text"))
     return F.concat(own, kids)
 

@@ -36,8 +36,24 @@ OBSERVED_AT = "2025-05-26T00:00:00+00:00"
 PAGE_SIZE = 25              # comment items per landed page
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer splits than cores.
+
+    A table stored as a few large row groups scans in a few tasks, and all
+    row-local text work (regex cleaning, tokenising, scoring) would run on
+    those few cores. Only then the rows are dealt round-robin to
+    ``defaultParallelism`` partitions; a large table already has more splits
+    than cores and is left alone (no shuffle). The split count is known at
+    planning time - no job runs for the check.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 # ---------------------------------------------------------------- threads

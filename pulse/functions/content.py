@@ -46,7 +46,7 @@ def user_or_none(col) -> Column:
     return F.coalesce(_c(col).cast("string"), F.lit("None"))
 
 
-def with_defaults(df: DataFrame) -> DataFrame:
+def with_defaults(df: DataFrame, thread: bool = False) -> DataFrame:
     """Absent or null keys take the documented defaults.
 
     id -> ``Unknown ID``, platform -> ``Unknown``, text -> ``''``, and a null
@@ -59,7 +59,9 @@ def with_defaults(df: DataFrame) -> DataFrame:
     df = (df.withColumn("content_id", F.coalesce("content_id", F.lit(DEFAULT_CONTENT_ID)))
             .withColumn("social_media", F.coalesce("social_media", F.lit(DEFAULT_PLATFORM)))
             .withColumn("comment_raw_text", F.coalesce("comment_raw_text", F.lit(""))))
-    if "comments" in df.columns:
+    if thread or "comments" in df.columns:
         empty = F.array().cast(f"array<{COMMENT_STRUCT.simpleString()}>")
+        if "comments" not in df.columns:
+            df = df.withColumn("comments", empty)
         df = df.withColumn("comments", F.coalesce("comments", empty))
     return df

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,8 +142,6 @@ class PandasScorer:
         self.fn = fn
 
     def label(self, df: DataFrame, text_col: str) -> DataFrame:
-        import pandas as pd
-
         fn = self.fn
 
         @F.pandas_udf("int")

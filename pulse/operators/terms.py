@@ -13,7 +13,6 @@ import glob
 import os
 import zipfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,23 +89,18 @@ def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
     and 0 when N <= c1 or N <= c2. Pairs with LLR > ``min_llr`` are returned.
     """
     sw = stopwords if stopwords is not None else default_stopwords()
-    # One pass over the text: every token (w2 = null) and every adjacent pair
-    # of one text go into one exploded column and one partial aggregate.
+    # Two codegen-friendly passes (pairs; unigrams) measured about twice as
+    # fast as one pass building a struct per token in interpreted array
+    # functions.
     toks = df.select(*group_cols, term_tokens(F.col(text_col)).alias("_t"))
     m = F.greatest(F.size("_t") - 1, F.lit(0))
-    unigrams = F.transform("_t", lambda x: F.struct(x.alias("w1"), F.lit(None).cast("string").alias("w2")))
-    bigrams = F.arrays_zip(F.slice("_t", 1, m).alias("w1"), F.slice("_t", 2, m).alias("w2"))
-    grams = toks.select(*group_cols, F.explode(F.concat(unigrams, bigrams)).alias("_g")) \
-        .select(*group_cols, F.col("_g.w1").alias("w1"), F.col("_g.w2").alias("w2"))
-    kept = grams.filter(_not_stop(F.col("w1"), sw) & (F.col("w2").isNull() | _not_stop(F.col("w2"), sw)))
-    # The aggregated gram counts feed four consumers (pairs, both word counts,
-    # totals); persisting them keeps the text scan and tokenising to one pass
-    # (a lost block is recomputed from lineage - the counts are deterministic).
-    counts = (kept.groupBy(*group_cols, "w1", "w2").agg(F.count(F.lit(1)).alias("_n"))
-              )
-    c12 = counts.filter(F.col("w2").isNotNull()).withColumnRenamed("_n", "c12")
-    uni = counts.filter(F.col("w2").isNull()).select(*group_cols, F.col("w1").alias("term"),
-                                                     F.col("_n").alias("n"))
+    pairs = toks.select(*group_cols, F.explode(F.arrays_zip(
+        F.slice("_t", 1, m).alias("w1"), F.slice("_t", 2, m).alias("w2"))).alias("_p")) \
+        .select(*group_cols, F.col("_p.w1").alias("w1"), F.col("_p.w2").alias("w2"))
+    pairs = pairs.filter(_not_stop(F.col("w1"), sw) & _not_stop(F.col("w2"), sw))
+    c12 = pairs.groupBy(*group_cols, "w1", "w2").agg(F.count(F.lit(1)).alias("c12"))
+
+    uni = term_counts(df, group_cols, text_col, sw)
     totals = uni.groupBy(*group_cols).agg(F.sum("n").alias("n_words"))
     u1 = uni.select(*group_cols, F.col("term").alias("w1"), F.col("n").alias("c1"))
     u2 = uni.select(*group_cols, F.col("term").alias("w2"), F.col("n").alias("c2"))

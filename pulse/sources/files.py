@@ -22,28 +22,36 @@ JSON_OPTIONS = {
 
 
 def _json(spark: SparkSession, path: str, schema: T.StructType, streaming: bool,
-          max_files_per_trigger: int | None) -> DataFrame:
+          max_files_per_trigger: int | None, clean_source: str | None = None,
+          archive_dir: str | None = None) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(lenient(schema)).options(**JSON_OPTIONS)
     if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))   # W3
+    if streaming and clean_source:
+        # K5: consumed files are archived or deleted once committed
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     return reader.json(path)
 
 
 def read_threads(spark: SparkSession, path: str, streaming: bool = False,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                 archive_dir: str | None = None) -> DataFrame:
     """Staged thread documents (post + ``comments``).
 
     A line that is not JSON becomes a row with only ``_corrupt_record`` set;
     the quarantine (F7) routes it aside while the other lines are read.
     """
-    return _json(spark, path, THREAD, streaming, max_files_per_trigger)
+    return _json(spark, path, THREAD, streaming, max_files_per_trigger, clean_source, archive_dir)
 
 
 def read_comments(spark: SparkSession, path: str, streaming: bool = False,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                  archive_dir: str | None = None) -> DataFrame:
     """Staged flat comment documents."""
-    return _json(spark, path, CONTENT, streaming, max_files_per_trigger)
+    return _json(spark, path, CONTENT, streaming, max_files_per_trigger, clean_source, archive_dir)
 
 
 def read_topic_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

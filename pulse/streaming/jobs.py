@@ -77,6 +77,10 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     by the replay (the staged rows are skipped, the ledger entries added).
     """
     keys = keys or D.LEDGER_KEYS
+    # A12 (streaming form): items seen per micro-batch, reported in the
+    # query progress (``lastProgress["observedMetrics"]["cycle"]``).
+    source = source.observe("cycle", F.count(F.lit(1)).alias("items"),
+                            F.approx_count_distinct(F.col(keys[-1])).alias("approx_distinct"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

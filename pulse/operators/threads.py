@@ -34,7 +34,8 @@ def nest_threads(posts: DataFrame, comments: DataFrame, limit: int = COMMENTS_PE
               .select(F.col("post_id").alias("_post"),
                       F.transform("_cs", lambda x: x.getField("c")).alias("comments")))
     joined = posts.join(nested, posts["content_id"] == nested["_post"], "left").drop("_post")
-    return joined.withColumn("comments", F.coalesce(F.col("comments"), _empty_comments()))
+    empty = F.array().cast(joined.schema["comments"].dataType)
+    return joined.withColumn("comments", F.coalesce(F.col("comments"), empty))
 
 
 def thread_text(post_text: Column | str = "comment_raw_text",

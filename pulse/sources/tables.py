@@ -69,7 +69,9 @@ def raw_thread_payload(spark: SparkSession, sf_dir: str, reply_chain: bool = Fal
     opening = conv.filter(F.col("turn") == 0)
     created = (F.lit(ORIGIN_EPOCH) + F.col("conv_id") * THREAD_SPACING_S
                + F.col("turn") * TURN_SPACING_S).cast("double")
-    posts = opening.join(n_comments, "conv_id").select(
+    # left join on a key-unique aggregate: Catalyst removes it wherever the
+    # count is not used (e.g. when only texts and labels are needed)
+    posts = opening.join(n_comments, "conv_id", "left").select(
         F.col("conv_id").cast("string").alias("id"),
         F.concat(F.lit("/r/"), F.col("role"), F.lit("/comments/"),
                  F.col("conv_id").cast("string"), F.lit("/")).alias("permalink"),
@@ -77,7 +79,7 @@ def raw_thread_payload(spark: SparkSession, sf_dir: str, reply_chain: bool = Fal
         F.col("role").alias("author"),
         F.col("text").alias("selftext"),
         F.length("text").cast("bigint").alias("score"),
-        F.col("num_comments"),
+        F.coalesce(F.col("num_comments"), F.lit(0).cast("bigint")).alias("num_comments"),
         F.col("conv_id").alias("rank"),
         F.col("role").alias("subreddit"),
     )

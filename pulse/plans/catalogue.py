@@ -19,9 +19,9 @@ from pulse.operators import filters as FL
 from pulse.operators import limits as L
 from pulse.operators import report as R
 from pulse.operators import terms as TR
-from pulse.operators.threads import nest_threads, thread_text
+from pulse.operators.threads import thread_text
 from pulse.plans import common as CM
-from pulse.schema import COMMENTS_PER_POST, COMMENTS_PER_VIDEO, LABELS, POSTS_PER_RUN
+from pulse.schema import COMMENTS_PER_POST, COMMENTS_PER_VIDEO, POSTS_PER_RUN
 from pulse.sources import normalize as N
 from pulse.sources import tables as TB
 

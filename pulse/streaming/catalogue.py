@@ -91,6 +91,21 @@ def stream_label_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/counts").select("social_media", "sentiment", "n")
 
 
+def stream_final_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Threads and comments staged into one folder, routed by
+    platform and labelled by one streaming query; the final report is built
+    from everything in the labelled store."""
+    CM.prepare(spark)
+    base = scratch_path(spark, "stream_report")
+    _land_threads(spark, sf, f"{base}/staged")
+    _land_comments(spark, sf, f"{base}/staged")
+    src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=4 * FILES_PER_TRIGGER)
+    J.label_stream(src, lambda ok: J.route_and_label(ok, _label_threads, _label_comments),
+                   f"{base}/store", f"{base}/rejects", f"{base}/ckpt")
+    shares = J.final_report(spark, f"{base}/store", f"{base}/report")["label_share"]
+    return shares.select("social_media", "sentiment", "ordinal", "n", "total", "share")
+
+
 def read_staged_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Staged JSON documents with one broken line per
     folder, read with declared schemas; accepted documents written as
@@ -141,6 +156,7 @@ STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_label": stream_label,
     "stream_label_counts": stream_label_counts,
+    "stream_final_report": stream_final_report,
     "read_staged_documents": read_staged_documents,
     "report_tables": report_tables,
 }
@@ -153,6 +169,7 @@ FROM events
 """,
     "stream_label": O.SQL["thread_sentiment"],
     "stream_label_counts": O.SQL["label_counts"],
+    "stream_final_report": O.SQL["label_share"],
     "read_staged_documents": f"""
 WITH p AS (SELECT conv_id, count(*) FILTER (WHERE turn > 0) AS k FROM conversations GROUP BY conv_id
            HAVING count(*) FILTER (WHERE turn = 0) > 0)

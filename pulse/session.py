@@ -22,9 +22,34 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of lineage cuts are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+def cluster_conf(total_cores: int, checkpoint_dir: str) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    Shuffles start wide (3 partitions per core) and AQE coalesces them to
+    ~256 MB; scans split at 256 MB; a partition 5x the median and over
+    512 MB counts as skewed and is split; broadcasts are left to AQE's
+    run-time size check (64 MB). ``checkpoint_dir`` must be shared storage.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(3 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.checkpoint.dir": checkpoint_dir,
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "pulse", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

@@ -60,6 +60,21 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return store.select("social_media", "scope", "content_id", n_ledger.alias("ledger_rows"))
 
 
+def stream_ingest_stateful(spark: SparkSession, sf: str) -> DataFrame:
+    """The seen set in the streaming state store; the query is run,
+    then restarted on the same checkpoint (nothing new is emitted)."""
+    CM.prepare(spark)
+    base = scratch_path(spark, "stream_ingest_state")
+    obs = TB.observations(spark, sf)
+    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    obs.repartitionByRange(n_files, "arrival_ts", "event_id").write.json(f"{base}/landing")
+    for _run in ("first", "restart"):
+        src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+               .json(f"{base}/landing"))
+        J.ingest_stream_stateful(src, f"{base}/store", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/store").select("social_media", "scope", "content_id")
+
+
 def stream_label(spark: SparkSession, sf: str) -> DataFrame:
     """Staged threads labelled by a streaming query into an
     idempotent store; replayed once from a fresh checkpoint."""
@@ -154,6 +169,7 @@ def report_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
+    "stream_ingest_stateful": stream_ingest_stateful,
     "stream_label": stream_label,
     "stream_label_counts": stream_label_counts,
     "stream_final_report": stream_final_report,
@@ -166,6 +182,9 @@ STREAM_SQL = {
 SELECT DISTINCT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id,
        (SELECT count(*) FROM (SELECT DISTINCT event_type, user_id FROM events)) AS ledger_rows
 FROM events
+""",
+    "stream_ingest_stateful": """
+SELECT DISTINCT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id FROM events
 """,
     "stream_label": O.SQL["thread_sentiment"],
     "stream_label_counts": O.SQL["label_counts"],

@@ -98,6 +98,38 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     return _run(writer, trigger, processing_time)
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ingest_stream_stateful(source: DataFrame, store: str, checkpoint: str,
+                           keys: list[str] | None = None, use_rocksdb: bool = True,
+                           trigger: str | None = "availableNow", processing_time: str | None = None):
+    """W1 + W4 with the seen set in the streaming state store: O(batch) work
+    per trigger, however long the history.
+
+    ``dropDuplicates(keys)`` without a watermark keeps every key ever seen in
+    the checkpointed state (the never-expiring seen set), so only first
+    sightings reach the sink. The sink needs no read: each micro-batch
+    overwrites its own ``batch_id=`` folder, so a batch replayed after a
+    failure replaces itself. Within one micro-batch, which of a key's rows
+    wins is not ordered; use ``ingest_stream`` for arrival-ordered keep-first.
+    The RocksDB provider keeps large state off the JVM heap; it is fixed per
+    checkpoint, so it is set only when the session has not chosen one.
+    """
+    keys = keys or D.LEDGER_KEYS
+    spark = source.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if use_rocksdb and not spark.conf.get(key, None):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+    firsts = source.dropDuplicates(keys)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+
+    writer = firsts.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return _run(writer, trigger, processing_time)
+
+
 def label_stream(source: DataFrame, label: Callable[[DataFrame], DataFrame], store: str,
                  rejects: str, checkpoint: str, key: str = "content_id",
                  trigger: str | None = "availableNow", processing_time: str | None = None):

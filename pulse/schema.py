@@ -55,6 +55,9 @@ COMMENTS_PER_POST = 20
 VIDEOS_PER_RUN = 3
 COMMENTS_PER_VIDEO = 25
 
+# Staged items are discovered in pages of this many keys (files per trigger).
+DISCOVERY_PAGE = 50
+
 # Token cap of the comment scorer.
 MAX_SCORED_TOKENS = 512
 

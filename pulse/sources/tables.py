@@ -46,10 +46,12 @@ def spread(df: DataFrame) -> DataFrame:
     than cores and is left alone (no shuffle). The split count is known at
     planning time - no job runs for the check.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,13 +17,14 @@ from pulse.operators import report as R
 from pulse.operators.sentiment import score_comments, score_threads
 from pulse.plans import common as CM
 from pulse.plans import oracle as O
+from pulse.schema import DISCOVERY_PAGE
 from pulse.session import scratch_path
 from pulse.sinks.files import stage_documents, write_parquet, write_report
 from pulse.sources import tables as TB
 from pulse.sources.files import read_comments, read_threads
 from pulse.streaming import jobs as J
 
-FILES_PER_TRIGGER = 2
+FILES_PER_TRIGGER = DISCOVERY_PAGE
 
 
 def _land_threads(spark: SparkSession, sf: str, path: str) -> None:
@@ -42,7 +43,7 @@ def _label_comments(docs: DataFrame) -> DataFrame:
     return score_comments(with_defaults(docs), CM.scorer())
 
 
-def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+def stream_ingest(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Landed sightings streamed into a keyed store."""
     CM.prepare(spark)
     base = scratch_path(spark, "stream_ingest")
@@ -50,7 +51,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     obs.repartitionByRange(n_files, "arrival_ts", "event_id").write.json(f"{base}/landing")
     for run in ("first", "replay"):
-        src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+        src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", files_per_trigger)
                .json(f"{base}/landing"))
         J.ingest_stream(src, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}",
                         ["arrival_ts", "event_id"])
@@ -60,7 +61,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return store.select("social_media", "scope", "content_id", n_ledger.alias("ledger_rows"))
 
 
-def stream_ingest_stateful(spark: SparkSession, sf: str) -> DataFrame:
+def stream_ingest_stateful(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """The seen set in the streaming state store; the query is run,
     then restarted on the same checkpoint (nothing new is emitted)."""
     CM.prepare(spark)
@@ -69,13 +70,13 @@ def stream_ingest_stateful(spark: SparkSession, sf: str) -> DataFrame:
     n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     obs.repartitionByRange(n_files, "arrival_ts", "event_id").write.json(f"{base}/landing")
     for _run in ("first", "restart"):
-        src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+        src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", files_per_trigger)
                .json(f"{base}/landing"))
         J.ingest_stream_stateful(src, f"{base}/store", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/store").select("social_media", "scope", "content_id")
 
 
-def stream_label(spark: SparkSession, sf: str) -> DataFrame:
+def stream_label(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Staged threads labelled by a streaming query into an
     idempotent store; replayed once from a fresh checkpoint."""
     CM.prepare(spark)
@@ -83,21 +84,21 @@ def stream_label(spark: SparkSession, sf: str) -> DataFrame:
     _land_threads(spark, sf, f"{base}/staged")
     for run in ("first", "replay"):
         src = read_threads(spark, f"{base}/staged", streaming=True,
-                           max_files_per_trigger=FILES_PER_TRIGGER)
+                           max_files_per_trigger=files_per_trigger)
         J.label_stream(src, _label_threads, f"{base}/store", f"{base}/rejects", f"{base}/ckpt_{run}")
     out = spark.read.parquet(f"{base}/store")
     return out.select("content_id", "score", "ordinal", "sentiment", "defaulted",
                       F.length("thread_text").alias("n_chars"))
 
 
-def stream_label_counts(spark: SparkSession, sf: str) -> DataFrame:
+def stream_label_counts(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Running label counts per platform over both staged streams."""
     CM.prepare(spark)
     base = scratch_path(spark, "stream_counts")
     _land_threads(spark, sf, f"{base}/threads")
     _land_comments(spark, sf, f"{base}/comments")
-    t = read_threads(spark, f"{base}/threads", streaming=True, max_files_per_trigger=FILES_PER_TRIGGER)
-    c = read_comments(spark, f"{base}/comments", streaming=True, max_files_per_trigger=FILES_PER_TRIGGER)
+    t = read_threads(spark, f"{base}/threads", streaming=True, max_files_per_trigger=files_per_trigger)
+    c = read_comments(spark, f"{base}/comments", streaming=True, max_files_per_trigger=files_per_trigger)
     t_ok, _ = FL.quarantine(t)
     c_ok, _ = FL.quarantine(c)
     cols = ["content_id", "social_media", "sentiment"]
@@ -106,7 +107,7 @@ def stream_label_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/counts").select("social_media", "sentiment", "n")
 
 
-def stream_final_report(spark: SparkSession, sf: str) -> DataFrame:
+def stream_final_report(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Threads and comments staged into one folder, routed by
     platform and labelled by one streaming query; the final report is built
     from everything in the labelled store."""
@@ -114,7 +115,7 @@ def stream_final_report(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "stream_report")
     _land_threads(spark, sf, f"{base}/staged")
     _land_comments(spark, sf, f"{base}/staged")
-    src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=4 * FILES_PER_TRIGGER)
+    src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=files_per_trigger)
     J.label_stream(src, lambda ok: J.route_and_label(ok, _label_threads, _label_comments),
                    f"{base}/store", f"{base}/rejects", f"{base}/ckpt")
     shares = J.final_report(spark, f"{base}/store", f"{base}/report")["label_share"]

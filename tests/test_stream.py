@@ -7,13 +7,13 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stream_label_equals_batch(spark):
-    stream = sorted(tuple(r) for r in SC.stream_label(spark, SF).collect())
+    stream = sorted(tuple(r) for r in SC.stream_label(spark, SF, files_per_trigger=2).collect())
     batch = sorted(tuple(r) for r in CAT.thread_sentiment(spark, SF).collect())
     assert stream == batch
 
 
 def test_stream_ingest_keys_and_ledger(spark):
-    out = SC.stream_ingest(spark, SF)
+    out = SC.stream_ingest(spark, SF, files_per_trigger=2)
     keys = out.select("scope", "content_id").distinct().count()
     assert out.count() == keys  # replay added no duplicate
     batch = CAT.dedup_first(spark, SF).count()
@@ -22,6 +22,11 @@ def test_stream_ingest_keys_and_ledger(spark):
 
 
 def test_stream_counts_equal_batch(spark):
-    stream = sorted(tuple(r) for r in SC.stream_label_counts(spark, SF).collect())
+    stream = sorted(tuple(r) for r in SC.stream_label_counts(spark, SF, files_per_trigger=2).collect())
     batch = sorted(tuple(r) for r in CAT.label_counts(spark, SF).collect())
     assert stream == batch
+
+
+def test_stateful_ingest_multi_batch(spark):
+    out = SC.stream_ingest_stateful(spark, SF, files_per_trigger=1)
+    assert out.count() == out.distinct().count() == CAT.dedup_first(spark, SF).count()

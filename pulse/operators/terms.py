@@ -13,7 +13,7 @@ import glob
 import os
 import zipfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions.text import term_tokens
@@ -73,7 +73,11 @@ def term_frequency(df: DataFrame, group_cols: list[str], text_col: str = "text",
                    top: int = TOP_TERMS, stopwords=None) -> DataFrame:
     """The ``top`` most frequent terms per group (ties by term), ranked."""
     counts = term_counts(df, group_cols, text_col, stopwords)
-    return top_n(counts, group_cols, [F.col("n").desc(), F.col("term").asc()], top, "rank")
+    ranked = top_n(counts, group_cols, [F.col("n").desc(), F.col("term").asc()], top, "rank")
+    # cloud weight: count relative to the group's most frequent term
+    # (a window over at most ``top`` rows per group)
+    top_count = F.max("n").over(Window.partitionBy(*group_cols))
+    return ranked.withColumn("weight", F.round(F.col("n") / top_count, 6))
 
 
 def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",

@@ -383,7 +383,7 @@ def terms_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Top 200 terms per platform and label, stop-words removed."""
     CM.prepare(spark)
     return TR.term_frequency(_label_texts(spark, sf), ["social_media", "sentiment"]).select(
-        "social_media", "sentiment", "term", "n", "rank")
+        "social_media", "sentiment", "term", "n", "rank", "weight")
 
 
 def collocations_by_label(spark: SparkSession, sf: str) -> DataFrame:

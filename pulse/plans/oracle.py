@@ -352,10 +352,11 @@ c AS (SELECT social_media, sentiment, term, count(*) AS n FROM w
       WHERE NOT list_contains({STOP}, term) GROUP BY ALL)"""
 
 SQL["terms_by_label"] = f"""
-WITH {LABELLED_CTES.strip()},{_TERMS}
-SELECT social_media, sentiment, term, n,
+WITH {LABELLED_CTES.strip()},{_TERMS},
+r AS (SELECT social_media, sentiment, term, n,
        CAST(row_number() OVER (PARTITION BY social_media, sentiment ORDER BY n DESC, term) AS INTEGER) AS rank
-FROM c QUALIFY rank <= 200
+       FROM c QUALIFY rank <= 200)
+SELECT *, round(n / max(n) OVER (PARTITION BY social_media, sentiment), 6) AS weight FROM r
 """
 
 SQL["collocations_by_label"] = f"""

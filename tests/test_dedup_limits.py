@@ -73,3 +73,20 @@ def test_number_rows_matches_row_number(spark):
     w = Window.partitionBy("g").orderBy("t", "id")
     want = rows(df.withColumn("item", F.row_number().over(w).cast("bigint")), "g", "id", "item")
     assert got == want
+
+
+def test_top_n_and_nesting_order_invariant(spark):
+    from pulse.operators.threads import nest_threads
+    from pulse.schema import CONTENT_COLUMNS
+    posts = spark.createDataFrame([(f"s{i % 3}", i, str(i)) for i in range(60)], "scope string, rank long, id string")
+    a = rows(L.top_posts(posts, 4))
+    b = rows(L.top_posts(posts.repartition(7).sortWithinPartitions(F.rand(3)), 4))
+    assert a == b and len(a) == 12
+    data = [(f"p{i % 5}", (i * 13) % 50, f"c{i}") for i in range(50)]
+    cols = [F.lit(None).cast("string").alias(c) for c in CONTENT_COLUMNS if c != "content_id"]
+    comments = spark.createDataFrame(data, "post_id string, position long, content_id string").select("*", *cols)
+    p = spark.createDataFrame([(f"p{i}",) for i in range(5)], "content_id string")
+    ids = lambda df: rows(df.select("content_id", F.transform("comments", lambda c: c["content_id"]).alias("ids")))
+    x = ids(nest_threads(p, comments, 3))
+    y = ids(nest_threads(p, comments.repartition(5).sortWithinPartitions(F.rand(7)), 3))
+    assert x == y and all(len(r[1]) == 3 for r in x)

@@ -55,3 +55,31 @@ def test_watermark_dedup_and_cycle_metrics(spark):
     q2 = J.ingest_stream(src2, f"{base}/store", f"{base}/ledger", f"{base}/ckpt2", ["arrival_ts", "event_id"])
     metrics = q2.lastProgress["observedMetrics"]["cycle"]
     assert int(metrics["items"]) > 0
+
+
+def test_label_stream_batch_idempotency_restart(spark):
+    from pulse.plans import common as CM
+    from pulse.sinks.files import stage_documents
+    from pulse.sources.files import read_threads
+    from pulse.streaming.catalogue import _label_threads
+    base = scratch_path(spark, "label_batch_mode")
+    stage_documents(CM.threads(spark, SF).repartition(4, "content_id"), f"{base}/staged")
+    for _ in range(2):  # second run restarts on the same checkpoint: nothing new
+        src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=1)
+        J.label_stream(src, _label_threads, f"{base}/store", f"{base}/rejects", f"{base}/ckpt",
+                       idempotency="batch")
+    out = spark.read.parquet(f"{base}/store")
+    assert out.count() == out.select("content_id").distinct().count() == CM.threads(spark, SF).count()
+
+
+def test_topic_filter_prunes_partitions(spark):
+    from pulse.operators.filters import topic_scope
+    from pulse.plans import common as CM
+    from pulse.sinks.files import write_parquet
+    base = scratch_path(spark, "topic_parts")
+    rows = CM.comments(spark, SF).select("content_id", "social_media", "topic", "scope")
+    write_parquet(rows, base, ["social_media", "topic"])
+    picked = topic_scope(spark.read.parquet(base), topic="en")
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(topic" in plan and "(topic" in plan
+    assert picked.count() == rows.filter("topic = 'en'").count()

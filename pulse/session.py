@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # checkpoint files of lineage cuts are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # joins are turned into broadcasts only at run time, on the measured size
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
 }
 
 

@@ -305,6 +305,29 @@ def thread_sentiment(spark: SparkSession, sf: str) -> DataFrame:
                       F.length("thread_text").alias("n_chars"))
 
 
+def _lexicon_model(texts):
+    """A plug-in model written in pandas (fixture): the test lexicon's rule,
+    token by token, with the ``regex`` module's Unicode classes."""
+    import pandas as pd
+    import regex
+    token = regex.compile(X.TOKEN)
+    weights = CM.TEST_LEXICON
+
+    def one(text: str) -> int:
+        score = sum(weights.get(t, 0) for t in token.findall(text.lower()))
+        return min(max(score, -2), 2) + 2
+
+    return pd.Series([one(t) for t in texts], index=texts.index)
+
+
+def plugin_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """T2(c): a caller-supplied pandas scorer applied with Arrow batches."""
+    from pulse.operators.sentiment import PandasScorer
+    CM.prepare(spark)
+    out = PandasScorer(_lexicon_model).label(CM.comments(spark, sf), "comment_raw_text")
+    return out.select("content_id", "ordinal", "sentiment", "defaulted")
+
+
 # Free-text model answers, picked per benchmark item by item_id.
 ANSWERS = [
     "Very Positive",
@@ -462,6 +485,7 @@ QUERIES = {
     "comment_sentiment": comment_sentiment,
     "thread_sentiment": thread_sentiment,
     "trained_sentiment": trained_sentiment,
+    "plugin_sentiment": plugin_sentiment,
     "extract_label": extract_label,
     "label_counts": label_counts,
     "label_share": label_share,

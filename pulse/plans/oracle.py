@@ -306,6 +306,11 @@ SELECT content_id, score, ordinal, sentiment, defaulted, CAST(length(label_text)
 FROM lab WHERE social_media = 'Reddit'
 """
 
+SQL["plugin_sentiment"] = f"""
+WITH {LABELLED_CTES.strip()}
+SELECT content_id, ordinal, sentiment, defaulted FROM lab WHERE social_media = 'YouTube'
+"""
+
 _ANS = "(" + lst(CAT.ANSWERS) + f")[item_id % {len(CAT.ANSWERS)} + 1]"
 _LONGEST = "(CASE WHEN regexp_extract(a, '(Very Negative|Very Positive|Negative|Neutral|Positive)', 1) = '' " \
            "THEN 'Neutral' ELSE regexp_extract(a, '(Very Negative|Very Positive|Negative|Neutral|Positive)', 1) END)"

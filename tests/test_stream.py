@@ -30,3 +30,22 @@ def test_stream_counts_equal_batch(spark):
 def test_stateful_ingest_multi_batch(spark):
     out = SC.stream_ingest_stateful(spark, SF, files_per_trigger=1)
     assert out.count() == out.distinct().count() == CAT.dedup_first(spark, SF).count()
+
+
+def test_crash_between_store_and_commit_does_not_duplicate(spark):
+    # A batch whose rows reached the store but whose commit never happened is
+    # replayed: the keyed append skips what is already stored.
+    from pulse.session import scratch_path
+    from pulse.sinks.files import stage_documents
+    from pulse.sources.files import read_threads
+    from pulse.plans import common as CM
+    from pulse.streaming import jobs as J
+    base = scratch_path(spark, "crash")
+    threads = CM.threads(spark, SF)
+    stage_documents(threads.repartition(3, "content_id"), f"{base}/staged")
+    partial = SC._label_threads(threads).limit(7)
+    J.append_new(partial, f"{base}/store", ["content_id"])
+    src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=1)
+    J.label_stream(src, SC._label_threads, f"{base}/store", f"{base}/rejects", f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/store")
+    assert out.count() == out.select("content_id").distinct().count() == threads.count()

@@ -108,7 +108,7 @@ def distinct_emoji(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct emoji (first-appearance order) of raw and cleaned text."""
     CM.prepare(spark)
     docs = TB.table(spark, sf, "documents")
-    pick = F.col("doc_id") % len(EMOJI_SUFFIXES)
+    pick = F.pmod(F.col("doc_id"), F.lit(len(EMOJI_SUFFIXES)))
     suffix = F.element_at(F.array(*[F.lit(s) for s in EMOJI_SUFFIXES]), (pick + 1).cast("int"))
     raw = F.concat(F.col("text"), suffix)
     return docs.select(
@@ -271,8 +271,8 @@ def nest_threads_q(spark: SparkSession, sf: str) -> DataFrame:
     t = CM.threads(spark, sf)
     ids = F.transform("comments", lambda c: c.getField("content_id"))
     return t.select("content_id", F.size("comments").alias("n_comments"),
-                    F.element_at(ids, 1).alias("first_comment"),
-                    F.element_at(ids, -1).alias("last_comment"),
+                    F.try_element_at(ids, F.lit(1)).alias("first_comment"),
+                    F.try_element_at(ids, F.lit(-1)).alias("last_comment"),
                     F.array_join(ids, ",").alias("comment_ids"))
 
 
@@ -344,7 +344,7 @@ def extract_label(spark: SparkSession, sf: str) -> DataFrame:
     """T4: parse an answer in both modes."""
     CM.prepare(spark)
     b = TB.table(spark, sf, "benchmark")
-    pick = (F.col("item_id") % len(ANSWERS) + 1).cast("int")
+    pick = (F.pmod(F.col("item_id"), F.lit(len(ANSWERS))) + 1).cast("int")
     answer = F.element_at(F.array(*[F.lit(a) for a in ANSWERS]), pick)
     return b.select("item_id", answer.alias("answer"),
                     LB.extract_label(answer, "longest").alias("label_longest"),

@@ -178,7 +178,7 @@ WITH x AS (SELECT 'document' AS kind, doc_id AS id, {P7('text')} AS cleaned FROM
 SELECT kind, id, cleaned, substring(cleaned, 1, 100) AS preview, CAST(length(cleaned) AS INTEGER) AS n_chars FROM x
 """
 
-_SUFFIX = "(" + lst(CAT.EMOJI_SUFFIXES) + f")[doc_id % {len(CAT.EMOJI_SUFFIXES)} + 1]"
+_SUFFIX = "(" + lst(CAT.EMOJI_SUFFIXES) + f")[(doc_id % {len(CAT.EMOJI_SUFFIXES)} + {len(CAT.EMOJI_SUFFIXES)}) % {len(CAT.EMOJI_SUFFIXES)} + 1]"
 SQL["distinct_emoji"] = f"""
 WITH d AS (SELECT doc_id, text || {_SUFFIX} AS raw FROM documents)
 SELECT doc_id, {EMOJI_CSV('raw')} AS emoji_raw, {EMOJI_CSV(P7('raw'))} AS emoji_cleaned,
@@ -311,7 +311,7 @@ WITH {LABELLED_CTES.strip()}
 SELECT content_id, ordinal, sentiment, defaulted FROM lab WHERE social_media = 'YouTube'
 """
 
-_ANS = "(" + lst(CAT.ANSWERS) + f")[item_id % {len(CAT.ANSWERS)} + 1]"
+_ANS = "(" + lst(CAT.ANSWERS) + f")[(item_id % {len(CAT.ANSWERS)} + {len(CAT.ANSWERS)}) % {len(CAT.ANSWERS)} + 1]"
 _LONGEST = "(CASE WHEN regexp_extract(a, '(Very Negative|Very Positive|Negative|Neutral|Positive)', 1) = '' " \
            "THEN 'Neutral' ELSE regexp_extract(a, '(Very Negative|Very Positive|Negative|Neutral|Positive)', 1) END)"
 SQL["extract_label"] = f"""

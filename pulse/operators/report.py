@@ -154,7 +154,8 @@ def compare_phases(labelled: DataFrame, phases: list[tuple[str, str, str]],
                    by: list[str] = PLATFORM) -> DataFrame:
     """Label shares per event phase side by side, and their change.
 
-    ``phases`` = [(name, start ISO, end ISO)], half-open intervals. A short
+    ``phases`` = [(name, start ISO, end ISO)], half-open, non-overlapping
+    intervals (an instant belongs to at most one phase). A short
     phase list is evaluated as a CASE expression (no join); a long one as a
     broadcast interval join - its size is the list's length, known here.
     """

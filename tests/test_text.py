@@ -89,3 +89,15 @@ def test_emoji_in_url_depends_on_input(spark):
 def test_term_tokens(spark):
     got = one(spark, X.term_tokens, "The driver's 2025 Café won't x ab12")
     assert got == ["the", "driver", "café", "won't", "ab12"]
+
+
+def test_empty_emoji_csv_cell_roundtrip(spark):
+    from pulse.session import scratch_path
+    from pulse.sinks.files import write_topic
+    from pulse.sources.files import read_topic_csv
+    path = scratch_path(spark, "csv_emoji")
+    df = spark.createDataFrame([("a", ["\U0001F600", "\U0001F44D"]), ("b", [])], "content_id string, emoji array<string>")
+    write_topic(df, path)
+    back = dict(read_topic_csv(spark, path, "content_id string, emoji string").collect())
+    assert back["a"] == "\U0001F600,\U0001F44D"
+    assert back["b"] in ("", None) and back["b"] != "nan"

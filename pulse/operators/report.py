@@ -72,21 +72,43 @@ def _ranked_labels(cond: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(picked), lambda x: x.getField("sentiment")), ", ")
 
 
-def dominant_and_least(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
-    """Most and least common label among those present; ties together."""
-    return dominant_from_shares(label_share(labelled, by), by)
-
-
-def dominant_from_shares(shares: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
+def per_group_profile(shares: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
+    """One aggregate pass over the share table (at most five rows per group)
+    giving everything A8-A10 need, so the labelled data is read once."""
     w = Window.partitionBy(*by)
     ranked = (shares.withColumn("_max", F.max("n").over(w))
               .withColumn("_min", F.min("n").over(w)))
-    return ranked.groupBy(*by).agg(
+    is_extreme = F.col("sentiment").isin(EXTREMES)
+    scale = F.array(*[F.lit(x) for x in LABELS])
+    agg = ranked.groupBy(*by).agg(
         _ranked_labels(F.col("n") == F.col("_max")).alias("dominant"),
         F.max("share").alias("dominant_share"),
         _ranked_labels(F.col("n") == F.col("_min")).alias("least"),
         F.min("share").alias("least_share"),
-        F.first("total").alias("total"))
+        F.first("total").alias("total"),
+        F.collect_set("sentiment").alias("_present"),
+        F.sum(F.when(is_extreme, F.col("share")).otherwise(F.lit(0.0))).alias("_extreme"),
+        F.count_if(is_extreme).alias("_n_extremes"),
+        F.sum(F.when(F.col("sentiment") == LABELS[0], F.col("share")).otherwise(0.0)).alias("very_negative_share"),
+        F.sum(F.when(F.col("sentiment") == LABELS[-1], F.col("share")).otherwise(0.0)).alias("very_positive_share"),
+        F.array_sort(F.collect_list(F.struct((-F.col("share")).alias("k"), F.col("ordinal"),
+                                             F.col("sentiment"), F.col("share")))).alias("_dist"),
+    )
+    return (agg.withColumn("peak_share", F.col("dominant_share"))
+            .withColumn("absent", F.array_join(F.array_except(scale, F.col("_present")), ", "))
+            .withColumn("extreme_share", F.round(F.col("_extreme"), 1))
+            .withColumn("both_extremes", F.col("_n_extremes") == 2)
+            .withColumn("majority", F.col("peak_share") > MAJORITY_SHARE))
+
+
+def dominant_and_least(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
+    """Most and least common label among those present; ties together."""
+    return dominant_from_shares(label_share(labelled, by), by)
+
+
+def dominant_from_shares(shares: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
+    return per_group_profile(shares, by).select(
+        *by, "dominant", "dominant_share", "least", "least_share", "total")
 
 
 def distribution_insights(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
@@ -95,41 +117,21 @@ def distribution_insights(labelled: DataFrame, by: list[str] = PLATFORM) -> Data
 
 
 def insights_from_shares(shares: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
-    scale = F.array(*[F.lit(x) for x in LABELS])
-    is_extreme = F.col("sentiment").isin(EXTREMES)
-    agg = shares.groupBy(*by).agg(
-        F.max("share").alias("peak_share"),
-        F.collect_set("sentiment").alias("_present"),
-        F.sum(F.when(is_extreme, F.col("share")).otherwise(F.lit(0.0))).alias("extreme_share"),
-        F.count_if(is_extreme).alias("_n_extremes"),
-        F.sum(F.when(F.col("sentiment") == LABELS[0], F.col("share")).otherwise(0.0)).alias("very_negative_share"),
-        F.sum(F.when(F.col("sentiment") == LABELS[-1], F.col("share")).otherwise(0.0)).alias("very_positive_share"),
-    )
-    return agg.select(
-        *by, "peak_share",
-        F.array_join(F.array_except(scale, F.col("_present")), ", ").alias("absent"),
-        F.round(F.col("extreme_share"), 1).alias("extreme_share"),
-        "very_negative_share", "very_positive_share",
-        (F.col("_n_extremes") == 2).alias("both_extremes"),
-        (F.col("peak_share") > MAJORITY_SHARE).alias("majority"),
-    )
+    return per_group_profile(shares, by).select(
+        *by, "peak_share", "absent", "extreme_share", "very_negative_share",
+        "very_positive_share", "both_extremes", "majority")
 
 
 def render_summary(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
     """A10: a four-part factual summary per group (distribution, dominant
-    and least common, peaks, insights), assembled from A2/A8/A9 rows."""
-    shares = label_share(labelled, by)
-    dist = shares.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("share")).alias("k"), F.col("ordinal"), F.col("sentiment"), F.col("share")))).alias("_d"))
-    dist = dist.select(*by, F.array_join(F.transform("_d", lambda x: F.format_string(
-        "%s %.1f%%", x.getField("sentiment"), x.getField("share"))), ", ").alias("_dist"))
-    dom = dominant_from_shares(shares, by)
-    ins = insights_from_shares(shares, by)
-    j = dist.join(dom, by).join(ins, by)
+    and least common, peaks, insights), from one pass over the share table."""
+    j = per_group_profile(label_share(labelled, by), by)
+    dist = F.array_join(F.transform("_dist", lambda x: F.format_string(
+        "%s %.1f%%", x.getField("sentiment"), x.getField("share"))), ", ")
     absent = F.when(F.col("absent") == "", F.lit("no label is absent")) \
         .otherwise(F.concat(F.lit("absent: "), F.col("absent")))
     text = F.concat_ws(" ",
-        F.format_string("1. Distribution over %d items: %s.", F.col("total"), F.col("_dist")),
+        F.format_string("1. Distribution over %d items: %s.", F.col("total"), dist),
         F.format_string("2. Most common: %s; least common: %s.", F.col("dominant"), F.col("least")),
         F.format_string("3. Peak: %s at %.1f%%%s; %s.", F.col("dominant"), F.col("peak_share"),
                         F.when(F.col("majority"), F.lit(" (majority)")).otherwise(F.lit("")), absent),

@@ -48,7 +48,10 @@ def append_new(batch: DataFrame, path: str, keys: list[str]) -> None:
     fresh = batch.dropDuplicates(keys)
     existing = read_or_none(spark, path, keys)
     if existing is not None:
-        fresh = fresh.join(existing, keys, "left_anti")
+        # null-safe key equality: a row with a null key part still matches
+        # its stored copy (planned as an equi-join all the same)
+        cond = [fresh[k].eqNullSafe(existing[k]) for k in keys]
+        fresh = fresh.join(existing, cond, "left_anti")
     fresh.write.mode("append").parquet(path)
 
 
@@ -153,9 +156,12 @@ def label_stream(source: DataFrame, label: Callable[[DataFrame], DataFrame], sto
         batch.persist()
         ok, rejected = FL.quarantine(batch)
         labelled = label(ok).withColumn("labelled_at", F.current_timestamp())  # X3
+        # identity of a rejected row: its key, else its raw text, else its
+        # content (an empty document) - never null, so replays match it
         raw = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in rejected.columns else F.lit(None)
+        content = F.to_json(F.struct(*[F.col(c) for c in batch.columns]))
         rej = (rejected.withColumn("batch_id", F.lit(batch_id))
-               .withColumn("_row", F.coalesce(F.col(key), raw)))
+               .withColumn("_row", F.coalesce(F.col(key), raw, content)))
         if idempotency == "key":
             append_new(labelled, store, [key])
             append_new(rej, rejects, ["_row"])

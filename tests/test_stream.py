@@ -49,3 +49,25 @@ def test_crash_between_store_and_commit_does_not_duplicate(spark):
     J.label_stream(src, SC._label_threads, f"{base}/store", f"{base}/rejects", f"{base}/ckpt")
     out = spark.read.parquet(f"{base}/store")
     assert out.count() == out.select("content_id").distinct().count() == threads.count()
+
+
+def test_stream_rejects_malformed_once(spark):
+    from pyspark.sql import functions as F
+    from pulse.session import scratch_path
+    from pulse.sinks.files import stage_documents
+    from pulse.sources.files import read_threads
+    from pulse.plans import common as CM
+    from pulse.streaming import jobs as J
+    base = scratch_path(spark, "rejects")
+    threads = CM.threads(spark, SF)
+    stage_documents(threads.repartition(2, "content_id"), f"{base}/staged")
+    spark.range(1).select(F.lit('{"content_id": "x", "comments": [').alias("value")) \
+        .write.mode("append").text(f"{base}/staged")
+    spark.range(1).select(F.lit('{}').alias("value")).write.mode("append").text(f"{base}/staged")
+    for run in ("a", "b"):
+        src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=1)
+        J.label_stream(src, SC._label_threads, f"{base}/store", f"{base}/rejects", f"{base}/ckpt_{run}")
+    store = spark.read.parquet(f"{base}/store")
+    rejects = spark.read.parquet(f"{base}/rejects")
+    assert store.count() == threads.count()
+    assert sorted(r[0] for r in rejects.select("reason").collect()) == ["empty", "malformed"]

@@ -76,6 +76,28 @@ def stream_ingest_stateful(spark: SparkSession, sf: str, files_per_trigger: int
     return spark.read.parquet(f"{base}/store").select("social_media", "scope", "content_id")
 
 
+def stream_collect_comments(spark: SparkSession, sf: str,
+                            files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Raw comment pages landed as JSON lines are parsed
+    and normalised inside the stream, then ingested keep-first against the
+    ledger into the store; replayed once from a fresh checkpoint."""
+    from pulse.sources.normalize import normalize_comment_pages
+    CM.prepare(spark)
+    base = scratch_path(spark, "stream_collect")
+    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    TB.comment_pages(spark, sf).repartition(n_files).write.text(f"{base}/landing")
+    for run in ("first", "replay"):
+        pages = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+                 .text(f"{base}/landing").withColumnRenamed("value", "payload"))
+        rows = normalize_comment_pages(pages, "payload", TB.OBSERVED_AT)
+        J.ingest_stream(rows, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}",
+                        ["publish_date", "content_id"])
+    store = spark.read.parquet(f"{base}/store")
+    return store.select("content_id", "social_media", "scope", "topic",
+                        CM.iso("publish_date").alias("publish_date"),
+                        F.length("comment_raw_text").alias("n_chars"))
+
+
 def stream_label(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Staged threads labelled by a streaming query into an
     idempotent store; replayed once from a fresh checkpoint."""
@@ -171,6 +193,7 @@ def report_tables(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_ingest_stateful": stream_ingest_stateful,
+    "stream_collect_comments": stream_collect_comments,
     "stream_label": stream_label,
     "stream_label_counts": stream_label_counts,
     "stream_final_report": stream_final_report,
@@ -186,6 +209,12 @@ FROM events
 """,
     "stream_ingest_stateful": """
 SELECT DISTINCT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id FROM events
+""",
+    "stream_collect_comments": f"""
+SELECT 'yt_comm_' || doc_id AS content_id, 'YouTube' AS social_media, source AS scope, lang AS topic,
+       {O.ISO(O.TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S}'))} AS publish_date,
+       CAST(length({O.P7('text')}) AS INTEGER) AS n_chars
+FROM documents
 """,
     "stream_label": O.SQL["thread_sentiment"],
     "stream_label_counts": O.SQL["label_counts"],

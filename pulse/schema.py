@@ -135,6 +135,12 @@ RAW_COMMENT = T.StructType([
     T.StructField("score", T.LongType()),
 ])
 
+# One scraped thread as landed: the post and the comments fetched with it.
+RAW_THREAD = T.StructType([
+    T.StructField("post", RAW_POST),
+    T.StructField("comments", T.ArrayType(RAW_COMMENT)),
+])
+
 RAW_COMMENT_SNIPPET = T.StructType([
     T.StructField("publishedAt", T.StringType()),
     T.StructField("textDisplay", T.StringType()),

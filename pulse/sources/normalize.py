@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pulse.functions import content as C
 from pulse.functions import text as X
 from pulse.functions import time as TM
-from pulse.schema import (COMMENT, CONTENT, CONTENT_COLUMNS, POST, RAW_COMMENT_PAGE,
-                          REDDIT, REDDIT_COMMENT_PREFIX, REDDIT_POST_PREFIX, YOUTUBE,
-                          YOUTUBE_COMMENT_PREFIX)
+from pulse.schema import (COMMENT, COMMENTS_PER_POST, CONTENT, CONTENT_COLUMNS, POST,
+                          RAW_COMMENT_PAGE, RAW_THREAD, REDDIT, REDDIT_COMMENT_PREFIX,
+                          REDDIT_POST_PREFIX, YOUTUBE, YOUTUBE_COMMENT_PREFIX)
 
 ALL_COLUMNS = [f.name for f in CONTENT.fields]
 
@@ -25,10 +25,11 @@ def _observed(observed_at) -> Column:
     return TM.observed_at(observed_at)
 
 
-def normalize_posts(raw_posts: DataFrame, observed_at=None) -> DataFrame:
-    """S3 (posts): RAW_POST -> CONTENT. Emoji come from the raw body."""
+def normalize_posts(raw_posts: DataFrame, observed_at=None, keep: list[str] | None = None) -> DataFrame:
+    """S3 (posts): RAW_POST -> CONTENT. Emoji come from the raw body.
+    ``keep`` lists extra input columns carried through unchanged."""
     const = C.constant_columns(REDDIT, POST)
-    return raw_posts.select(
+    return raw_posts.select(*(keep or []),
         C.content_id(REDDIT_POST_PREFIX, "id").alias("content_id"),
         _observed(observed_at).alias("observation_time"),
         F.col("author").alias("user"),
@@ -100,6 +101,51 @@ def flatten_threads(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return posts.select(*ALL_COLUMNS).unionByName(comments.select(*ALL_COLUMNS))
 
 
+def _comment_content(c: Column, url: Column, observed: Column) -> Column:
+    """One RAW_COMMENT struct -> a CONTENT struct (comment of a thread)."""
+    const = C.constant_columns(REDDIT, COMMENT)
+    return F.struct(
+        F.concat(F.lit(REDDIT_COMMENT_PREFIX), c.getField("id")).alias("content_id"),
+        observed.alias("observation_time"),
+        c.getField("author").alias("user"),
+        const["user_location"].alias("user_location"),
+        const["social_media"].alias("social_media"),
+        TM.epoch_to_utc(c.getField("created_utc")).alias("publish_date"),
+        const["geo_location"].alias("geo_location"),
+        X.clean_thread_text(c.getField("body")).alias("comment_raw_text"),
+        X.distinct_emoji(c.getField("body")).alias("emoji"),
+        url.alias("reference_post_url"),
+        c.getField("score").cast("bigint").alias("like_count"),
+        F.lit(0).cast("bigint").alias("reply_count"),
+        const["repost_count"].alias("repost_count"),
+        const["quote_count"].alias("quote_count"),
+        const["bookmark_count"].alias("bookmark_count"),
+        const["content_type"].alias("content_type"),
+    )
+
+
+def normalize_thread_payload(payloads: DataFrame, payload_col: str = "payload",
+                             comment_limit: int = COMMENTS_PER_POST, observed_at=None) -> DataFrame:
+    """S3 + F8 + L2 + D6 for one landed scrape per row (RAW_THREAD as JSON
+    text or struct) -> THREAD documents, row-locally: top-level comments in
+    listing order, the first ``comment_limit`` kept, nested under the post.
+    No shuffle, so it runs unchanged inside a streaming query."""
+    col = F.col(payload_col)
+    if dict(payloads.dtypes)[payload_col] == "string":
+        col = F.from_json(col, RAW_THREAD)
+    flat = payloads.select(col.getField("post").alias("_p"), col.getField("comments").alias("_raw"))
+    flat = flat.select("_p.*", "_raw")
+    observed = _observed(observed_at)
+    top = F.filter(F.coalesce("_raw", F.array().cast(f"array<{RAW_THREAD['comments'].dataType.elementType.simpleString()}>")),
+                   lambda c: c.getField("parent_id") == c.getField("post_id"))
+    ordered = F.array_sort(top, lambda a, b: F.when(a.getField("position") < b.getField("position"), -1)
+                           .when(a.getField("position") > b.getField("position"), 1).otherwise(0))
+    head = F.slice(ordered, 1, max(comment_limit, 0))
+    posts = normalize_posts(flat.withColumn("_head", head), observed, keep=["_head"])
+    return posts.withColumn("comments", F.transform(
+        "_head", lambda c: _comment_content(c, F.col("reference_post_url"), observed))).drop("_head")
+
+
 def normalize_comment_items(items: DataFrame, observed_at=None) -> DataFrame:
     """S4 core: one row per comment item (columns ``query``, ``videoId``,
     ``item``) -> CONTENT. Emoji come from the *cleaned* text. An unparseable

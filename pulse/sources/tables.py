@@ -103,6 +103,22 @@ def raw_thread_payload(spark: SparkSession, sf_dir: str, reply_chain: bool = Fal
     return posts, comments
 
 
+def thread_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed scrapes as JSON text: one post with the comments fetched with
+    it. A scrape fetches at most COMMENTS_PER_POST comments, so the first
+    ones per post are taken with a partial top-n before they are collected
+    (bounded arrays, however many comments a post has)."""
+    from pulse.operators.limits import top_n
+    from pulse.schema import COMMENTS_PER_POST
+    raw_posts, raw_comments = raw_thread_payload(spark, sf_dir)
+    fetched = top_n(raw_comments, ["post_id"], ["position", "id"], COMMENTS_PER_POST)
+    nested = (fetched.groupBy("post_id")
+              .agg(F.array_sort(F.collect_list(F.struct(*raw_comments.columns))).alias("comments")))
+    joined = raw_posts.join(nested, raw_posts["id"] == nested["post_id"], "left")
+    post = F.struct(*[F.col(c) for c in raw_posts.columns])
+    return joined.select(F.to_json(F.struct(post.alias("post"), F.col("comments"))).alias("payload"))
+
+
 def thread_rows(spark: SparkSession, sf_dir: str):
     """(posts, comments) as CONTENT rows; comments carry post_id/position."""
     raw_posts, raw_comments = raw_thread_payload(spark, sf_dir)

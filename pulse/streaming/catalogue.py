@@ -98,6 +98,29 @@ def stream_collect_comments(spark: SparkSession, sf: str,
                         F.length("comment_raw_text").alias("n_chars"))
 
 
+def stream_collect_threads(spark: SparkSession, sf: str,
+                           files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Landed scrapes (post + fetched comments) are
+    turned into thread documents inside the stream and ingested keep-first
+    against the ledger; replayed once from a fresh checkpoint."""
+    from pulse.sources.normalize import normalize_thread_payload
+    CM.prepare(spark)
+    base = scratch_path(spark, "stream_threads")
+    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    TB.thread_payloads(spark, sf).repartition(n_files).write.text(f"{base}/landing")
+    for run in ("first", "replay"):
+        raw = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+               .text(f"{base}/landing").withColumnRenamed("value", "payload"))
+        docs = normalize_thread_payload(raw, "payload", observed_at=TB.OBSERVED_AT)
+        J.ingest_stream(docs, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}",
+                        ["publish_date", "content_id"])
+    store = spark.read.parquet(f"{base}/store")
+    ids = F.transform("comments", lambda c: c.getField("content_id"))
+    return store.select("content_id", "scope", F.size("comments").alias("n_comments"),
+                        F.array_join(ids, ",").alias("comment_ids"),
+                        F.length("comment_raw_text").alias("n_chars"))
+
+
 def stream_label(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Staged threads labelled by a streaming query into an
     idempotent store; replayed once from a fresh checkpoint."""
@@ -194,6 +217,7 @@ STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_ingest_stateful": stream_ingest_stateful,
     "stream_collect_comments": stream_collect_comments,
+    "stream_collect_threads": stream_collect_threads,
     "stream_label": stream_label,
     "stream_label_counts": stream_label_counts,
     "stream_final_report": stream_final_report,
@@ -215,6 +239,15 @@ SELECT 'yt_comm_' || doc_id AS content_id, 'YouTube' AS social_media, source AS
        {O.ISO(O.TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S}'))} AS publish_date,
        CAST(length({O.P7('text')}) AS INTEGER) AS n_chars
 FROM documents
+""",
+    "stream_collect_threads": f"""
+WITH {O.THREAD_CTES.strip()}
+SELECT 'reddit_post_' || tp.conv_id AS content_id, tp.scope,
+       CAST((SELECT count(*) FROM tc WHERE tc.conv_id = tp.conv_id) AS INTEGER) AS n_comments,
+       coalesce((SELECT string_agg('reddit_comm_' || conv_id || '_' || turn, ',' ORDER BY turn) FROM tc
+                 WHERE tc.conv_id = tp.conv_id), '') AS comment_ids,
+       CAST(length({O.P6('tp.text')}) AS INTEGER) AS n_chars
+FROM tp
 """,
     "stream_label": O.SQL["thread_sentiment"],
     "stream_label_counts": O.SQL["label_counts"],

@@ -106,3 +106,28 @@ def test_texts_aligned_by_item(spark):
     got = rows(R.texts_by_label(df), "sentiment", "n_texts")
     assert got == [("Negative", 1), ("Positive", 3)]
     assert df.select(F.size(item_texts(df))).collect()[0][0] == 3
+
+
+def test_normalize_thread_payload_row_local(spark):
+    import json
+    from pulse.sources.normalize import normalize_thread_payload
+    post = {"id": "p1", "permalink": "/r/x/comments/p1/", "created_utc": 1748178000.0, "author": "a",
+            "selftext": "hi https://x.y \U0001F600", "score": 3, "num_comments": 4, "rank": 1, "subreddit": "x"}
+    comments = [
+        {"id": "c3", "post_id": "p1", "parent_id": "p1", "position": 3, "created_utc": 1748178060.0,
+         "author": "b", "body": "third", "score": 1},
+        {"id": "c1", "post_id": "p1", "parent_id": "p1", "position": 1, "created_utc": 1748178030.0,
+         "author": "b", "body": "first", "score": 1},
+        {"id": "r1", "post_id": "p1", "parent_id": "c1", "position": 2, "created_utc": 1748178040.0,
+         "author": "c", "body": "nested reply", "score": 1},
+        {"id": "c4", "post_id": "p1", "parent_id": "p1", "position": 4, "created_utc": 1748178070.0,
+         "author": "b", "body": "fourth", "score": 1},
+    ]
+    df = spark.createDataFrame([(json.dumps({"post": post, "comments": comments}),),
+                                (json.dumps({"post": dict(post, id="p2"), "comments": None}),)], "payload string")
+    out = {r["content_id"]: r for r in normalize_thread_payload(df, comment_limit=2).collect()}
+    t = out["reddit_post_p1"]
+    assert [c["content_id"] for c in t["comments"]] == ["reddit_comm_c1", "reddit_comm_c3"]
+    assert t["comment_raw_text"] == "hi  \U0001F600" and t["emoji"] == ["\U0001F600"]
+    assert t["comments"][0]["reference_post_url"] == "https://www.reddit.com/r/x/comments/p1/"
+    assert out["reddit_post_p2"]["comments"] == []

@@ -89,25 +89,35 @@ class LexiconScorer:
 
 
 class TrainedScorer:
-    """Multinomial logistic regression over hashed word counts."""
+    """Multinomial logistic regression over IDF-weighted hashed word presence.
 
-    def __init__(self, num_features: int = 1 << 18, max_iter: int = 50, reg: float = 0.01):
+    Classes are balanced with instance weights (total / (classes x class
+    count)), so a rare label - e.g. abusive comments - is not drowned by the
+    frequent ones. Tokenising, hashing, IDF and the optimiser's gradient
+    passes are all distributed ``pyspark.ml`` stages.
+    """
+
+    def __init__(self, num_features: int = 1 << 18, max_iter: int = 50, reg: float = 0.1,
+                 balance: bool = True):
         self.num_features = num_features
         self.max_iter = max_iter
         self.reg = reg
+        self.balance = balance
         self.model = None
 
     def _pipeline(self, text_col: str):
         from pyspark.ml import Pipeline
         from pyspark.ml.classification import LogisticRegression
-        from pyspark.ml.feature import HashingTF, RegexTokenizer
+        from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
         from pulse.functions.text import TOKEN
         return Pipeline(stages=[
             RegexTokenizer(inputCol=text_col, outputCol="_words", pattern=TOKEN, gaps=False,
                            toLowercase=True, minTokenLength=1),
-            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=self.num_features),
+            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=self.num_features,
+                      binary=True),
+            IDF(inputCol="_counts", outputCol="_tf"),
             LogisticRegression(featuresCol="_tf", labelCol="_label", family="multinomial",
-                               maxIter=self.max_iter, regParam=self.reg,
+                               maxIter=self.max_iter, regParam=self.reg, weightCol="_w",
                                predictionCol="_pred", probabilityCol="probability",
                                rawPredictionCol="_raw"),
         ])
@@ -115,7 +125,18 @@ class TrainedScorer:
     def fit(self, train: DataFrame, text_col: str, ordinal_col: str) -> "TrainedScorer":
         data = train.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col),
                             F.col(ordinal_col).cast("double").alias("_label"))
-        self.model = self._pipeline(text_col).fit(data)
+        weight = F.lit(1.0)
+        if self.balance:
+            # one row per class (at most five): a bounded collect
+            counts = {r[0]: r[1] for r in data.groupBy("_label").count().collect()}
+            total = float(sum(counts.values()))
+            expr = None
+            for label, n in counts.items():
+                w = F.lit(total / (len(counts) * n))
+                cond = F.col("_label") == F.lit(label)
+                expr = F.when(cond, w) if expr is None else expr.when(cond, w)
+            weight = expr.otherwise(F.lit(1.0))
+        self.model = self._pipeline(text_col).fit(data.withColumn("_w", weight))
         return self
 
     def label(self, df: DataFrame, text_col: str) -> DataFrame:
@@ -128,7 +149,7 @@ class TrainedScorer:
         return (out.withColumn("ordinal", ordinal.cast("int"))
                 .withColumn("sentiment", ordinal_to_label(F.col("ordinal")))
                 .withColumn("defaulted", blank)
-                .drop("_words", "_tf", "_raw", "_pred"))
+                .drop("_words", "_counts", "_tf", "_raw", "_pred"))
 
 
 class PandasScorer:

@@ -83,3 +83,22 @@ def test_topic_filter_prunes_partitions(spark):
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(topic" in plan and "(topic" in plan
     assert picked.count() == rows.filter("topic = 'en'").count()
+
+
+def test_trained_scorer_held_out(spark):
+    from pulse.operators.sentiment import TrainedScorer
+    from pulse.plans import common as CM
+    sf = "/root/testdata/sf0.01"
+    rows = CM.comments(spark, sf)
+    labels = TB.table(spark, sf, "labels").select(
+        F.concat(F.lit("yt_comm_"), F.col("doc_id").cast("string")).alias("content_id"),
+        F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 2).otherwise(3).alias("target"))
+    data = rows.join(labels, "content_id").withColumn("_fold", F.pmod(F.xxhash64("content_id"), F.lit(5)))
+    train, test = data.filter("_fold <> 0"), data.filter("_fold = 0")
+    model = TrainedScorer(num_features=1 << 14, max_iter=50).fit(train, "comment_raw_text", "target")
+    scored = model.label(test, "comment_raw_text")
+    acc = scored.select(F.avg((F.col("ordinal") == F.col("target")).cast("double"))).first()[0]
+    majority = test.groupBy("target").count().agg(F.max("count") / F.sum("count")).first()[0]
+    # held-out accuracy must not fall below always answering the majority
+    # class (the training fit itself proves nothing)
+    assert acc >= majority

@@ -4,9 +4,11 @@ Scorers:
 
 * ``LexiconScorer`` - integer word weights summed over the whole text's
   tokens and bucketed (<=-2 Very Negative ... >=2 Very Positive). A lexicon of
-  checked size becomes a literal map evaluated inside the projection, so
-  scoring is row-local: no shuffle, no join, whole-stage codegen. A lexicon
-  above the inline bound is scored by an explode + join + sum.
+  checked size is evaluated inside the projection, one hash-set membership
+  test per distinct weight (``CASE WHEN token IN (...) THEN w``), so scoring
+  is row-local: no shuffle, no join, O(1) per token. A lexicon above the
+  inline bound, or with too many distinct weights, is scored by an explode +
+  join + sum.
 * ``TrainedScorer`` - ``pyspark.ml`` tokenizer -> hashing TF -> multinomial
   logistic regression; probability vector and argmax label.
 * ``PandasScorer`` - extension point for a caller-supplied model, applied
@@ -30,8 +32,9 @@ from pulse.functions.text import has_text, tokens
 from pulse.operators.threads import thread_text
 from pulse.schema import NEUTRAL_ORDINAL
 
-# Largest lexicon scored as an inline literal map.
-INLINE_LEXICON_MAX = 50_000
+# Largest lexicon, and most distinct weights, scored inline.
+INLINE_LEXICON_MAX = 200_000
+INLINE_WEIGHTS_MAX = 16
 
 
 class LexiconScorer:
@@ -40,14 +43,16 @@ class LexiconScorer:
     def __init__(self, lexicon, max_tokens: int | None = None):
         if isinstance(lexicon, DataFrame):
             n = lexicon.count()
-            if n <= INLINE_LEXICON_MAX:
+            n_weights = lexicon.select("weight").distinct().count()
+            if n <= INLINE_LEXICON_MAX and n_weights <= INLINE_WEIGHTS_MAX:
                 lexicon = {r["word"]: int(r["weight"]) for r in lexicon.collect()}
         self.lexicon = lexicon
         self.max_tokens = max_tokens
 
     @property
     def inline(self) -> bool:
-        return isinstance(self.lexicon, dict)
+        return (isinstance(self.lexicon, dict)
+                and len(set(self.lexicon.values())) <= INLINE_WEIGHTS_MAX)
 
     def _tokens(self, text: Column) -> Column:
         tok = tokens(text)
@@ -55,26 +60,42 @@ class LexiconScorer:
             tok = F.slice(tok, 1, self.max_tokens)
         return tok
 
-    def score_expr(self, text: Column) -> Column:
+    def _weight_sum_sql(self) -> Column:
+        """Sum of the weights of the tokens in column ``_pulse_tokens``."""
         if not self.inline:
             raise ValueError("lexicon above the inline bound: use score()")
-        if not self.lexicon:
+        by_weight: dict[int, list[str]] = {}
+        for word, weight in self.lexicon.items():
+            if int(weight) != 0:
+                by_weight.setdefault(int(weight), []).append(word)
+        if not by_weight:
             return F.lit(0).cast("bigint")
-        pairs = []
-        for word, weight in sorted(self.lexicon.items()):
-            pairs += [F.lit(word), F.lit(int(weight))]
-        weights = F.create_map(*pairs)
-        per_token = F.transform(self._tokens(text),
-                                lambda t: F.coalesce(F.try_element_at(weights, t), F.lit(0)))
-        return F.aggregate(per_token, F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
+        # A map lookup would scan the keys; IN over a literal list becomes a
+        # hash set. The expression is written as one SQL text so that a large
+        # lexicon costs one parser call, not one call per word.
+        def quote(w: str) -> str:
+            return "'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        branches = " ".join(
+            f"WHEN t IN ({', '.join(quote(x) for x in sorted(words))}) THEN {w}"
+            for w, words in sorted(by_weight.items()))
+        weight_sum = F.expr(f"aggregate(transform(_pulse_tokens, t -> CASE {branches} ELSE 0 END), "
+                            f"CAST(0 AS BIGINT), (a, x) -> a + x)")
+        return weight_sum
+
+    def _with_tokens(self, df: DataFrame, text: Column) -> DataFrame:
+        return df.withColumn("_pulse_tokens", self._tokens(text))
 
     def score(self, df: DataFrame, text_col: str, key: str = "content_id") -> DataFrame:
         """Adds ``score`` (bigint) to ``df``."""
         text = F.col(text_col)
         if self.inline:
-            return df.withColumn("score", self.score_expr(text))
+            return (self._with_tokens(df, text).withColumn("score", self._weight_sum_sql())
+                    .drop("_pulse_tokens"))
+        lex = self.lexicon
+        if isinstance(lex, dict):
+            lex = df.sparkSession.createDataFrame(list(lex.items()), "word string, weight int")
         toks = df.select(key, F.explode(self._tokens(text)).alias("_tok"))
-        sums = (toks.join(self.lexicon.select(F.col("word").alias("_tok"), "weight"), "_tok")
+        sums = (toks.join(lex.select(F.col("word").alias("_tok"), "weight"), "_tok")
                 .groupBy(key).agg(F.sum("weight").cast("bigint").alias("score")))
         return (df.join(sums, key, "left")
                 .withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))))

@@ -102,3 +102,20 @@ def test_trained_scorer_held_out(spark):
     # held-out accuracy must not fall below always answering the majority
     # class (the training fit itself proves nothing)
     assert acc >= majority
+
+
+def test_large_lexicon_inline_equals_join(spark):
+    lex = {f"w{i}": (i % 5) - 2 for i in range(20000)}
+    lex.update({"don't": -3, "back\\slash": 2, "nice": 1})
+    df = spark.createDataFrame([("a", "w1 w2 w3 don't nice"), ("b", "w4 w4 back\\slash"), ("c", "zzz")],
+                               "content_id string, t string")
+    inline = LexiconScorer(lex)
+    assert inline.inline
+    a = {r["content_id"]: r["score"] for r in inline.label(df, "t").collect()}
+    table = spark.createDataFrame(list(lex.items()), "word string, weight int")
+    joined = LexiconScorer(table)
+    joined.lexicon = table
+    b = {r["content_id"]: r["score"] for r in joined.label(df, "t").collect()}
+    # "back\slash" cannot match a token (tokens hold no backslash); it only
+    # checks that such a word does not break the generated expression
+    assert a == b == {"a": -1 + 0 + 1 - 3 + 1, "b": 2 + 2, "c": 0}

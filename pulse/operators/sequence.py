@@ -11,11 +11,15 @@ executor is lost and a partition is recomputed.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.session import checkpoint_root
 
+ROWS_PER_TASK = 1_000_000
+
 
 def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
                 name: str = "item", num_partitions: int | None = None) -> DataFrame:
@@ -24,10 +28,16 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
     spark = df.sparkSession
     checkpoint_root(spark)
     keys = [*group_cols, *order_cols]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Materialise the (narrow) input once: the range partitioner samples it
     # and the sort reads it, and neither should recompute its lineage.
     src = df.checkpoint(eager=True)
+    if num_partitions:
+        n = num_partitions
+    else:
+        # about ROWS_PER_TASK rows per range, at most the shuffle width
+        # (counting the checkpointed input is a cheap read)
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = max(1, min(cap, math.ceil(src.count() / ROWS_PER_TASK)))
     ranged = src.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = (ranged.withColumn("_task", F.spark_partition_id())
               .withColumn("_rid", F.monotonically_increasing_id())

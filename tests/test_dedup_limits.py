@@ -69,7 +69,8 @@ def test_hot_key_keep_first(spark):
 def test_number_rows_matches_row_number(spark):
     data = [("A" if i % 3 else "B", (i * 7919) % 1000, f"id{i}") for i in range(500)]
     df = spark.createDataFrame(data, "g string, t int, id string")
-    got = rows(number_rows(df, ["g"], ["t", "id"], "item"), "g", "id", "item")
+    got = rows(number_rows(df, ["g"], ["t", "id"], "item", num_partitions=8), "g", "id", "item")
+    assert rows(number_rows(df, ["g"], ["t", "id"], "item"), "g", "id", "item") == got
     w = Window.partitionBy("g").orderBy("t", "id")
     want = rows(df.withColumn("item", F.row_number().over(w).cast("bigint")), "g", "id", "item")
     assert got == want

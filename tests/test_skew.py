@@ -30,6 +30,9 @@ def test_hot_post_nesting_is_bounded_and_exact(spark):
 def test_series_with_one_dominant_platform(spark):
     data = [("A", i, f"a{i:05d}", "Neutral") for i in range(3000)] + [("B", i, f"b{i}", "Positive") for i in range(5)]
     df = spark.createDataFrame(data, "social_media string, t long, content_id string, sentiment string")
+    from pulse.operators.sequence import number_rows
+    multi = number_rows(df, ["social_media"], ["t", "content_id"], "item", num_partitions=8)
+    assert rows(multi.filter("social_media = 'A'"), "content_id", "item") == [(f"a{i:05d}", i + 1) for i in range(3000)]
     s = item_series(df, ["t", "content_id"])
     got = rows(s.filter("social_media = 'A'"), "content_id", "item")
     assert got == [(f"a{i:05d}", i + 1) for i in range(3000)]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bitpack, packing, warc
+from . import bitpack, packing, quality, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_quality_rules": quality.op2_quality_rules,
     "op8_token_bits": bitpack.op8_token_bits,
     "op10_warc": warc.op10_warc,
 }
 
 SQL = {
+    "op2_quality_rules": quality.SQL_OP2,
     "op10_warc": warc.SQL_OP10,
 }

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import bitpack, packing, quality, warc
+from . import bitpack, decontam, packing, quality, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_decontamination": decontam.op3_decontamination,
     "op8_token_bits": bitpack.op8_token_bits,
     "op10_warc": warc.op10_warc,
 }
 
 SQL = {
     "op2_quality_rules": quality.SQL_OP2,
+    "op3_decontamination": decontam.SQL_OP3,
     "op10_warc": warc.SQL_OP10,
 }

@@ -11,7 +11,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulse.llm import packing
+from pulse.llm import decontam, minhash, packing, quality
+from pulse.llm.storage import written
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the risk-controlled cutoffs."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of exact and near copies."""
+    return minhash.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left."""
+    return packing.pack(docs, with_ids=False)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("minhash_dedup", near_dedup),
+    ("decontamination", decontaminated),
+    ("packing", packed),
+]
+
+ORACLE_SQL`` is None and
+``tests/llm/test_pipeline.py`` holds the stages against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pulse.llm import decontam, minhash, packing, quality
 from pulse.llm.storage import written
 
 

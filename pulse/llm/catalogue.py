@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bitpack, decontam, packing, quality, warc
+from . import bitpack, decontam, minhash, packing, quality, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_decontamination": decontam.op3_decontamination,
+    "op7_minhash_dedup": minhash.op7_minhash_dedup,
     "op8_token_bits": bitpack.op8_token_bits,
     "op10_warc": warc.op10_warc,
 }

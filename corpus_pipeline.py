@@ -42,26 +42,6 @@ STAGES = [
     ("packing", packed),
 ]
 
-ORACLE_SQL`` is None and
-``tests/llm/test_pipeline.py`` holds the stages against brute force.
-"""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
-from pulse.llm import decontam, minhash, packing, quality
-from pulse.llm.storage import written
-
-
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, with_ids=False)
-
-
-STAGES = [
-    ("packing", packed),
-]
-
 ORACLE_SQL = None
 
 

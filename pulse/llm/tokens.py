@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -21,6 +22,19 @@ _LETTERS = "[A-Za-zÀ-ÖØ-öø-ɏ]+"
 _WORD = re.compile(rf"( {_LETTERS}(?=[ .,\n]|\Z)|(?<=[A-Za-z.,]\n){_LETTERS}(?=[ .,\n]|\Z))")
 
 
+class _Numbered(dict):
+    """Numbers new keys as they are asked for and lists them in ``fresh``."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self.fresh.append(key)
+        number = self[key] = len(self)
+        return number
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public vocabulary file (the installed package holds them)."""
     import public_tokenizers
@@ -34,35 +48,65 @@ class ChunkEncoder:
     full memo is emptied, which costs time and changes nothing else.
     """
 
-    def __init__(self, path: str, memo_chunks: int = 700_000):
+    def __init__(self, path: str, memo_chunks: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
+        # a word's ids begin with a token that holds its space, or end with one
+        # that holds the end of the word; so words can be encoded many at a time
+        suffix = getattr(self._tok.model, "end_of_word_suffix", None)
+        vocabulary = self._tok.get_vocab(with_added_tokens=True)
+        self._edge = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self._edge[[i for t, i in vocabulary.items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]] = True
+        self._edge_last = bool(suffix)
         self._limit = memo_chunks
         self._reset()
 
     def _reset(self) -> None:
-        self._slot: dict[str, int] = {}
+        self._slot = _Numbered()
         self._flat = np.empty(1 << 16, np.uint32)
-        self._ends = np.zeros(1 << 14, np.int64)
+        self._ends, self._sizes = np.zeros((2, 1 << 14), np.int64)
         self._used = 0
 
-    def _learn(self, chunks: list[str]) -> None:
-        encode = self._tok.encode_batch_fast
-        for lo in range(0, len(chunks), 1024):
-            part = chunks[lo:lo + 1024]
-            for chunk, e in zip(part, encode(part, add_special_tokens=False)):
-                ids = e.ids
-                k, end = len(self._slot), self._used + len(ids)
-                if end > len(self._flat):
-                    self._flat = np.resize(self._flat, max(end, 2 * len(self._flat)))
-                if k + 1 >= len(self._ends):
-                    self._ends = np.resize(self._ends, 2 * len(self._ends))
-                self._flat[self._used:end] = ids
-                self._used = end
-                self._slot[chunk] = k
-                self._ends[k + 1] = end
+    def _encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and the number of each."""
+        found = [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return (np.fromiter(chain.from_iterable(found), np.uint32),
+                np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _encode_words(self, words: list[str], group: int = 64) -> tuple[np.ndarray, np.ndarray]:
+        """``_encode_all`` of spaced words, many words in one text."""
+        ids, _ = self._encode_all(["".join(words[lo:lo + group]) for lo in range(0, len(words), group)])
+        edges = np.flatnonzero(self._edge[ids])
+        bounds = np.concatenate(([0], edges + 1)) if self._edge_last else np.append(edges, len(ids))
+        if len(bounds) != len(words) + 1:
+            return self._encode_all(words)
+        return ids, np.diff(bounds)
+
+    def _learn(self) -> None:
+        """Encode the pieces that were numbered since the last call."""
+        fresh = self._slot.fresh
+        if not fresh:
+            return
+        spaced = np.fromiter((p[0] == " " and _WORD.fullmatch(p) is not None for p in fresh), bool, len(fresh))
+        size = np.empty(len(fresh), np.int64)
+        parts = []
+        for kind, encode in ((True, self._encode_words), (False, self._encode_all)):
+            ids, size[spaced == kind] = encode([p for p, s in zip(fresh, spaced) if s == kind])
+            parts.append(ids)
+        # ids lie by kind, so a piece's place is the end of those of its kind before it
+        ends = np.where(spaced, np.cumsum(size * spaced), len(parts[0]) + np.cumsum(size * ~spaced)) + self._used
+        at, end = len(self._slot) - len(fresh), self._used + len(parts[0]) + len(parts[1])
+        if end > len(self._flat):
+            self._flat = np.resize(self._flat, 2 * end)
+        if at + len(fresh) > len(self._ends):
+            self._ends, self._sizes = (np.resize(x, 2 * (at + len(fresh))) for x in (self._ends, self._sizes))
+        self._flat[self._used:end] = np.concatenate(parts)
+        self._ends[at:at + len(fresh)] = ends
+        self._sizes[at:at + len(fresh)] = size
+        self._used = end
+        fresh.clear()
 
     @staticmethod
     def _chunks(text: str) -> list[str]:
@@ -80,16 +124,11 @@ class ChunkEncoder:
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         if len(self._slot) > self._limit:
             self._reset()
-        slot = self._slot
-        missing = [c for c in dict.fromkeys(chunks) if c not in slot]
-        if missing:
-            self._learn(missing)
-        at = np.fromiter(map(slot.__getitem__, chunks), np.int64, len(chunks))
-        begin = self._ends[at]
-        size = self._ends[at + 1] - begin
+        at = np.fromiter(map(self._slot.__getitem__, chunks), np.int64, len(chunks))
+        self._learn()
+        size = self._sizes[at]
         ends = np.cumsum(size)
-        total = int(ends[-1])
-        index = np.arange(total) + np.repeat(begin - (ends - size), size)
+        index = np.arange(int(ends[-1])) + np.repeat(self._ends[at] - ends, size)
         last = np.cumsum(counts)
         upto = np.concatenate(([0], ends))
         return self._flat[index], upto[last] - upto[last - counts]

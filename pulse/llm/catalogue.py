@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bitpack, chat, ctw, decontam, minhash, packing, quality, urlfilter, warc
+from . import bitpack, chat, ctw, decontam, licences, minhash, packing, quality, urlfilter, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_decontamination": decontam.op3_decontamination,
     "op4_chat_rotation": chat.op4_chat_rotation,
+    "op5_licences": licences.op5_licences,
     "op6_url_filter": urlfilter.op6_url_filter,
     "op7_minhash_dedup": minhash.op7_minhash_dedup,
     "op8_token_bits": bitpack.op8_token_bits,
@@ -20,6 +21,7 @@ SQL = {
     "op2_quality_rules": quality.SQL_OP2,
     "op3_decontamination": decontam.SQL_OP3,
     "op4_chat_rotation": chat.SQL_OP4,
+    "op5_licences": licences.op5_licences,
     "op6_url_filter": urlfilter.SQL_OP6,
     "op10_warc": warc.SQL_OP10,
 }

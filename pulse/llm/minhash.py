@@ -80,21 +80,24 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (after lower-casing A-Z) of all texts, one
-    after the other, and the number of words of each text."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    space = _SPACE[data]
-    # prefix sums of a polynomial hash; a word's hash is the difference of two
+def hashed_runs(data: np.ndarray, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and 64-bit hashes (after lower-casing A-Z) of the runs of bytes
+    that are not marked in ``separator``; ``data`` ends with a separator."""
+    # prefix sums of a polynomial hash; a run's hash is the difference of two
     power = _powers(_BASE, len(data) + 1)
     prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[_LOWER[data]] * power[:-1])))
-    edge = np.diff(space.astype(np.int8), prepend=1)
+    edge = np.diff(separator[data].astype(np.int8), prepend=1)
     begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    words = mix((prefix[end] - prefix[begin]) * _powers(inverse, len(data) + 1)[begin])
+    return begin, mix((prefix[end] - prefix[begin]) * _powers(inverse, len(data) + 1)[begin])
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after the other, and the number of
+    words of each text."""
+    begin, words = hashed_runs(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    last = np.searchsorted(begin, np.cumsum(sizes))
-    return words, np.diff(last, prepend=0)
+    return words, np.diff(np.searchsorted(begin, np.cumsum(sizes)), prepend=0)
 
 
 def bags(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

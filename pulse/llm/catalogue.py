@@ -21,7 +21,6 @@ SQL = {
     "op2_quality_rules": quality.SQL_OP2,
     "op3_decontamination": decontam.SQL_OP3,
     "op4_chat_rotation": chat.SQL_OP4,
-    "op5_licences": licences.op5_licences,
     "op6_url_filter": urlfilter.SQL_OP6,
     "op10_warc": warc.SQL_OP10,
 }

@@ -34,11 +34,34 @@ COMMENT_URL = "https?://" + NWS + "+|www\\." + NWS + "+"
 WS_RUN = WS + "+"
 EDGE_SPACE = r"\A | \z"
 
-# Emoji: regional-indicator pairs (flags), keycaps, and pictographs with an
-# optional variation selector and skin tone, joined by ZWJ into sequences.
-_PICTO = (r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}]"
-          r"\x{FE0F}?[\x{1F3FB}-\x{1F3FF}]?")
-EMOJI = (r"[\x{1F1E6}-\x{1F1FF}]{2}|[0-9#*]\x{FE0F}\x{20E3}|"
+
+
+def _emoji_class() -> str:
+    """Character class of the code points with Unicode's Emoji property, built
+    from the installed Unicode data (neither Java 17 nor RE2 know the property).
+
+    Digits, ``#`` and ``*`` are emoji only as keycaps and regional indicators
+    only in pairs, so both are left out.
+    """
+    import regex
+    member = regex.compile(r"[\p{Emoji}--[0-9#*\U0001F1E6-\U0001F1FF]]", regex.V1)
+    ranges: list[list[int]] = []
+    for c in range(0xA0, 0x1FB00):
+        if member.match(chr(c)):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(rf"\x{{{a:X}}}" + (rf"-\x{{{b:X}}}" if b > a else "") for a, b in ranges)
+
+
+# Emoji: flags (pairs of regional indicators, or a black flag with tags),
+# keycaps, and characters of the Emoji property with an optional variation
+# selector or skin tone, joined by ZWJ into sequences. A character that shows
+# as text without U+FE0F counts with and without it.
+_PICTO = "[" + _emoji_class() + r"](?:\x{FE0F}|[\x{1F3FB}-\x{1F3FF}])?"
+EMOJI = (r"[\x{1F1E6}-\x{1F1FF}]{2}|[0-9#*]\x{FE0F}?\x{20E3}|"
+         r"\x{1F3F4}[\x{E0020}-\x{E007E}]+\x{E007F}|"
          + _PICTO + r"(?:\x{200D}" + _PICTO + ")*")
 
 # Word tokens: a letter/digit/underscore followed by at least one more

@@ -20,8 +20,11 @@ LEDGER_KEYS = ["social_media", "scope", "content_id"]
 def keep_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """One row per key: the first in ``order_cols`` (make the order total).
 
-    Output columns keep the input order.
+    An order made of key columns only is the same for all rows of a key and is
+    refused. Output columns keep the input order.
     """
+    if set(order_cols) <= set(keys):
+        raise ValueError(f"{order_cols} cannot tell the rows of {keys} apart: add an arrival column")
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.dropDuplicates(keys)
@@ -62,9 +65,6 @@ def union_keep_first(existing: DataFrame | None, new: DataFrame, key: str | list
     return keep_first(both, keys, ["_batch", *order_cols]).drop("_batch")
 
 
-upsert_first = union_keep_first
-
-
 def skip_seen(df: DataFrame, ledger: DataFrame | None, keys: list[str] | None = None) -> DataFrame:
     """Drop items whose (platform, scope, id) is in the ledger.
 
@@ -77,22 +77,12 @@ def skip_seen(df: DataFrame, ledger: DataFrame | None, keys: list[str] | None =
     keys = keys or LEDGER_KEYS
     if ledger is None:
         return df
-    return df.join(ledger.select(*keys), keys, "left_anti")
+    # null-safe: a null key part matches its recorded copy (still an equi-join)
+    known = ledger.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+    return df.join(known, [df[k].eqNullSafe(known[f"_seen_{k}"]) for k in keys], "left_anti")
 
 
 def ledger_entries(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """K4: the (platform, scope, id) entries a processed frame adds."""
     keys = keys or LEDGER_KEYS
     return df.select(*keys).dropDuplicates(keys)
-
-
-def record_processed(df: DataFrame, ledger_path: str, keys: list[str] | None = None,
-                     existing: DataFrame | None = None) -> None:
-    """K4: append the new entries (only those not yet present) to the ledger.
-
-    Called after the documents are staged; re-running it adds nothing.
-    """
-    entries = ledger_entries(df, keys)
-    if existing is not None:
-        entries = skip_seen(entries, existing, keys)
-    entries.write.mode("append").parquet(ledger_path)

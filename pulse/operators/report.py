@@ -19,7 +19,6 @@ from pulse.schema import LABELS
 PLATFORM = ["social_media"]
 EXTREMES = [LABELS[0], LABELS[-1]]
 MAJORITY_SHARE = 50.0
-INLINE_PHASES_MAX = 64
 
 
 def share(n: Column, total: Column) -> Column:
@@ -55,9 +54,10 @@ def item_series(labelled: DataFrame, order_cols: list[str], by: list[str] = PLAT
 def texts_by_label(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
     """A4 + D8: per label, how many texts and how long their space-joined
     concatenation is - without ever building that string. Groups whose
-    texts are all blank do not appear."""
-    texts = labelled.select(*by, "content_id", "sentiment",
-                            F.explode(item_texts(labelled)).alias("text"))
+    texts are all blank do not appear. ``labelled`` holds items, or one row per
+    text of an item (with a ``text`` column)."""
+    texts = labelled if "text" in labelled.columns else labelled.select(
+        *by, "content_id", "sentiment", F.explode(item_texts(labelled)).alias("text"))
     agg = texts.groupBy(*by, "sentiment").agg(
         F.count_distinct("content_id").alias("n_items"),
         F.count(F.lit(1)).alias("n_texts"),
@@ -156,21 +156,12 @@ def compare_phases(labelled: DataFrame, phases: list[tuple[str, str, str]],
                    by: list[str] = PLATFORM) -> DataFrame:
     """Label shares per event phase side by side, and their change.
 
-    ``phases`` = [(name, start ISO, end ISO)], half-open, non-overlapping
-    intervals (an instant belongs to at most one phase). A short
-    phase list is evaluated as a CASE expression (no join); a long one as a
-    broadcast interval join - its size is the list's length, known here.
+    ``phases`` = [(name, start ISO, end ISO)], half-open intervals; an instant
+    in several belongs to the first one listed. The list is evaluated as one
+    CASE expression, whatever its length.
     """
     names = [p[0] for p in phases]
-    if len(phases) <= INLINE_PHASES_MAX:
-        tagged = labelled.withColumn("phase", phase_of(F.col("publish_date"), phases))
-    else:
-        spark = labelled.sparkSession
-        table = spark.createDataFrame(phases, "phase string, start string, end string") \
-            .select("phase", F.to_timestamp("start").alias("_s"), F.to_timestamp("end").alias("_e"))
-        tagged = labelled.join(F.broadcast(table), (F.col("publish_date") >= F.col("_s"))
-                               & (F.col("publish_date") < F.col("_e")), "left").drop("_s", "_e")
-    tagged = tagged.filter(F.col("phase").isNotNull())
+    tagged = labelled.withColumn("phase", phase_of(F.col("publish_date"), phases)).filter(F.col("phase").isNotNull())
     shares = label_share(tagged, [*by, "phase"])
     wide = shares.groupBy(*by, "sentiment").pivot("phase", names).agg(F.first("share"))
     out = wide

@@ -3,16 +3,14 @@
 Scorers:
 
 * ``LexiconScorer`` - integer word weights summed over the whole text's
-  tokens and bucketed (<=-2 Very Negative ... >=2 Very Positive). A lexicon of
-  checked size is evaluated inside the projection, one hash-set membership
-  test per distinct weight (``CASE WHEN token IN (...) THEN w``), so scoring
-  is row-local: no shuffle, no join, O(1) per token. A lexicon above the
-  inline bound, or with too many distinct weights, is scored by an explode +
-  join + sum.
+  tokens and bucketed (<=-2 Very Negative ... >=2 Very Positive). A dict is
+  evaluated inside the projection, one hash-set membership test per distinct
+  weight (``CASE WHEN token IN (...) THEN w``): row-local, no shuffle, O(1) per
+  token. A lexicon table is joined to the tokens; both give the same scores.
 * ``TrainedScorer`` - ``pyspark.ml`` tokenizer -> hashing TF -> multinomial
   logistic regression; probability vector and argmax label.
 * ``PandasScorer`` - extension point for a caller-supplied model, applied
-  with an Arrow-batched pandas UDF (model loaded once per worker process).
+  with an Arrow-batched pandas UDF (model loaded once per task).
 
 Every labelled frame gets ``sentiment``, ``ordinal`` and ``defaulted`` (True
 when the label was not produced by the scorer - blank text, no answer - and
@@ -21,6 +19,7 @@ Neutral was assigned instead).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Callable
 
 import pandas as pd
@@ -29,30 +28,27 @@ from pyspark.sql import functions as F
 
 from pulse.functions.labels import ordinal_from_score, ordinal_to_label
 from pulse.functions.text import has_text, tokens
-from pulse.operators.threads import thread_text
-from pulse.schema import NEUTRAL_ORDINAL
-
-# Largest lexicon, and most distinct weights, scored inline.
-INLINE_LEXICON_MAX = 200_000
-INLINE_WEIGHTS_MAX = 16
+from pulse.operators.threads import thread_text, thread_texts
+from pulse.schema import NEUTRAL_ORDINAL, THREAD_SEPARATOR
 
 
 class LexiconScorer:
-    """Sum of integer word weights over the text's tokens."""
+    """Sum of integer word weights over the text's tokens, row by row.
+
+    A dict is written into the projection (one hash-set membership test per
+    distinct weight). A DataFrame (``word``, ``weight``; the weights of a word
+    listed twice add up) is joined to the tokens of the distinct texts, which are
+    known by their hash, so rows with equal or null ids are scored each by itself:
+    both forms give the same scores. Nothing is collected.
+    """
 
     def __init__(self, lexicon, max_tokens: int | None = None):
-        if isinstance(lexicon, DataFrame):
-            n = lexicon.count()
-            n_weights = lexicon.select("weight").distinct().count()
-            if n <= INLINE_LEXICON_MAX and n_weights <= INLINE_WEIGHTS_MAX:
-                lexicon = {r["word"]: int(r["weight"]) for r in lexicon.collect()}
         self.lexicon = lexicon
         self.max_tokens = max_tokens
 
     @property
     def inline(self) -> bool:
-        return (isinstance(self.lexicon, dict)
-                and len(set(self.lexicon.values())) <= INLINE_WEIGHTS_MAX)
+        return isinstance(self.lexicon, dict)
 
     def _tokens(self, text: Column) -> Column:
         tok = tokens(text)
@@ -62,8 +58,6 @@ class LexiconScorer:
 
     def _weight_sum_sql(self) -> Column:
         """Sum of the weights of the tokens in column ``_pulse_tokens``."""
-        if not self.inline:
-            raise ValueError("lexicon above the inline bound: use score()")
         by_weight: dict[int, list[str]] = {}
         for word, weight in self.lexicon.items():
             if int(weight) != 0:
@@ -78,36 +72,59 @@ class LexiconScorer:
         branches = " ".join(
             f"WHEN t IN ({', '.join(quote(x) for x in sorted(words))}) THEN {w}"
             for w, words in sorted(by_weight.items()))
-        weight_sum = F.expr(f"aggregate(transform(_pulse_tokens, t -> CASE {branches} ELSE 0 END), "
-                            f"CAST(0 AS BIGINT), (a, x) -> a + x)")
-        return weight_sum
+        return F.expr(f"aggregate(transform(_pulse_tokens, t -> CASE {branches} ELSE 0 END), "
+                      f"CAST(0 AS BIGINT), (a, x) -> a + x)")
 
-    def _with_tokens(self, df: DataFrame, text: Column) -> DataFrame:
-        return df.withColumn("_pulse_tokens", self._tokens(text))
+    def weight_of(self, df: DataFrame, word: str) -> Column:
+        """The weight of one word: a literal, or a scalar subquery."""
+        if self.inline:
+            return F.lit(int(self.lexicon.get(word, 0))).cast("bigint")
+        return (self.lexicon.filter(F.col("word") == word)
+                .select(F.coalesce(F.sum("weight"), F.lit(0)).cast("bigint")).scalar())
 
-    def score(self, df: DataFrame, text_col: str, key: str = "content_id") -> DataFrame:
-        """Adds ``score`` (bigint) to ``df``."""
+    def score(self, df: DataFrame, text_col: str) -> DataFrame:
+        """Adds ``score`` (bigint) to ``df``, one row out per row in."""
         text = F.col(text_col)
         if self.inline:
-            return (self._with_tokens(df, text).withColumn("score", self._weight_sum_sql())
-                    .drop("_pulse_tokens"))
-        lex = self.lexicon
-        if isinstance(lex, dict):
-            lex = df.sparkSession.createDataFrame(list(lex.items()), "word string, weight int")
-        toks = df.select(key, F.explode(self._tokens(text)).alias("_tok"))
-        sums = (toks.join(lex.select(F.col("word").alias("_tok"), "weight"), "_tok")
-                .groupBy(key).agg(F.sum("weight").cast("bigint").alias("score")))
-        return (df.join(sums, key, "left")
-                .withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))))
-
-    def label(self, df: DataFrame, text_col: str, key: str = "content_id") -> DataFrame:
-        scored = self.score(df, text_col, key)
-        blank = ~has_text(F.col(text_col))
+            return (df.withColumn("_pulse_tokens", self._tokens(text))
+                    .withColumn("score", self._weight_sum_sql()).drop("_pulse_tokens"))
+        lex = self.lexicon.groupBy(F.col("word").alias("_tok")).agg(F.sum("weight").cast("bigint").alias("_weight"))
+        # a score depends on the text alone, so texts are told apart by their hash
+        key = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+        texts = df.select(key.alias("_key"), self._tokens(text).alias("_toks")).dropDuplicates(["_key"])
+        sums = (texts.select("_key", F.explode("_toks").alias("_tok")).join(lex, "_tok")
+                .groupBy("_key").agg(F.sum("_weight").alias("_sum")))
+        return (df.withColumn("_key", key).join(sums, "_key", "left")
+                .withColumn("score", F.coalesce("_sum", F.lit(0).cast("bigint"))).drop("_key", "_sum"))
+
+    def label_scored(self, scored: DataFrame, blank: Column) -> DataFrame:
+        """``ordinal, sentiment, defaulted`` from ``score``."""
         ordinal = F.when(blank, F.lit(NEUTRAL_ORDINAL)).otherwise(ordinal_from_score(F.col("score")))
         return (scored.withColumn("ordinal", ordinal.cast("int"))
                 .withColumn("sentiment", ordinal_to_label(F.col("ordinal")))
                 .withColumn("defaulted", blank))
 
+    def label(self, df: DataFrame, text_col: str) -> DataFrame:
+        return self.label_scored(self.score(df, text_col), ~has_text(F.col(text_col)))
+
+
+def score_thread_rows(posts: DataFrame, comments: DataFrame, scorer: LexiconScorer) -> DataFrame:
+    """T1 T3 over flat rows: the labels of ``score_threads`` without nesting.
+
+    Lexicon scores add up over the glued text: the post, every non-blank comment,
+    and the separator's word before each comment. So a thread is one sum by post
+    (pre-aggregated per task), however many comments it has. A scorer with a token
+    limit looks at the glued text itself and needs ``score_threads``.
+    """
+    if scorer.max_tokens is not None:
+        raise ValueError("a token limit needs the glued text: use score_threads()")
+    texts = scorer.score(thread_texts(posts, comments), "text")
+    glue = THREAD_SEPARATOR.strip(" :")
+    sums = texts.groupBy("item_id").agg(F.sum("score").alias("_sum"), F.count_if(~F.col("is_post")).alias("_n"))
+    joined = posts.join(sums, posts["content_id"] == sums["item_id"], "left").drop("item_id")
+    scored = joined.withColumn("score", F.coalesce(F.col("_sum") + F.col("_n") * scorer.weight_of(posts, glue), F.lit(0).cast("bigint")))
+    return scorer.label_scored(scored, F.col("_sum").isNull()).drop("_sum", "_n")
+
 
 class TrainedScorer:
     """Multinomial logistic regression over IDF-weighted hashed word presence.
@@ -176,23 +193,36 @@ class TrainedScorer:
 class PandasScorer:
     """Caller-supplied model: ``fn(pd.Series[str]) -> pd.Series[int ordinal]``.
 
-    Runs as an Arrow-batched pandas UDF; a failure or out-of-range answer
-    becomes Neutral with ``defaulted`` = True, as the original consumer did.
+    Runs as an Arrow-batched pandas UDF. With ``load``, ``fn`` is called as
+    ``fn(model, texts)`` and ``load()`` runs once per task, before its first
+    batch. A text whose scoring fails, or whose answer is out of range, becomes
+    Neutral with ``defaulted`` = True; a failing batch is halved until the failing
+    texts are alone, so they take no others with them.
     """
 
-    def __init__(self, fn: Callable):
+    def __init__(self, fn: Callable, load: Callable | None = None):
         self.fn = fn
+        self.load = load
 
     def label(self, df: DataFrame, text_col: str) -> DataFrame:
-        fn = self.fn
+        fn, load = self.fn, self.load
 
         @F.pandas_udf("int")
-        def _score(texts: pd.Series) -> pd.Series:
-            try:
-                out = pd.Series(fn(texts.fillna("")), index=texts.index)
-            except Exception:  # every model failure -> Neutral (flagged)
-                out = pd.Series([None] * len(texts), index=texts.index)
-            return pd.to_numeric(out, errors="coerce").where(lambda s: s.between(0, 4)).astype("Int32")
+        def _score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            model = load() if load else None
+
+            def answer(texts: pd.Series) -> list:
+                try:
+                    return list(fn(model, texts) if load else fn(texts))
+                except Exception:  # noqa: BLE001 - any model failure: find the texts
+                    if len(texts) == 1:
+                        return [None]
+                    half = len(texts) // 2
+                    return answer(texts.iloc[:half]) + answer(texts.iloc[half:])
+
+            for texts in batches:
+                out = pd.Series(answer(texts.fillna("")) if len(texts) else [], index=texts.index, dtype="object")
+                yield pd.to_numeric(out, errors="coerce").where(lambda s: s.between(0, 4)).astype("Int32")
 
         raw = _score(F.col(text_col))
         blank = ~has_text(F.col(text_col))
@@ -209,10 +239,11 @@ def score_comments(comments: DataFrame, scorer, text_col: str = "comment_raw_tex
 
 
 def score_threads(threads: DataFrame, scorer) -> DataFrame:
-    """One label per assembled thread (T1 over the thread document).
+    """One label per assembled thread document (T1 over its comments).
 
-    Thread documents hold at most the per-post comment limit, so the glued
-    text is bounded; a blank thread is Neutral and flagged ``defaulted``.
+    Works on nested documents, as a stream of staged threads brings them; a blank
+    thread is Neutral and flagged ``defaulted``. ``score_thread_rows`` gives the
+    same labels from flat rows.
     """
     with_text = threads.withColumn("thread_text", thread_text())
     return scorer.label(with_text, "thread_text")

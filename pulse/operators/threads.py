@@ -8,25 +8,25 @@ from pyspark.sql import functions as F
 from pulse.functions.text import has_text
 from pulse.operators.filters import drop_blank_comments
 from pulse.operators.limits import top_comments
-from pulse.schema import (COMMENT_STRUCT, COMMENTS_PER_POST, CONTENT_COLUMNS, REDDIT,
-                          THREAD_SEPARATOR, YOUTUBE)
+from pulse.schema import COMMENT_STRUCT, CONTENT_COLUMNS, REDDIT, THREAD_SEPARATOR, YOUTUBE
+
 
 def _empty_comments() -> Column:
     return F.array().cast(f"array<{COMMENT_STRUCT.simpleString()}>")
 
 
-def nest_threads(posts: DataFrame, comments: DataFrame, limit: int = COMMENTS_PER_POST) -> DataFrame:
-    """Each post with an array of its first ``limit`` comments, in order.
+def nest_threads(posts: DataFrame, comments: DataFrame, limit: int | None = None) -> DataFrame:
+    """Each post with an array of its comments, in listing order.
 
-    A thread document holds a bounded number of comments (the collection limit
-    per post), and the limit is applied with a partial top-n *before* the
-    comments are collected, so a post with millions of comments ships at most
-    ``limit`` rows per map task and its array never exceeds ``limit``.
+    All comments are kept. A collection run passes its ``limit`` (L2), which is
+    applied with a partial top-n *before* the comments are collected. Nesting
+    makes documents; scoring and reports work on flat rows (``score_thread_rows``
+    and ``thread_texts``), so they never gather a post's comments in one array.
     Posts without comments keep an empty array.
     """
-    if limit <= 0:
+    if limit is not None and limit <= 0:
         return posts.withColumn("comments", _empty_comments())
-    head = top_comments(comments, limit)
+    head = comments if limit is None else top_comments(comments, limit)
     entry = F.struct(F.col("position"), F.col("content_id").alias("_id"),
                      F.struct(*CONTENT_COLUMNS).alias("c"))
     nested = (head.groupBy("post_id")
@@ -70,10 +70,14 @@ def item_texts(df: DataFrame) -> Column:
     return F.concat(own, kids)
 
 
-def text_label_pairs(labelled: DataFrame) -> DataFrame:
-    """One row per (item text, item label); texts paired by item."""
-    return labelled.select("social_media", "content_id", "sentiment",
-                           F.posexplode(item_texts(labelled)).alias("text_pos", "text"))
+def thread_texts(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """D8 over flat rows: every non-blank text of a thread with the thread's id
+    (``item_id``, ``is_post``, ``text``), without nesting."""
+    own = posts.select(F.col("content_id").alias("item_id"), F.lit(True).alias("is_post"),
+                       F.col("comment_raw_text").alias("text"))
+    kids = comments.select(F.col("post_id").alias("item_id"), F.lit(False).alias("is_post"),
+                           F.col("comment_raw_text").alias("text"))
+    return own.unionByName(kids).filter(has_text("text"))
 
 
 def route_by_platform(df: DataFrame):

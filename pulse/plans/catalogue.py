@@ -19,9 +19,10 @@ from pulse.operators import filters as FL
 from pulse.operators import limits as L
 from pulse.operators import report as R
 from pulse.operators import terms as TR
-from pulse.operators.threads import thread_text
+from pulse.operators.sentiment import score_thread_rows, score_threads
+from pulse.operators.threads import nest_threads, thread_text, thread_texts
 from pulse.plans import common as CM
-from pulse.schema import COMMENTS_PER_POST, COMMENTS_PER_VIDEO, POSTS_PER_RUN
+from pulse.schema import COMMENTS_PER_POST, COMMENTS_PER_VIDEO, POSTS_PER_RUN, THREAD_SEPARATOR
 from pulse.sources import normalize as N
 from pulse.sources import tables as TB
 
@@ -298,11 +299,29 @@ def comment_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def thread_sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    """Lexicon label per assembled thread."""
+    """Lexicon label per thread, from flat rows; the length of the
+    glued text is the sum of its parts'."""
     CM.prepare(spark)
+    posts, cs = TB.thread_rows(spark, sf)
+    part = F.length("text") + F.when(F.col("is_post"), 0).otherwise(len(THREAD_SEPARATOR))
+    chars = thread_texts(posts, cs).groupBy("item_id").agg(F.sum(part).alias("n_chars"))
     lab = CM.labelled_threads(spark, sf)
-    return lab.select("content_id", "score", "ordinal", "sentiment", "defaulted",
-                      F.length("thread_text").alias("n_chars"))
+    return lab.join(chars, lab["content_id"] == chars["item_id"], "left").select(
+        "content_id", "score", "ordinal", "sentiment", "defaulted",
+        F.coalesce("n_chars", F.lit(0)).cast("int").alias("n_chars"))
+
+
+def big_threads(spark: SparkSession, sf: str) -> DataFrame:
+    """D6 T1 T3 without a cap: every document source is a thread (its first
+    document the post, all others the comments), so threads have hundreds of
+    comments; nested, glued and labelled both ways."""
+    CM.prepare(spark)
+    posts, cs = TB.source_threads(spark, sf)
+    flat = score_thread_rows(posts, cs, CM.scorer()).select("content_id", F.col("score").alias("flat_score"), "sentiment")
+    nested = nest_threads(posts, cs)
+    documents = score_threads(nested, CM.scorer()).select(
+        "content_id", F.size("comments").alias("n_comments"), F.length("thread_text").alias("n_chars"), "score")
+    return documents.join(flat, "content_id")
 
 
 def _lexicon_model(texts):
@@ -392,27 +411,21 @@ def item_series(spark: SparkSession, sf: str) -> DataFrame:
 def texts_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Texts per label, paired by item."""
     CM.prepare(spark)
-    return R.texts_by_label(CM.labelled(spark, sf)).select(
+    return R.texts_by_label(CM.label_texts(spark, sf)).select(
         "social_media", "sentiment", "ordinal", "n_items", "n_texts", "text_chars", "joined_chars")
 
 
-def _label_texts(spark: SparkSession, sf: str) -> DataFrame:
-    from pulse.operators.threads import item_texts
-    lab = CM.labelled(spark, sf)
-    return lab.select("social_media", "sentiment", F.explode(item_texts(lab)).alias("text"))
-
-
 def terms_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Top 200 terms per platform and label, stop-words removed."""
     CM.prepare(spark)
-    return TR.term_frequency(_label_texts(spark, sf), ["social_media", "sentiment"]).select(
+    return TR.term_frequency(CM.label_texts(spark, sf), ["social_media", "sentiment"]).select(
         "social_media", "sentiment", "term", "n", "rank", "weight")
 
 
 def collocations_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Collocations (LLR > 30) per platform and label."""
     CM.prepare(spark)
-    c = TR.collocations(_label_texts(spark, sf), ["social_media", "sentiment"])
+    c = TR.collocations(CM.label_texts(spark, sf), ["social_media", "sentiment"])
     return c.select("social_media", "sentiment", "w1", "w2", "c12", "c1", "c2", "n_words",
                     F.round("llr", 6).alias("llr"))
 
@@ -482,6 +495,7 @@ QUERIES = {
     "upsert_first": upsert_first,
     "nest_threads": nest_threads_q,
     "thread_text": thread_text_q,
+    "big_threads": big_threads,
     "comment_sentiment": comment_sentiment,
     "thread_sentiment": thread_sentiment,
     "trained_sentiment": trained_sentiment,

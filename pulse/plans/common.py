@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.operators.sentiment import LexiconScorer, score_comments, score_threads
-from pulse.operators.threads import nest_threads
+from pulse.functions.text import has_text
+from pulse.operators.sentiment import LexiconScorer, score_comments, score_thread_rows
+from pulse.operators.threads import nest_threads, thread_texts
 from pulse.session import configure
 from pulse.sources import tables as TB
 
@@ -53,16 +54,27 @@ def labelled_comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labelled_threads(spark: SparkSession, sf: str) -> DataFrame:
-    return score_threads(threads(spark, sf), scorer())
+    """Thread labels from flat rows: one sum per post, no nesting."""
+    posts, cs = TB.thread_rows(spark, sf)
+    return score_thread_rows(posts, cs, scorer())
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    """Both platforms' labelled items in one frame (threads keep comments)."""
+    """Both platforms' labelled items in one frame."""
     cols = ["content_id", "social_media", "publish_date", "user_location", "geo_location",
             "topic", "scope", "comment_raw_text", "sentiment", "ordinal", "defaulted"]
-    c = labelled_comments(spark, sf).select(*cols)
-    t = labelled_threads(spark, sf).select(*cols, "comments")
-    return c.unionByName(t, allowMissingColumns=True)
+    return labelled_comments(spark, sf).select(*cols).unionByName(labelled_threads(spark, sf).select(*cols))
+
+
+def label_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text of every item with its item's label, from flat rows."""
+    cols = ["social_media", "content_id", "sentiment", "text"]
+    lab = labelled_comments(spark, sf)
+    own = lab.filter(has_text("comment_raw_text")).withColumn("text", F.col("comment_raw_text")).select(*cols)
+    posts, cs = TB.thread_rows(spark, sf)
+    labels = score_thread_rows(posts, cs, scorer()).select("social_media", "content_id", "sentiment")
+    texts = thread_texts(posts, cs)
+    return own.unionByName(texts.join(labels, texts["item_id"] == labels["content_id"]).select(*cols))
 
 
 def iso(col) -> F.Column:

@@ -87,8 +87,7 @@ ORIGIN = TB.ORIGIN_EPOCH
 THREAD_CTES = f"""
 tp AS (SELECT conv_id, role AS scope, text FROM conversations WHERE turn = 0),
 tc AS (SELECT conv_id, turn, {P6('text')} AS clean FROM conversations WHERE turn > 0
-       AND conv_id IN (SELECT conv_id FROM tp)
-       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 20),
+       AND conv_id IN (SELECT conv_id FROM tp)),
 tca AS (SELECT conv_id, string_agg(' commento:' || clean, '' ORDER BY turn) AS glued,
         list(clean ORDER BY turn) AS texts FROM tc WHERE {HAS('clean')} GROUP BY conv_id),
 threads AS (
@@ -291,6 +290,18 @@ WITH {THREAD_CTES.strip()}
 SELECT content_id, label_text AS thread_text, CAST(length(label_text) AS INTEGER) AS n_chars FROM threads
 """
 
+SQL["big_threads"] = f"""
+WITH r AS (SELECT doc_id, source, {P7('text')} AS clean, min(doc_id) OVER (PARTITION BY source) AS first FROM documents),
+g AS (SELECT first, count(*) - 1 AS k,
+             string_agg(CASE WHEN doc_id = first THEN '' ELSE ' commento:' END || clean, '' ORDER BY doc_id) FILTER (WHERE {HAS('clean')}) AS t
+      FROM r GROUP BY first),
+s AS (SELECT first, k, coalesce(t, '') AS t, {SCORE("coalesce(t, '')")} AS score FROM g)
+SELECT 'yt_comm_' || first AS content_id, CAST(k AS INTEGER) AS n_comments, CAST(length(t) AS INTEGER) AS n_chars,
+       score, score AS flat_score,
+       ({SCALE})[CASE WHEN {HAS('t')} THEN least(greatest(score, -2), 2) + 3 ELSE 3 END] AS sentiment
+FROM s
+"""
+
 SQL["comment_sentiment"] = f"""
 WITH {LABELLED_CTES.strip()}
 SELECT content_id, score, ordinal, sentiment, defaulted,

@@ -127,6 +127,20 @@ def thread_rows(spark: SparkSession, sf_dir: str):
     return posts, comments
 
 
+def source_threads(spark: SparkSession, sf_dir: str):
+    """(posts, comments) with large threads: the documents of a source, the one
+    with the smallest id as the post and the others as its comments."""
+    rows = comment_rows(spark, sf_dir)
+    ids = F.regexp_extract("content_id", r"(\d+)$", 1).cast("bigint")
+    rows = rows.withColumn("position", ids)
+    first = rows.groupBy(F.col("scope").alias("_scope")).agg(F.min("position").alias("_first"))
+    rows = rows.join(first, rows["scope"] == first["_scope"])
+    is_post = F.col("position") == F.col("_first")
+    posts = rows.filter(is_post).drop("_scope", "_first", "position")
+    comments = rows.filter(~is_post).withColumn("post_id", F.concat(F.lit("yt_comm_"), F.col("_first").cast("string")))
+    return posts, comments.drop("_scope", "_first")
+
+
 # --------------------------------------------------------------- comments
 def _comment_item():
     published = F.date_format(

@@ -28,11 +28,11 @@ FILES_PER_TRIGGER = DISCOVERY_PAGE
 
 
 def _land_threads(spark: SparkSession, sf: str, path: str) -> None:
-    stage_documents(CM.threads(spark, sf).repartition(8, "content_id"), path)
+    stage_documents(CM.threads(spark, sf), path)
 
 
 def _land_comments(spark: SparkSession, sf: str, path: str) -> None:
-    stage_documents(CM.comments(spark, sf).repartition(8, "content_id"), path)
+    stage_documents(CM.comments(spark, sf), path)
 
 
 def _label_threads(docs: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ FROM tp
 WITH p AS (SELECT conv_id, count(*) FILTER (WHERE turn > 0) AS k FROM conversations GROUP BY conv_id
            HAVING count(*) FILTER (WHERE turn = 0) > 0)
 SELECT 'reddit_post_' || conv_id AS content_id, 'Reddit' AS social_media,
-       CAST(least(k, 20) AS INTEGER) AS n_comments, 'ok' AS status FROM p
+       CAST(k AS INTEGER) AS n_comments, 'ok' AS status FROM p
 UNION ALL
 SELECT 'yt_comm_' || doc_id, 'YouTube', 0, 'ok' FROM documents
 UNION ALL

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.text import has_text
-from pulse.schema import CORRUPT_COLUMN, PLATFORMS
+from pulse.schema import CORRUPT_COLUMN, DEFAULT_CONTENT_ID, PLATFORMS
 
 log = logging.getLogger(__name__)
 
 # Quarantine reasons, in the order they are tested.
 MALFORMED = "malformed"
 EMPTY = "empty"
+MISSING_ID = "missing_id"
 UNKNOWN_PLATFORM = "unknown_platform"
 BAD_TIME = "bad_time"
 BLANK_TEXT = "blank_text"
@@ -66,6 +67,7 @@ def quarantine_reason(df: DataFrame) -> Column:
     """one reason per rejected document (null = accepted).
 
     malformed: the line was not JSON; empty: a document with no field set;
+    missing_id: no content id, so it could not be told from others;
     unknown_platform; bad_time: no parseable publish instant; blank_text: no
     text to label (for threads: neither post nor any comment has text).
     """
@@ -81,9 +83,13 @@ def quarantine_reason(df: DataFrame) -> Column:
         blank = thread_is_blank(F.col("comment_raw_text"), F.coalesce("comments", F.array()))
     else:
         blank = ~has_text(F.col("comment_raw_text"))
+    no_id = F.lit(False)
+    if "content_id" in df.columns:
+        no_id = F.col("content_id").isNull() | (F.col("content_id") == DEFAULT_CONTENT_ID)
     time_missing = F.col("publish_date").isNull() if "publish_date" in df.columns else F.lit(False)
     return (F.when(corrupt, F.lit(MALFORMED))
             .when(empty, F.lit(EMPTY))
+            .when(no_id, F.lit(MISSING_ID))
             .when(~F.coalesce(known_platform(), F.lit(False)), F.lit(UNKNOWN_PLATFORM))
             .when(time_missing, F.lit(BAD_TIME))
             .when(blank, F.lit(BLANK_TEXT)))

@@ -42,8 +42,8 @@ def top_videos(items: DataFrame, n: int = VIDEOS_PER_RUN, rank_col: str | None =
 
 def top_video_comments(comments: DataFrame, n: int = COMMENTS_PER_VIDEO,
                        order_cols: list | None = None, rank_col: str | None = None) -> DataFrame:
-    """L4: first n comments per video."""
-    return top_n(comments, ["scope"], order_cols or ["publish_date", "content_id"], n, rank_col)
+    """L4: first n comments per video, in listing order (position in the page)."""
+    return top_n(comments, ["scope"], order_cols or ["position", "content_id"], n, rank_col)
 
 
 def limit_then_skip_seen(df: DataFrame, n: int, ledger: DataFrame | None,

@@ -173,23 +173,22 @@ def top_items_per_scope(spark: SparkSession, sf: str) -> DataFrame:
     tp = L.top_posts(posts, POSTS_PER_RUN, "rank_in_scope").select(
         F.lit("post").alias("kind"), "scope", F.concat(F.lit("reddit_post_"), F.col("id")).alias("item"),
         "rank_in_scope")
-    videos = (TB.table(spark, sf, "documents").groupBy("lang", "source")
-              .agg(F.min("doc_id").alias("rank"))
-              .select(F.col("lang").alias("topic"), F.col("source").alias("scope"), "rank"))
-    tv = L.top_videos(videos, 3, "rank_in_scope").select(
+    tv = L.top_videos(TB.search_hits(spark, sf), 3, "rank_in_scope").select(
         F.lit("video").alias("kind"), F.col("topic").alias("scope"), F.col("scope").alias("item"),
         "rank_in_scope")
     return tp.unionByName(tv)
 
 
 def top_comments_per_thread(spark: SparkSession, sf: str) -> DataFrame:
-    """L2 L4: first comments per post (20) and per video (25)."""
+    """L2 L4: first comments per post (20) and, in listing order (page, place in
+    the page, which is not the order of times), per video (25)."""
     CM.prepare(spark)
     _posts, comments = TB.thread_rows(spark, sf)
     a = L.top_comments(comments, COMMENTS_PER_POST, "pos").select(
         F.col("post_id").alias("parent"), "content_id", "pos")
-    vids = CM.comments(spark, sf)
-    b = L.top_video_comments(vids, COMMENTS_PER_VIDEO, rank_col="pos").select(
+    pages = TB.listed_comment_pages(spark, sf)
+    vids = N.normalize_comment_pages(pages, "payload", TB.OBSERVED_AT, keep=["page"])
+    b = L.top_video_comments(vids, COMMENTS_PER_VIDEO, ["page", "position", "content_id"], "pos").select(
         F.col("scope").alias("parent"), "content_id", "pos")
     return a.unionByName(b)
 
@@ -240,28 +239,31 @@ def dedup_first(spark: SparkSession, sf: str) -> DataFrame:
                         n_without_key.alias("rows_without_key"))
 
 
+# Texts that a CSV file can easily change.
+CSV_NOTES = [" a ", " ", "", 'q"u,o', "two\nlines", None, "\\N x", "\ttab"]
+
+
 def upsert_first(spark: SparkSession, sf: str) -> DataFrame:
-    """Store the first batch as a topic CSV, merge the second batch
-    keep-first into a new version, read it back."""
+    """A Parquet dataset grows by the new keys of each batch (the
+    second batch holds earlier times, and what is stored stays), is exported as a
+    topic CSV and read back without loss."""
     from pulse.session import scratch_path
     from pulse.sinks.files import write_topic
     from pulse.sources.files import read_topic_csv
+    from pulse.streaming.jobs import append_new
     CM.prepare(spark)
     obs = TB.observations(spark, sf).select(
         "content_id", "scope", "social_media", "arrival_ts", "event_id", "value")
+    obs = obs.withColumn("note", F.element_at(F.array(*[F.lit(x) for x in CSV_NOTES]), (F.pmod("event_id", F.lit(len(CSV_NOTES))) + 1).cast("int")))
     cut = F.to_timestamp(F.lit(CM.CUTOFF))
-    v1, v2 = scratch_path(spark, "topic_v1"), scratch_path(spark, "topic_v2")
-    first_batch = D.dedup_first(obs.filter(F.col("arrival_ts") < cut), "content_id",
-                                ["arrival_ts", "event_id"])
-    write_topic(first_batch, v1)
-    schema = first_batch.schema
-    stored = read_topic_csv(spark, v1, schema)
-    merged = D.union_keep_first(stored, obs.filter(F.col("arrival_ts") >= cut), "content_id",
-                                ["arrival_ts", "event_id"])
-    write_topic(merged, v2)
-    back = read_topic_csv(spark, v2, schema)
-    missing = read_topic_csv(spark, v2 + "_absent", schema)
-    return back.select("content_id", "scope", iso("arrival_ts").alias("first_seen"), "event_id",
+    dataset, export = scratch_path(spark, "topic"), scratch_path(spark, "topic_csv")
+    for batch in (obs.filter(F.col("arrival_ts") >= cut), obs.filter(F.col("arrival_ts") < cut)):
+        append_new(batch, dataset, ["content_id"], ["arrival_ts", "event_id"])
+    stored = spark.read.parquet(dataset)
+    write_topic(stored, export)
+    back = read_topic_csv(spark, export, stored.schema)
+    missing = read_topic_csv(spark, export + "_absent", stored.schema)
+    return back.select("content_id", "scope", iso("arrival_ts").alias("first_seen"), "event_id", "note",
                        missing.select(F.count(F.lit(1))).scalar().alias("rows_in_missing"))
 
 

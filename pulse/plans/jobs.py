@@ -2,9 +2,10 @@
 labelling of staged documents, and the report over the labelled store.
 
 These are the batch counterparts of the streaming jobs; every step is a
-DataFrame transformation and every write is idempotent (seen-check before
-staging, keyed appends, new dataset versions), so re-running a cycle on the
-same input adds nothing.
+DataFrame transformation. A cycle skips what the ledger has before it stages,
+appends by key and writes new dataset versions, so re-running it on the same
+input adds nothing; documents that fail the quarantine are written with their
+reason.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ from pulse.operators import dedup as D
 from pulse.operators import filters as FL
 from pulse.operators import limits as L
 from pulse.operators.threads import nest_threads
-from pulse.schema import (COMMENTS_PER_POST, COMMENTS_PER_VIDEO, POSTS_PER_RUN, REDDIT,
+from pulse.schema import (COMMENTS_PER_POST, COMMENTS_PER_VIDEO, CORRUPT_COLUMN, POSTS_PER_RUN, REDDIT,
                           VIDEOS_PER_RUN, YOUTUBE)
 from pulse.sinks.files import stage_documents, write_topic
 from pulse.sources import normalize as N
 from pulse.sources.files import read_comments, read_threads, read_topic_csv
-from pulse.streaming.jobs import append_new, final_report, read_or_none
+from pulse.streaming.jobs import append_new, append_rejects, final_report, read_or_none
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
@@ -32,7 +33,7 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
 def collect_threads(spark: SparkSession, raw_posts: DataFrame, raw_comments: DataFrame,
                     ledger_path: str, staging_path: str, topic_in: str | None, topic_out: str,
                     post_limit: int = POSTS_PER_RUN, comment_limit: int = COMMENTS_PER_POST,
-                    observed_at: str | None = None) -> DataFrame:
+                    observed_at: str | None = None, rejects: str | None = None) -> DataFrame:
     """One thread-collection cycle over landed payloads.
 
     L1 first posts per community -> D1 skip posts already seen in that
@@ -43,6 +44,10 @@ def collect_threads(spark: SparkSession, raw_posts: DataFrame, raw_comments: Dat
     """
     posts = L.top_posts(raw_posts.withColumn("scope", F.col("subreddit")), post_limit).drop("scope")
     content = N.normalize_posts(posts, observed_at)
+    no_id = F.col("content_id").isNull()
+    if rejects:
+        append_rejects(content.filter(no_id).withColumn("reason", F.lit(FL.MISSING_ID)), rejects)
+    content = content.filter(~no_id)
     fresh = D.skip_seen(content, _ledger(spark, ledger_path))
     comments = N.normalize_comments(N.top_level_only(raw_comments), posts, observed_at)
     comments = comments.join(fresh.select(F.col("content_id").alias("post_id")), "post_id", "left_semi")
@@ -57,18 +62,26 @@ def collect_threads(spark: SparkSession, raw_posts: DataFrame, raw_comments: Dat
 def collect_comments(spark: SparkSession, pages: DataFrame, ledger_path: str, staging_path: str,
                      topic_in: str | None, topic_out: str, video_limit: int = VIDEOS_PER_RUN,
                      comment_limit: int = COMMENTS_PER_VIDEO, observed_at: str | None = None,
-                     payload_col: str = "payload") -> DataFrame:
+                     payload_col: str = "payload", hits: DataFrame | None = None,
+                     page_col: str | None = None, rejects: str | None = None) -> DataFrame:
     """One comment-collection cycle over landed comment pages.
 
-    S4 normalise -> L3 first videos per topic (by first comment time) -> L4
-    first comments per video -> D1 skip comments seen for that video -> K2
-    stage -> K4 record -> K1 merge into the topic dataset.
+    S4 normalise -> F7 quarantine -> L3 first videos per topic (``hits``: topic,
+    scope, rank of the search) -> L4 first comments per video in listing order
+    (``page_col`` numbers the pages, then the position in the page) -> D1 skip
+    comments seen for that video -> K2 stage -> K4 record -> K1 merge into the
+    topic dataset. Without ``hits`` all videos of the pages are taken.
     """
-    rows = N.normalize_comment_pages(pages, payload_col, observed_at)
-    ok, _rejected = FL.quarantine(rows)
-    videos = ok.groupBy("topic", "scope").agg(F.min("publish_date").alias("rank"))
-    picked = L.top_videos(videos, video_limit).select("topic", "scope")
-    head = L.top_video_comments(ok.join(picked, ["topic", "scope"], "left_semi"), comment_limit)
+    keep = [page_col] if page_col else []
+    rows = N.normalize_comment_pages(pages, payload_col, observed_at, keep=keep)
+    ok, rejected = FL.quarantine(rows)
+    if rejects:
+        append_rejects(rejected, rejects)
+    if hits is not None:
+        picked = L.top_videos(hits, video_limit).select("topic", "scope")
+        ok = ok.join(picked, ["topic", "scope"], "left_semi")
+    head = L.top_video_comments(ok, comment_limit, [*keep, "position", "content_id"])
+    head = head.select(*N.ALL_COLUMNS)
     fresh = D.skip_seen(head, _ledger(spark, ledger_path))
     stage_documents(fresh, staging_path)
     append_new(D.ledger_entries(fresh), ledger_path, D.LEDGER_KEYS)
@@ -80,29 +93,27 @@ def _merge_topic(spark: SparkSession, new: DataFrame, topic_in: str | None, topi
     from pulse.sinks.files import to_csv_columns
     new_csv = to_csv_columns(new)
     existing = read_topic_csv(spark, topic_in, new_csv.schema) if topic_in else None
-    merged = D.union_keep_first(existing, new_csv, "content_id", ["observation_time", "content_id"])
+    merged = D.union_keep_first(existing, new_csv, "content_id", ["observation_time", "publish_date", "scope"])
     write_topic(merged, topic_out)
 
 
 def label_staged(spark: SparkSession, threads_path: str | None, comments_path: str | None,
-                 store: str, label_threads, label_comments) -> None:
-    """Batch W2: quarantine staged documents, label each platform with its
-    own rule (D7), append new keys to the labelled store (K3)."""
+                 store: str, label_threads, label_comments, rejects: str | None = None) -> None:
+    """Batch W2: quarantine staged documents, label each platform with its own
+    rule (D7), append the whole documents whose key is new (K3). Rejected
+    documents go to ``rejects`` (``<store>_rejects`` by default)."""
+    rejects = rejects or f"{store.rstrip('/')}_rejects"
     parts = []
-    if threads_path:
-        t = with_defaults(read_threads(spark, threads_path), thread=True)
-        ok, _ = FL.quarantine(t)
-        parts.append(label_threads(ok.filter(F.col("social_media") == REDDIT)))
-    if comments_path:
-        c = with_defaults(read_comments(spark, comments_path))
-        ok, _ = FL.quarantine(c)
-        parts.append(label_comments(ok.filter(F.col("social_media") == YOUTUBE)))
-    cols = ["content_id", "social_media", "publish_date", "topic", "scope", "comment_raw_text",
-            "sentiment", "ordinal", "defaulted"]
-    labelled = parts[0].select(*cols)
+    for path, reader, platform, label, thread in ((threads_path, read_threads, REDDIT, label_threads, True),
+                                                  (comments_path, read_comments, YOUTUBE, label_comments, False)):
+        if path:
+            ok, rejected = FL.quarantine(reader(spark, path))
+            append_rejects(rejected, rejects)
+            parts.append(label(with_defaults(ok, thread=thread).filter(F.col("social_media") == platform)))
+    labelled = parts[0]
     for p in parts[1:]:
-        labelled = labelled.unionByName(p.select(*cols))
-    append_new(labelled.withColumn("labelled_at", F.current_timestamp()), store, ["content_id"])
+        labelled = labelled.unionByName(p, allowMissingColumns=True)
+    append_new(labelled.drop(CORRUPT_COLUMN).withColumn("labelled_at", F.current_timestamp()), store, ["content_id"])
 
 
 def report(spark: SparkSession, store: str, out: str | None = None) -> dict[str, DataFrame]:

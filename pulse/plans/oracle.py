@@ -223,7 +223,7 @@ FROM conversations c JOIN p USING (conv_id) WHERE c.turn = 1
 
 SQL["top_items_per_scope"] = f"""
 WITH p AS (SELECT conv_id, role FROM conversations WHERE turn = 0),
-v AS (SELECT lang, source, min(doc_id) AS r FROM documents GROUP BY lang, source)
+v AS (SELECT lang, source, -sum(n_chars) AS r FROM documents GROUP BY lang, source)
 SELECT 'post' AS kind, role AS scope, 'reddit_post_' || conv_id AS item,
        CAST(row_number() OVER (PARTITION BY role ORDER BY conv_id) AS INTEGER) AS rank_in_scope
 FROM p QUALIFY rank_in_scope <= 10
@@ -238,8 +238,8 @@ SELECT 'reddit_post_' || conv_id AS parent, 'reddit_comm_' || conv_id || '_' ||
 FROM conversations WHERE turn > 0 AND conv_id IN (SELECT conv_id FROM conversations WHERE turn = 0)
 QUALIFY pos <= 20
 UNION ALL
-SELECT source, 'yt_comm_' || doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS pos
-FROM documents QUALIFY pos <= 25
+SELECT source, 'yt_comm_' || doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id // 25, place, 'yt_comm_' || doc_id) AS INTEGER) AS pos
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, doc_id // 25 ORDER BY n_chars DESC, doc_id) AS place FROM documents) QUALIFY pos <= 25
 """
 
 _CUT = f"TIMESTAMP {q(CM.CUTOFF.replace('T', ' '))}"
@@ -268,10 +268,11 @@ SELECT event_type AS scope, 'item_' || user_id AS content_id, event_id, value,
 FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) = 1
 """
 
+_NOTES = "[" + ", ".join("NULL" if n is None else q(n) for n in CAT.CSV_NOTES) + "]"
 SQL["upsert_first"] = f"""
 SELECT 'item_' || user_id AS content_id, event_type AS scope, {ISO('ts')} AS first_seen, event_id,
-       0::BIGINT AS rows_in_missing
-FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+       0::BIGINT AS rows_in_missing, ({_NOTES})[event_id % {len(CAT.CSV_NOTES)} + 1] AS note
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts < {_CUT}, ts, event_id) = 1
 """
 
 SQL["nest_threads"] = f"""

@@ -42,24 +42,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def stage_documents(df: DataFrame, path: str) -> None:
     """K2: one JSON document per thread / comment, appended to the landing
-    folder. Re-staging the same id is harmless: readers keep the first."""
+    folder. The labelling jobs keep one document per id, so staging an id again
+    (e.g. after a crash between staging and the ledger) changes no result."""
     df.write.mode("append").json(path)
 
 
-def store_labelled(batch: DataFrame, path: str, key: str = "content_id",
-                   existing: DataFrame | None = None) -> None:
-    """K3: append labelled documents not yet in the store (idempotent).
-
-    Duplicates inside the batch are dropped, and keys already stored are
-    removed with a left-anti join on the key column only (Parquet column
-    pruning keeps that read narrow), so a replayed batch adds nothing.
-    """
-    fresh = batch.dropDuplicates([key])
-    if existing is not None:
-        fresh = fresh.join(existing.select(key), key, "left_anti")
-    fresh.write.mode("append").parquet(path)
-
-
 def write_report(tables: dict[str, DataFrame], path: str, partition_by: str = "social_media") -> None:
     """K6: report tables as Parquet, one folder per table, per platform."""
     for name, table in tables.items():

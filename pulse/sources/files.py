@@ -12,6 +12,10 @@ CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
     "escape": '"',
+    # text comes back as it went in: no trimming, null and "" told apart
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]xxx",
     "mode": "PERMISSIVE",
 }
@@ -21,6 +25,11 @@ JSON_OPTIONS = {
 }
 
 
+def no_data(error: AnalysisException) -> bool:
+    """True if a read failed because there is nothing at the path (yet)."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _json(spark: SparkSession, path: str, schema: T.StructType, streaming: bool,
           max_files_per_trigger: int | None, clean_source: str | None = None,
           archive_dir: str | None = None) -> DataFrame:
@@ -55,11 +64,13 @@ def read_comments(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def read_topic_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """An accumulated topic dataset; missing, empty or unreadable -> empty.
+    """An accumulated topic dataset; missing or empty -> empty.
 
     ``schema`` is the CSV-side schema (arrays are stored joined, see P9).
     """
     try:
         return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not no_data(e):
+            raise
         return spark.createDataFrame([], schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pulse.functions import content as C
 from pulse.functions import text as X
 from pulse.functions import time as TM
-from pulse.schema import (COMMENT, COMMENTS_PER_POST, CONTENT, CONTENT_COLUMNS, POST,
+from pulse.schema import (COMMENT, COMMENTS_PER_POST, CONTENT, CONTENT_COLUMNS, CORRUPT_COLUMN, POST,
                           RAW_COMMENT_PAGE, RAW_THREAD, REDDIT, REDDIT_COMMENT_PREFIX,
                           REDDIT_POST_PREFIX, YOUTUBE, YOUTUBE_COMMENT_PREFIX)
 
@@ -125,30 +125,40 @@ def _comment_content(c: Column, url: Column, observed: Column) -> Column:
 
 
 def normalize_thread_payload(payloads: DataFrame, payload_col: str = "payload",
-                             comment_limit: int = COMMENTS_PER_POST, observed_at=None) -> DataFrame:
+                             comment_limit: int = COMMENTS_PER_POST, observed_at=None,
+                             keep: list[str] | None = None) -> DataFrame:
     """S3 + F8 + L2 + D6 for one landed scrape per row (RAW_THREAD as JSON
     text or struct) -> THREAD documents, row-locally: top-level comments in
     listing order, the first ``comment_limit`` kept, nested under the post.
-    No shuffle, so it runs unchanged inside a streaming query."""
+    No shuffle, so it runs unchanged inside a streaming query. A payload without
+    a post becomes a row with only ``_corrupt_record`` set (F7); ``keep`` lists
+    input columns (e.g. the arrival) carried through."""
     col = F.col(payload_col)
     if dict(payloads.dtypes)[payload_col] == "string":
         col = F.from_json(col, RAW_THREAD)
-    flat = payloads.select(col.getField("post").alias("_p"), col.getField("comments").alias("_raw"))
-    flat = flat.select("_p.*", "_raw")
+    text = F.col(payload_col).cast("string") if dict(payloads.dtypes)[payload_col] == "string" else F.to_json(F.col(payload_col))
+    flat = payloads.select(col.alias("_t"), F.coalesce(text, F.lit("")).alias("_text"), *(keep or []))
+    flat = flat.select("_t.post.*", F.col("_t.comments").alias("_raw"),
+                       F.when(F.col("_t.post.id").isNull(), F.col("_text")).alias(CORRUPT_COLUMN), *(keep or []))
     observed = _observed(observed_at)
     top = F.filter(F.coalesce("_raw", F.array().cast(f"array<{RAW_THREAD['comments'].dataType.elementType.simpleString()}>")),
                    lambda c: c.getField("parent_id") == c.getField("post_id"))
     ordered = F.array_sort(top, lambda a, b: F.when(a.getField("position") < b.getField("position"), -1)
                            .when(a.getField("position") > b.getField("position"), 1).otherwise(0))
     head = F.slice(ordered, 1, max(comment_limit, 0))
-    posts = normalize_posts(flat.withColumn("_head", head), observed, keep=["_head"])
-    return posts.withColumn("comments", F.transform(
+    posts = normalize_posts(flat.withColumn("_head", head), observed, keep=["_head", CORRUPT_COLUMN, *(keep or [])])
+    # a payload that is no scrape keeps its text and nothing else
+    data = [c for c in posts.columns if c not in ("_head", CORRUPT_COLUMN, *(keep or []))]
+    posts = posts.select("_head", CORRUPT_COLUMN, *(keep or []),
+                         *[F.when(F.col(CORRUPT_COLUMN).isNull(), F.col(c)).alias(c) for c in data])
+    out = posts.withColumn("comments", F.transform(
         "_head", lambda c: _comment_content(c, F.col("reference_post_url"), observed))).drop("_head")
+    return out.select(*data, "comments", *(keep or []), CORRUPT_COLUMN)
 
 
-def normalize_comment_items(items: DataFrame, observed_at=None) -> DataFrame:
+def normalize_comment_items(items: DataFrame, observed_at=None, keep: list[str] | None = None) -> DataFrame:
     """S4 core: one row per comment item (columns ``query``, ``videoId``,
-    ``item``) -> CONTENT. Emoji come from the *cleaned* text. An unparseable
+    ``item``, and those of ``keep``) -> CONTENT. Emoji come from the *cleaned* text. An unparseable
     ``publishedAt`` yields a null ``publish_date`` (quarantined as bad_time)."""
     const = C.constant_columns(YOUTUBE, COMMENT)
     top = F.col("item.snippet.topLevelComment")
@@ -173,27 +183,35 @@ def normalize_comment_items(items: DataFrame, observed_at=None) -> DataFrame:
         const["content_type"].alias("content_type"),
         F.col("query").alias("topic"),
         F.col("videoId").alias("scope"),
+        *(keep or []),
     )
 
 
 def normalize_comment_pages(pages: DataFrame, payload_col: str = "payload",
-                            observed_at=None) -> DataFrame:
-    """Raw JSON comment-thread pages -> CONTENT rows.
+                            observed_at=None, keep: list[str] | None = None) -> DataFrame:
+    """Raw JSON comment-thread pages -> CONTENT rows with ``position`` (the
+    place of the item in its page's listing) and ``_corrupt_record``.
 
     ``payload_col`` holds one page as JSON text (or already as a struct).
     Parsing is ``from_json`` with the declared page schema; items are exploded
-    row-locally, so the work is split exactly like the input files.
+    row-locally, so the work is split exactly like the input files. A payload
+    that is no page becomes one row with only ``_corrupt_record`` set, which the
+    quarantine (F7) routes aside; a page without items gives no rows. ``keep``
+    lists input columns (e.g. the arrival of the page) carried through.
     """
-    col = F.col(payload_col)
-    if dict(pages.dtypes)[payload_col] == "string":
-        col = F.from_json(col, RAW_COMMENT_PAGE)
-    parsed = pages.select(col.alias("_page"))
-    items = parsed.select(
-        F.col("_page.query").alias("query"),
-        F.col("_page.videoId").alias("videoId"),
-        F.explode("_page.items").alias("item"),
-    )
-    return normalize_comment_items(items, observed_at)
+    kind = dict(pages.dtypes)[payload_col]
+    col = F.from_json(F.col(payload_col), RAW_COMMENT_PAGE) if kind == "string" else F.col(payload_col)
+    text = F.col(payload_col) if kind == "string" else F.to_json(F.col(payload_col))
+    extra = ["position", CORRUPT_COLUMN, *(keep or [])]
+    parsed = pages.select(col.alias("_page"), F.coalesce(text, F.lit("")).alias("_text"), *(keep or []))
+    broken = F.col("_page.query").isNull() & F.col("_page.videoId").isNull() & F.col("_page.items").isNull()
+    rows = parsed.select(
+        F.col("_page.query").alias("query"), F.col("_page.videoId").alias("videoId"),
+        F.when(broken, F.col("_text")).alias(CORRUPT_COLUMN), *(keep or []),
+        F.posexplode_outer("_page.items").alias("position", "item"))
+    rows = rows.filter(F.col("position").isNotNull() | F.col(CORRUPT_COLUMN).isNotNull())
+    out = normalize_comment_items(rows, observed_at, keep=extra)
+    return out.select(*[(c if c in extra else F.when(F.col(CORRUPT_COLUMN).isNull(), F.col(c)).alias(c)) for c in out.columns])
 
 
 __all__ = [

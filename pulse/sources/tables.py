@@ -174,14 +174,48 @@ def comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Items are grouped per (query, video, id block); the group size is bounded
     by the page size, so no group can grow with the data.
     """
-    items = comment_items(spark, sf_dir)
+    return _paged(comment_items(spark, sf_dir), ["doc_id"]).select("payload")
+
+
+def _paged(items: DataFrame, order: list[str]) -> DataFrame:
+    """``page, payload``: comment items of a (query, video, id block) as one page
+    of JSON text, listed in ``order``."""
     page = F.floor(F.col("doc_id") / PAGE_SIZE)
     grouped = (items.groupBy("query", "videoId", page.alias("page"))
-               .agg(F.array_sort(F.collect_list(F.struct("doc_id", "item"))).alias("_items")))
+               .agg(F.array_sort(F.collect_list(F.struct(*order, "item"))).alias("_items")))
     payload = F.to_json(F.struct(
         F.col("query"), F.col("videoId"),
         F.transform("_items", lambda x: x.getField("item")).alias("items")))
-    return grouped.select(payload.alias("payload"))
+    return grouped.select("page", payload.alias("payload"))
+
+
+def faulty_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page, payload``: the landed pages with faults derived from the comments'
+    own lengths (no id, no time), and one page that is no JSON."""
+    items = comment_items(spark, sf_dir)
+    n = F.col("item.snippet.topLevelComment.snippet.likeCount")
+    top = F.col("item.snippet.topLevelComment")
+    snip = top.getField("snippet").withField("publishedAt", F.when(n % 13 != 0, top.getField("snippet").getField("publishedAt")))
+    top = top.withField("id", F.when(n % 11 != 0, top.getField("id"))).withField("snippet", snip)
+    items = items.withColumn("item", F.col("item").withField("snippet", F.col("item.snippet").withField("topLevelComment", top)))
+    pages = _paged(items, ["doc_id"]).select("page", "payload")
+    broken = spark.range(1).select(F.lit(-1).cast("bigint").alias("page"), F.lit('{"query": "x", "items": [').alias("payload"))
+    return pages.unionByName(broken)
+
+
+def listed_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page, payload`` with the items of a page listed longest first, which is
+    not the order of their times."""
+    items = comment_items(spark, sf_dir)
+    longest = (-F.col("item.snippet.topLevelComment.snippet.likeCount")).alias("longest")
+    return _paged(items.select("*", longest), ["longest", "doc_id"]).select("page", "payload")
+
+
+def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``topic, scope, rank``: videos as a search lists them (most text first)."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy(F.col("lang").alias("topic"), F.col("source").alias("scope")).agg(
+        (-F.sum("n_chars")).alias("rank"))
 
 
 def comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.functions.content import with_defaults
+from pulse.functions.content import user_or_none, with_defaults
 from pulse.operators import filters as FL
 from pulse.operators import report as R
 from pulse.operators.sentiment import score_comments, score_threads
@@ -25,6 +25,8 @@ from pulse.sources.files import read_comments, read_threads
 from pulse.streaming import jobs as J
 
 FILES_PER_TRIGGER = DISCOVERY_PAGE
+# Landing waves (and micro-batches) of the arrival-order query.
+CHUNKS = 5
 
 
 def _land_threads(spark: SparkSession, sf: str, path: str) -> None:
@@ -43,22 +45,32 @@ def _label_comments(docs: DataFrame) -> DataFrame:
     return score_comments(with_defaults(docs), CM.scorer())
 
 
-def stream_ingest(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """Landed sightings streamed into a keyed store."""
+def _land_in_order(rows: DataFrame, path: str, chunk: str) -> int:
+    """Write JSON wave after wave, so that files arrive in the order of ``chunk``
+    (which is not the order of their times); returns the files of a wave."""
+    n_files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for k in range(CHUNKS):
+        rows.filter(F.col(chunk) == k).repartition(n_files).write.mode("append").json(path)
+    return n_files
+
+
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed sightings streamed into a keyed store, in several
+    micro-batches; later files hold earlier times, and the sighting that arrived
+    first is the one that is kept."""
     CM.prepare(spark)
     base = scratch_path(spark, "stream_ingest")
-    obs = TB.observations(spark, sf)
-    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    obs.repartitionByRange(n_files, "arrival_ts", "event_id").write.json(f"{base}/landing")
+    obs = TB.observations(spark, sf).withColumn("chunk", F.pmod("event_id", F.lit(CHUNKS)))
+    files_per_trigger = _land_in_order(obs, f"{base}/landing", "chunk")
     for run in ("first", "replay"):
         src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", files_per_trigger)
                .json(f"{base}/landing"))
         J.ingest_stream(src, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}",
-                        ["arrival_ts", "event_id"])
+                        ["chunk", "arrival_ts", "event_id"])
     store = spark.read.parquet(f"{base}/store")
     ledger = spark.read.parquet(f"{base}/ledger")
     n_ledger = ledger.select(F.count(F.lit(1))).scalar()
-    return store.select("social_media", "scope", "content_id", n_ledger.alias("ledger_rows"))
+    return store.select("social_media", "scope", "content_id", "event_id", n_ledger.alias("ledger_rows"))
 
 
 def stream_ingest_stateful(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
@@ -78,24 +90,25 @@ def stream_ingest_stateful(spark: SparkSession, sf: str, files_per_trigger: int
 
 def stream_collect_comments(spark: SparkSession, sf: str,
                             files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """Raw comment pages landed as JSON lines are parsed
-    and normalised inside the stream, then ingested keep-first against the
-    ledger into the store; replayed once from a fresh checkpoint."""
+    """Raw comment pages landed as JSON lines, one broken
+    page and comments without id or time among them, are parsed and normalised
+    inside the stream; rejects go aside with their reason, the others are ingested
+    keep-first by (page, position); replayed once from a fresh checkpoint."""
     from pulse.sources.normalize import normalize_comment_pages
     CM.prepare(spark)
     base = scratch_path(spark, "stream_collect")
-    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    TB.comment_pages(spark, sf).repartition(n_files).write.text(f"{base}/landing")
+    TB.faulty_comment_pages(spark, sf).write.json(f"{base}/landing")
     for run in ("first", "replay"):
-        pages = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-                 .text(f"{base}/landing").withColumnRenamed("value", "payload"))
-        rows = normalize_comment_pages(pages, "payload", TB.OBSERVED_AT)
-        J.ingest_stream(rows, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}",
-                        ["publish_date", "content_id"])
-    store = spark.read.parquet(f"{base}/store")
-    return store.select("content_id", "social_media", "scope", "topic",
-                        CM.iso("publish_date").alias("publish_date"),
-                        F.length("comment_raw_text").alias("n_chars"))
+        pages = (spark.readStream.schema("page long, payload string").option("maxFilesPerTrigger", files_per_trigger)
+                 .json(f"{base}/landing"))
+        rows = normalize_comment_pages(pages, "payload", TB.OBSERVED_AT, keep=["page"])
+        J.ingest_stream(rows, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}", ["page", "position"],
+                        rejects=f"{base}/rejects")
+    cols = ["content_id", "social_media", "scope", "topic", CM.iso("publish_date").alias("publish_date"),
+            F.length("comment_raw_text").alias("n_chars")]
+    stored = spark.read.parquet(f"{base}/store").select(*cols, F.lit("stored").alias("status"))
+    rejects = spark.read.parquet(f"{base}/rejects").select(*cols, F.col("reason").alias("status"))
+    return stored.unionByName(rejects)
 
 
 def stream_collect_threads(spark: SparkSession, sf: str,
@@ -106,14 +119,14 @@ def stream_collect_threads(spark: SparkSession, sf: str,
     from pulse.sources.normalize import normalize_thread_payload
     CM.prepare(spark)
     base = scratch_path(spark, "stream_threads")
-    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    TB.thread_payloads(spark, sf).repartition(n_files).write.text(f"{base}/landing")
+    scrapes = TB.thread_payloads(spark, sf).withColumn("arrival", F.monotonically_increasing_id())
+    scrapes.write.json(f"{base}/landing")
     for run in ("first", "replay"):
-        raw = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-               .text(f"{base}/landing").withColumnRenamed("value", "payload"))
-        docs = normalize_thread_payload(raw, "payload", observed_at=TB.OBSERVED_AT)
-        J.ingest_stream(docs, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}",
-                        ["publish_date", "content_id"])
+        raw = (spark.readStream.schema("payload string, arrival long").option("maxFilesPerTrigger", files_per_trigger)
+               .json(f"{base}/landing"))
+        docs = normalize_thread_payload(raw, "payload", observed_at=TB.OBSERVED_AT, keep=["arrival"])
+        J.ingest_stream(docs, f"{base}/store", f"{base}/ledger", f"{base}/ckpt_{run}", ["arrival"],
+                        rejects=f"{base}/rejects")
     store = spark.read.parquet(f"{base}/store")
     ids = F.transform("comments", lambda c: c.getField("content_id"))
     return store.select("content_id", "scope", F.size("comments").alias("n_comments"),
@@ -163,8 +176,29 @@ def stream_final_report(spark: SparkSession, sf: str, files_per_trigger: int = F
     src = read_threads(spark, f"{base}/staged", streaming=True, max_files_per_trigger=files_per_trigger)
     J.label_stream(src, lambda ok: J.route_and_label(ok, _label_threads, _label_comments),
                    f"{base}/store", f"{base}/rejects", f"{base}/ckpt")
-    shares = J.final_report(spark, f"{base}/store", f"{base}/report")["label_share"]
-    return shares.select("social_media", "sentiment", "ordinal", "n", "total", "share")
+    J.final_report(spark, f"{base}/store", f"{base}/report")
+    return _report_rows(spark, f"{base}/report")
+
+
+def _report_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All report tables read back, as rows of (social_media, part, item, value)."""
+    def rows(table: str, item, value) -> DataFrame:
+        return spark.read.parquet(f"{path}/{table}").select(
+            "social_media", F.lit(table).alias("part"), item.alias("item"), value.cast("string").alias("value"))
+
+    slash = lambda *c: F.concat_ws("/", *c)
+    parts = [rows("label_share", F.col("sentiment"), F.col("n")),
+             rows("item_series", F.col("item_label"), slash("content_id", "sentiment", "colour")),
+             rows("texts_by_label", F.col("sentiment"), slash(F.col("n_items").cast("string"), F.col("text_chars").cast("string"))),
+             rows("terms_by_label", slash("sentiment", "term"), F.col("n")),
+             rows("collocations_by_label", slash("sentiment", "w1", "w2"), F.col("c12")),
+             rows("dominant_least", F.col("dominant"), F.col("least")),
+             rows("insights", F.col("absent"), F.col("both_extremes")),
+             rows("summary", F.lit("summary"), F.col("summary"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_staged_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,17 +234,36 @@ def read_staged_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """K6: report tables written per platform, read back (one platform's
-    folder read through a partition filter)."""
+    """K6: report tables written per platform, all of them read back (one
+    platform's folder at a time, through a partition filter)."""
     CM.prepare(spark)
     base = scratch_path(spark, "report")
     lab = CM.labelled(spark, sf)
-    write_report({"label_share": R.label_share(lab).select("social_media", "sentiment", "n", "share"),
-                  "label_counts": R.label_counts(lab)}, base)
+    write_report({"label_share": R.label_share(lab), "label_counts": R.label_counts(lab),
+                  "summary": R.render_summary(lab)}, base)
     shares = spark.read.parquet(f"{base}/label_share")
     yt = shares.filter(F.col("social_media") == "YouTube")
     rd = shares.filter(F.col("social_media") == "Reddit")
-    return yt.unionByName(rd).select("social_media", "sentiment", "n", "share")
+    counts = spark.read.parquet(f"{base}/label_counts").select("social_media", "sentiment", F.col("n").alias("counted"))
+    summary = spark.read.parquet(f"{base}/summary")
+    return (yt.unionByName(rd).join(counts, ["social_media", "sentiment"]).join(summary, "social_media")
+            .select("social_media", "sentiment", "n", "share", "counted", "summary"))
+
+
+def consumed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged comments are labelled, the committed files are moved to
+    an archive, and a second run finds nothing new; the author column shows
+    deleted authors as text."""
+    CM.prepare(spark)
+    base = scratch_path(spark, "consumed")
+    rows = CM.comments(spark, sf).withColumn("user", F.when(F.length("comment_raw_text") % 3 != 0, F.col("user")))
+    stage_documents(rows, f"{base}/staged")
+    for _run in ("first", "again"):
+        src = read_comments(spark, f"{base}/staged", streaming=True, max_files_per_trigger=2,
+                            clean_source="archive", archive_dir=f"{base}/archive")
+        J.label_stream(src, _label_comments, f"{base}/store", f"{base}/rejects", f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/store")
+    return out.select("content_id", "sentiment", user_or_none("user").alias("author"), F.col("labelled_at").isNotNull().alias("stamped"))
 
 
 STREAM_QUERIES = {
@@ -223,22 +276,26 @@ STREAM_QUERIES = {
     "stream_final_report": stream_final_report,
     "read_staged_documents": read_staged_documents,
     "report_tables": report_tables,
+    "consumed_files": consumed_files,
 }
 
 STREAM_SQL = {
-    "stream_ingest": """
-SELECT DISTINCT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id,
+    "stream_ingest": f"""
+SELECT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id, event_id,
        (SELECT count(*) FROM (SELECT DISTINCT event_type, user_id FROM events)) AS ledger_rows
-FROM events
+FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id % {CHUNKS}, ts, event_id) = 1
 """,
     "stream_ingest_stateful": """
 SELECT DISTINCT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id FROM events
 """,
     "stream_collect_comments": f"""
-SELECT 'yt_comm_' || doc_id AS content_id, 'YouTube' AS social_media, source AS scope, lang AS topic,
-       {O.ISO(O.TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S}'))} AS publish_date,
-       CAST(length({O.P7('text')}) AS INTEGER) AS n_chars
-FROM documents
+WITH c AS (SELECT *, CASE WHEN n_chars % 11 = 0 THEN 'missing_id' WHEN n_chars % 13 = 0 THEN 'bad_time'
+                          WHEN NOT {O.HAS(O.P7('text'))} THEN 'blank_text' ELSE 'stored' END AS status FROM documents)
+SELECT CASE WHEN status <> 'missing_id' THEN 'yt_comm_' || doc_id END AS content_id, 'YouTube' AS social_media, source AS scope, lang AS topic,
+       CASE WHEN n_chars % 13 <> 0 THEN {O.ISO(O.TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S}'))} END AS publish_date,
+       CAST(length({O.P7('text')}) AS INTEGER) AS n_chars, status
+FROM c
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'malformed'
 """,
     "stream_collect_threads": f"""
 WITH {O.THREAD_CTES.strip()}
@@ -251,7 +308,17 @@ FROM tp
 """,
     "stream_label": O.SQL["thread_sentiment"],
     "stream_label_counts": O.SQL["label_counts"],
-    "stream_final_report": O.SQL["label_share"],
+    "stream_final_report": " UNION ALL ".join(
+        f"SELECT social_media, '{part}' AS part, {item} AS item, CAST({value} AS VARCHAR) AS value FROM ({O.SQL[name]})"
+        for part, name, item, value in [
+            ("label_share", "label_share", "sentiment", "n"),
+            ("item_series", "item_series", "item_label", "content_id || '/' || sentiment || '/' || colour"),
+            ("texts_by_label", "texts_by_label", "sentiment", "n_items || '/' || text_chars"),
+            ("terms_by_label", "terms_by_label", "sentiment || '/' || term", "n"),
+            ("collocations_by_label", "collocations_by_label", "sentiment || '/' || w1 || '/' || w2", "c12"),
+            ("dominant_least", "dominant_least", "dominant", "least"),
+            ("insights", "distribution_insights", "absent", "both_extremes"),
+            ("summary", "summary_text", "'summary'", "summary")]),
     "read_staged_documents": f"""
 WITH p AS (SELECT conv_id, count(*) FILTER (WHERE turn > 0) AS k FROM conversations GROUP BY conv_id
            HAVING count(*) FILTER (WHERE turn = 0) > 0)
@@ -265,7 +332,12 @@ UNION ALL
 SELECT 'Unknown ID', 'Unknown', 0, 'malformed'
 """,
     "report_tables": """
-WITH x AS (""" + O.SQL["label_share"] + """)
-SELECT social_media, sentiment, n, share FROM x
+WITH x AS (""" + O.SQL["label_share"] + """), y AS (""" + O.SQL["summary_text"] + """)
+SELECT social_media, sentiment, n, share, n AS counted, summary FROM x JOIN y USING (social_media)
+""",
+    "consumed_files": """
+WITH x AS (""" + O.SQL["comment_sentiment"] + f""")
+SELECT content_id, sentiment, CASE WHEN length({O.P7('text')}) % 3 <> 0 THEN source ELSE 'None' END AS author, true AS stamped
+FROM x JOIN documents ON content_id = 'yt_comm_' || doc_id WHERE NOT defaulted
 """,
 }

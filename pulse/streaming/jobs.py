@@ -29,23 +29,31 @@ from pulse.operators import dedup as D
 from pulse.operators import filters as FL
 from pulse.operators import report as R
 from pulse.operators.threads import route_by_platform
+from pulse.operators import terms as TR
+from pulse.operators.threads import item_texts
 from pulse.schema import CORRUPT_COLUMN
-from pulse.sinks.files import write_parquet
+from pulse.sinks.files import write_report
+from pulse.sources.files import no_data
 
 
 def read_or_none(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:
     """The Parquet table at ``path`` (only ``columns``), or None if absent."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not no_data(e):
+            raise
         return None
     return df.select(*columns) if columns else df
 
 
-def append_new(batch: DataFrame, path: str, keys: list[str]) -> None:
-    """Append rows whose key is not yet at ``path`` (idempotent append)."""
+def append_new(batch: DataFrame, path: str, keys: list[str], order_cols: list[str] | None = None) -> None:
+    """Append rows whose key is not yet at ``path`` (idempotent append).
+
+    Of rows with one key in the batch the first in ``order_cols`` is taken.
+    """
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(keys)
+    fresh = D.keep_first(batch, keys, order_cols) if order_cols else batch.dropDuplicates(keys)
     existing = read_or_none(spark, path, keys)
     if existing is not None:
         # null-safe key equality: a row with a null key part still matches
@@ -55,6 +63,19 @@ def append_new(batch: DataFrame, path: str, keys: list[str]) -> None:
     fresh.write.mode("append").parquet(path)
 
 
+def with_identity(docs: DataFrame, key: str = "content_id") -> DataFrame:
+    """``docs`` with ``_row``: the key, else the raw text of a line that could
+    not be read, else the content - never null, so replays match it."""
+    raw = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in docs.columns else F.lit(None)
+    content = F.to_json(F.struct(*[F.col(c) for c in docs.columns]))
+    return docs.withColumn("_row", F.coalesce(F.col(key), raw, content))
+
+
+def append_rejects(rejected: DataFrame, path: str) -> None:
+    """append rejected documents with their reason, each once."""
+    append_new(with_identity(rejected), path, ["_row", "reason"])
+
+
 def _run(writer, trigger: str | None, processing_time: str | None):
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
@@ -70,6 +91,7 @@ def _run(writer, trigger: str | None, processing_time: str | None):
 
 def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
                   order_cols: list[str], keys: list[str] | None = None,
+                  rejects: str | None = None,
                   trigger: str | None = "availableNow", processing_time: str | None = None):
     """Endless fetch -> dedup -> append, as a streaming query.
 
@@ -78,6 +100,8 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     D2 keep-first, D1 against the ledger, K2 stage, K4 record. Staging
     before recording, each step idempotent: a crash between them is repaired
     by the replay (the staged rows are skipped, the ledger entries added).
+    ``order_cols`` hold the arrival (and tell rows of one key apart). With
+    ``rejects``, rows that fail the quarantine (F7) go there with their reason.
     """
     keys = keys or D.LEDGER_KEYS
     # A12 (streaming form): items seen per micro-batch, reported in the
@@ -88,7 +112,11 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        firsts = D.keep_first(batch, keys, order_cols)
+        ok = batch
+        if rejects:
+            ok, rejected = FL.quarantine(batch)
+            append_rejects(rejected, rejects)
+        firsts = D.keep_first(ok, keys, order_cols)
         seen = read_or_none(spark, ledger, keys)
         fresh = D.skip_seen(firsts, seen, keys).persist()
         append_new(fresh, store, keys)                        # K2
@@ -122,15 +150,21 @@ def ingest_stream_stateful(source: DataFrame, store: str, checkpoint: str,
     keys = keys or D.LEDGER_KEYS
     spark = source.sparkSession
     key = "spark.sql.streaming.stateStore.providerClass"
-    if use_rocksdb and not spark.conf.get(key, None):
-        spark.conf.set(key, ROCKSDB_PROVIDER)
     firsts = source.dropDuplicates(keys)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
 
-    writer = firsts.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return _run(writer, trigger, processing_time)
+    # a query takes the provider at its start; the session keeps its own choice
+    unset = use_rocksdb and not spark.conf.get(key, None)
+    if unset:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        writer = firsts.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        return _run(writer, trigger, processing_time)
+    finally:
+        if unset:
+            spark.conf.unset(key)
 
 
 def label_stream(source: DataFrame, label: Callable[[DataFrame], DataFrame], store: str,
@@ -145,29 +179,26 @@ def label_stream(source: DataFrame, label: Callable[[DataFrame], DataFrame], sto
     ``idempotency="key"`` (K3, default): rows whose key is already stored
     are dropped before appending, so even a replay from a fresh checkpoint
     adds nothing (W6); costs a key-only scan of the store per trigger.
-    ``idempotency="batch"``: each micro-batch overwrites its own
-    ``batch_id=`` folder - O(batch) per trigger; exact as long as restarts
+    ``idempotency="batch"``: documents are kept once by streaming state (by key,
+    or by their text where they have none) and each micro-batch overwrites its
+    own ``batch_id=`` folder - O(batch) per trigger; exact as long as restarts
     reuse the checkpoint.
     """
     if idempotency not in ("key", "batch"):
         raise ValueError(f"unknown idempotency {idempotency!r}")
+    if idempotency == "batch":
+        source = with_identity(source, key).dropDuplicates(["_row"]).drop("_row")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         ok, rejected = FL.quarantine(batch)
-        labelled = label(ok).withColumn("labelled_at", F.current_timestamp())  # X3
-        # identity of a rejected row: its key, else its raw text, else its
-        # content (an empty document) - never null, so replays match it
-        raw = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in rejected.columns else F.lit(None)
-        content = F.to_json(F.struct(*[F.col(c) for c in batch.columns]))
-        rej = (rejected.withColumn("batch_id", F.lit(batch_id))
-               .withColumn("_row", F.coalesce(F.col(key), raw, content)))
+        labelled = label(ok.drop(CORRUPT_COLUMN)).withColumn("labelled_at", F.current_timestamp())  # X3
         if idempotency == "key":
             append_new(labelled, store, [key])
-            append_new(rej, rejects, ["_row"])
+            append_rejects(rejected, rejects)
         else:
-            labelled.dropDuplicates([key]).write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
-            rej.drop("batch_id").write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            labelled.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
         batch.unpersist()
 
     writer = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -178,10 +209,12 @@ def running_label_counts(labelled_stream: DataFrame, sink: str, checkpoint: str,
                          trigger: str | None = "availableNow", processing_time: str | None = None):
     """Label counts per platform as checkpointed streaming state.
 
+    A document that arrives again is counted once (its id stays in the state).
     Complete mode: each trigger hands the whole (tiny) count table to the
     batch writer, which replaces the sink's content.
     """
-    counts = labelled_stream.groupBy("social_media", "sentiment").agg(F.count(F.lit(1)).alias("n"))
+    once = labelled_stream.dropDuplicates(["social_media", "content_id"])
+    counts = once.groupBy("social_media", "sentiment").agg(F.count(F.lit(1)).alias("n"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink)
@@ -200,23 +233,30 @@ def dedup_within_watermark(source: DataFrame, time_col: str, delay: str,
 
 
 def route_and_label(docs: DataFrame, label_threads, label_comments) -> DataFrame:
-    """D7 for streams: threads and comments labelled by their own rule."""
+    """D7 for streams: threads and comments labelled by their own rule; the
+    whole documents are kept."""
     threads, comments = route_by_platform(docs)
-    cols = ["content_id", "social_media", "publish_date", "sentiment", "ordinal", "defaulted"]
-    return label_threads(threads).select(*cols).unionByName(label_comments(comments).select(*cols))
+    return label_threads(threads).unionByName(label_comments(comments), allowMissingColumns=True)
 
 
 def final_report(spark: SparkSession, store: str, out: str | None = None) -> dict[str, DataFrame]:
-    """Report tables over everything in the labelled store (not only the
-    current session), optionally written per platform (K6)."""
+    """The report over everything in the labelled store (not only the
+    current session), optionally written per platform (K6): label shares, the
+    item series, texts, terms and collocations per label, insights, summary."""
     labelled = spark.read.parquet(store)
+    shares = R.label_share(labelled)
+    texts = labelled.select("social_media", "content_id", "sentiment", F.explode(item_texts(labelled)).alias("text"))
+    groups = ["social_media", "sentiment"]
     tables = {
-        "label_share": R.label_share(labelled),
-        "dominant_least": R.dominant_and_least(labelled),
-        "insights": R.distribution_insights(labelled),
+        "label_share": shares,
+        "item_series": R.item_series(labelled, ["publish_date", "content_id"]),
+        "texts_by_label": R.texts_by_label(texts),
+        "terms_by_label": TR.term_frequency(texts, groups),
+        "collocations_by_label": TR.collocations(texts, groups),
+        "dominant_least": R.dominant_from_shares(shares),
+        "insights": R.insights_from_shares(shares),
         "summary": R.render_summary(labelled),
     }
     if out:
-        for name, t in tables.items():
-            write_parquet(t, f"{out}/{name}", ["social_media"], mode="overwrite")
+        write_report(tables, out)
     return tables

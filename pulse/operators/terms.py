@@ -13,18 +13,19 @@ import glob
 import os
 import zipfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulse.functions.text import term_tokens
 from pulse.operators.limits import top_n
 from pulse.schema import DOMAIN_STOPWORDS
+from pulse.session import materialised
 
 STOPWORD_LANGUAGES = ["english", "italian", "french", "spanish", "german", "portuguese"]
 TOP_TERMS = 200
 MIN_LLR = 30.0
 LLR_EPS = 1e-10
+BROADCAST_GROUPS = 10_000
 
 
 @functools.lru_cache(maxsize=None)
@@ -97,20 +98,22 @@ def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
     # One pass over the text: zipping the tokens with themselves shifted by
     # one gives every token once as w1 (the last one with w2 = null) and
     # every adjacent pair; one partial aggregate counts both. Unigram counts
-    # are then sums over that (much smaller) table, which is persisted so the
-    # text is read and tokenised once (a lost block is recomputed from
-    # lineage; the counts are deterministic).
+    # are then sums over that (much smaller) table, which is written to the
+    # shared scratch folder, so the text is read and tokenised once.
     toks = df.select(*group_cols, term_tokens(F.col(text_col)).alias("_t"))
     nxt = F.slice("_t", 2, F.size("_t"))
     grams = toks.select(*group_cols, F.explode(F.arrays_zip(F.col("_t").alias("w1"), nxt.alias("w2"))).alias("_z"))
     grams = grams.select(*group_cols, F.col("_z.w1").alias("w1"), F.col("_z.w2").alias("w2"))
     kept = (grams.filter(_not_stop(F.col("w1"), sw))
             .withColumn("w2", F.when(F.col("w2").isNotNull() & _not_stop(F.col("w2"), sw), F.col("w2"))))
-    counts = (kept.groupBy(*group_cols, "w1", "w2").agg(F.count(F.lit(1)).alias("_n"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = materialised(kept.groupBy(*group_cols, "w1", "w2").agg(F.count(F.lit(1)).alias("_n")), "pair_counts")
     c12 = counts.filter(F.col("w2").isNotNull()).withColumnRenamed("_n", "c12")
-    uni = counts.groupBy(*group_cols, F.col("w1").alias("term")).agg(F.sum("_n").alias("n"))
+    uni = materialised(counts.groupBy(*group_cols, F.col("w1").alias("term")).agg(F.sum("_n").alias("n")), "word_counts")
     totals = uni.groupBy(*group_cols).agg(F.sum("n").alias("n_words"))
+    # groups are few (platforms x labels): their totals are broadcast, so the pairs
+    # are not shuffled on a handful of keys; many groups are joined by shuffle
+    if totals.count() <= BROADCAST_GROUPS:
+        totals = F.broadcast(totals)
     u1 = uni.select(*group_cols, F.col("term").alias("w1"), F.col("n").alias("c1"))
     u2 = uni.select(*group_cols, F.col("term").alias("w2"), F.col("n").alias("c2"))
     scored = c12.join(u1, [*group_cols, "w1"]).join(u2, [*group_cols, "w2"]).join(totals, group_cols)

@@ -389,6 +389,16 @@ def trained_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("content_id", "ordinal", "sentiment", "defaulted")
 
 
+def trained_sentiment_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """T2(b) T5: what is exact about the trained labels: one per comment, Neutral
+    and flagged where there is no text, the name of its ordinal, and a class that
+    the training rows have."""
+    out = trained_sentiment(spark, sf)
+    return out.select("content_id", "defaulted",
+                      (F.col("sentiment") == LB.ordinal_to_label(F.col("ordinal"))).alias("label_of_ordinal"),
+                      F.col("ordinal").isin(0, 2, 3).alias("trained_class"))
+
+
 # ------------------------------------------------------------------ reports
 def label_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Label counts per platform."""
@@ -501,6 +511,7 @@ QUERIES = {
     "comment_sentiment": comment_sentiment,
     "thread_sentiment": thread_sentiment,
     "trained_sentiment": trained_sentiment,
+    "trained_sentiment_rules": trained_sentiment_rules,
     "plugin_sentiment": plugin_sentiment,
     "extract_label": extract_label,
     "label_counts": label_counts,

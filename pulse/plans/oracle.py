@@ -336,6 +336,11 @@ SELECT item_id, a AS answer, {_LONGEST} AS label_longest,
 FROM b
 """
 
+SQL["trained_sentiment_rules"] = f"""
+WITH {LABELLED_CTES.strip()}
+SELECT content_id, defaulted, true AS label_of_ordinal, true AS trained_class FROM lab WHERE social_media = 'YouTube'
+"""
+
 SQL["label_counts"] = f"""
 WITH {LABELLED_CTES.strip()}
 SELECT social_media, sentiment, n FROM shares2

@@ -90,6 +90,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def materialised(df, name: str):
+    """``df`` written as Parquet below the shared checkpoint folder and read
+    back: computed once, and a lost executor costs only a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)

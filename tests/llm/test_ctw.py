@@ -7,6 +7,8 @@ import pytest
 
 from pulse.llm import ctw
 
+from odd import no_docs, odd_docs  # noqa: F401
+
 TEXTS = [b"abracadabra", b"", b"ABRA cadabra abra", "é ñ".encode(), b"aaaaaaaaaa", b"the cat sat on the mat", b"the rat sat"]
 
 
@@ -91,10 +93,10 @@ def model_of(texts, depth, share):
         for c in np.unique(codes >> 8):
             own = codes >> 8 == c
             if counts[own].sum() >= max(1, math.ceil(share * total)):
-                rows.append((d, int(c), list(zip((codes[own] & 255).tolist(), counts[own].tolist()))))
+                rows += [(d, int(c), int(x & 255), int(n)) for x, n in zip(codes[own], counts[own])]
         if d:
             codes, counts = ctw.summed(codes & ((1 << 8 * d) - 1), counts)
-    return ctw.Model(rows, depth)
+    return ctw.Model(*np.array(rows).T, depth)
 
 
 @pytest.mark.parametrize("depth,share", [(0, 0.0), (1, 0.0), (2, 0.0), (3, 0.0), (2, 0.05), (3, 0.1)])
@@ -110,7 +112,7 @@ def test_probabilities_sum_to_one():
 
 
 def test_untrained_model_is_uniform():
-    assert ctw.Model([], 3).scores([b"ab"]) == pytest.approx([-3 * math.log10(256)], rel=1e-5)
+    assert ctw.Model(*[np.empty(0, np.int64)] * 4, 3).scores([b"ab"]) == pytest.approx([-3 * math.log10(256)], rel=1e-5)
 
 
 def test_query_counts_and_base(spark, odd_docs, no_docs):

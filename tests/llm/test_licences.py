@@ -3,6 +3,8 @@ import pytest
 
 from pulse.llm import licences
 
+from odd import no_docs, odd_docs  # noqa: F401
+
 
 @pytest.fixture(scope="module")
 def model():

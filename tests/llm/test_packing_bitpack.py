@@ -7,6 +7,8 @@ from pulse.llm import bitpack, packing
 from pulse.llm.tokens import ChunkEncoder, tokenizer_path
 from pulse.session import scratch_path
 
+from odd import no_docs, odd_docs  # noqa: F401
+
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 31, 64, 65, 1000])
 def test_decompose_is_binary(n):

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from pulse.llm import quality
 
+from odd import no_docs, odd_docs  # noqa: F401
+
 
 def brute(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")

@@ -73,19 +73,19 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return store.select("social_media", "scope", "content_id", "event_id", n_ledger.alias("ledger_rows"))
 
 
-def stream_ingest_stateful(spark: SparkSession, sf: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """The seen set in the streaming state store; the query is run,
-    then restarted on the same checkpoint (nothing new is emitted)."""
+def stream_ingest_stateful(spark: SparkSession, sf: str) -> DataFrame:
+    """The seen set in the streaming state store, over several micro-batches
+    of which later ones hold earlier times; the query is run, then restarted on the
+    same checkpoint (nothing new is emitted)."""
     CM.prepare(spark)
     base = scratch_path(spark, "stream_ingest_state")
-    obs = TB.observations(spark, sf)
-    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    obs.repartitionByRange(n_files, "arrival_ts", "event_id").write.json(f"{base}/landing")
+    obs = TB.observations(spark, sf).withColumn("chunk", F.pmod("event_id", F.lit(CHUNKS)))
+    files_per_trigger = _land_in_order(obs, f"{base}/landing", "chunk")
     for _run in ("first", "restart"):
         src = (spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", files_per_trigger)
                .json(f"{base}/landing"))
-        J.ingest_stream_stateful(src, f"{base}/store", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/store").select("social_media", "scope", "content_id")
+        J.ingest_stream_stateful(src, f"{base}/store", f"{base}/ckpt", ["arrival_ts", "event_id"])
+    return spark.read.parquet(f"{base}/store").select("social_media", "scope", "content_id", "event_id")
 
 
 def stream_collect_comments(spark: SparkSession, sf: str,
@@ -285,8 +285,9 @@ SELECT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS cont
        (SELECT count(*) FROM (SELECT DISTINCT event_type, user_id FROM events)) AS ledger_rows
 FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id % {CHUNKS}, ts, event_id) = 1
 """,
-    "stream_ingest_stateful": """
-SELECT DISTINCT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id FROM events
+    "stream_ingest_stateful": f"""
+SELECT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id, event_id
+FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id % {CHUNKS}, ts, event_id) = 1
 """,
     "stream_collect_comments": f"""
 WITH c AS (SELECT *, CASE WHEN n_chars % 11 = 0 THEN 'missing_id' WHEN n_chars % 13 = 0 THEN 'bad_time'

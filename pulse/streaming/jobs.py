@@ -132,35 +132,39 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def ingest_stream_stateful(source: DataFrame, store: str, checkpoint: str,
+def ingest_stream_stateful(source: DataFrame, store: str, checkpoint: str, order_cols: list[str],
                            keys: list[str] | None = None, use_rocksdb: bool = True,
                            trigger: str | None = "availableNow", processing_time: str | None = None):
     """W1 + W4 with the seen set in the streaming state store: O(batch) work
-    per trigger, however long the history.
-
-    ``dropDuplicates(keys)`` without a watermark keeps every key ever seen in
-    the checkpointed state (the never-expiring seen set), so only first
-    sightings reach the sink. The sink needs no read: each micro-batch
-    overwrites its own ``batch_id=`` folder, so a batch replayed after a
-    failure replaces itself. Within one micro-batch, which of a key's rows
-    wins is not ordered; use ``ingest_stream`` for arrival-ordered keep-first.
-    The RocksDB provider keeps large state off the JVM heap; it is fixed per
-    checkpoint, so it is set only when the session has not chosen one.
+    per trigger, however long the history, and arrival-ordered keep-first.
+
+    The state keeps, for every key ever seen, its first row by (micro-batch,
+    ``order_cols``) and the times of the first and last micro-batch that brought
+    it. A trigger hands out the keys it touched; those whose two times are equal
+    are new. The sink needs no read: each micro-batch overwrites its own
+    ``batch_id=`` folder, so a batch replayed after a failure (with the batch time
+    that the checkpoint recorded) replaces itself. The RocksDB provider keeps large
+    state off the JVM heap; it is fixed per checkpoint, so it is set only when the
+    session has not chosen one.
     """
     keys = keys or D.LEDGER_KEYS
     spark = source.sparkSession
     key = "spark.sql.streaming.stateStore.providerClass"
-    firsts = source.dropDuplicates(keys)
+    payload = [c for c in source.columns if c not in keys]
+    seen = source.withColumn("_batch", F.current_timestamp()).groupBy(*keys).agg(
+        F.min_by(F.struct(*payload), F.struct("_batch", *order_cols)).alias("_first"),
+        F.min("_batch").alias("_from"), F.max("_batch").alias("_to"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        fresh = batch.filter("_from = _to").select(*keys, "_first.*")
+        fresh.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
 
     # a query takes the provider at its start; the session keeps its own choice
     unset = use_rocksdb and not spark.conf.get(key, None)
     if unset:
         spark.conf.set(key, ROCKSDB_PROVIDER)
     try:
-        writer = firsts.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        writer = seen.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint)
         return _run(writer, trigger, processing_time)
     finally:
         if unset:

@@ -28,7 +28,7 @@ def test_stream_counts_equal_batch(spark):
 
 
 def test_stateful_ingest_multi_batch(spark):
-    out = SC.stream_ingest_stateful(spark, SF, files_per_trigger=1)
+    out = SC.stream_ingest_stateful(spark, SF)
     assert out.count() == out.distinct().count() == CAT.dedup_first(spark, SF).count()
 
 

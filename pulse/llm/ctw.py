@@ -135,8 +135,8 @@ def count_words(texts: DataFrame, most: int = 1 << 19) -> DataFrame:
 
 
 def contexts(grams: DataFrame, depth: int = DEPTH, share: float = SHARE) -> DataFrame:
-    """Contexts that precede at least ``share`` of the bytes: ``depth, context,
-    total, next`` (``next``: at most 256 pairs of byte and count)."""
+    """Contexts that precede at least ``share`` of the bytes, with the counts of
+    the next byte (at most 256 rows a context): ``depth, context, byte, n``."""
     level = written(grams, "ctw-grams")
     total = level.agg(F.sum("n")).first()[0] or 0
     kept = None
@@ -144,7 +144,8 @@ def contexts(grams: DataFrame, depth: int = DEPTH, share: float = SHARE) -> Data
         at = (level.groupBy(F.shiftright("code", 8).alias("context"))
               .agg(F.sum("n").alias("total"), F.collect_list(F.struct(F.col("code").bitwiseAND(F.lit(255)).alias("byte"), "n")).alias("next"))
               .where(F.col("total") >= max(1, math.ceil(share * total)))
-              .select(F.lit(d).alias("depth"), "context", "total", "next"))
+              .select(F.lit(d).alias("depth"), "context", F.explode("next").alias("next"))
+              .select("depth", "context", "next.byte", "next.n"))
         kept = at if kept is None else kept.unionByName(at)
         if d:
             level = written(level.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("code"))
@@ -165,14 +166,24 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - math.log(math.pi) - log_gamma(zeros + ones + 1.0)
 
 
-def _decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the 255 inner nodes (from 1; column 0 is unused) of the
-    binary tree over bytes, for rows of 256 byte counts."""
-    tree = np.zeros((len(counts), 512))
-    tree[:, 256:] = counts
-    for i in range(255, 0, -1):
-        tree[:, i] = tree[:, 2 * i] + tree[:, 2 * i + 1]
-    return tree[:, 0:512:2][:, :256], tree[:, 1:512:2][:, :256]
+def _sums(counts: np.ndarray) -> np.ndarray:
+    """Running sums of rows of 256 byte counts, from 0."""
+    out = np.zeros((len(counts), 257))
+    np.cumsum(counts, axis=1, out=out[:, 1:])
+    return out
+
+
+def _decisions(sums: np.ndarray, nodes: range) -> tuple[np.ndarray, np.ndarray]:
+    """Zeros and ones at inner nodes of the binary tree over bytes.
+
+    Node 1 is the root, the children of i are 2 i and 2 i + 1, so a node of level
+    l stands for a run of 256 >> l bytes.
+    """
+    level = [i.bit_length() - 1 for i in nodes]
+    width = np.array([256 >> n for n in level])
+    low = np.array([i - (1 << n) for i, n in zip(nodes, level)]) * width
+    middle = sums[:, low + width // 2]
+    return middle - sums[:, low], sums[:, low + width] - middle
 
 
 class Model:
@@ -183,35 +194,44 @@ class Model:
     probability of the next byte where no longer context is a node.
     """
 
-    def __init__(self, rows: list[tuple[int, int, list[tuple[int, int]]]], depth: int = DEPTH):
-        """``rows``: depth, context and (byte, count) pairs of every context."""
+    def __init__(self, level: np.ndarray, context: np.ndarray, byte: np.ndarray, count: np.ndarray, depth: int = DEPTH):
+        """One entry per context (its depth and bytes) and next byte."""
         self.depth = depth
-        rows = sorted(rows, key=lambda r: r[:2]) or [(0, 0, [])]
-        n = len(rows)
-        number = {r[:2]: i for i, r in enumerate(rows)}
+        if not len(level):
+            level = context = byte = count = np.zeros(1, np.int64)
+        order = np.lexsort((context, level))
+        level, context, byte, count = (np.asarray(x, np.int64)[order] for x in (level, context, byte, count))
+        new = np.ones(len(level), bool)
+        new[1:] = (level[1:] != level[:-1]) | (context[1:] != context[:-1])
+        node = np.cumsum(new) - 1
+        levels, names = level[new], context[new]
+        n = len(names)
         counts = np.zeros((n, 256))
+        counts[node, byte] = count
         parent = np.zeros(n, np.int64)
         self.child = np.full((n + 1, 256), n, np.int32)
-        levels = np.array([r[0] for r in rows])
-        for i, (d, context, follow) in enumerate(rows):
-            for byte, c in follow:
-                counts[i, byte] = c
-            if d:
-                parent[i] = number[d - 1, context & ((1 << 8 * (d - 1)) - 1)]
-                self.child[parent[i], context >> 8 * (d - 1)] = i
+        for d in range(1, levels.max() + 1):
+            at, above = np.flatnonzero(levels == d), np.flatnonzero(levels == d - 1)
+            parent[at] = above[np.searchsorted(names[above], names[at] & ((1 << 8 * (d - 1)) - 1))]
+            self.child[parent[at], names[at] >> 8 * (d - 1)] = at
         inner = (self.child[:n] != n).any(axis=1)
-        rest = counts.copy()
-        np.subtract.at(rest, parent[1:], counts[1:])
-        trees, rests = _decisions(counts), _decisions(rest)
-        one = np.empty((n, 256))
-        for lo in range(0, 256, 32):  # the binary nodes are independent of each other
-            cols = slice(lo, lo + 32)
-            one[:, cols] = self._mixed(levels, parent, inner, *(x[:, cols] for x in (*trees, *rests)))
-        path = np.zeros((n, 512))
-        for i in range(1, 256):
-            path[:, 2 * i] = path[:, i] + np.log10(1 - one[:, i])
-            path[:, 2 * i + 1] = path[:, i] + np.log10(one[:, i])
-        self.log10 = path[:, 256:].astype(np.float32)
+        sums = _sums(counts)
+        np.subtract.at(counts, parent[1:], counts[1:].copy())
+        rests = _sums(counts)
+        del counts
+        one = np.full((n, 256), 0.5)
+        for lo in range(0, 256, 16):  # the binary nodes are independent of each other
+            nodes = range(max(1, lo), lo + 16)
+            one[:, nodes.start:nodes.stop] = self._mixed(levels, parent, inner, *_decisions(sums, nodes), *_decisions(rests, nodes))
+        del sums, rests
+        self.log10 = np.empty((n, 256), np.float32)
+        for lo in range(0, n, 4096):
+            p = one[lo:lo + 4096]
+            path = np.zeros((len(p), 512))
+            for i in range(1, 256):
+                path[:, 2 * i] = path[:, i] + np.log10(1 - p[:, i])
+                path[:, 2 * i + 1] = path[:, i] + np.log10(p[:, i])
+            self.log10[lo:lo + 4096] = path[:, 256:]
 
     @staticmethod
     def _mixed(levels, parent, inner, zeros, ones, rest0, rest1) -> np.ndarray:
@@ -257,8 +277,8 @@ class Model:
 
 def train(grams: DataFrame, depth: int = DEPTH, share: float = SHARE) -> Model:
     """The model of gram counts; only the bounded set of contexts is collected."""
-    rows = contexts(grams, depth, share).select("depth", "context", "next").collect()
-    return Model([(r["depth"], r["context"], [(x["byte"], x["n"]) for x in r["next"]]) for r in rows], depth)
+    rows = contexts(grams, depth, share).toArrow()
+    return Model(*(rows.column(c).to_numpy() for c in ("depth", "context", "byte", "n")), depth)
 
 
 def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share: float = WORD_SHARE) -> DataFrame:
@@ -306,6 +326,7 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share:
     scored = written(rows.mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, n_bytes long, rare array<binary>")
         .withColumn("row", F.monotonically_increasing_id()), "ctw-scored")
+    shared.destroy()
     rare = (scored.select("row", F.explode("rare").alias("word")).join(words, "word", "left").groupBy("row")
             .agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("rare_logs"), F.count("c").alias("rare_known")))
     norm = math.log10(tokens + 0.1 * (distinct + 1))

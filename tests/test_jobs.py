@@ -29,11 +29,14 @@ def test_thread_and_comment_cycles(spark):
     assert v1 == v2 == first.count()
 
     pages = TB.comment_pages(spark, SF)
+    hits = TB.search_hits(spark, SF)
     got = JB.collect_comments(spark, pages, f"{base}/ledger", f"{base}/staged_c", None,
-                              f"{base}/ctopic_v1", observed_at=TB.OBSERVED_AT)
+                              f"{base}/ctopic_v1", observed_at=TB.OBSERVED_AT, hits=hits, rejects=f"{base}/rejects")
+    picked = {r[0] for r in got.select("topic", "scope").distinct().groupBy("topic").count().select("count").collect()}
+    assert picked == {3}
     assert 0 < got.count() <= 3 * 25 * pages.select(F.get_json_object("payload", "$.query")).distinct().count()
     assert JB.collect_comments(spark, pages, f"{base}/ledger", f"{base}/staged_c", f"{base}/ctopic_v1",
-                               f"{base}/ctopic_v2", observed_at=TB.OBSERVED_AT).count() == 0
+                               f"{base}/ctopic_v2", observed_at=TB.OBSERVED_AT, hits=hits).count() == 0
 
     JB.label_staged(spark, f"{base}/staged_t", f"{base}/staged_c", f"{base}/store", _label_threads, _label_comments)
     JB.label_staged(spark, f"{base}/staged_t", f"{base}/staged_c", f"{base}/store", _label_threads, _label_comments)

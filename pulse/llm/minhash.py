@@ -14,11 +14,13 @@ weights. Points are drawn in the order of time and only until no slot can
 improve, so most shingles cost one or two draws.
 
 Signatures are cut into bands; documents that share a band are candidates. In a
-bucket every member is compared with the bucket's first text only, the verified
-links are joined to classes, and where members of several classes are left in a
-bucket, members of different classes are compared, chunk by chunk, unless their
-signatures rule out the threshold. So a bucket of n copies costs n comparisons,
-not n squared, and no link between candidates is lost.
+bucket every member is compared with the bucket's best connected text only, the
+verified links are joined to classes, and where members of several classes are
+left in a bucket, members of different classes are compared, chunk by chunk,
+unless their signatures rule out the threshold (by four standard deviations). So
+a bucket of n copies costs n comparisons, not n squared; what grows faster is the
+number of pairs of different classes whose signatures are just below it, which
+have to be looked at to lose no link.
 
 Equal texts are one node from the start (by MD5, pre-aggregated), so exact
 copies cost nothing after the first scan. Only candidates' texts are shuffled.
@@ -43,12 +45,15 @@ from .storage import ship_package, small_or_shuffled, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 28
-ROWS = 5
+BANDS = 42
+ROWS = 6
+#: slots of a signature: the bands take the first ones, all tell how alike two
+#: candidates are
+SLOTS = 512
 #: bits of every slot kept for ruling out pairs, and how many standard
 #: deviations beyond its expectation a similar pair's difference may lie
 SLOT_BITS = 4
-SIGMAS = 5.5
+SIGMAS = 4.0
 CHUNK = 256
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -218,14 +223,14 @@ def _short(sig: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(top.reshape(docs, -1, per) << shift, axis=2)
 
 
-def most_different_bits(slots: int, threshold: float) -> int:
-    """Differing bits of the kept parts beyond which a pair is ruled out.
+def most_different_slots(slots: int, threshold: float) -> int:
+    """Differing kept parts beyond which a pair is ruled out.
 
-    Of an unequal slot each bit differs with probability one half.
+    A similar pair's slots differ with probability 1 - threshold at most, and of
+    unequal slots all but one in ``2 ** SLOT_BITS`` have unequal parts.
     """
-    p = 1 - threshold
-    mean, square = SLOT_BITS / 2 * p, (SLOT_BITS + SLOT_BITS ** 2) / 4 * p
-    return int(np.ceil(slots * mean + SIGMAS * np.sqrt(slots * (square - mean ** 2))))
+    p = (1 - threshold) * (1 - 2.0 ** -SLOT_BITS)
+    return int(np.ceil(slots * p + SIGMAS * np.sqrt(slots * p * (1 - p))))
 
 
 def text_key(text: Column) -> Column:
@@ -251,7 +256,7 @@ def sketch(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     empty bag), ``slots`` a few bits of every slot.
     """
     ship_package(texts.sparkSession)
-    slots = bands * rows
+    slots = max(SLOTS, bands * rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,7 +266,7 @@ def sketch(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 doc, shingle, weight = bags(part)
                 sig = signatures(doc, shingle, weight, len(part), slots)
                 size = np.bincount(doc, weight, len(part)).astype(np.int64)
-                grouped = sig.reshape(len(part), bands, rows)
+                grouped = sig[:, :bands * rows].reshape(len(part), bands, rows)
                 band = np.zeros((len(part), bands), np.uint64)
                 for r in range(rows):
                     band = mix((band ^ grouped[:, :, r]) * _STEP + np.uint64(r + 1))
@@ -331,9 +336,24 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def _different_bits(a: str, b: str, slots: int) -> Column:
-    words = -(-slots * SLOT_BITS // 64)
-    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(words)), F.lit(0))
+def _different_slots(a: str, b: str, slots: int) -> Column:
+    """Number of unequal four-bit parts of two packed signatures."""
+    total = F.lit(0)
+    for i in range(-(-slots * SLOT_BITS // 64)):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
+def _first_shared(a: str, b: str, bands: int) -> Column:
+    """The first band that two texts share."""
+    out = None
+    for i in range(bands):
+        same = F.get(a, F.lit(i)) == F.get(b, F.lit(i))
+        out = F.when(same, F.get(a, F.lit(i))) if out is None else out.when(same, F.get(a, F.lit(i)))
+    return out
 
 
 def text_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -345,16 +365,22 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     texts = written(sketches.groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"),
                                                 F.first("slots").alias("slots")).where("n > 0"), "minhash-texts")
     spread = texts.select("key", F.explode("bands").alias("bucket"))
-    full = spread.groupBy("bucket").agg(F.min("key").alias("first"), F.count("*").alias("members")).where("members > 1")
-    buckets = written(spread.join(full, "bucket"), "minhash-buckets")
+    full = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = written(spread.join(full, "bucket"), "minhash-shared")
+    # a bucket's star is the member that meets most others in all its buckets: of
+    # a group of copies that is the text nearest to all of them
+    degree = shared.groupBy("key").agg(F.sum("members").alias("degree"))
+    stars_of = (shared.select("bucket", "key").join(degree, "key").groupBy("bucket")
+                .agg(F.max(F.struct("degree", "key")).alias("best")).select("bucket", F.col("best.key").alias("first")))
+    buckets = written(shared.join(stars_of, "bucket"), "minhash-buckets")
 
     def bodies(pairs: DataFrame) -> DataFrame:
         wanted = small_or_shuffled(written(
             pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "minhash-wanted"))
         return written(docs.select("key", "body").join(wanted, "key", "left_semi").dropDuplicates(["key"]), "minhash-bodies")
 
-    stars = written(buckets.where("key != first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(),
-                    "minhash-stars")
+    stars = written(buckets.where("key != first").select(
+        F.least("first", "key").alias("a"), F.greatest("first", "key").alias("b")).distinct(), "minhash-stars")
     links = written(verified(stars, bodies(stars), threshold), "minhash-verified")
     roots = components(links)
 
@@ -363,15 +389,19 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     state = buckets.join(roots, "key", "left").select("bucket", "members", "key", F.coalesce("root", "key").alias("root"))
     mixed = (state.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
              .agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots")).where("roots > 1").drop("roots"))
-    open_ = written(state.join(mixed, "bucket").join(texts.select("key", "n", "slots"), "key"), "minhash-open")
+    open_ = written(state.join(mixed, "bucket").join(texts.select("key", "n", "slots", "bands"), "key"), "minhash-open")
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    own = ("key", "root", "major", "n", "slots", "bands")
     one = open_.where("root != major").select("bucket", F.pmod(F.hash("key"), chunks).alias("chunk"),
-                                              *[F.col(c).alias(f"{c}1") for c in ("key", "root", "n", "slots")])
+                                              *[F.col(c).alias(f"{c}1") for c in own])
     two = open_.select("bucket", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
-                       *[F.col(c).alias(f"{c}2") for c in ("key", "root", "n", "slots")])
-    slots = bands * rows
-    close = ((F.col("root1") != F.col("root2")) & (F.least("n1", "n2") >= threshold * F.greatest("n1", "n2"))
-             & (_different_bits("slots1", "slots2", slots) <= most_different_bits(slots, threshold)))
+                       *[F.col(c).alias(f"{c}2") for c in own])
+    slots = max(SLOTS, bands * rows)
+    # a pair is taken in the first bucket that it shares, and there once
+    close = ((F.col("root1") != F.col("root2")) & ((F.col("root2") == F.col("major2")) | (F.col("key1") < F.col("key2")))
+             & (F.least("n1", "n2") >= threshold * F.greatest("n1", "n2"))
+             & (_different_slots("slots1", "slots2", slots) <= most_different_slots(slots, threshold))
+             & (_first_shared("bands1", "bands2", bands) == one.bucket))
     pairs = one.join(two, (one.bucket == two.bucket) & (one.chunk == two.chunk) & close).select(
         F.least("key1", "key2").alias("a"), F.greatest("key1", "key2").alias("b")).distinct()
     pairs = written(pairs.join(stars, ["a", "b"], "left_anti"), "minhash-cross")

@@ -315,11 +315,19 @@ def train(negatives: list[str], seed: int = SEED) -> Model:
 
 
 def corpus_paragraphs(docs: DataFrame, most: int = NEGATIVES) -> list[str]:
-    """The ``most`` distinct paragraphs with the smallest hash."""
+    """The ``most`` distinct paragraphs with the smallest hash.
+
+    The hashes alone are ranked first, so that tasks give out numbers; then the
+    paragraphs at or below the last of them are fetched.
+    """
     rows = docs.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("p")).where(
-        F.col("p").rlike("[0-9A-Za-z]"))
-    best = rows.select(F.xxhash64("p").alias("h"), F.substring("p", 1, 2000).alias("p")).orderBy("h", "p").limit(4 * most)
-    return list(dict.fromkeys(r["p"] for r in best.collect()))[:most]
+        F.col("p").rlike("[0-9A-Za-z]")).select(F.xxhash64("p").alias("h"), F.substring("p", 1, 2000).alias("p"))
+    first = sorted({r["h"] for r in rows.select("h").orderBy("h").limit(2 * most).collect()})[:most]
+    if not first:
+        return []
+    # copies of a paragraph are one row per task before they meet
+    best = rows.where(F.col("h") <= first[-1]).groupBy("h").agg(F.min("p").alias("p")).orderBy("h").limit(most)
+    return [r["p"] for r in best.collect()]
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:

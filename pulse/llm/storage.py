@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pulse.session import scratch_path
 
 #: proven bound of what is broadcast: bytes of the Parquet files of the table
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -44,11 +44,13 @@ def tokenizer_path(name: str) -> str:
 class ChunkEncoder:
     """Encodes batches of texts; one instance per worker process.
 
-    ``memo_chunks`` bounds the memory of the memo (distinct chunks kept); a
-    full memo is emptied, which costs time and changes nothing else.
+    ``memo_chunks`` bounds the memory of the memo (distinct pieces kept); a
+    full memo forgets the pieces that were asked for once only, and the rarer
+    ones of the others beyond half the bound. That costs time and changes nothing
+    else.
     """
 
-    def __init__(self, path: str, memo_chunks: int = 1_200_000):
+    def __init__(self, path: str, memo_chunks: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
@@ -66,9 +68,31 @@ class ChunkEncoder:
     def _reset(self) -> None:
         self._slot = _Numbered()
         self._flat = np.empty(1 << 16, np.uint32)
-        self._ends, self._sizes = np.zeros((2, 1 << 14), np.int64)
+        self._ends, self._sizes, self._hits = np.zeros((3, 1 << 14), np.int64)
         self._used = 0
 
+    def _shrink(self) -> None:
+        """Keep the pieces that were asked for again, half the bound at most."""
+        hits = self._hits[:len(self._slot)]
+        keep = np.flatnonzero(hits > 1)
+        most = self._limit // 2
+        if len(keep) > most:
+            keep = np.sort(keep[np.argsort(-hits[keep], kind="stable")[:most]])
+        size = self._sizes[keep]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self._flat[np.arange(total) + np.repeat(self._ends[keep] - ends, size)]
+        pieces = list(self._slot)
+        self._reset()
+        self._slot.update((pieces[k], n) for n, k in enumerate(keep.tolist()))
+        room = 1 << 14
+        while room <= len(keep):
+            room *= 2
+        self._ends, self._sizes, self._hits = np.zeros((3, room), np.int64)
+        self._ends[:len(keep)], self._sizes[:len(keep)] = ends, size
+        self._flat = np.resize(flat, max(1 << 16, 2 * total)) if total else self._flat
+        self._used = total
+
     def _encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after the other, and the number of each."""
         found = [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -101,7 +125,8 @@ class ChunkEncoder:
         if end > len(self._flat):
             self._flat = np.resize(self._flat, 2 * end)
         if at + len(fresh) > len(self._ends):
-            self._ends, self._sizes = (np.resize(x, 2 * (at + len(fresh))) for x in (self._ends, self._sizes))
+            room = np.zeros(at + 2 * len(fresh), np.int64)
+            self._ends, self._sizes, self._hits = (np.concatenate((x[:at], room[at:])) for x in (self._ends, self._sizes, self._hits))
         self._flat[self._used:end] = np.concatenate(parts)
         self._ends[at:at + len(fresh)] = ends
         self._sizes[at:at + len(fresh)] = size
@@ -123,9 +148,10 @@ class ChunkEncoder:
         if not chunks:
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         if len(self._slot) > self._limit:
-            self._reset()
+            self._shrink()
         at = np.fromiter(map(self._slot.__getitem__, chunks), np.int64, len(chunks))
         self._learn()
+        self._hits[:len(self._slot)] += np.bincount(at, minlength=len(self._slot))
         size = self._sizes[at]
         ends = np.cumsum(size)
         index = np.arange(int(ends[-1])) + np.repeat(self._ends[at] - ends, size)

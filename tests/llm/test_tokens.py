@@ -11,14 +11,16 @@ ODD = ["", " ", "  a", "a  b", "a 　b", " \x1c a", "x\n y", "a\n\nb  \n c", "it
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-@pytest.mark.parametrize("memo", [0, 1_000_000])
+@pytest.mark.parametrize("memo", [0, 40, 1_000_000])
 def test_ids_are_those_of_whole_texts(name, memo):
     enc = ChunkEncoder(tokenizer_path(name), memo)
     rng = np.random.default_rng(3)
     bits = ["the", "Thou", " ", "  ", "\n", ".", ",", "'s", "é", "Ñandú", "12", "x", "\t", "\xa0", "ing", "́", "—", "日本", "#"]
     mixed = ["".join(rng.choice(bits, 40)) for _ in range(400)]
     texts = ODD + mixed
-    for _ in range(2):
+    for _ in range(3):
+        for text in texts[::7]:  # small batches, so that a small memo is full again and again
+            enc.encode([text, "the thou the"])
         ids, sizes = enc.encode(texts)
         at = 0
         for text, whole, n in zip(texts, enc._tok.encode_batch(texts, add_special_tokens=False), sizes):

@@ -8,17 +8,20 @@ every depth from none to ``DEPTH`` bytes; the exact posterior weights of that
 mixture give the probability of a bit, so no depth has to be chosen. Scores are
 code lengths: log10 of the text's probability, and bits per byte.
 
-Which contexts the trees may split is a share of the corpus, not a number of
-occurrences: a context is a node of its own if it precedes at least ``SHARE`` of
-all training bytes, the rarer children of a node form one child together. So all
-bytes take part at every corpus size, a depth has at most ``1 / SHARE`` nodes,
-and the table of log probabilities (256 floats a node) that every task holds is
-bounded by (1 + 256 + (DEPTH - 1) / SHARE) KiB whatever the corpus holds.
+Every context of the training texts is a node of the trees, so what the model keeps
+grows with the corpus; a caller may leave out contexts by a ``share`` of the bytes,
+then the rarer children of a node form one child together. The model is a table of
+the log probability of every byte sequence that any text holds, trained or held out:
+sequences are dealt by their three nearest context bytes, a task mixes the subtrees
+of its contexts upwards and downwards with numpy, and what they pass to the contexts
+of at most two bytes (at most 2^16 contexts) is mixed on the driver.
 
 Counting and scoring are maps over documents with numpy; byte sequences and words
-are counted per task, then summed by a shuffle. The word unigram base score takes
-its counts in two ways: words with at least ``WORD_SHARE`` of all tokens (so at
-most ``1 / WORD_SHARE``) travel with the model, all others are joined by word.
+are counted per task, then summed by a shuffle. Scores take the table in two ways: the
+most frequent sequences (at most ``MOST_SHARED``) travel to the tasks, all others are
+joined by sequence. The word unigram base score does the same: words with at least
+``WORD_SHARE`` of all tokens (so at most ``1 / WORD_SHARE``) travel, all others are
+joined by word.
 
 Defined cases: a null text is empty; a null doc_id counts as the empty text and is
 held out; an untrained model gives every byte 1/256 and a base score of 0; equal
@@ -40,7 +43,12 @@ from pyspark.sql import functions as F
 from .storage import ship_package, written
 
 DEPTH = 6
-SHARE = 2.0 ** -15
+#: share of the training bytes below which a context is no node; 0: none
+SHARE = 0.0
+#: byte sequences whose log probabilities travel to the tasks (12 bytes a slot, two to four slots each)
+MOST_SHARED = 1 << 21
+#: context bytes by which subtrees are dealt to tasks
+NEAR = 3
 WORD_SHARE = 2.0 ** -17
 #: a byte that UTF-8 never uses: before the beginning and at the end of a text
 EDGE = 0xFF
@@ -62,11 +70,7 @@ def prepared(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
 def gram_counts(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sequences of ``depth`` context bytes and the next byte, as
     numbers with the next byte lowest, and their counts."""
-    data, at = prepared(texts, depth)
-    code = np.zeros(len(at), np.int64)
-    for back in range(depth, -1, -1):
-        code = (code << 8) | data[at - back]
-    return np.unique(code, return_counts=True)
+    return np.unique(gram_codes(texts, depth), return_counts=True)
 
 
 def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,29 +92,39 @@ def text_ranges(sizes: list[int], most: int = 2 << 20):
 
 
 def count_grams(texts: DataFrame, depth: int = DEPTH, most: int = 4 << 20) -> DataFrame:
-    """``code, n``: byte sequences of texts given as ``body`` (binary).
+    """``code, n, uses``: byte sequences of texts given as ``held_out, body``
+    (binary), their counts in training texts and in all.
 
     A task sums what it meets, gives out its sums when they exceed ``most``
     entries and at its end; a shuffle adds them up.
     """
     ship_package(texts.sparkSession)
 
+    def give(codes: np.ndarray, counts: np.ndarray, held_out: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts * (not held_out)), pa.array(counts)], ["code", "n", "uses"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty(0, np.int64), np.empty(0, np.int64)
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        none = np.empty(0, np.int64), np.empty(0, np.int64)
+        held = {False: none, True: none}
+        waiting: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
         for batch in batches:
-            body = batch.column(0).to_pylist()
-            for lo, hi in text_ranges([len(b) for b in body]):
-                waiting.append(gram_counts(body[lo:hi], depth))
-                if sum(len(c) for c, _ in waiting) > max(1 << 20, len(held[0])):
-                    held = summed(*map(np.concatenate, zip(held, *waiting)))
-                    waiting = []
-                if len(held[0]) > most:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["code", "n"])
-                    held = np.empty(0, np.int64), np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in summed(*map(np.concatenate, zip(held, *waiting)))], ["code", "n"])
-
-    return texts.select("body").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+            side = batch.column(0).to_pylist()
+            all_bodies = batch.column(1).to_pylist()
+            for out in (False, True):
+                body = [b for b, x in zip(all_bodies, side) if x == out]
+                for lo, hi in text_ranges([len(b) for b in body]):
+                    waiting[out].append(gram_counts(body[lo:hi], depth))
+                    if sum(len(c) for c, _ in waiting[out]) > max(1 << 20, len(held[out][0])):
+                        held[out] = summed(*map(np.concatenate, zip(held[out], *waiting[out])))
+                        waiting[out] = []
+                    if len(held[out][0]) > most:
+                        yield give(*held[out], out)
+                        held[out] = none
+        for out in (False, True):
+            yield give(*summed(*map(np.concatenate, zip(held[out], *waiting[out]))), out)
+
+    return (texts.select("held_out", "body").mapInArrow(run, "code long, n long, uses long")
+            .groupBy("code").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")))
 
 
 def count_words(texts: DataFrame, most: int = 1 << 19) -> DataFrame:
@@ -134,25 +148,6 @@ def count_words(texts: DataFrame, most: int = 1 << 19) -> DataFrame:
     return texts.select("body").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def contexts(grams: DataFrame, depth: int = DEPTH, share: float = SHARE) -> DataFrame:
-    """Contexts that precede at least ``share`` of the bytes, with the counts of
-    the next byte (at most 256 rows a context): ``depth, context, byte, n``."""
-    level = written(grams, "ctw-grams")
-    total = level.agg(F.sum("n")).first()[0] or 0
-    kept = None
-    for d in range(depth, -1, -1):
-        at = (level.groupBy(F.shiftright("code", 8).alias("context"))
-              .agg(F.sum("n").alias("total"), F.collect_list(F.struct(F.col("code").bitwiseAND(F.lit(255)).alias("byte"), "n")).alias("next"))
-              .where(F.col("total") >= max(1, math.ceil(share * total)))
-              .select(F.lit(d).alias("depth"), "context", F.explode("next").alias("next"))
-              .select("depth", "context", "next.byte", "next.n"))
-        kept = at if kept is None else kept.unionByName(at)
-        if d:
-            level = written(level.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("code"))
-                            .agg(F.sum("n").alias("n")), "ctw-grams")
-    return kept
-
-
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma(x) for x > 0: Stirling's series after a shift by eight."""
     z = x + 8
@@ -187,7 +182,7 @@ def _decisions(sums: np.ndarray, nodes: range) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """The weighted context trees, reduced to what scoring needs.
+    """The weighted context trees of a corpus that fits one process.
 
     ``child[node, byte]`` is the node of the context that is longer by ``byte``
     (the number of nodes where there is none), ``log10[node, byte]`` the log
@@ -275,13 +270,296 @@ class Model:
         return np.add.reduceat(value, np.cumsum(sizes) - sizes)
 
 
-def train(grams: DataFrame, depth: int = DEPTH, share: float = SHARE) -> Model:
-    """The model of gram counts; only the bounded set of contexts is collected."""
-    rows = contexts(grams, depth, share).toArrow()
-    return Model(*(rows.column(c).to_numpy() for c in ("depth", "context", "byte", "n")), depth)
+_HALVES = log_gamma(np.arange(1 << 16) + 0.5)
+_WHOLES = log_gamma(np.arange(1 << 16) + 1.0)
+
+
+def count_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """``log_kt`` of integers, those of small ones looked up."""
+    both = zeros + ones
+    large = np.flatnonzero(both >= len(_HALVES))
+    if len(large):
+        zeros, ones, rest = zeros.copy(), ones.copy(), log_kt(zeros[large], ones[large])
+        zeros[large] = ones[large] = both[large] = 0
+    out = _HALVES[zeros] + _HALVES[ones] - math.log(math.pi) - _WHOLES[both]
+    if len(large):
+        out[large] = rest
+    return out
+
+
+class Level:
+    """Binary nodes of the contexts of one length; ``parent`` is the place of
+    each in the level above, ``node`` whether its context is a node of the tree,
+    ``inner`` whether a longer one is. ``rest0, rest1, below``: the counts that
+    are in no longer node, and ln of the weighted probability of those that are."""
+
+    def __init__(self, zeros, ones, node, inner, parent=None):
+        self.zeros, self.ones, self.node, self.inner, self.parent = zeros, ones, node, inner, parent
+        self.rest0, self.rest1, self.below = zeros, ones, 0.0
+
+    def take(self, at: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> None:
+        """Children at ``at`` that are nodes."""
+        add = lambda x: np.bincount(at, x, len(self.zeros))
+        self.rest0, self.rest1 = (self.rest0 - add(zeros)).astype(np.int64), (self.rest1 - add(ones)).astype(np.int64)
+        self.below = self.below + add(weighted)
+
+
+def mix(levels: list[Level]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Levels from short to long contexts: ln of the weighted probability of the
+    first, and of the last the part of a one's probability that is sure, the mass
+    left for longer contexts, and the probability where no longer one is a node."""
+    stops = []
+    for up, level in zip([None, *levels[:-1]][::-1], levels[::-1]):
+        here = count_kt(level.zeros, level.ones)
+        weighted = np.where(level.inner, np.logaddexp(here, level.below + count_kt(level.rest0, level.rest1)) - math.log(2), here)
+        stops.append(np.where(level.inner, np.exp(here - math.log(2) - weighted), 1.0))
+        if up is not None:
+            at = level.node
+            up.take(level.parent[at], level.zeros[at], level.ones[at], weighted[at])
+    sure, left, one = np.zeros(1), np.ones(1), np.full(1, np.nan)
+    for level, stop in zip(levels, stops[::-1]):
+        at = np.zeros(len(level.zeros), np.int64) if level.parent is None else level.parent
+        before, mass, above = sure[at], left[at], one[at]
+        sure = before + mass * stop * (level.ones + 0.5) / (level.zeros + level.ones + 1)
+        left = mass * (1 - stop)
+        one = np.where(level.node, sure + left * (level.rest1 + 0.5) / (level.rest0 + level.rest1 + 1), above)
+        sure, left = np.where(level.node, sure, before), np.where(level.node, left, mass)
+    return weighted, sure, left, one
+
+
+def nearest_first(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Sequences with the context bytes turned round, the nearest highest."""
+    context, out = codes >> 8, np.zeros_like(codes)
+    for _ in range(depth):
+        out, context = (out << 8) | (context & 255), context >> 8
+    return (out << 8) | (codes & 255)
+
+
+def starts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the run of equal neighbours of each key, first place of each run."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.cumsum(new) - 1, np.flatnonzero(new)
+
+
+def subtrees(codes: np.ndarray, counts: np.ndarray, depth: int, top: int, least: int):
+    """The trees below whole contexts of ``top`` bytes, of distinct sequences.
+
+    Returns ``p``, eight probabilities of a one per sequence given that contexts
+    of less than ``top`` bytes are passed (NaN: not a node), and rows for the level
+    above: binary node, zeros, ones, those of nodes, ln of their weighted
+    probability, number of nodes.
+    """
+    keys = nearest_first(codes, depth)
+    # sequences of every context length, and the place of each in the next shorter
+    grams, sums, ups = [], [], []
+    for d in range(depth, top - 1, -1):
+        if d == depth:
+            key, inverse = np.unique(keys, return_inverse=True)
+            n = np.bincount(inverse, counts, len(key)).astype(np.int64)
+            at = inverse
+        else:
+            short = ((grams[-1] >> 16) << 8) | (grams[-1] & 255)
+            key, inverse = np.unique(short, return_inverse=True)
+            n = np.bincount(inverse, sums[-1], len(key)).astype(np.int64)
+            ups.append(inverse)
+        grams.append(key)
+        sums.append(n)
+    grams, sums, ups = grams[::-1], sums[::-1], [None, *ups[::-1]]
+    nodes, inners, child = [], [], None
+    for d in range(depth, top - 1, -1):
+        key, n, up = grams[d - top], sums[d - top], ups[d - top]
+        number, first = starts(key >> 8)
+        node = (np.bincount(number, n) >= least) | (d == 0)
+        inner = np.zeros(len(first), bool)
+        if child is not None:
+            inner[number[child]] = True
+        nodes.append(node[number])
+        inners.append(inner[number])
+        child = up[first[node]] if up is not None else None
+    nodes, inners = nodes[::-1], inners[::-1]
+    p, rows = np.empty((len(codes), 8)), []
+    for bit in range(8):
+        levels, entry = [], None
+        for key, n, up, node, inner in zip(grams, sums, ups, nodes, inners):
+            above, (entry, first) = entry, starts(key >> (8 - bit))
+            one = (key >> (7 - bit)) & 1
+            levels.append(Level(np.add.reduceat(n * (1 - one), first), np.add.reduceat(n * one, first), node[first], inner[first],
+                                None if up is None else above[up[first]]))
+            if up is None:
+                # the binary node of the context that is shorter by its farthest byte
+                place = (((key[first] >> 16) << 8) | (1 << bit) | ((key[first] & 255) >> (8 - bit)))
+        weighted, _, _, ones = mix(levels)
+        p[:, bit] = ones[entry][at]
+        z, o, kept = levels[0].zeros, levels[0].ones, levels[0].node
+        rows.append((place, z, o, z * kept, o * kept, weighted * kept, kept.astype(np.int64)))
+    return p, [np.concatenate(x) for x in zip(*rows)]
+
+
+def shorter(place: np.ndarray, zeros, ones, kept0, kept1, weighted, kept, top: int, least: int):
+    """The trees of contexts of less than ``top`` bytes, from what the subtrees
+    gave (one row a binary node): sorted binary nodes of ``top - 1`` bytes, sure,
+    left and one of each as ``mix`` returns them."""
+    levels, names = [], []
+    for d in range(top - 1, -1, -1):
+        if d == top - 1:
+            order = np.argsort(place)
+            place, zeros, ones, kept0, kept1, weighted, kept = (x[order] for x in (place, zeros, ones, kept0, kept1, weighted, kept))
+        else:
+            place, inverse = np.unique(((names[-1] >> 16) << 8) | (names[-1] & 255), return_inverse=True)
+            levels[-1].parent = inverse
+            zeros, ones = (np.bincount(inverse, x, len(place)).astype(np.int64) for x in (levels[-1].zeros, levels[-1].ones))
+        number, first = starts(place >> 8)
+        # every context has the binary node 1, which counts all its bytes
+        node = (zeros[first] + ones[first] >= least) | (d == 0)
+        inner = np.zeros(len(first), bool)
+        if d == top - 1:
+            inner[:] = kept[first] > 0
+        else:
+            inner[number[inverse[below_first[below_node]]]] = True
+        level = Level(zeros, ones, node[number], inner[number])
+        if d == top - 1:
+            level.rest0, level.rest1, level.below = zeros - kept0, ones - kept1, weighted
+        below_first, below_node = first, node
+        levels.append(level)
+        names.append(place)
+    _, sure, left, one = mix(levels[::-1])
+    return names[0], sure, left, one
+
+
+def log_probabilities(grams: DataFrame, depth: int = DEPTH, share: float = SHARE) -> DataFrame:
+    """``code, uses, value``: log10 probability of the last byte of every sequence
+    after the others. ``grams`` is a written table, trained on its counts ``n``."""
+    spark = grams.sparkSession
+    total = grams.agg(F.sum("n")).first()[0] or 0
+    least, top = max(1, math.ceil(share * total)), min(NEAR, depth)
+    near = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * top) - 1))
+    names = ["code", "uses", "p", "place", "zeros", "ones", "kept0", "kept1", "weighted", "kept"]
+    types = [pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 5, pa.float64(), pa.int64()]
+
+    def mixed(codes: np.ndarray, counts: np.ndarray, uses: np.ndarray) -> Iterator[pa.RecordBatch]:
+        p, rows = subtrees(codes, counts, depth, top, least)
+        p = pa.Array.from_buffers(pa.binary(), len(codes), [None, pa.py_buffer(np.arange(0, 64 * len(codes) + 1, 64, dtype=np.int32)), pa.py_buffer(p.tobytes())])
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(uses), p, *[pa.nulls(len(codes), t) for t in types[3:]]], names)
+        if top:
+            # one row a binary node
+            place, inverse = np.unique(rows[0], return_inverse=True)
+            add = [np.bincount(inverse, x, len(place)) for x in rows[1:]]
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(place), t) for t in types[:3]], pa.array(place),
+                                              *[pa.array(x.astype(t.to_pandas_dtype())) for x, t in zip(add, types[4:])]], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[np.ndarray]] = []
+        held = 0
+        for batch in batches:
+            waiting.append([batch.column(i).to_numpy() for i in range(4)])
+            held += batch.num_rows
+            if held >= 1 << 18:
+                codes, counts, uses, nearest = map(np.concatenate, zip(*waiting))
+                whole = np.searchsorted(nearest, nearest[-1])  # the last context may go on
+                if whole:
+                    yield from mixed(codes[:whole], counts[:whole], uses[:whole])
+                waiting = [[x[whole:] for x in (codes, counts, uses, nearest)]]
+                held = 0 if whole else -len(codes)  # a large context doubles before it is tried again
+        if waiting and sum(len(w[0]) for w in waiting):
+            codes, counts, uses, _ = map(np.concatenate, zip(*waiting))
+            yield from mixed(codes, counts, uses)
+
+    parts = written(
+        grams.select("code", "n", "uses", near.alias("near")).repartition("near").sortWithinPartitions("near")
+        .mapInArrow(run, "code long, uses long, p binary, place long, zeros long, ones long, kept0 long, kept1 long, weighted double, kept long"), "ctw-parts")
+    above = None
+    if top:
+        rows = parts.where("place is not null").groupBy("place").agg(*[F.sum(c).alias(c) for c in names[4:]]).toArrow()
+        if rows.num_rows:
+            above = shorter(*(rows.column(c).to_numpy() for c in names[3:]), top, least)
+    shared = spark.sparkContext.broadcast(above)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above = shared.value
+        for batch in batches:
+            codes = batch.column(0).to_numpy()
+            if not len(codes):
+                continue
+            p = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, 8)
+            byte = codes & 255
+            nearest = nearest_first(codes, depth) >> 8 * (depth - top + 2) if top else None
+            value = np.zeros(len(codes))
+            for bit in range(8):
+                q = p[:, bit]
+                if top:
+                    place, sure, left, one = above
+                    at = np.searchsorted(place, (nearest << 8) | (1 << bit) | (byte >> (8 - bit)))
+                    q = np.where(np.isnan(q), one[at], sure[at] + left[at] * q)
+                value += np.log10(np.where((byte >> (7 - bit)) & 1, q, 1 - q))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(value.astype(np.float32))], ["code", "uses", "value"])
+
+    out = written(parts.where("code is not null").select("code", "uses", "p").mapInArrow(finish, "code long, uses long, value float"), "ctw-values")
+    shared.destroy()
+    return out
+
+
+def most_used(values: DataFrame, most: int) -> int:
+    """The least number of uses that at most ``most`` sequences reach."""
+    bucket = F.floor(F.log2("uses") * 16).cast("int")
+    counts = sorted(values.groupBy(bucket.alias("b")).agg(F.count("*").alias("c"), F.min("uses").alias("least")).collect(), key=lambda r: -r["b"])
+    held, least = 0, None
+    for r in counts:
+        held += r["c"]
+        if held > most:
+            break
+        least = r["least"]
+    return (1 << 62) if least is None else least
+
+
+class Lookup:
+    """Values of byte sequences in an open hash table of two arrays."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.bits = max(1, (2 * len(codes)).bit_length())
+        self.codes = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits, np.float32)
+        slot = self._slots(codes)
+        while len(codes):
+            free = self.codes[slot] == -1
+            self.codes[slot[free]] = codes[free]  # of several one stays
+            placed = self.codes[slot] == codes
+            self.values[slot[placed]] = values[placed]
+            codes, values, slot = codes[~placed], values[~placed], (slot[~placed] + 1) & (len(self.codes) - 1)
+
+    def _slots(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 where there is none), and whether there is one."""
+        slot = self._slots(codes)
+        found = self.codes[slot]
+        hit = found == codes
+        value = np.where(hit, self.values[slot], 0.0).astype(np.float64)
+        open_ = np.flatnonzero(~hit & (found != -1))
+        at = slot[open_]
+        while len(open_):
+            at = (at + 1) & (len(self.codes) - 1)
+            found = self.codes[at]
+            same = found == codes[open_]
+            hit[open_[same]] = True
+            value[open_[same]] = self.values[at[same]]
+            on = ~same & (found != -1)
+            open_, at = open_[on], at[on]
+        return value, hit
+
+
+def gram_codes(texts: list[bytes], depth: int) -> np.ndarray:
+    """The sequence of ``depth`` context bytes and the byte at every place."""
+    data, at = prepared(texts, depth)
+    code = np.zeros(len(at), np.int64)
+    for back in range(depth, -1, -1):
+        code = (code << 8) | data[at - back]
+    return code
 
 
-def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share: float = WORD_SHARE) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share: float = WORD_SHARE,
+          most_shared: int = MOST_SHARED) -> DataFrame:
     """Scores of all documents, learnt from those that are not held out.
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
@@ -293,16 +571,18 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share:
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0).alias("held_out"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body"))
-    training = rows.where(~F.col("held_out"))
-    model = train(count_grams(training, depth), depth, share)
-    words = written(count_words(training), "ctw-words")
+    values = log_probabilities(written(count_grams(rows, depth), "ctw-grams"), depth, share)
+    common = values.where(F.col("uses") >= most_used(values, most_shared)).select("code", "value").toArrow()
+    words = written(count_words(rows.where(~F.col("held_out"))), "ctw-words")
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     often = words.where(F.col("c") >= max(1, math.ceil(word_share * tokens))).collect()
-    shared = spark.sparkContext.broadcast((model, [bytes(r["word"]) for r in often], np.array([r["c"] for r in often], np.int64)))
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "n_bytes", "rare"]
+    shared = spark.sparkContext.broadcast((Lookup(common.column("code").to_numpy(), common.column("value").to_numpy()),
+                                           [bytes(r["word"]) for r in often], np.array([r["c"] for r in often], np.int64)))
+    del common
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "n_bytes", "rare", "grams"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent, times = shared.value
+        lookup, frequent, times = shared.value
         number = {w: i for i, w in enumerate(frequent)}.get
         logs = np.append(np.log10(times + 0.1), 0.0)
         for batch in batches:
@@ -317,20 +597,28 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share:
                 far = np.flatnonzero(at == len(frequent))
                 n_far = np.add.reduceat((at == len(frequent)).astype(np.int64), begin)
                 bounds = np.concatenate(([0], np.cumsum(n_far))).astype(np.int32)
+                lengths = np.fromiter(map(len, part), np.int64, len(part))
+                first = np.cumsum(lengths + 1) - lengths - 1
+                codes = gram_codes(part, depth)
+                value, hit = lookup.find(codes)
+                missed = np.concatenate(([0], np.cumsum(np.add.reduceat((~hit).astype(np.int64), first)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(sizes), pa.array(sizes - n_far),
-                    pa.array(np.add.reduceat(logs[at], begin)), pa.array(model.scores(part)),
-                    pa.array(np.fromiter(map(len, part), np.int64, len(part))),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array([flat[i] for i in far.tolist()], pa.binary()))], names)
+                    pa.array(np.add.reduceat(logs[at], begin)), pa.array(np.add.reduceat(value, first)), pa.array(lengths),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array([flat[i] for i in far.tolist()], pa.binary())),
+                    pa.ListArray.from_arrays(pa.array(missed), pa.array(codes[~hit]))], names)
 
     scored = written(rows.mapInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, n_bytes long, rare array<binary>")
+        run, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, n_bytes long, rare array<binary>, grams array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "ctw-scored")
     shared.destroy()
     rare = (scored.select("row", F.explode("rare").alias("word")).join(words, "word", "left").groupBy("row")
             .agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("rare_logs"), F.count("c").alias("rare_known")))
+    seldom = (scored.select("row", F.explode("grams").alias("code")).join(values.select("code", "value"), "code")
+              .groupBy("row").agg(F.sum(F.col("value").cast("double")).alias("seldom")))
     norm = math.log10(tokens + 0.1 * (distinct + 1))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.drop("rare", "grams").join(rare, "row", "left").join(seldom, "row", "left").withColumn(
+        "score", F.col("score") + F.coalesce("seldom", F.lit(0.0))).select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"), "score",

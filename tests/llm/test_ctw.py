@@ -137,3 +137,31 @@ def test_model_beats_shallower_ones_on_held_out_text(spark):
     train, test = texts[:800], texts[800:]
     flat, deep = (model_of(train, d, 0.001).scores(test).sum() for d in (0, 3))
     assert deep > 0.75 * flat  # at least a quarter fewer digits than single bytes
+
+
+def test_rare_contexts_leave_a_trace_in_a_large_corpus(spark):
+    common = "the cat sat on the mat and the dog lay by the door " * 40
+    plain = [(i, common) for i in range(60)]
+    rare = plain + [(i, "zyxwvut") for i in (1000, 1001, 1002)]  # below 2^-15 of a corpus of 100,000 bytes
+    probe = next(i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 10 == 0)
+
+    def scored(rows, **how):
+        docs = spark.createDataFrame([*rows, (probe, "zyxwvut")], "doc_id long, text string")
+        return {r.doc_id: r.score for r in ctw.score(docs, **how).collect()}
+
+    with_it, without = scored(rare), scored(plain)
+    kept = [t.encode() for i, t in rare if zlib.crc32(str(i).encode()) % 10]
+    assert with_it[probe] == pytest.approx(float(model_of(kept, ctw.DEPTH, 0.0).scores([b"zyxwvut"])[0]), rel=1e-5)
+    assert with_it[probe] > without[probe] / 2
+    # what travels to the tasks does not change a score
+    assert scored(rare, most_shared=10) == pytest.approx(with_it, rel=1e-9)
+
+
+@pytest.mark.parametrize("depth,share", [(0, 0.0), (1, 0.0), (3, 0.0), (5, 0.02), (6, 0.0)])
+def test_tables_hold_the_model(spark, depth, share):
+    rows = [(False, t) for t in TEXTS] + [(True, t) for t in (b"zzz abra", b"the cow")]
+    grams = ctw.written(ctw.count_grams(spark.createDataFrame(rows, "held_out boolean, body binary"), depth), "test-grams")
+    value = {r.code: r.value for r in ctw.log_probabilities(grams, depth, share).collect()}
+    model = model_of(TEXTS, depth, share)
+    for _, t in rows:
+        assert sum(value[int(c)] for c in ctw.gram_codes([t], depth)) == pytest.approx(model.scores([t])[0], rel=1e-5)

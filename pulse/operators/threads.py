@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from pulse.functions.text import has_text
 from pulse.operators.filters import drop_blank_comments
 from pulse.operators.limits import top_comments
+from pulse.operators.sequence import number_rows
 from pulse.schema import COMMENT_STRUCT, CONTENT_COLUMNS, REDDIT, THREAD_SEPARATOR, YOUTUBE
 
+#: comments in a row of a thread that is nested in parts
+PART_COMMENTS = 500
+
 
 def _empty_comments() -> Column:
     return F.array().cast(f"array<{COMMENT_STRUCT.simpleString()}>")
@@ -38,6 +42,20 @@ def nest_threads(posts: DataFrame, comments: DataFrame, limit: int | None = None
     return joined.withColumn("comments", F.coalesce(F.col("comments"), empty))
 
 
+def nest_parts(comments: DataFrame, size: int = PART_COMMENTS) -> DataFrame:
+    """D6 for threads of any length: ``post_id, part, comments`` with at most
+    ``size`` comments a row, in listing order over the parts of a post (from 0).
+
+    Rows are numbered by ranges, so neither a task nor a row holds a hot post.
+    """
+    width = int(comments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = number_rows(comments, ["post_id"], ["position", "content_id"], "_n", num_partitions=width)
+    entry = F.struct(F.col("_n"), F.struct(*CONTENT_COLUMNS).alias("c"))
+    return (numbered.groupBy("post_id", F.floor((F.col("_n") - 1) / size).alias("part"))
+            .agg(F.array_sort(F.collect_list(entry)).alias("_cs"))
+            .select("post_id", "part", F.transform("_cs", lambda x: x.getField("c")).alias("comments")))
+
+
 def thread_text(post_text: Column | str = "comment_raw_text",
                 comments: Column | str = "comments") -> Column:
     """Post text (if any) then `` commento:`` + each non-blank comment.

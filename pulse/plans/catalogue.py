@@ -20,7 +20,7 @@ from pulse.operators import limits as L
 from pulse.operators import report as R
 from pulse.operators import terms as TR
 from pulse.operators.sentiment import score_thread_rows, score_threads
-from pulse.operators.threads import nest_threads, thread_text, thread_texts
+from pulse.operators.threads import nest_parts, thread_text, thread_texts
 from pulse.plans import common as CM
 from pulse.schema import COMMENTS_PER_POST, COMMENTS_PER_VIDEO, POSTS_PER_RUN, THREAD_SEPARATOR
 from pulse.sources import normalize as N
@@ -316,13 +316,17 @@ def thread_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 def big_threads(spark: SparkSession, sf: str) -> DataFrame:
     """D6 T1 T3 without a cap: every document source is a thread (its first
     document the post, all others the comments), so threads have hundreds of
-    comments; nested, glued and labelled both ways."""
+    comments or, for a hot source, a large share of all rows; nested in parts,
+    glued and labelled by part, and labelled from flat rows."""
     CM.prepare(spark)
     posts, cs = TB.source_threads(spark, sf)
     flat = score_thread_rows(posts, cs, CM.scorer()).select("content_id", F.col("score").alias("flat_score"), "sentiment")
-    nested = nest_threads(posts, cs)
-    documents = score_threads(nested, CM.scorer()).select(
-        "content_id", F.size("comments").alias("n_comments"), F.length("thread_text").alias("n_chars"), "score")
+    parts = nest_parts(cs).select(F.col("post_id").alias("content_id"), F.lit("").alias("comment_raw_text"), "comments")
+    heads = posts.select("content_id", "comment_raw_text", F.array().cast(parts.schema["comments"].dataType).alias("comments"))
+    # a part begins with the separator, so lengths and scores of the parts add up
+    documents = score_threads(heads.unionByName(parts), CM.scorer()).groupBy("content_id").agg(
+        F.sum(F.size("comments")).cast("int").alias("n_comments"), F.sum(F.length("thread_text")).cast("int").alias("n_chars"),
+        F.sum("score").alias("score"))
     return documents.join(flat, "content_id")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from pulse.functions.content import user_or_none
 from pulse.operators.report import item_series
-from pulse.operators.threads import nest_threads
+from pulse.operators.threads import nest_parts, nest_threads
 from pulse.schema import CONTENT_COLUMNS
 
 
@@ -27,6 +27,20 @@ def test_hot_post_nesting_is_bounded_and_exact(spark):
     assert out.filter(F.size("comments") == 1).count() == 200
 
 
+def test_hot_post_is_nested_in_bounded_rows(spark):
+    parts = nest_parts(_comments(spark, 3000, 20), 100).filter("post_id = 'hot'").orderBy("part").select(
+        "part", F.transform("comments", lambda c: c["content_id"]).alias("ids")).collect()
+    assert [(r.part, len(r.ids)) for r in parts] == [(i, 100) for i in range(30)]
+    assert [i for r in parts for i in r.ids] == [f"hot_{i}" for i in range(3000)]
+
+
+def test_big_threads_gathers_by_part(spark):
+    from pulse.plans.catalogue import big_threads
+    plan = big_threads(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [x for x in plan.splitlines() if "collect_list" in x]
+    assert gathered and all("_groupingexpression" in x or "/ 500" in x for x in gathered)
+
+
 def test_series_with_one_dominant_platform(spark):
     data = [("A", i, f"a{i:05d}", "Neutral") for i in range(3000)] + [("B", i, f"b{i}", "Positive") for i in range(5)]
     df = spark.createDataFrame(data, "social_media string, t long, content_id string, sentiment string")

@@ -17,7 +17,7 @@ Signatures are cut into bands; documents that share a band are candidates. In a
 bucket every member is compared with the bucket's best connected text only, the
 verified links are joined to classes, and where members of several classes are
 left in a bucket, members of different classes are compared, chunk by chunk,
-unless their signatures rule out the threshold (by four standard deviations). So
+unless their signatures rule out the threshold (by 5.5 standard deviations). So
 a bucket of n copies costs n comparisons, not n squared; what grows faster is the
 number of pairs of different classes whose signatures are just below it, which
 have to be looked at to lose no link.
@@ -53,7 +53,7 @@ SLOTS = 512
 #: bits of every slot kept for ruling out pairs, and how many standard
 #: deviations beyond its expectation a similar pair's difference may lie
 SLOT_BITS = 4
-SIGMAS = 4.0
+SIGMAS = 5.5
 CHUNK = 256
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)

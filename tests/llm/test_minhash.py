@@ -118,3 +118,12 @@ def test_left_over_classes_of_a_bucket_are_compared(spark, monkeypatch):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert minhash.near_classes(frame).count() == 0 and minhash.keep_one(frame).count() == 0
+
+
+def test_signatures_rule_out_fewer_similar_pairs_than_the_bands_miss():
+    from math import comb
+    p = (1 - minhash.THRESHOLD) * (1 - 2.0 ** -minhash.SLOT_BITS)
+    most, n = minhash.most_different_slots(minhash.SLOTS, minhash.THRESHOLD), minhash.SLOTS
+    lost = sum(comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(most + 1, n + 1))
+    missed = (1 - minhash.THRESHOLD ** minhash.ROWS) ** minhash.BANDS
+    assert lost < 1e-7 and lost + missed < 3e-6

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitpack, chat, ctw, decontam, licences, minhash, packing, quality, urlfilter, warc
+from . import bitpack, chat, chunked_bpe, ctw, decontam, dialogue_repair, licences, merkle, minhash, packing, quality, urlfilter, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_token_bits": bitpack.op8_token_bits,
     "op9_ctw": ctw.op9_ctw,
     "op10_warc": warc.op10_warc,
+    "op11_dialogue_repair": dialogue_repair.op11_dialogue_repair,
+    "op12_merkle": merkle.op12_merkle,
+    "op13_chunked_bpe": chunked_bpe.op13_chunked_bpe,
 }
 
 SQL = {
@@ -23,4 +26,6 @@ SQL = {
     "op4_chat_rotation": chat.SQL_OP4,
     "op6_url_filter": urlfilter.SQL_OP6,
     "op10_warc": warc.SQL_OP10,
+    "op11_dialogue_repair": dialogue_repair.SQL_OP11,
+    "op12_merkle": merkle.SQL_OP12,
 }

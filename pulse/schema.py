@@ -99,6 +99,10 @@ THREAD = T.StructType(CONTENT_FIELDS + CONTEXT_FIELDS
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+# K2: number of the staging and position in it, carried by staged documents.
+STAGED_ORDER = ["staged_seq", "staged_pos"]
+
+
 def lenient(schema: T.StructType) -> T.StructType:
     """Same fields, all nullable, plus the corrupt-record column."""
     fields = [T.StructField(f.name, f.dataType, True) for f in schema.fields]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulse.functions.text import emoji_csv
+from pulse.schema import CORRUPT_COLUMN, STAGED_ORDER
+from pulse.sources import folders
 from pulse.sources.files import CSV_OPTIONS
 
 
@@ -47,6 +49,46 @@ def stage_documents(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def stage_keyed(df: DataFrame, path: str, position: Column | None = None) -> int:
+    """K2, keyed: stage documents with the number of this staging and their position.
+
+    The number is claimed by a marker file (one winner each), so it grows with
+    every staging; ``position`` orders the documents of one staging (the order
+    of the frame by default). Readers take the last staged document of an id.
+    """
+    spark = df.sparkSession
+    taken = [int(n) for n in folders.names(spark, f"{path}/_seq")]
+    seq = max(taken, default=0) + 1
+    while not folders.claim(spark, f"{path}/_seq/{seq}"):
+        seq += 1
+    at = F.monotonically_increasing_id() if position is None else position.cast("long")
+    stage_documents(df.withColumn(STAGED_ORDER[0], F.lit(seq).cast("long")).withColumn(STAGED_ORDER[1], at), path)
+    return seq
+
+
+def staged_identity(docs: DataFrame, key: str = "content_id") -> Column:
+    """What tells staged documents apart: the key, else the raw text of a line that
+    could not be read, else the content."""
+    raw = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in docs.columns else F.lit(None)
+    content = F.to_json(F.struct(*[F.col(c) for c in docs.columns if c not in STAGED_ORDER]))
+    return F.coalesce(F.col(key), raw, content)
+
+
+def latest_staged(docs: DataFrame, key: str = "content_id") -> DataFrame:
+    """K2, read side: the last staged document of each id, with its identity ``_row``.
+
+    An aggregate with a partial phase. Documents staged without order come before
+    all others; what the order does not decide, a hash of the content does.
+    """
+    for c in STAGED_ORDER:
+        if c not in docs.columns:
+            docs = docs.withColumn(c, F.lit(None).cast("long"))
+    plain = [c for c in docs.columns if c not in STAGED_ORDER]
+    order = F.struct(*STAGED_ORDER, F.xxhash64(*plain))
+    last = F.max_by(F.struct(*docs.columns), order)
+    return docs.withColumn("_row", staged_identity(docs, key)).groupBy("_row").agg(last.alias("_last")).select("_row", "_last.*")
+
+
 def write_report(tables: dict[str, DataFrame], path: str, partition_by: str = "social_media") -> None:
     """K6: report tables as Parquet, one folder per table, per platform."""
     for name, table in tables.items():

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pulse.schema import CONTENT, CORRUPT_COLUMN, THREAD, lenient
+from pulse.schema import CONTENT, CORRUPT_COLUMN, STAGED_ORDER, THREAD, lenient
 
 CSV_OPTIONS = {
     "header": "true",
@@ -32,7 +32,9 @@ def no_data(error: AnalysisException) -> bool:
 
 def _json(spark: SparkSession, path: str, schema: T.StructType, streaming: bool,
           max_files_per_trigger: int | None, clean_source: str | None = None,
-          archive_dir: str | None = None) -> DataFrame:
+          archive_dir: str | None = None, sequence: bool = False) -> DataFrame:
+    if sequence:
+        schema = T.StructType([*schema.fields, *[T.StructField(c, T.LongType()) for c in STAGED_ORDER]])
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(lenient(schema)).options(**JSON_OPTIONS)
     if streaming and max_files_per_trigger:
@@ -47,20 +49,21 @@ def _json(spark: SparkSession, path: str, schema: T.StructType, streaming: bool,
 
 def read_threads(spark: SparkSession, path: str, streaming: bool = False,
                  max_files_per_trigger: int | None = None, clean_source: str | None = None,
-                 archive_dir: str | None = None) -> DataFrame:
-    """Staged thread documents (post + ``comments``).
+                 archive_dir: str | None = None, sequence: bool = False) -> DataFrame:
+    """Staged thread documents (post + ``comments``); ``sequence`` reads their
+    staging order (K2) along.
 
     A line that is not JSON becomes a row with only ``_corrupt_record`` set;
     the quarantine (F7) routes it aside while the other lines are read.
     """
-    return _json(spark, path, THREAD, streaming, max_files_per_trigger, clean_source, archive_dir)
+    return _json(spark, path, THREAD, streaming, max_files_per_trigger, clean_source, archive_dir, sequence)
 
 
 def read_comments(spark: SparkSession, path: str, streaming: bool = False,
                   max_files_per_trigger: int | None = None, clean_source: str | None = None,
-                  archive_dir: str | None = None) -> DataFrame:
-    """Staged flat comment documents."""
-    return _json(spark, path, CONTENT, streaming, max_files_per_trigger, clean_source, archive_dir)
+                  archive_dir: str | None = None, sequence: bool = False) -> DataFrame:
+    """Staged flat comment documents; ``sequence`` as for threads."""
+    return _json(spark, path, CONTENT, streaming, max_files_per_trigger, clean_source, archive_dir, sequence)
 
 
 def read_topic_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -19,10 +19,12 @@ from pulse.plans import common as CM
 from pulse.plans import oracle as O
 from pulse.schema import DISCOVERY_PAGE
 from pulse.session import scratch_path
-from pulse.sinks.files import stage_documents, write_parquet, write_report
+from pulse.sinks.files import stage_documents, stage_keyed, write_parquet, write_report
 from pulse.sources import tables as TB
 from pulse.sources.files import read_comments, read_threads
 from pulse.streaming import jobs as J
+from pulse.streaming import labelling as LB
+from pulse.streaming import windows as WN
 
 FILES_PER_TRIGGER = DISCOVERY_PAGE
 # Landing waves (and micro-batches) of the arrival-order query.
@@ -266,6 +268,65 @@ def consumed_files(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("content_id", "sentiment", user_or_none("user").alias("author"), F.col("labelled_at").isNotNull().alias("stamped"))
 
 
+def _changed(rows: DataFrame) -> DataFrame:
+    """Stand-in for edited comments: an abusive word is added."""
+    return rows.withColumn("comment_raw_text", F.concat("comment_raw_text", F.lit(" trash trash")))
+
+
+def stream_label_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """Comments staged twice before the first cycle (the last staging
+    counts), some without a time; before the second cycle some of these come again with
+    it, and labelled ones come again changed (which changes nothing). Two cycles, then
+    all of it again from a fresh checkpoint. Returns stored documents with their number
+    in the order of labelling, waiting rejects with their attempts, and the counts per label."""
+    CM.prepare(spark)
+    base = scratch_path(spark, "label_cycles")
+    number = F.substring_index("content_id", "_", -1).cast("long")
+    rows = CM.comments(spark, sf)
+    broken = rows.withColumn("publish_date", F.when(number % 4 != 0, F.col("publish_date")))
+
+    def cycle(checkpoint: str) -> None:
+        src = read_comments(spark, f"{base}/staged", streaming=True, sequence=True)
+        LB.label_cycles(src, _label_comments, f"{base}/out", f"{base}/{checkpoint}")
+
+    stage_keyed(broken, f"{base}/staged", position=number)
+    stage_keyed(_changed(broken.filter(number % 5 == 0)), f"{base}/staged", position=-number)
+    cycle("ckpt")
+    stage_keyed(rows.filter((number % 8 == 0) & (number % 5 != 0)), f"{base}/staged", position=number)
+    stage_keyed(_changed(rows.filter(number % 4 == 1)), f"{base}/staged", position=number)
+    cycle("ckpt")
+    cycle("fresh")
+    stored = spark.read.parquet(f"{base}/out/store").select(
+        F.lit("stored").alias("kind"), "content_id", F.concat_ws("/", "sentiment", F.length("comment_raw_text").cast("string")).alias("detail"), F.col("item").alias("n"))
+    waiting = LB.waiting_rejects(spark, f"{base}/out").select(
+        F.lit("waiting").alias("kind"), "content_id", F.col("reason").alias("detail"), F.col("attempts").cast("long").alias("n"))
+    totals = LB.label_totals(spark, f"{base}/out").select(
+        F.lit("total").alias("kind"), F.col("social_media").alias("content_id"), F.col("sentiment").alias("detail"), "n")
+    return stored.unionByName(waiting).unionByName(totals)
+
+
+def stream_sentiment_over_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled comments landed in five waves, some of them one or three waves
+    after their time, counted per hour, topic and label as a stream with a watermark
+    of two hours; late ones are counted aside. The job is run again on its checkpoint."""
+    CM.prepare(spark)
+    base = scratch_path(spark, "stream_windows")
+    number = F.substring_index("content_id", "_", -1).cast("long")
+    rows = CM.labelled_comments(spark, sf).select("content_id", "social_media", "topic", "sentiment", "publish_date", number.alias("number"))
+    many = rows.agg((F.max("number") + 1).alias("many")).first()["many"]
+    late = F.when(F.col("number") % 31 == 0, 3).when(F.col("number") % 7 == 0, 1).otherwise(0)
+    waves = rows.withColumn("wave", F.least(F.floor(F.col("number") * CHUNKS / F.lit(many)) + late, F.lit(CHUNKS - 1))).drop("number")
+    per_wave = _land_in_order(waves, f"{base}/landing", "wave")
+    for _run in ("first", "restart"):
+        src = spark.readStream.schema(waves.schema).option("maxFilesPerTrigger", per_wave).json(f"{base}/landing")
+        WN.windowed_counts(src, base, f"{base}/ckpt", "1 hour", "2 hours", by=["topic"])
+    counted = WN.read_windows(spark, base)
+    late_rows = WN.read_late(spark, base).groupBy(F.window("publish_date", "1 hour").alias("w"), "topic", "sentiment").agg(F.count(F.lit(1)).alias("n"))
+    late_rows = late_rows.select(F.col("w.start").alias("window_start"), "topic", "sentiment", "n", F.lit("late").alias("status"))
+    out = counted.drop("window_end").unionByName(late_rows)
+    return out.select(CM.iso("window_start").alias("window_start"), "topic", "sentiment", "n", "status")
+
+
 STREAM_QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_ingest_stateful": stream_ingest_stateful,
@@ -277,8 +338,12 @@ STREAM_QUERIES = {
     "read_staged_documents": read_staged_documents,
     "report_tables": report_tables,
     "consumed_files": consumed_files,
+    "stream_label_cycles": stream_label_cycles,
+    "stream_sentiment_over_time": stream_sentiment_over_time,
 }
 
+_EDITED = "CASE WHEN doc_id % 5 = 0 THEN text || ' trash trash' ELSE text END"
+
 STREAM_SQL = {
     "stream_ingest": f"""
 SELECT 'events' AS social_media, event_type AS scope, 'item_' || user_id AS content_id, event_id,
@@ -340,5 +405,28 @@ SELECT social_media, sentiment, n, share, n AS counted, summary FROM x JOIN y US
 WITH x AS (""" + O.SQL["comment_sentiment"] + f""")
 SELECT content_id, sentiment, CASE WHEN length({O.P7('text')}) % 3 <> 0 THEN source ELSE 'None' END AS author, true AS stamped
 FROM x JOIN documents ON content_id = 'yt_comm_' || doc_id WHERE NOT defaulted
+""",
+    # cycle 1 labels what has a time; the edited ones were staged after all others, last first
+    "stream_label_cycles": f"""
+WITH x AS (WITH documents AS (SELECT doc_id, {_EDITED} AS text, lang, source, n_chars FROM documents) SELECT * FROM (""" + O.SQL["comment_sentiment"] + f""")),
+d AS (SELECT doc_id, {O.P7(_EDITED)} AS raw, {_EDITED} AS text,
+        CASE WHEN doc_id % 4 <> 0 THEN 1 WHEN doc_id % 8 = 0 AND doc_id % 5 <> 0 THEN 2 ELSE 0 END AS cycle FROM documents),
+e AS (SELECT d.*, x.sentiment FROM d JOIN x ON x.content_id = 'yt_comm_' || d.doc_id WHERE NOT x.defaulted AND cycle > 0),
+b AS (SELECT doc_id, {O.HAS(O.P7('text'))} AS has_text, cycle FROM d)
+SELECT 'stored' AS kind, 'yt_comm_' || doc_id AS content_id, sentiment || '/' || length(raw) AS detail,
+       row_number() OVER (ORDER BY cycle, CASE WHEN cycle = 1 AND doc_id % 5 = 0 THEN 2 ELSE 1 END, CASE WHEN cycle = 1 AND doc_id % 5 = 0 THEN -doc_id ELSE doc_id END) AS n FROM e
+UNION ALL SELECT 'waiting', 'yt_comm_' || doc_id, CASE WHEN cycle = 0 THEN 'bad_time' ELSE 'blank_text' END, 3 FROM b WHERE cycle = 0 OR NOT has_text
+UNION ALL SELECT 'total', 'YouTube', sentiment, count(*) FROM e GROUP BY sentiment
+""",
+    "stream_sentiment_over_time": f"""
+WITH x AS (""" + O.SQL["comment_sentiment"] + f"""),
+r AS (SELECT d.lang AS topic, x.sentiment, {O.TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S}')} AS ts,
+  least(CAST(floor(doc_id * {CHUNKS} / (SELECT max(doc_id) + 1 FROM documents)) AS BIGINT) + CASE WHEN doc_id % 31 = 0 THEN 3 WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END, {CHUNKS - 1}) AS wave
+  FROM documents d JOIN x ON x.content_id = 'yt_comm_' || d.doc_id),
+w AS (SELECT *, date_trunc('hour', ts) AS hour, (SELECT max(ts) - INTERVAL 2 HOUR FROM r b WHERE b.wave < r.wave) AS mark FROM r),
+s AS (SELECT *, coalesce(hour + INTERVAL 1 HOUR <= mark, false) AS late FROM w)
+SELECT {O.ISO('hour')} AS window_start, topic, sentiment, count(*) AS n,
+  CASE WHEN late THEN 'late' WHEN hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM r) THEN 'closed' ELSE 'open' END AS status
+FROM s GROUP BY hour, topic, sentiment, late
 """,
 }

@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 from pulse.operators import dedup as D
 from pulse.operators import filters as FL
 from pulse.operators import report as R
+from pulse.operators.ledger import Ledger
 from pulse.operators.threads import route_by_platform
 from pulse.operators import terms as TR
 from pulse.operators.threads import item_texts
 from pulse.schema import CORRUPT_COLUMN
 from pulse.sinks.files import write_report
 from pulse.sources.files import no_data
+from pulse.streaming.state import batch_folder, run_id
 
 
 def read_or_none(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:
@@ -97,11 +99,13 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
 
     ``source`` is a streaming DataFrame of observations (``readStream`` of
     the landing folder with ``maxFilesPerTrigger`` = W3). Per micro-batch:
-    D2 keep-first, D1 against the ledger, K2 stage, K4 record. Staging
-    before recording, each step idempotent: a crash between them is repaired
-    by the replay (the staged rows are skipped, the ledger entries added).
+    D2 keep-first, D1 against the bucketed ledger, K2 stage, K4 record. The new
+    rows of a micro-batch overwrite its own folder of the store, and a replay
+    does not see the entries it recorded itself, so a crash between the steps is repaired
+    by the replay; a run from a fresh checkpoint finds all keys in the ledger. A trigger
+    reads the ledger's buckets of its keys, and never the store.
     ``order_cols`` hold the arrival (and tell rows of one key apart). With
-    ``rejects``, rows that fail the quarantine (F7) go there with their reason.
+    ``rejects``, rows that fail the quarantine (F7) go there with their reason, each once.
     """
     keys = keys or D.LEDGER_KEYS
     # A12 (streaming form): items seen per micro-batch, reported in the
@@ -109,19 +113,26 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     source = source.observe("cycle", F.count(F.lit(1)).alias("items"),
                             F.approx_count_distinct(F.col(keys[-1])).alias("approx_distinct"))
 
+    def once(rows: DataFrame, path: str, seen: Ledger, run: str, batch_id: int) -> None:
+        """Rows whose key is new into the batch's folder, then their keys into the ledger."""
+        rows = rows.persist()
+        look = seen.lookup(rows, f"{run}/{batch_id}")
+        fresh = look.unseen().persist()
+        fresh.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))  # K2
+        look.record(fresh)                                                        # K4
+        fresh.unpersist()
+        rows.unpersist()
+
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run = run_id(spark, checkpoint)
         batch.persist()
         ok = batch
         if rejects:
             ok, rejected = FL.quarantine(batch)
-            append_rejects(rejected, rejects)
-        firsts = D.keep_first(ok, keys, order_cols)
-        seen = read_or_none(spark, ledger, keys)
-        fresh = D.skip_seen(firsts, seen, keys).persist()
-        append_new(fresh, store, keys)                        # K2
-        append_new(D.ledger_entries(fresh, keys), ledger, keys)  # K4
-        fresh.unpersist()
+            rejected = with_identity(rejected).withColumn("_key", F.sha2("_row", 256)).dropDuplicates(["reason", "_key"])
+            once(rejected, rejects, Ledger(spark, f"{rejects}_ledger", ["reason", "_key"]), run, batch_id)
+        once(D.keep_first(ok, keys, order_cols), store, Ledger(spark, ledger, keys), run, batch_id)
         batch.unpersist()
 
     writer = (source.writeStream.foreachBatch(each)

@@ -64,6 +64,12 @@ EMOJI = (r"[\x{1F1E6}-\x{1F1FF}]{2}|[0-9#*]\x{FE0F}?\x{20E3}|"
          r"\x{1F3F4}[\x{E0020}-\x{E007E}]+\x{E007F}|"
          + _PICTO + r"(?:\x{200D}" + _PICTO + ")*")
 
+# No emoji without one of these: the two below U+2000, or anything from there on.
+_MAY_SHOW = r"\x{A9}\x{AE}\x{2000}-\x{10FFFF}"
+EMOJI_SIGN = f"[{_MAY_SHOW}]"
+# Runs that are part of no emoji (digits, # and * are, as keycaps).
+EMOJI_FREE = f"[^0-9#*{_MAY_SHOW}]+"
+
 # Word tokens: a letter/digit/underscore followed by at least one more
 # letter/digit/underscore/apostrophe (Unicode classes; never \w or \b).
 TOKEN = r"[\p{L}\p{N}_][\p{L}\p{N}_']+"
@@ -105,9 +111,14 @@ def has_text(col) -> Column:
 
 
 def distinct_emoji(col) -> Column:
-    """Distinct emoji in first-appearance order (empty array for none)."""
+    """Distinct emoji in first-appearance order (empty array for none).
+
+    Most texts are told to hold none by their byte count or by one small class; of
+    the others, each run that is part of no emoji is one space before the search.
+    """
     c = F.coalesce(_c(col), F.lit(""))
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(EMOJI), 0))
+    found = F.array_distinct(F.regexp_extract_all(F.regexp_replace(c, EMOJI_FREE, " "), F.lit(EMOJI), 0))
+    return F.when((F.octet_length(c) != F.length(c)) & c.rlike(EMOJI_SIGN), found).otherwise(F.array().cast("array<string>"))
 
 
 def emoji_csv(col) -> Column:

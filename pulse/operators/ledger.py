@@ -34,6 +34,15 @@ IDS_PUSHED = 2000
 _IN_LIST = "spark.sql.parquet.pushdown.inFilterThreshold"
 
 
+def _one_of(column: str, values: set) -> str:
+    """SQL test for membership, parsed in one go (a literal each would be a call each)."""
+    def literal(v) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    some = ", ".join(sorted(literal(v) for v in values if v is not None))
+    tests = ([f"`{column}` IN ({some})"] if some else []) + ([f"`{column}` IS NULL"] if None in values else [])
+    return " OR ".join(tests) or "false"
+
+
 class Ledger:
     """Keys that were seen, at ``path``. ``keys`` ends with the id column."""
 
@@ -116,8 +125,7 @@ class Lookup:
         found = self.ledger.read_buckets(self.buckets, self.rows)
         if found is None or self.ids is None:
             return found
-        same = F.col(self.ledger.id).isin([i for i in self.ids if i is not None])
-        return found.where(same | F.col(self.ledger.id).isNull() if None in self.ids else same)
+        return found.where(_one_of(self.ledger.id, self.ids))
 
     def unseen(self) -> DataFrame:
         known = self.entries()

@@ -41,10 +41,16 @@ def label_share(labelled: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
 
 
 def item_series(labelled: DataFrame, order_cols: list[str], by: list[str] = PLATFORM) -> DataFrame:
-    """A3: ``Item i`` series per group in arrival order -> ordinal, colour."""
-    cols = list(dict.fromkeys([*by, *order_cols, "content_id", "sentiment"]))
-    base = labelled.select(*cols)
-    numbered = number_rows(base, by, order_cols, "item")
+    """A3: ``Item i`` series per group in arrival order -> ordinal, colour.
+
+    Documents that carry the ``item`` number they got when they were labelled are taken
+    as they are: no sort, no checkpoint of the store.
+    """
+    if "item" in labelled.columns:
+        numbered = labelled.select(*by, "item", "content_id", "sentiment")
+    else:
+        cols = list(dict.fromkeys([*by, *order_cols, "content_id", "sentiment"]))
+        numbered = number_rows(labelled.select(*cols), by, order_cols, "item")
     return numbered.select(*by, "item", F.concat(F.lit("Item "), F.col("item").cast("string")).alias("item_label"),
                            "content_id", "sentiment",
                            label_to_ordinal(F.col("sentiment")).alias("ordinal"),

@@ -114,9 +114,9 @@ def distinct_emoji(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.concat(F.col("text"), suffix)
     return docs.select(
         "doc_id",
-        X.emoji_csv(X.distinct_emoji(raw)).alias("emoji_raw"),
-        X.emoji_csv(X.distinct_emoji(X.clean_comment_text(raw))).alias("emoji_cleaned"),
-        F.size(X.distinct_emoji(raw)).alias("n_emoji"))
+        X.distinct_emoji(raw).alias("raw"), X.distinct_emoji(X.clean_comment_text(raw)).alias("cleaned")
+    ).select("doc_id", X.emoji_csv("raw").alias("emoji_raw"), X.emoji_csv("cleaned").alias("emoji_cleaned"),
+             F.size("raw").alias("n_emoji"))
 
 
 # ------------------------------------------------------------------ filters

@@ -44,7 +44,7 @@ def label_cycles(source: DataFrame, label: Callable[[DataFrame], DataFrame], bas
         spark = batch.sparkSession
         run = run_id(spark, checkpoint)
         by = f"{run}/{batch_id}"
-        ledger = Ledger(spark, f"{base}/labelled", ["_row"])
+        ledger = Ledger(spark, f"{base}/labelled", ["_id"])
         queue, numbers = BatchTable(spark, f"{base}/rejects"), BatchTable(spark, f"{base}/numbers")
         docs = latest_staged(batch, key)
         fresh = docs.columns
@@ -56,9 +56,10 @@ def label_cycles(source: DataFrame, label: Callable[[DataFrame], DataFrame], bas
             docs = docs.unionByName(again).join(past, "_row", "left")
         else:
             docs = docs.withColumn("_a", F.lit(None).cast("int")).withColumn("_f", F.lit(None).cast("timestamp"))
-        docs = docs.persist()
+        # malformed lines have their whole text as identity: the ledger keeps a digest
+        docs = docs.withColumn("_id", F.sha2("_row", 256)).persist()
         look = ledger.lookup(docs, by)
-        todo = look.unseen().withColumn("reason", FL.quarantine_reason(docs.drop("_row", "_a", "_f", *STAGED_ORDER))).persist()
+        todo = look.unseen().withColumn("reason", FL.quarantine_reason(docs.drop("_row", "_id", "_a", "_f", *STAGED_ORDER))).persist()
         ok = todo.where("reason is null").drop("reason", "_a", "_f", CORRUPT_COLUMN)
         number = number_rows(ok.select("_row", "social_media", *STAGED_ORDER), ["social_media"], [*STAGED_ORDER, "_row"], "item")
         number = number.select(F.col("_row").alias("_r"), "item")

@@ -28,8 +28,8 @@ from pulse.sources import folders
 BUCKETS = 16
 #: files of a bucket before they are merged
 FILES = 8
-#: ids that are pushed to the scan; a larger batch reads its buckets whole
-IDS_PUSHED = 2000
+#: ids that are pushed to the scan (Parquet tests them in a nested OR); a larger batch reads its buckets whole
+IDS_PUSHED = 200
 
 _IN_LIST = "spark.sql.parquet.pushdown.inFilterThreshold"
 

@@ -5,9 +5,9 @@ A shard file holds blocks of ``BLOCK_IDS`` ids, so that a block begins at a
 whole byte and any id can be reached by arithmetic; the footer names the byte
 offset of every block and the documents of the shard:
 
-    b"PBITS1\\0\\0" | blocks | block offsets u64[] | doc starts u64[] (one more
-    than documents) | footer: ids u64, blocks u64, documents u64, block ids u32,
-    bits u32, table offset u64, b"PBITS1\\0\\0"
+    b"PBITS2\\0\\0" | blocks | block offsets u64[] | doc starts u64[] (one more
+    than documents) | doc ids i64[] | 1 for a null doc id u8[] | footer: ids u64,
+    blocks u64, documents u64, block ids u32, bits u32, table offset u64, b"PBITS2\\0\\0"
 
 Documents are dealt to shards by ranges of (doc_id, position in the input), so
 shards follow each other in ascending doc_id order and a repeated id splits over
@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 
 from pulse.session import scratch_path
 
+from .chunked_bpe import Vocabulary
 from .packing import encoder
 from .storage import AttemptFile, open_store, ship_package, written
 from .tokens import slices, tokenizer_path, with_end_ids
 
-MAGIC = b"PBITS1\0\0"
+MAGIC = b"PBITS2\0\0"
 FOOTER = struct.Struct("<QQQIIQ8s")
 BLOCK_IDS = 1 << 16
 TOKENIZER = "byte_bpe_50k.json"
@@ -92,11 +93,15 @@ class ShardWriter:
         self._offsets: list[int] = []
         self._rest = np.empty(0, np.uint32)
         self._sizes: list[np.ndarray] = []
+        self._docs: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, sizes: np.ndarray, doc_ids: pa.Array | None = None) -> None:
         if len(ids) and int(ids.max()) >> self.bits:
             raise ValueError("an id does not fit the vocabulary's bits")
         self._sizes.append(sizes)
+        doc_ids = pa.nulls(len(sizes), pa.int64()) if doc_ids is None else doc_ids
+        self._docs.append((doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"),
+                           doc_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)))
         self.n += len(ids)
         ids = np.concatenate((self._rest, ids))
         whole = len(ids) // BLOCK_IDS * BLOCK_IDS
@@ -111,6 +116,9 @@ class ShardWriter:
         sizes = np.concatenate([np.zeros(1, np.int64), *self._sizes])
         table = self.file.write(np.array(self._offsets, "<u8").tobytes())
         self.file.write(np.cumsum(sizes).astype("<u8").tobytes())
+        for column in (0, 1):
+            for part in self._docs:
+                self.file.write(part[column].tobytes())
         self.file.write(FOOTER.pack(self.n, len(self._offsets), len(sizes) - 1, BLOCK_IDS, self.bits, table, MAGIC))
         self.file.close()
         return self.file.uri, self.n, len(sizes) - 1
@@ -127,9 +135,11 @@ class ShardReader:
             self._in.read_at(FOOTER.size, size - FOOTER.size))
         if magic != MAGIC:
             raise ValueError(f"not a shard file: {uri}")
-        tail = self._in.read_at(8 * (blocks + docs + 1), table)
+        tail = self._in.read_at(8 * (blocks + 2 * docs + 1) + docs, table)
         self.offsets = np.frombuffer(tail, "<u8", blocks)
         self.starts = np.frombuffer(tail, "<u8", docs + 1, 8 * blocks).astype(np.int64)
+        self.doc_ids = pa.array(np.frombuffer(tail, "<i8", docs, 8 * (blocks + docs + 1)),
+                                mask=np.frombuffer(tail, np.uint8, docs, 8 * (blocks + 2 * docs + 1)).astype(bool))
         self._at, self._block = -1, np.empty(0, np.uint32)
 
     def block(self, k: int) -> np.ndarray:
@@ -151,13 +161,30 @@ class ShardReader:
         self._in.close()
 
 
+_whole: dict[str, object] = {}
+
+
+def whole_encoder(path: str):
+    """The worker's encoder of whole texts: ids of all, and the number of each.
+
+    Byte-level files run in ``tiktoken`` without a memo; others as in packing.
+    """
+    if path not in _whole:
+        try:
+            _whole[path] = Vocabulary(path, special=False).encode_texts
+        except ValueError:
+            return encoder(path).encode
+    return _whole[path]
+
+
 def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None,
-                 vocabulary: int = VOCABULARY, end_id: int = END_ID) -> tuple[DataFrame, DataFrame]:
+                 vocabulary: int = VOCABULARY, end_id: int = END_ID, with_index: bool = True) -> tuple[DataFrame, DataFrame]:
     """Encode and write all documents in ascending doc_id order.
 
     Returns the manifest ``shard, uri, n_ids, n_docs, base`` (``base``: ids of
     all earlier shards) and the document index ``doc_id, shard, doc`` (``doc``:
-    position in the shard). Both are tables in the shared scratch folder.
+    position in the shard; empty unless ``with_index``, the files hold the ids
+    themselves). Both are tables in the shared scratch folder.
     """
     path = tokenizer or tokenizer_path(TOKENIZER)
     bits = bits_for(vocabulary)
@@ -168,16 +195,16 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None,
         schema = pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("doc", pa.int64()),
                             ("uri", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64())])
         for batch in batches:
-            enc = encoder(path)
+            enc = whole_encoder(path)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             writer = writer or ShardWriter(folder, shard, bits)
             for lo, hi in slices(texts):
-                ids, ends = with_end_ids(*enc.encode(texts[lo:hi]), end_id)
-                writer.add(ids, np.diff(ends, prepend=0))
-            n = len(texts)
+                ids, ends = with_end_ids(*enc(texts[lo:hi]), end_id)
+                writer.add(ids, np.diff(ends, prepend=0), batch.column(0).slice(lo, hi - lo))
+            n = len(texts) if with_index else 0
             none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(doc, doc + n)),
+                [batch.column(0).slice(0, n), pa.array(np.full(n, shard, np.int32)), pa.array(np.arange(doc, doc + n)),
                  pa.nulls(n, pa.string()), none, none], schema=schema)
             doc += n
         if writer:
@@ -204,7 +231,7 @@ def one_task_each(table: DataFrame, *keys: str) -> DataFrame:
 def read_documents(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
     """Documents of all shards, read back from the files.
 
-    Returns ``shard, doc, start, n_tokens, ids_crc32`` and, unless
+    Returns ``shard, doc, start, n_tokens, ids_crc32, doc_id`` and, unless
     ``with_ids`` is false, ``ids``.
     """
     ship_package(manifest.sparkSession)
@@ -223,8 +250,8 @@ def read_documents(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                     raw = memoryview(ids.astype("<u4").tobytes())
                     crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
                     cols = [pa.array(np.full(hi - lo, row["shard"], np.int32)), pa.array(np.arange(lo, hi)),
-                            pa.array(starts[lo:hi] + row["base"]), pa.array(np.diff(cut)), pa.array(crc, pa.int64())]
-                    names = ["shard", "doc", "start", "n_tokens", "ids_crc32"]
+                            pa.array(starts[lo:hi] + row["base"]), pa.array(np.diff(cut)), pa.array(crc, pa.int64()), reader.doc_ids.slice(lo, hi - lo)]
+                    names = ["shard", "doc", "start", "n_tokens", "ids_crc32", "doc_id"]
                     if with_ids:
                         cols.append(pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids.astype(np.int32))))
                         names.append("ids")
@@ -232,12 +259,11 @@ def read_documents(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                     lo = hi
                 reader.close()
 
-    schema = "shard int, doc long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema = "shard int, doc long, start long, n_tokens long, ids_crc32 long, doc_id long" + (", ids array<int>" if with_ids else "")
     return one_task_each(manifest, "shard").mapInArrow(run, schema)
 
 
 def op8_token_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    manifest, index = write_shards(docs, scratch_path(spark, "bitpack"))
-    return index.join(read_documents(manifest, with_ids=False), ["shard", "doc"]).select(
-        "doc_id", "start", "n_tokens", "ids_crc32")
+    manifest, _ = write_shards(docs, scratch_path(spark, "bitpack"), with_index=False)
+    return read_documents(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -62,9 +62,12 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Encoder and decoder of a byte-level BPE file."""
+    """Encoder and decoder of a byte-level BPE file.
 
-    def __init__(self, path: str):
+    Without ``special`` the strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, special: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import tiktoken
@@ -75,15 +78,17 @@ class Vocabulary:
         if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or file["normalizer"]:
             raise ValueError(f"not a plain byte-level BPE file: {path}")
         letters = byte_letters()
-        special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        ranks = {bytes(map(letters.__getitem__, t)): i for t, i in model["vocab"].items() if t not in special}
+        marks = {t["content"]: t["id"] for t in file["added_tokens"]}
+        ranks = {bytes(map(letters.__getitem__, t)): i for t, i in model["vocab"].items() if t not in marks}
         merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
         order = [model["vocab"][m] for m in merged]
         if order != sorted(order):
             raise ValueError("ids are not in the order of the merges")
-        self._fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self._fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=marks)
+        self._found = set(marks) if special else set()
         self._whole = Tokenizer.from_file(path)
-        spelled = {i: b for b, i in ranks.items()} | {i: t.encode() for t, i in special.items()}
+        self._whole.encode_special_tokens = not special
+        spelled = {i: b for b, i in ranks.items()} | {i: t.encode() for t, i in marks.items()}
         parts = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
         self._size = np.array([len(p) for p in parts], np.int64)
         self._start = np.cumsum(self._size) - self._size
@@ -94,7 +99,36 @@ class Vocabulary:
         text = raw.decode()
         if len(raw) > CHUNK_MOST:
             return array("I", self._whole.encode(text, add_special_tokens=False).ids)
-        return array("I", self._fast.encode(text, allowed_special="all", disallowed_special=()))
+        return array("I", self._fast.encode(text, allowed_special=self._found, disallowed_special=()))
+
+    def encode_texts(self, texts: list[str], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of whole texts one after the other, and the number of each.
+
+        A text beyond ``most`` bytes is cut at places of certain agreement.
+        """
+        parts, sizes = [np.empty(0, np.uint32)], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            if len(text) <= most // 4:
+                own = [self._fast.encode_to_numpy(text, allowed_special=self._found, disallowed_special=())]
+            else:
+                raw = text.encode()
+                places = cuts_and_places(raw)[1]
+                # the last place within each stretch of ``most`` bytes, or the next one after it
+                at = np.searchsorted(places, np.arange(most, len(raw), most), "right")
+                ends = np.unique(np.concatenate((places[np.maximum(at - 1, 0)] if len(places) else places, [len(raw)]))).tolist()
+                own = []
+                for lo, hi in zip([0, *ends[:-1]], ends):
+                    own.append(np.frombuffer(self._long(raw[lo:hi]), np.uint32))
+            parts += own
+            sizes[k] = sum(map(len, own))
+        return np.concatenate(parts).astype(np.uint32, copy=False), sizes
+
+    def _long(self, raw: bytes) -> array:
+        """Ids of a part of a long text; by the library where it holds a word without end."""
+        words = np.diff(cuts_and_places(raw)[1], prepend=0, append=len(raw))
+        if words.max(initial=0) > CHUNK_MOST:
+            return array("I", self._whole.encode(raw.decode(), add_special_tokens=False).ids)
+        return array("I", self._fast.encode(raw.decode(), allowed_special=self._found, disallowed_special=()))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids, one after the other."""

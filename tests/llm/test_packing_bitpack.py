@@ -87,3 +87,21 @@ def test_shards_read_back(spark, odd_docs, no_docs):
     assert sorted(r.ids for r in rows) == whole
     manifest, index = bitpack.write_shards(no_docs, scratch_path(spark, "t"))
     assert index.join(bitpack.read_documents(manifest), ["shard", "doc"]).count() == 0
+
+
+def test_shards_hold_the_document_ids(spark, odd_docs):
+    manifest, index = bitpack.write_shards(odd_docs, scratch_path(spark, "t"), with_index=False)
+    assert index.count() == 0
+    rows = bitpack.read_documents(manifest).orderBy("start").collect()
+    want = sorted(((r.doc_id is not None, r.doc_id or 0) for r in odd_docs.collect()))
+    assert [(r.doc_id is not None, r.doc_id or 0) for r in rows] == want
+
+
+def test_long_texts_are_cut_where_nothing_changes():
+    from pulse.llm.chunked_bpe import Vocabulary
+    words = Vocabulary(tokenizer_path(bitpack.TOKENIZER), special=False)
+    lib = ChunkEncoder(tokenizer_path(bitpack.TOKENIZER))._tok
+    texts = ["ab c. Dé\n " * 900, "x" * 5000, " " * 5000, "", "word <|endoftext|> " * 300, "日本語" * 2000, "a " + "y" * 3000 + " b " * 2000]
+    ids, sizes = words.encode_texts(texts, most=1000)
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]

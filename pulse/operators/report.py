@@ -158,6 +158,36 @@ def phase_of(ts: Column, phases: list[tuple[str, str, str]]) -> Column:
     return expr
 
 
+def tag_phases(rows: DataFrame, phases: DataFrame, time_col: str = "publish_date") -> DataFrame:
+    """A11 with phases as a table: ``rows`` with the ``phase`` of their instant, or null.
+
+    ``phases`` has ``phase, start, end, rank``; intervals are half-open and of several that
+    hold an instant the least rank wins. An interval lies in the one or two cells of its
+    own width (a power of two), so phases and instants meet by equality of (width, cell);
+    an instant is looked up once per width that occurs, 63 at most. Only distinct
+    instants are joined with the phases.
+    """
+    us = F.unix_micros
+    length = us("end") - us("start")
+    spans = phases.where(length > 0).withColumn("level", F.ceil(F.log2(length.cast("double"))).cast("int"))
+    cells = F.expr("sequence(shiftright(unix_micros(start), level), shiftright(unix_micros(end) - 1, level))")
+    spans = spans.withColumn("cell", F.explode(cells))
+    levels = sorted(r[0] for r in spans.select("level").distinct().collect())
+    at = F.col(time_col)
+    probes = rows.select(at.alias("_at")).where("_at is not null").distinct().withColumn(
+        "level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+    probes = probes.withColumn("cell", F.expr("shiftright(unix_micros(_at), level)"))
+    inside = (F.col("start") <= F.col("_at")) & (F.col("_at") < F.col("end"))
+    found = probes.join(spans, ["level", "cell"]).where(inside).groupBy("_at").agg(F.min_by("phase", "rank").alias("phase"))
+    return rows.join(found, at == F.col("_at"), "left").drop("_at")
+
+
+def phase_shares(labelled: DataFrame, phases: DataFrame, by: list[str] = PLATFORM) -> DataFrame:
+    """Label shares per phase of a table of phases, a row per phase and label."""
+    tagged = tag_phases(labelled, phases).where("phase is not null")
+    return label_share(tagged, [*by, "phase"]).select(*by, "phase", "sentiment", "n", "share")
+
+
 def compare_phases(labelled: DataFrame, phases: list[tuple[str, str, str]],
                    by: list[str] = PLATFORM) -> DataFrame:
     """Label shares per event phase side by side, and their change.

@@ -472,6 +472,17 @@ def compare_phases(spark: SparkSession, sf: str) -> DataFrame:
         "social_media", "sentiment", "share_in_race", "share_post_race", "delta")
 
 
+def phase_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Label shares per phase of a table of overlapping phases (every fifth
+    comment opens one, for as many seconds as its text has characters)."""
+    CM.prepare(spark)
+    docs = TB.table(spark, sf, "documents").where("doc_id % 5 = 0")
+    opened = F.col("doc_id") * TB.COMMENT_SPACING_S + TB.ORIGIN_EPOCH
+    phases = docs.select(F.concat(F.lit("phase_"), F.col("doc_id").cast("string")).alias("phase"), F.timestamp_seconds(opened).alias("start"),
+                         F.timestamp_seconds(opened + F.col("n_chars")).alias("end"), F.col("doc_id").alias("rank"))
+    return R.phase_shares(CM.labelled(spark, sf), phases)
+
+
 def cycle_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Sightings per scope per daily run."""
     CM.prepare(spark)
@@ -528,6 +539,7 @@ QUERIES = {
     "distribution_insights": distribution_insights,
     "summary_text": summary_text,
     "compare_phases": compare_phases,
+    "phase_shares": phase_shares,
     "cycle_metrics": cycle_metrics,
     "sentiment_over_time": sentiment_over_time,
     "sentiment_by_place": sentiment_by_place,

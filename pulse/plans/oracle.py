@@ -465,6 +465,16 @@ w AS (SELECT social_media, sentiment,
 SELECT *, round(share_post_race - share_in_race, 1) AS delta FROM w
 """
 
+# a range join, the phase opened first winning
+SQL["phase_shares"] = f"""
+WITH {LABELLED_CTES.strip()},
+p AS (SELECT doc_id, {TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S}')} AS a, {TS(f'{TB.ORIGIN_EPOCH} + doc_id * {TB.COMMENT_SPACING_S} + n_chars')} AS b
+      FROM documents WHERE doc_id % 5 = 0),
+t AS (SELECT publish_date, min(doc_id) AS first FROM (SELECT DISTINCT publish_date FROM lab) JOIN p ON a <= publish_date AND publish_date < b GROUP BY publish_date),
+cnt AS (SELECT social_media, 'phase_' || first AS phase, sentiment, count(*) AS n FROM lab JOIN t USING (publish_date) GROUP BY ALL)
+SELECT social_media, phase, sentiment, n, {SHARE('n', 'sum(n) OVER (PARTITION BY social_media, phase)')} AS share FROM cnt
+"""
+
 SQL["cycle_metrics"] = f"""
 SELECT event_type AS scope, {ISO("date_trunc('day', ts)")} AS cycle_start, count(*) AS n_items,
        count(DISTINCT user_id) AS n_distinct

@@ -268,6 +268,20 @@ def consumed_files(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("content_id", "sentiment", user_or_none("user").alias("author"), F.col("labelled_at").isNotNull().alias("stamped"))
 
 
+def stream_cycle_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """What each micro-batch of an ingest landed and stored, per platform and
+    scope, summed over the batches; ``batches`` counts those that landed any."""
+    CM.prepare(spark)
+    base = scratch_path(spark, "stream_metrics")
+    obs = TB.observations(spark, sf).withColumn("chunk", F.pmod("event_id", F.lit(CHUNKS)))
+    per_wave = _land_in_order(obs, f"{base}/landing", "chunk")
+    src = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", per_wave).json(f"{base}/landing")
+    J.ingest_stream(src, f"{base}/store", f"{base}/ledger", f"{base}/ckpt", ["chunk", "arrival_ts", "event_id"], metrics=f"{base}/metrics")
+    per_batch = spark.read.parquet(f"{base}/metrics")
+    return per_batch.groupBy("social_media", "scope").agg(F.sum("n_items").alias("n_items"), F.sum("n_new").alias("n_new"),
+                                                          F.count(F.lit(1)).alias("batches"))
+
+
 def _changed(rows: DataFrame) -> DataFrame:
     """Stand-in for edited comments: an abusive word is added."""
     return rows.withColumn("comment_raw_text", F.concat("comment_raw_text", F.lit(" trash trash")))
@@ -338,6 +352,7 @@ STREAM_QUERIES = {
     "read_staged_documents": read_staged_documents,
     "report_tables": report_tables,
     "consumed_files": consumed_files,
+    "stream_cycle_metrics": stream_cycle_metrics,
     "stream_label_cycles": stream_label_cycles,
     "stream_sentiment_over_time": stream_sentiment_over_time,
 }
@@ -405,6 +420,10 @@ SELECT social_media, sentiment, n, share, n AS counted, summary FROM x JOIN y US
 WITH x AS (""" + O.SQL["comment_sentiment"] + f""")
 SELECT content_id, sentiment, CASE WHEN length({O.P7('text')}) % 3 <> 0 THEN source ELSE 'None' END AS author, true AS stamped
 FROM x JOIN documents ON content_id = 'yt_comm_' || doc_id WHERE NOT defaulted
+""",
+    "stream_cycle_metrics": f"""
+SELECT 'events' AS social_media, event_type AS scope, count(*) AS n_items, count(DISTINCT user_id) AS n_new, count(DISTINCT event_id % {CHUNKS}) AS batches
+FROM events GROUP BY event_type
 """,
     # cycle 1 labels what has a time; the edited ones were staged after all others, last first
     "stream_label_cycles": f"""

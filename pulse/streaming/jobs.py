@@ -93,7 +93,7 @@ def _run(writer, trigger: str | None, processing_time: str | None):
 
 def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
                   order_cols: list[str], keys: list[str] | None = None,
-                  rejects: str | None = None,
+                  rejects: str | None = None, metrics: str | None = None,
                   trigger: str | None = "availableNow", processing_time: str | None = None):
     """Endless fetch -> dedup -> append, as a streaming query.
 
@@ -105,7 +105,9 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     by the replay; a run from a fresh checkpoint finds all keys in the ledger. A trigger
     reads the ledger's buckets of its keys, and never the store.
     ``order_cols`` hold the arrival (and tell rows of one key apart). With
-    ``rejects``, rows that fail the quarantine (F7) go there with their reason, each once.
+    ``rejects``, rows that fail the quarantine (F7) go there with their reason, each once;
+    with ``metrics``, every micro-batch leaves its time and its counts of landed and new
+    items per platform and scope there (A12).
     """
     keys = keys or D.LEDGER_KEYS
     # A12 (streaming form): items seen per micro-batch, reported in the
@@ -133,6 +135,11 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
             rejected = with_identity(rejected).withColumn("_key", F.sha2("_row", 256)).dropDuplicates(["reason", "_key"])
             once(rejected, rejects, Ledger(spark, f"{rejects}_ledger", ["reason", "_key"]), run, batch_id)
         once(D.keep_first(ok, keys, order_cols), store, Ledger(spark, ledger, keys), run, batch_id)
+        if metrics:
+            stored = spark.read.schema(ok.schema).parquet(batch_folder(store, run, batch_id))
+            both = ok.select(*keys[:-1], F.lit(0).alias("new")).unionByName(stored.select(*keys[:-1], F.lit(1).alias("new")))
+            (both.groupBy(*keys[:-1]).agg(F.sum(1 - F.col("new")).alias("n_items"), F.sum("new").alias("n_new"))
+             .withColumn("at", F.current_timestamp()).write.mode("overwrite").parquet(batch_folder(metrics, run, batch_id)))
         batch.unpersist()
 
     writer = (source.writeStream.foreachBatch(each)

@@ -215,3 +215,26 @@ def test_one_instant_a_run(spark):
     staged = spark.read.json(f"{base}/staged").select("observation_time").distinct().collect()
     kept = spark.read.parquet(f"{base}/topic").select(F.date_format("observation_time", "yyyy-MM-dd HH:mm:ss.SSS")).distinct().collect()
     assert len(staged) == len(kept) == 1 and spark.read.parquet(f"{base}/topic").count() == flat.count()
+
+
+def test_many_phases_as_a_table_equal_the_case_form(spark):
+    import random
+    from pulse.operators import report as R
+    rng = random.Random(6)
+    base = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+    times = [None] + [base + dt.timedelta(seconds=rng.randint(0, 50_000)) for _ in range(300)] + [base - dt.timedelta(days=30_000)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, publish_date timestamp")
+    phases = []
+    for k in range(10_000):
+        start = base + dt.timedelta(seconds=rng.randint(-100, 50_000), microseconds=rng.randint(0, 3))
+        phases.append((f"p{k}", start, start + rng.choice([dt.timedelta(0), dt.timedelta(microseconds=1), dt.timedelta(seconds=rng.randint(1, 3)), dt.timedelta(hours=rng.randint(0, 30) * (k > 9_000))]), k))
+    table = spark.createDataFrame(phases, "phase string, start timestamp, end timestamp, rank int")
+    tagged = R.tag_phases(rows, table)
+    assert "NestedLoop" not in tagged._jdf.queryExecution().executedPlan().toString()
+    want = {i: next((n for n, a, b, _ in phases if t is not None and a <= t < b), None) for i, t in enumerate(times)}
+    assert {r.i: r.phase for r in tagged.collect()} == want and len([v for v in want.values() if v]) > 200
+    few = [(n, a.isoformat(), b.isoformat()) for n, a, b, _ in phases[:40]]
+    case = rows.select("i", R.phase_of(F.col("publish_date"), few).alias("phase"))
+    assert sorted(map(tuple, R.tag_phases(rows, table.where("rank < 40")).select("i", "phase").collect())) == sorted(map(tuple, case.collect()))
+    none = R.tag_phases(rows, table.limit(0))
+    assert none.count() == len(times) and none.where("phase is not null").count() == 0

@@ -23,19 +23,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import ship_package
-from .tokens import ChunkEncoder, slices, tokenizer_path, with_end_ids
+from .tokens import ChunkEncoder, WordEncoder, slices, text_encoder, tokenizer_path, with_end_ids
 
 MAX_LEN = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[str, ChunkEncoder | WordEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str) -> ChunkEncoder | WordEncoder:
     """The worker's encoder of a vocabulary file (loaded once per process)."""
     if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
+        _encoders[path] = text_encoder(path)
     return _encoders[path]
 
 

@@ -1,6 +1,12 @@
-"""Exact sub-word encoding with a memo of words.
+"""Exact sub-word encoding of whole texts, in bounded memory.
 
-Both vocabularies cut a text into words before any merge. A run of Latin
+``WordEncoder`` runs a word-level file (lower case, white space dropped, words
+with an end mark) in ``tiktoken``: words are spaced out, the space after a word
+is its end mark, and the ranks of the file are those of the merges. It holds no
+memo. Stretches with characters outside a plain set go to the ``tokenizers``
+library, so the ids are those of the library on every text.
+
+``ChunkEncoder`` takes any other file, with a memo of words. Both vocabularies cut a text into words before any merge. A run of Latin
 letters after a space (or at the start of a line whose predecessor ends in a
 visible character) that ends before a space, a full stop, a comma, a line end
 or the end of the text is such a word, whatever surrounds it: the byte-level
@@ -12,6 +18,7 @@ encoding the whole text (``tests/llm/test_tokens.py`` holds them against it).
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from itertools import chain
@@ -160,6 +167,99 @@ class ChunkEncoder:
         return self._flat[index], upto[last] - upto[last - counts]
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+#: fixed values: the parts of a word-level file that ``WordEncoder`` stands for
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: letters that lower-case to one letter and that normalisation leaves alone
+_PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
+_NOT_PLAIN = re.compile(rf"[^\x20-\x7e\t\n\r{_PLAIN_LETTERS}¡-©«¬®¯°±´¶·»¿‐-‧‰€]")
+_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_PLAIN_LETTERS}]+|[0-9]|[^ \t\n\r0-9{_PLAIN_LETTERS}]+")
+
+
+class WordEncoder:
+    """Encodes texts by a word-level BPE file; one instance per worker process.
+
+    Merges never cross white space, so a text beyond ``most`` characters is cut
+    at spaces or line ends; a word longer than that goes to the library whole.
+    """
+
+    def __init__(self, path: str, most: int = 1 << 18):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
+        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        model, pre = file["model"], (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+        plain = [{"type": "Split", "pattern": {"Regex": _WORD_PATTERN}, "behavior": "Removed", "invert": True},
+                 {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+        if (model["type"] != "BPE" or not model["end_of_word_suffix"] or pre != plain
+                or (file["normalizer"] or {}).get("normalizers") != _NORMALIZERS):
+            raise ValueError(f"not a word-level BPE file: {path}")
+        mark, letters = model["end_of_word_suffix"], byte_letters()
+        names = {t["content"] for t in file["added_tokens"]}
+        ranks = {}
+        for token, number in model["vocab"].items():
+            if token not in names:
+                stem = token.removesuffix(mark)
+                ranks[bytes(map(letters.__getitem__, stem)) + b" " * (stem != token)] = number
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        order = [model["vocab"]["".join(p)] for p in pairs]
+        ends = [number for token, number in ranks.items() if len(token) == 2 and token.endswith(b" ")]
+        # a letter and its end mark are one symbol before any merge
+        if order != sorted(order) or min(order) <= max(n for n in ends if n not in set(order)):
+            raise ValueError("ids are not in the order of the merges")
+        self._fast = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        self._whole = Tokenizer.from_file(path)
+        self._whole.encode_special_tokens = True
+        self._most = most
+
+    def _stretches(self, text: str) -> list[str]:
+        """``text`` in parts of about ``most`` characters, ended by a space."""
+        parts, lo = [], 0
+        while len(text) - lo > self._most:
+            hi = max(text.rfind(" ", lo, lo + self._most), text.rfind("\n", lo, lo + self._most))
+            if hi < lo:
+                found = [k for k in (text.find(" ", lo + self._most), text.find("\n", lo + self._most)) if k >= 0]
+                hi = min(found, default=len(text) - 1)
+            parts.append(text[lo:hi + 1])
+            lo = hi + 1
+        parts.append(text[lo:])
+        return parts
+
+    def _ids(self, text: str) -> np.ndarray:
+        if _NOT_PLAIN.search(text) or len(text) > self._most + 1:
+            return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self._fast.encode_to_numpy(" ".join(_PIECES.findall(text.lower())) + " ", disallowed_special=())
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and the number of ids of each text."""
+        parts, sizes = [np.empty(0, np.uint32)], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            for part in self._stretches(text):
+                # lines apart, so that an unusual character costs its line only
+                lines = part.split("\n") if _NOT_PLAIN.search(part) else [part]
+                own = [self._ids(x) for x in lines]
+                parts += own
+                sizes[k] += sum(map(len, own))
+        return np.concatenate(parts).astype(np.uint32, copy=False), sizes
+
+
+def text_encoder(path: str) -> WordEncoder | ChunkEncoder:
+    """The encoder for a vocabulary file."""
+    try:
+        return WordEncoder(path)
+    except (ValueError, KeyError):
+        return ChunkEncoder(path)
+
+
 def with_end_ids(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """``ids`` with ``end_id`` after each text, and the ends of the texts."""
     ends = np.cumsum(sizes + 1)

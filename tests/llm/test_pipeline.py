@@ -45,6 +45,6 @@ def test_repeated_and_null_rows_pass_through(spark):
 def test_entry_registers_all():
     import __spark_entry__ as entry
     names = [q for q in entry.queries() if q.startswith("op") and q[2].isdigit()]
-    assert len(names) == 10 and "pipeline" in entry.queries()
+    assert len(names) == 13 and "pipeline" in entry.queries()
     assert importlib.util.find_spec("pulse.llm") is not None
 

@@ -1,17 +1,22 @@
 """Quality rules with risk-controlled thresholds (operator 2).
 
 Rules compare a ratio of a document with a cutoff and reject what lies above.
-The cutoffs are not set by hand: for every stratum (by default the language) and
-every rule, the labelled documents of the table are a holdout on which an exact
-binomial test asks, for each cutoff of a fixed grid, whether the share of good
-documents that the cutoff rejects lies below the rule's part of ``alpha``. The
-grid is tested from the most lenient cutoff to the strictest and stops at the
-first failure (fixed-sequence testing), and the level ``delta`` is divided by the
-number of strata times rules (Bonferroni). So with probability ``1 - delta`` the
-rules together reject at most the share ``alpha`` of the good documents of
-every stratum. Among the admitted cutoffs the one that rejects most of the bad
-holdout documents is chosen, the most lenient of equals; a rule without an
-admitted cutoff that rejects a bad document is off in that stratum.
+The cutoffs are not set by hand. A fixed sequence of whole rule vectors, each
+adding or tightening one cutoff (``steps_of``), is tested on the labelled
+documents of a stratum (by default the language): an exact binomial test asks
+whether the share of good documents that the *vector* rejects lies below
+``alpha``, and the sequence stops at the first failure (fixed-sequence testing
+needs no correction within it). The level ``delta`` is divided by the number of
+sequences tested (Bonferroni). So with probability ``1 - delta`` all rules
+together reject at most the share ``alpha`` of the good documents of every
+tested stratum. Among the admitted vectors the one that rejects most of the bad
+holdout documents is chosen, the most lenient of equals; where none rejects a
+bad document the stratum has no learned rule.
+
+A stratum with so few good labels that even a vector without any false
+rejection could not pass (fewer than ln(delta / strata) / ln(1 - alpha)) takes
+the vector of one more sequence, tested on all strata together; there the bound
+holds for the good documents of the whole table.
 
 Everything is a column expression: a document's counts are taken within its row,
 so the text is never shuffled, and repeated three-word windows are found by one
@@ -19,7 +24,7 @@ sort of the row's windows. Calibration sums the grid per stratum in one
 pre-aggregated pass.
 
 Defined cases: a null text has no words and fails the base rule; a null stratum
-is a stratum of its own; a stratum without labels rejects nothing beyond the base
+is a stratum of its own; a stratum without any label rejects nothing beyond the base
 rule; several labels of one doc_id count as good only if all are; labels that are
 null or of no document are ignored; repeated rows are judged each by itself; an
 empty table gives an empty result; columns of the input with any name are kept.
@@ -52,6 +57,17 @@ GRID = {
     "word_length": [9.0, 8.0, 7.5, 7.0, 6.5],
 }
 
+#: rules whose cutoffs come after those of all others in the sequence
+LATE = ("word_length",)
+
+
+def steps_of(grid: dict[str, list[float]], late: tuple[str, ...] = LATE) -> list[tuple[str, float]]:
+    """The sequence of cutoffs that enter the vector one by one: the most
+    lenient of every rule, then the second of every rule, and so on."""
+    rank = lambda rule, i, k: (rule in late, i, k)
+    found = sorted((rank(rule, i, k), rule, cut) for k, (rule, cuts) in enumerate(grid.items()) for i, cut in enumerate(cuts))
+    return [(rule, cut) for _, rule, cut in found]
+
 
 def _without(text: Column, characters: str) -> Column:
     for c in characters:
@@ -153,31 +169,38 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 def calibrate(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
               grid: dict[str, list[float]] | None = None) -> DataFrame:
-    """Chosen cutoffs per stratum: ``stratum``, and a column per rule (null:
+    """Chosen vector per stratum: ``stratum``, and a column per rule (null:
     off). ``rows`` has ``doc_id, stratum, base_failed`` and the ratios."""
     grid = grid or GRID
+    steps = steps_of(grid)
     known = (labels.where("doc_id is not null and quality is not null")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min("quality") == 1).alias("good")))
-    held = rows.where(~F.col("base_failed")).select("doc_id", "stratum", *grid).join(known, "doc_id")
+    # vectors are nested, so a row is rejected from its first step on
+    first = F.least(*[F.when(F.col(rule) > cut, i).otherwise(len(steps)) for i, (rule, cut) in enumerate(steps)], F.lit(len(steps)))
+    held = rows.where(~F.col("base_failed")).select("doc_id", "stratum", first.alias("first")).join(known, "doc_id")
     count = lambda c: F.sum(c.cast("long"))
-    sums = [count(F.col("good")).alias("n")]
-    for rule, cutoffs in grid.items():
-        for i, cut in enumerate(cutoffs):
-            sums += [count(F.col("good") & (F.col(rule) > cut)).alias(f"g_{rule}_{i}"),
-                     count(~F.col("good") & (F.col(rule) > cut)).alias(f"b_{rule}_{i}")]
+    names = [f"{x}_{i}" for i in range(len(steps)) for x in "gb"]
+    sums = [count(F.col("good")).alias("n")] + [
+        count((F.col("first") <= i) & (F.col("good") if x == "g" else ~F.col("good"))).alias(f"{x}_{i}")
+        for i in range(len(steps)) for x in "gb"]
     totals = written(held.groupBy("stratum").agg(*sums), "quality-holdout")
+    need = math.ceil(math.log(delta / max(1, totals.count())) / math.log1p(-alpha))
+    totals = totals.withColumn("own", F.col("n") >= need).withColumn(
+        "sequence", F.when(F.col("own"), F.concat(F.lit("own "), "stratum")).otherwise("all"))
+    pooled = (totals.agg(F.min("own").alias("own"), *[F.sum(c).alias(c) for c in ("n", *names)])
+              .where(~F.col("own")).select(F.lit("all").alias("sequence"), "n", *names))
+    sequences = totals.where("own").select("sequence", "n", *names).unionAll(pooled)
+    level = delta / max(1, sequences.count())
     tests = F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("i"), F.lit(cut).alias("cutoff"),
-                 F.col(f"g_{rule}_{i}").alias("k"), F.col(f"b_{rule}_{i}").alias("caught"))
-        for rule, cutoffs in grid.items() for i, cut in enumerate(cutoffs)]))
-    level = delta / max(1, totals.count() * len(grid))
-    tested = totals.select("stratum", "n", tests.alias("t")).select("stratum", "n", "t.*").withColumn(
-        "passed", binomial_tail(F.col("k"), F.col("n"), alpha / len(grid)) <= level)
-    upto = Window.partitionBy("stratum", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    admitted = (tested.withColumn("admitted", F.min("passed").over(upto)).where("admitted and caught > 0")
-                .groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct("caught", "cutoff")).alias("cutoff")))
-    return admitted.groupBy("stratum").agg(
-        *[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in grid])
+        F.struct(F.lit(i).alias("i"), F.col(f"g_{i}").alias("k"), F.col(f"b_{i}").alias("caught")) for i in range(len(steps))]))
+    tested = sequences.select("sequence", "n", tests.alias("t")).select("sequence", "n", "t.*").withColumn(
+        "passed", binomial_tail(F.col("k"), F.col("n"), alpha) <= level)
+    upto = Window.partitionBy("sequence").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = (tested.withColumn("admitted", F.min("passed").over(upto)).where("admitted and caught > 0")
+              .groupBy("sequence").agg(F.max_by("i", F.struct("caught", -F.col("i"))).alias("last")))
+    cut = lambda rule: F.coalesce(*[F.when(F.col("last") >= i, F.lit(c))
+                                    for i, (r, c) in reversed(list(enumerate(steps))) if r == rule])
+    return totals.join(chosen, "sequence").select("stratum", *[cut(rule).alias(f"cut_{rule}") for rule in grid])
 
 
 def judge(rows: DataFrame, thresholds: DataFrame, column: str, grid: dict[str, list[float]] | None = None) -> DataFrame:
@@ -224,7 +247,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], F.col(kept).alias("kept"))
 
 
-_SQL_GRID = ", ".join(f"('{rule}', {i}, {cut!r}::DOUBLE)" for rule, cuts in GRID.items() for i, cut in enumerate(cuts))
+_SQL_STEPS = ", ".join(f"({i}, '{rule}', {cut!r}::DOUBLE)" for i, (rule, cut) in enumerate(steps_of(GRID)))
 
 SQL_OP2 = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, chr(0) || 'null') AS stratum, coalesce(text, '') AS t FROM documents),
@@ -243,21 +266,27 @@ f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEAT_PER
              MAP {{'symbol_ratio': n_symbols / greatest(n_words, 1), 'repeat_ratio': n_repeat_words / greatest(n_words, 1),
                    'dup_line_ratio': n_dup_lines / greatest(n_lines, 1), 'bang_ratio': n_bangs / greatest(n_words, 1),
                    'word_length': word_chars / greatest(n_words, 1)}} AS ratios FROM m),
-grid AS (SELECT * FROM (VALUES {_SQL_GRID}) AS g(rule, i, cutoff)),
+steps AS (SELECT * FROM (VALUES {_SQL_STEPS}) AS g(i, rule, cutoff)),
+vectors AS (SELECT a.i, b.rule, min(b.cutoff) AS cutoff FROM steps AS a JOIN steps AS b ON b.i <= a.i GROUP BY ALL),
 known AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 held AS (SELECT f.*, good FROM f JOIN known ON f.doc_id = known.doc_id WHERE NOT base_failed),
-tested AS (SELECT stratum, rule, i, cutoff, count(*) FILTER (good) AS n,
-                  count(*) FILTER (good AND ratios[rule] > cutoff) AS k,
-                  count(*) FILTER (NOT good AND ratios[rule] > cutoff) AS caught
-           FROM held, grid GROUP BY ALL),
-levels AS (SELECT {DELTA!r} / ({len(GRID)} * (SELECT count(DISTINCT stratum) FROM held)) AS level, {ALPHA!r} / {len(GRID)} AS a),
-tails AS (SELECT tested.*, level, CASE WHEN k >= n * a THEN 1.0 ELSE
-              list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-                       + j * ln(a) + (n - j) * ln(1 - a)))) END AS tail FROM tested, levels),
-admitted AS (SELECT *, min(tail <= level) OVER (PARTITION BY stratum, rule ORDER BY i) AS ok FROM tails),
-chosen AS (SELECT stratum, rule, arg_max(cutoff, {{'c': caught, 'v': cutoff}}) AS cutoff FROM admitted
-           WHERE ok AND caught > 0 GROUP BY stratum, rule),
-bad AS (SELECT DISTINCT f.r FROM f JOIN chosen ON f.stratum = chosen.stratum WHERE f.ratios[chosen.rule] > chosen.cutoff)
+sizes AS (SELECT stratum, count(*) FILTER (good) AS n FROM held GROUP BY stratum),
+hits AS (SELECT stratum, i, count(DISTINCT r) FILTER (good) AS k, count(DISTINCT r) FILTER (NOT good) AS caught
+         FROM held JOIN vectors ON ratios[rule] > cutoff GROUP BY stratum, i),
+homes AS (SELECT stratum, n, CASE WHEN (1 - {ALPHA!r}) ** n <= {DELTA!r} / (SELECT count(*) FROM sizes) THEN stratum END AS own FROM sizes),
+members AS (SELECT own AS seq, stratum, n FROM homes WHERE own IS NOT NULL
+            UNION ALL SELECT NULL, stratum, n FROM homes WHERE EXISTS (SELECT 1 FROM homes WHERE own IS NULL)),
+levels AS (SELECT {DELTA!r} / count(DISTINCT coalesce(seq, chr(0) || 'all')) AS level FROM members),
+tested AS (SELECT seq, s.i, sum(n) AS n, coalesce(sum(k), 0) AS k, coalesce(sum(caught), 0) AS caught
+           FROM members CROSS JOIN (SELECT DISTINCT i FROM steps) AS s
+           LEFT JOIN hits ON hits.stratum = members.stratum AND hits.i = s.i GROUP BY seq, s.i),
+tails AS (SELECT tested.*, level, CASE WHEN k >= n * {ALPHA!r} THEN 1.0 ELSE
+              list_sum(list_transform(range(0, k::BIGINT + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+                       + j * ln({ALPHA!r}) + (n - j) * ln(1 - {ALPHA!r})))) END AS tail FROM tested, levels),
+admitted AS (SELECT *, min(tail <= level) OVER (PARTITION BY seq ORDER BY i) AS ok FROM tails),
+chosen AS (SELECT seq, arg_max(i, {{'c': caught, 'v': -i}}) AS i FROM admitted WHERE ok AND caught > 0 GROUP BY seq),
+bad AS (SELECT DISTINCT f.r FROM f JOIN homes ON f.stratum = homes.stratum JOIN chosen ON homes.own IS NOT DISTINCT FROM chosen.seq
+        JOIN vectors ON vectors.i = chosen.i WHERE f.ratios[vectors.rule] > vectors.cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND r NOT IN (SELECT r FROM bad) AS kept
 FROM f

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -36,21 +37,75 @@ def test_binomial_tail_is_exact(spark):
 
 
 def test_cutoffs_hold_the_risk(spark):
-    """Junk is cut, a stratum with few labels is left alone, good rows stay."""
+    """Junk is cut, a stratum with few labels takes the cutoffs tested on all, good rows stay."""
     rows = []
     for i in range(6000):
         rows.append((i, "en", 0.9 if i % 10 == 0 else 0.0))
-    rows += [(10_000 + i, "de", 0.9 if i % 2 else 0.0) for i in range(20)]
+    rows += [(10_000 + i, "de", 0.9 if i % 2 else 0.0) for i in range(20)] + [(20_000, "xx", 0.9)]
     frame = spark.createDataFrame(rows, "doc_id long, stratum string, symbol_ratio double").withColumn("base_failed", F.lit(False))
-    labels = spark.createDataFrame([(r[0], int(r[2] == 0)) for r in rows] + [(None, 1), (3, None), (77_777, 0)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(r[0], int(r[2] == 0)) for r in rows[:-1]] + [(None, 1), (3, None), (77_777, 0)], "doc_id long, quality int")
     grid = {"symbol_ratio": [2.0, 0.5, 0.1]}
     cuts = quality.calibrate(frame, labels, alpha=0.01, delta=0.05, grid=grid).collect()
-    assert [(r.stratum, r.cut_symbol_ratio) for r in cuts] == [("en", 0.5)]
+    assert sorted((r.stratum, r.cut_symbol_ratio) for r in cuts) == [("de", 0.5), ("en", 0.5)]
     # good rows above the cutoff: beyond the risk nothing may be chosen
     noisy = labels.where("doc_id is not null and quality is not null").select("doc_id", F.when(F.col("doc_id") % 50 == 0, 1).otherwise(F.col("quality")).alias("quality"))
     assert quality.calibrate(frame, noisy, alpha=0.01, delta=0.05, grid=grid).count() == 0
 
 
+def chosen_vectors(rows, alpha, delta, grid):
+    """The method on lists of (stratum, good, {rule: ratio}), written out."""
+    order = quality.steps_of(grid)
+    strata = sorted({s for s, _, _ in rows})
+    good = {s: sum(g for t, g, _ in rows if t == s) for s in strata}
+    alone = [s for s in strata if (1 - alpha) ** good[s] <= delta / len(strata)]
+    tests = {s: [x for x in rows if x[0] == s] for s in alone}
+    if len(alone) < len(strata):
+        tests[None] = rows
+    best = {}
+    for key, own in tests.items():
+        vector, n = {}, sum(g for _, g, _ in own)
+        for rule, cut in order:
+            vector[rule] = cut
+            out = [g for _, g, x in own if any(x[r] > c for r, c in vector.items())]
+            k, caught = sum(out), len(out) - sum(out)
+            tail = 1.0 if k >= n * alpha else sum(math.comb(n, i) * alpha ** i * (1 - alpha) ** (n - i) for i in range(k + 1))
+            if tail > delta / len(tests):
+                break
+            if caught > best.get(key, (0, None))[0]:
+                best[key] = (caught, dict(vector))
+    return {s: best[s if s in alone else None][1] for s in strata if (s if s in alone else None) in best}
+
+
+def test_joint_risk_against_the_method_written_out(spark):
+    grid = {"symbol_ratio": [2.0, 0.5, 0.1], "word_length": [9.0, 7.0], "bang_ratio": [1.0, 0.3]}
+    assert quality.steps_of(grid)[:3] == [("symbol_ratio", 2.0), ("bang_ratio", 1.0), ("symbol_ratio", 0.5)]
+    assert [r for r, _ in quality.steps_of(grid)[-2:]] == ["word_length"] * 2
+    for seed, leak in ((1, 0.0), (2, 0.004), (3, 0.02)):
+        draw = random.Random(seed)
+        rows = []
+        for s, n in (("a", 900), ("b", 500), ("c", 90), ("d", 20)):
+            for _ in range(n):
+                ok = draw.random() < 0.9
+                junk = draw.random() < (leak if ok else 0.8)
+                rows.append((s, ok, {"symbol_ratio": draw.choice([0.3, 0.7, 3.0]) if junk else 0.01,
+                                     "bang_ratio": 0.4 * draw.random() if ok else draw.random(), "word_length": 5 + 3 * draw.random()}))
+        frame = spark.createDataFrame([(i, s, False, *[x[r] for r in grid]) for i, (s, _, x) in enumerate(rows)],
+                                      "doc_id long, stratum string, base_failed boolean, " + ", ".join(f"{r} double" for r in grid))
+        labels = spark.createDataFrame([(i, int(g)) for i, (_, g, _) in enumerate(rows)], "doc_id long, quality int")
+        got = {r.stratum: {q: r[f"cut_{q}"] for q in grid if r[f"cut_{q}"] is not None}
+               for r in quality.calibrate(frame, labels, 0.01, 0.05, grid).collect()}
+        assert got == chosen_vectors(rows, 0.01, 0.05, grid), seed
+        assert got or leak > 0.01
+
+
+def test_labelled_junk_of_the_given_table_is_rejected(spark):
+    """By the learned vector: none of it fails the base rule; good rows stay."""
+    rows = quality.op2_quality_rules(spark, "/root/testdata/sf0.01").where("not base_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    counts = {(r.quality, r.kept): r["count"] for r in rows.join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert counts.get((0, False), 0) >= 20 and (0, True) not in counts and (1, False) not in counts
+
+
 def test_null_strata_empty_tables_and_columns(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(5, 1), (5, 0), (1, None), (None, 1)], "doc_id long, quality int")
     kept = quality.keep_good(odd_docs, labels)

@@ -4,14 +4,17 @@ Every paragraph (line) of every document is scored by a multinomial logistic
 regression over hashed word one- and two-grams, whose classes are the licence
 families of ``TEMPLATES`` and ``none``. It is trained here: on paragraphs made
 from the templates (words dropped, cut and embedded in other words), and on at
-most ``NEGATIVES`` paragraphs of the corpus, those with the smallest hash; this
-bound is the only thing that does not cover all data. Probabilities are scaled by
-a temperature fitted on paragraphs that were kept back, and the share of the best
-family among the families must reach a level that is calibrated by leaving out
-one family at a time: at most ``UNKNOWN_RISK`` of the paragraphs of a family that
-the model never saw may pass for another family. A licence-like paragraph below
-that level is ``unknown``, and so is a prediction that the comparison with the
-family's templates (shared word pairs) does not confirm.
+most ``NEGATIVES`` distinct paragraphs of the corpus of up to ``SAMPLE_CHARS``
+characters, those with the smallest hash; this bound is the only thing that does
+not cover all data. Probabilities are scaled by a temperature fitted on paragraphs
+that were kept back. A paragraph is licence-like if a family is more probable than
+``none`` and it shares a word pair with a notice. A prediction is named if two tests pass, and ``unknown``
+otherwise: the family's templates confirm it (shared word pairs, at least one of
+them a pair that no other family and none of ``NEIGHBOURS``, notices of other
+licences, has, and no neighbour nearer), and the share of the best family among the
+families reaches a level. The level is calibrated by leaving out one house of families at a time:
+at most ``UNKNOWN_RISK`` of the paragraphs of families that the model never
+saw pass both tests.
 
 Scoring is a map over documents in numpy: no shuffle, a task holds the weights
 (a table of fixed size) and some megabytes of text.
@@ -89,6 +92,19 @@ TEMPLATES = {
         "Copyright 2020 The Company. All rights reserved.",
     ],
 }
+#: fixed values: notices of licences that are none of the families
+NEIGHBOURS = [
+    "Released under the Unlicense.",
+    "Licensed under the GNU Lesser General Public License.",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.",
+    "You should have received a copy of the GNU Lesser General Public License along with this program.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "Licensed under the Eclipse Public License, Version 2.0.",
+    "This work is licensed under the European Union Public License, version 1.2.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "This project is licensed under the terms of the ISC license.",
+    "Use of this source code is governed by a license that can be found in the LICENSE file.",
+]
 #: fixed values: sentences with words of licences that grant nothing
 TALK = [
     "You need a driving licence to rent a car in this country.",
@@ -101,9 +117,13 @@ TALK = [
     "The commons of the village are open to the public.",
 ]
 
+#: families of one house share their wording, and are left out together
+HOUSES = {"cc-by": "cc", "cc-by-nc": "cc", "cc0": "cc"}
 NONE = "none"
 BITS = 15
 NEGATIVES = 3000
+#: characters up to which a corpus paragraph may enter the training sample
+SAMPLE_CHARS = 2000
 VARIANTS = 80
 UNKNOWN_RISK = 0.1
 CONFIRMED = 0.6
@@ -186,6 +206,13 @@ def fit(size: np.ndarray, grams: np.ndarray, label: np.ndarray, classes: int, ro
     return out, bias
 
 
+def without_evidence_none(bias: np.ndarray, temperature: float) -> np.ndarray:
+    """The bias with that of ``none`` raised until a paragraph of unseen words is none."""
+    rest = bias[:-1] / temperature
+    even = temperature * (rest.max() + np.log(np.exp(rest - rest.max()).sum()))
+    return np.append(bias[:-1], max(bias[-1], np.nextafter(even, np.inf) + 1e-9))
+
+
 def variants(template: str, filler: list[str], rng: np.random.Generator, n: int) -> list[str]:
     """Paragraphs made from a notice: the notice itself, then with words
     dropped, cut at one end, in other letters, or with words around it."""
@@ -205,17 +232,37 @@ def variants(template: str, filler: list[str], rng: np.random.Generator, n: int)
     return out
 
 
+def _pairs(notices: list[str]) -> list[np.ndarray]:
+    out = []
+    for t in notices:
+        _, _, _, grams, count = features([t.encode()])
+        out.append(np.unique(grams[count[0]:]))
+    return out
+
+
 def _template_pairs() -> list[list[np.ndarray]]:
+    return [_pairs(notices) for notices in TEMPLATES.values()]
+
+
+def telling(pairs: list[list[np.ndarray]], others: list[np.ndarray], without: tuple[int, ...] = ()) -> list[np.ndarray]:
+    """The word pairs that only the notices of one family have: no other family
+    (but those in ``without``) and no notice in ``others``."""
+    own = [np.unique(np.concatenate(sets)) for sets in pairs]
     out = []
-    for notices in TEMPLATES.values():
-        sets = []
-        for t in notices:
-            _, _, size, grams, count = features([t.encode()])
-            sets.append(np.unique(grams[count[0]:]))
-        out.append(sets)
+    for f, mine in enumerate(own):
+        rest = [o for g, o in enumerate(own) if g != f and g not in without] + others
+        out.append(np.setdiff1d(mine, np.concatenate(rest)))
     return out
 
 
+def _containment(templates: list[np.ndarray], pairs: np.ndarray) -> float:
+    own, best = np.unique(pairs), 0.0
+    for template in templates:
+        common = len(np.intersect1d(own, template, assume_unique=True))
+        best = max(best, common / max(1, min(len(own), len(template))))
+    return best
+
+
 @dataclass
 class Model:
     """A trained scanner; ``families`` are the classes, ``none`` comes last."""
@@ -226,6 +273,11 @@ class Model:
     temperature: float
     level: float
     pairs: list[list[np.ndarray]]
+    others: list[np.ndarray]
+    only: list[np.ndarray]
+
+    def __post_init__(self) -> None:
+        self.noticed = np.unique(np.concatenate([p for sets in [*self.pairs, self.others] for p in sets]))
 
     def probabilities(self, size: np.ndarray, grams: np.ndarray) -> np.ndarray:
         return _softmax(_logits(self.weights, self.bias, size, grams) / self.temperature)
@@ -233,12 +285,16 @@ class Model:
     def containment(self, family: int, pairs: np.ndarray) -> float:
         """Largest share of word pairs, of the smaller side, that the paragraph
         shares with a template of the family."""
-        best = 0.0
-        own = np.unique(pairs)
-        for template in self.pairs[family]:
-            common = len(np.intersect1d(own, template, assume_unique=True))
-            best = max(best, common / max(1, min(len(own), len(template))))
-        return best
+        return _containment(self.pairs[family], pairs)
+
+    def confirms(self, family: int, pairs: np.ndarray, only: list[np.ndarray] | None = None) -> tuple[bool, float]:
+        """Whether the family's templates confirm a paragraph, and its containment:
+        the containment reaches ``CONFIRMED`` and that in the other notices, and
+        the paragraph has a pair that only this family's notices have."""
+        share = self.containment(family, pairs)
+        only = self.only if only is None else only
+        sure = share >= CONFIRMED and share >= _containment(self.others, pairs) and np.isin(pairs, only[family]).any()
+        return bool(sure), share
 
     def hits(self, texts: list[bytes]) -> tuple[np.ndarray, list[tuple[int, int, str, str, float, float]]]:
         """Paragraphs of every text, and of licence-like ones: text, line,
@@ -247,15 +303,15 @@ class Model:
         p = self.probabilities(size, grams)
         start = np.cumsum(size) - size
         out = []
-        for k in np.flatnonzero(p[:, -1] < 0.5).tolist() if len(size) else []:
+        for k in np.flatnonzero(p[:, :-1].max(axis=1) > p[:, -1]).tolist() if len(size) else []:
             family = int(p[k, :-1].argmax())
             sure = p[k, family] / (1 - p[k, -1]) >= self.level
             own = grams[start[k] + count[k]:start[k] + size[k]]
-            shared = self.containment(family, own)
-            if not shared and not any(self.containment(f, own) for f in range(len(self.families))):
+            if not np.isin(own, self.noticed).any():
                 continue
+            confirmed, shared = self.confirms(family, own)
             name = self.families[family]
-            out.append((int(text[k]), int(line[k]), name if sure and shared >= CONFIRMED else "unknown", name, float(p[k, family]), shared))
+            out.append((int(text[k]), int(line[k]), name if sure and confirmed else "unknown", name, float(p[k, family]), shared))
         return np.bincount(text, minlength=len(texts)), out
 
 
@@ -268,11 +324,14 @@ def train(negatives: list[str], seed: int = SEED) -> Model:
     rng = np.random.default_rng(seed)
     families = list(TEMPLATES)
     pairs = _template_pairs()
-    blank = Model(families, np.empty(0), np.empty(0), 1.0, 0.0, pairs)
+    others = _pairs(NEIGHBOURS)
+    only = telling(pairs, others)
+    blank = Model(families, np.empty(0), np.empty(0), 1.0, 0.0, pairs, others, only)
 
     def clean(text: str) -> bool:
         _, _, size, grams, count = features([text.replace("\n", " ").encode()])
-        return len(size) > 0 and all(blank.containment(f, grams[count[0]:]) < 0.3 for f in range(len(families)))
+        own = grams[count[0]:]
+        return len(size) > 0 and _containment(others, own) < 0.3 and all(blank.containment(f, own) < 0.3 for f in range(len(families)))
 
     negatives = [t for t in negatives if clean(t)]
     texts, label = [], []
@@ -299,34 +358,46 @@ def train(negatives: list[str], seed: int = SEED) -> Model:
     grid = np.geomspace(0.2, 5, 25)
     loss = [-np.log(_softmax(z / t)[np.arange(len(z)), label[held]].clip(1e-12)).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
-    # what share of the families' probability an unseen family's paragraphs get
+    bias = without_evidence_none(bias, temperature)
+    # how sure the model is of paragraphs of a family that it never saw, where the
+    # templates confirm its mistake; the others cannot pass for a family
     strange = []
     few = (label < none) | (rng.random(len(label)) < 0.2)
-    for f in range(none):
-        keep = few & ~held & (label != f)
-        if not (held & (label == f)).any():
+    houses: dict[str, list[int]] = {}
+    for f, name in enumerate(families):
+        houses.setdefault(HOUSES.get(name, name), []).append(f)
+    for left_out in houses.values():
+        unseen = np.isin(label, left_out)
+        here = np.flatnonzero(held & unseen)
+        if not len(here):
             continue
-        w, b = fit(*of(keep), np.where(label[keep] > f, label[keep] - 1, label[keep]), none, rounds=60)
-        p = _softmax(_logits(w, b, *of(held & (label == f))) / temperature)
-        strange.append((p[:, :-1].max(axis=1) / (1 - p[:, -1]).clip(1e-12))[p[:, -1] < 0.5])
-    strange = np.concatenate(strange) if strange else np.empty(0)
-    level = float(np.quantile(strange, 1 - UNKNOWN_RISK)) if len(strange) else 0.5
-    return Model(families, weights, bias, temperature, min(level, 0.95), pairs)
-
-
-def corpus_paragraphs(docs: DataFrame, most: int = NEGATIVES) -> list[str]:
-    """The ``most`` distinct paragraphs with the smallest hash.
-
-    The hashes alone are ranked first, so that tasks give out numbers; then the
-    paragraphs at or below the last of them are fetched.
+        rest = np.setdiff1d(np.arange(none + 1), left_out)
+        keep = few & ~held & ~unseen
+        w, b = fit(*of(keep), np.searchsorted(rest, label[keep]), len(rest), rounds=60)
+        p = _softmax(_logits(w, without_evidence_none(b, temperature), *of(held & unseen)) / temperature)
+        without = telling(pairs, others, tuple(left_out))
+        for i, row in zip(here.tolist(), p):
+            own = grams[i][(size[i] + 1) // 2:]
+            sure = row[:-1].max() > row[-1] and blank.confirms(int(rest[row[:-1].argmax()]), own, without)[0]
+            strange.append(row[:-1].max() / (1 - row[-1]) if sure else 0.0)
+    level = float(np.quantile(strange, 1 - UNKNOWN_RISK, method="higher")) if strange else 0.5
+    return Model(families, weights, bias, temperature, max(0.5, np.nextafter(level, 1)), pairs, others, only)
+
+
+def corpus_paragraphs(docs: DataFrame, most: int = NEGATIVES, chars: int = SAMPLE_CHARS) -> list[str]:
+    """The ``most`` distinct paragraphs of up to ``chars`` characters with the
+    smallest hash.
+
+    The number of distinct hashes gives a hash below which there are somewhat more
+    than ``most``, so tasks give out that many rows at most; copies are one row per
+    task before they meet, so a frequent paragraph counts once.
     """
     rows = docs.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("p")).where(
-        F.col("p").rlike("[0-9A-Za-z]")).select(F.xxhash64("p").alias("h"), F.substring("p", 1, 2000).alias("p"))
-    first = sorted({r["h"] for r in rows.select("h").orderBy("h").limit(2 * most).collect()})[:most]
-    if not first:
-        return []
-    # copies of a paragraph are one row per task before they meet
-    best = rows.where(F.col("h") <= first[-1]).groupBy("h").agg(F.min("p").alias("p")).orderBy("h").limit(most)
+        F.col("p").rlike("[0-9A-Za-z]") & (F.length("p") <= chars)).select(F.xxhash64("p").alias("h"), "p")
+    distinct = rows.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    if distinct > 1.3 * most:
+        rows = rows.where(F.col("h") <= int(-2 ** 63 + 1.3 * most / distinct * 2 ** 64))
+    best = rows.groupBy("h").agg(F.min("p").alias("p")).orderBy("h").limit(most)
     return [r["p"] for r in best.collect()]
 
 

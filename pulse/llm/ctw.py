@@ -55,6 +55,8 @@ EDGE = 0xFF
 #: white space is no word, so it can stand for the end token
 END_WORD = b"\n"
 HELD_OUT = 10
+#: places that are worked on at a time, so that they stay in the cache
+BLOCK = 1 << 15
 
 
 def prepared(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -532,10 +534,16 @@ class Lookup:
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values (0 where there is none), and whether there is one."""
+        value, hit = np.empty(len(codes)), np.empty(len(codes), bool)
+        for lo in range(0, len(codes), BLOCK):
+            value[lo:lo + BLOCK], hit[lo:lo + BLOCK] = self._find(codes[lo:lo + BLOCK])
+        return value, hit
+
+    def _find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slot = self._slots(codes)
         found = self.codes[slot]
         hit = found == codes
-        value = np.where(hit, self.values[slot], 0.0).astype(np.float64)
+        value = self.values[slot] * hit
         open_ = np.flatnonzero(~hit & (found != -1))
         at = slot[open_]
         while len(open_):
@@ -550,12 +558,20 @@ class Lookup:
 
 
 def gram_codes(texts: list[bytes], depth: int) -> np.ndarray:
-    """The sequence of ``depth`` context bytes and the byte at every place."""
+    """The sequence of ``depth`` context bytes and the byte at every place.
+
+    Shifts run over neighbours in blocks that stay in the cache; the places
+    among the edges are left out at the end.
+    """
     data, at = prepared(texts, depth)
-    code = np.zeros(len(at), np.int64)
-    for back in range(depth, -1, -1):
-        code = (code << 8) | data[at - back]
-    return code
+    code = np.empty(max(len(data) - depth, 0), np.int64)
+    for lo in range(0, len(code), BLOCK):
+        part = code[lo:lo + BLOCK]
+        part[:] = data[lo:lo + len(part)]
+        for ahead in range(1, depth + 1):
+            np.left_shift(part, 8, out=part)
+            np.bitwise_or(part, data[lo + ahead:lo + ahead + len(part)], out=part)
+    return code[at - depth]
 
 
 def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share: float = WORD_SHARE,
@@ -572,7 +588,9 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share:
         (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0).alias("held_out"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body"))
     values = log_probabilities(written(count_grams(rows, depth), "ctw-grams"), depth, share)
-    common = values.where(F.col("uses") >= most_used(values, most_shared)).select("code", "value").toArrow()
+    common = values.where(F.col("uses") >= most_used(values, most_shared)).select("code", "value", "uses").toArrow()
+    # the most used sequence of a slot is the last put there, and stays
+    common = common.take(np.argsort(common.column("uses").to_numpy(), kind="stable"))
     words = written(count_words(rows.where(~F.col("held_out"))), "ctw-words")
     tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     often = words.where(F.col("c") >= max(1, math.ceil(word_share * tokens))).collect()

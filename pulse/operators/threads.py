@@ -46,12 +46,18 @@ def nest_parts(comments: DataFrame, size: int = PART_COMMENTS) -> DataFrame:
     """D6 for threads of any length: ``post_id, part, comments`` with at most
     ``size`` comments a row, in listing order over the parts of a post (from 0).
 
-    Rows are numbered by ranges, so neither a task nor a row holds a hot post.
+    Ids alone are numbered, by ranges, so neither a task nor a row holds a hot post;
+    the comments then meet their numbers by id and are shuffled once more, by part.
+    Copies of a comment (equal id and position) share a number.
     """
     width = int(comments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = number_rows(comments, ["post_id"], ["position", "content_id"], "_n", num_partitions=width)
+    keys = ["post_id", "position", "content_id"]
+    numbered = number_rows(comments.select(*keys).distinct(), keys[:1], keys[1:], "_n", num_partitions=width)
+    numbered = numbered.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    rows = comments.join(numbered, same)
     entry = F.struct(F.col("_n"), F.struct(*CONTENT_COLUMNS).alias("c"))
-    return (numbered.groupBy("post_id", F.floor((F.col("_n") - 1) / size).alias("part"))
+    return (rows.groupBy("post_id", F.floor((F.col("_n") - 1) / size).alias("part"))
             .agg(F.array_sort(F.collect_list(entry)).alias("_cs"))
             .select("post_id", "part", F.transform("_cs", lambda x: x.getField("c")).alias("comments")))
 

@@ -56,3 +56,10 @@ def test_series_with_one_dominant_platform(spark):
 def test_user_or_none(spark):
     df = spark.createDataFrame([("bob",), (None,)], "u string")
     assert [r[0] for r in df.select(user_or_none("u")).collect()] == ["bob", "None"]
+
+
+def test_nesting_in_parts_keeps_copies(spark):
+    comments = _comments(spark, 30, 2)
+    parts = nest_parts(comments.union(comments.filter("position = 3")), 10).filter("post_id = 'hot'").orderBy("part")
+    ids = [i for r in parts.select(F.transform("comments", lambda c: c["content_id"]).alias("ids")).collect() for i in r.ids]
+    assert ids == [f"hot_{i}" for i in range(30) for _ in range(2 if i == 3 else 1)]

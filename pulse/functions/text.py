@@ -75,6 +75,7 @@ EMOJI_FREE = f"[^0-9#*{_MAY_SHOW}]+"
 TOKEN = r"[\p{L}\p{N}_][\p{L}\p{N}_']+"
 ALL_DIGITS = r"\A\p{Nd}+\z"
 POSSESSIVE = r"'s\z"
+POSSESSIVE_CASED = r"'[sS]\z"
 
 
 def _c(col) -> Column:
@@ -137,6 +138,13 @@ def tokens(col) -> Column:
     return F.regexp_extract_all(c, F.lit(TOKEN), 0)
 
 
+def cased_tokens(col) -> Column:
+    """Tokens as ``term_tokens`` gives them, in the letters of the text."""
+    found = F.regexp_extract_all(F.coalesce(_c(col), F.lit("")), F.lit(TOKEN), 0)
+    stripped = F.transform(found, lambda t: F.regexp_replace(t, POSSESSIVE_CASED, ""))
+    return F.filter(stripped, lambda t: ~t.rlike(ALL_DIGITS))
+
+
 def truncate_tokens(tok: Column, n: int = MAX_SCORED_TOKENS) -> Column:
     """Keep the first ``n`` tokens."""
     return F.slice(tok, 1, n)

@@ -1,4 +1,4 @@
-"""Stop-words, term frequencies per label, two-word collocations.
+"""Stop-words, term frequencies per label, two-word collocations, cloud lists.
 
 Counting is ``explode`` + ``groupBy().count()`` (map-side combine, so a very
 frequent word is pre-aggregated per task). Stop-words are a fixed-size set
@@ -13,10 +13,10 @@ import glob
 import os
 import zipfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.functions.text import term_tokens
+from pulse.functions.text import cased_tokens, term_tokens
 from pulse.operators.limits import top_n
 from pulse.schema import DOMAIN_STOPWORDS
 from pulse.session import materialised
@@ -52,7 +52,7 @@ def default_stopwords(languages: tuple[str, ...] = tuple(STOPWORD_LANGUAGES),
     return tuple(sorted(words))
 
 
-def _not_stop(col, stopwords) -> F.Column:
+def _not_stop(col, stopwords) -> Column:
     return ~col.isin(list(stopwords))
 
 
@@ -82,6 +82,19 @@ def term_frequency(df: DataFrame, group_cols: list[str], text_col: str = "text",
     return ranked.withColumn("weight", F.round(F.col("n") / top_count, 6))
 
 
+def likelihood_ratio(c12: str, c1: str, c2: str, n: str) -> Column:
+    """Dunning's log-likelihood ratio of a pair from the columns of its count, of
+    its words' counts and of all words (formula in ``collocations``)."""
+    N, a, b, ab = (F.col(c).cast("double") for c in (n, c1, c2, c12))
+
+    def L(k, n, x):
+        return k * F.log(F.greatest(x, F.lit(LLR_EPS))) + (n - k) * F.log(F.greatest(1 - x, F.lit(LLR_EPS)))
+
+    p, p1, p2 = b / N, ab / a, (b - ab) / (N - a)
+    llr = -2 * (L(ab, a, p) + L(b - ab, N - a, p) - L(ab, a, p1) - L(b - ab, N - a, p2))
+    return F.when((N <= a) | (N <= b), F.lit(0.0)).otherwise(llr)
+
+
 def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
                  min_llr: float = MIN_LLR, stopwords=None) -> DataFrame:
     """Adjacent word pairs scored with Dunning's log-likelihood ratio.
@@ -117,15 +130,62 @@ def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
     u1 = uni.select(*group_cols, F.col("term").alias("w1"), F.col("n").alias("c1"))
     u2 = uni.select(*group_cols, F.col("term").alias("w2"), F.col("n").alias("c2"))
     scored = c12.join(u1, [*group_cols, "w1"]).join(u2, [*group_cols, "w2"]).join(totals, group_cols)
+    return (scored.withColumn("llr", likelihood_ratio("c12", "c1", "c2", "n_words")).filter(F.col("llr") > min_llr)
+            .select(*group_cols, "w1", "w2", "c12", "c1", "c2", "n_words", "llr"))
 
-    N, a, b, ab = (F.col("n_words").cast("double"), F.col("c1").cast("double"),
-                   F.col("c2").cast("double"), F.col("c12").cast("double"))
 
-    def L(k, n, x):
-        return k * F.log(F.greatest(x, F.lit(LLR_EPS))) + (n - k) * F.log(F.greatest(1 - x, F.lit(LLR_EPS)))
+def cloud_list(df: DataFrame, group_cols: list[str], text_col: str = "text", top: int = TOP_TERMS,
+               min_llr: float = MIN_LLR, stopwords=None) -> DataFrame:
+    """A6 and A7 as one ranked list per group: ``rank, entry, is_phrase, n, weight``.
 
-    p, p1, p2 = b / N, ab / a, (b - ab) / (N - a)
-    llr = -2 * (L(ab, a, p) + L(b - ab, N - a, p) - L(ab, a, p1) - L(b - ab, N - a, p2))
-    llr = F.when((N <= a) | (N <= b), F.lit(0.0)).otherwise(llr)
-    return (scored.withColumn("llr", llr).filter(F.col("llr") > min_llr)
-            .select(*group_cols, "w1", "w2", "c12", "c1", "c2", "n_words", "llr"))
+    Words that differ in case only are one word, and a plural in ``-s`` (not
+    ``-ss``) counts as its singular where the group has that. A word is shown in
+    its most frequent spelling (of equal counts the least), a merged one in that of
+    the singular. A pair of neighbours without a stop-word whose likelihood ratio,
+    from the merged counts, exceeds ``min_llr`` is a phrase; its count is taken
+    off both of its words, and words without a count left are not shown. The
+    ``top`` entries by count, then by entry, are ranked; ``weight`` is the count
+    relative to the first. A group without words has no rows; a null text has none.
+    Group columns are not null.
+    """
+    sw = stopwords if stopwords is not None else default_stopwords()
+    g = list(group_cols)
+    words = df.select(*g, cased_tokens(F.col(text_col)).alias("_t"))
+    pairs = F.arrays_zip(F.col("_t").alias("w1"), F.slice("_t", 2, F.size("_t")).alias("w2"))
+    grams = words.select(*g, F.explode(pairs).alias("_z")).select(*g, "_z.w1", "_z.w2")
+    free = grams.filter(_not_stop(F.lower("w1"), sw)).withColumn(
+        "w2", F.when(F.col("w2").isNotNull() & _not_stop(F.lower("w2"), sw), F.lower("w2")))
+    counts = materialised(free.groupBy(*g, "w1", "w2").agg(F.count(F.lit(1)).alias("c")), "cloud_pairs")
+
+    # spellings: counted, then the most frequent of each lower-case word
+    spelt = counts.groupBy(*g, "w1").agg(F.sum("c").alias("c"))
+    keys = spelt.groupBy(*g, F.lower("w1").alias("key")).agg(
+        F.min_by("w1", F.struct(-F.col("c"), F.col("w1"))).alias("spelling"), F.sum("c").alias("c"))
+    keys = materialised(keys, "cloud_words")
+    single = keys.select(*g, F.col("key").alias("single"), F.col("spelling").alias("single_spelling"))
+    stem = F.when(F.col("key").endswith("s") & ~F.col("key").endswith("ss"), F.expr("left(key, length(key) - 1)"))
+    merged = keys.withColumn("single", stem).join(single, [*g, "single"], "left").select(
+        *g, "key", F.when(F.col("single_spelling").isNotNull(), F.col("single")).otherwise(F.col("key")).alias("word"),
+        F.coalesce("single_spelling", "spelling").alias("spelling"), "c")
+    merged = materialised(merged, "cloud_merged")
+    totals = merged.groupBy(*g, "word", "spelling").agg(F.sum("c").alias("n"))
+    all_words = merged.groupBy(*g).agg(F.sum("c").alias("n_words"))
+    if all_words.count() <= BROADCAST_GROUPS:
+        all_words = F.broadcast(all_words)
+
+    # phrases, over the merged words
+    of = lambda k, w: merged.select(*g, F.col("key").alias(k), F.col("word").alias(w))
+    both = (counts.filter(F.col("w2").isNotNull()).groupBy(*g, F.lower("w1").alias("k1"), F.col("w2").alias("k2"))
+            .agg(F.sum("c").alias("c")).join(of("k1", "a"), [*g, "k1"]).join(of("k2", "b"), [*g, "k2"])
+            .groupBy(*g, "a", "b").agg(F.sum("c").alias("c12")))
+    named = lambda w, c: totals.select(*g, F.col("word").alias(w), F.col("n").alias(c), F.col("spelling").alias(f"s_{w}"))
+    scored = both.join(named("a", "c1"), [*g, "a"]).join(named("b", "c2"), [*g, "b"]).join(all_words, g)
+    phrases = materialised(scored.filter(likelihood_ratio("c12", "c1", "c2", "n_words") > min_llr)
+                           .select(*g, "a", "b", "c12", F.concat_ws(" ", "s_a", "s_b").alias("entry")), "cloud_phrases")
+
+    used = (phrases.select(*g, F.explode(F.array("a", "b")).alias("word"), "c12").groupBy(*g, "word").agg(F.sum("c12").alias("used")))
+    left = totals.join(used, [*g, "word"], "left").select(
+        *g, F.col("spelling").alias("entry"), F.lit(False).alias("is_phrase"), (F.col("n") - F.coalesce("used", F.lit(0))).alias("n"))
+    entries = left.filter("n > 0").unionByName(phrases.select(*g, "entry", F.lit(True).alias("is_phrase"), F.col("c12").alias("n")))
+    ranked = top_n(entries, g, [F.col("n").desc(), F.col("entry"), F.col("is_phrase")], top, "rank")
+    return ranked.withColumn("weight", F.round(F.col("n") / F.max("n").over(Window.partitionBy(*g)), 6))

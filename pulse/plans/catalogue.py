@@ -446,6 +446,14 @@ def collocations_by_label(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("llr", 6).alias("llr"))
 
 
+def cloud_by_label(spark: SparkSession, sf: str) -> DataFrame:
+    """One ranked list of at most 200 words and phrases per platform and
+    label: elected spellings, plurals merged, phrases' counts taken off their words."""
+    CM.prepare(spark)
+    return TR.cloud_list(CM.label_texts(spark, sf), ["social_media", "sentiment"]).select(
+        "social_media", "sentiment", "rank", "entry", "is_phrase", "n", "weight")
+
+
 def dominant_least(spark: SparkSession, sf: str) -> DataFrame:
     """Most and least common label per platform, ties listed together."""
     CM.prepare(spark)
@@ -535,6 +543,7 @@ QUERIES = {
     "texts_by_label": texts_by_label,
     "terms_by_label": terms_by_label,
     "collocations_by_label": collocations_by_label,
+    "cloud_by_label": cloud_by_label,
     "dominant_least": dominant_least,
     "distribution_insights": distribution_insights,
     "summary_text": summary_text,

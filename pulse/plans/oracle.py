@@ -404,6 +404,40 @@ s AS (SELECT *, CASE WHEN NN <= A OR NN <= B THEN 0.0 ELSE -2 * (
 SELECT social_media, sentiment, w1, w2, c12, c1, c2, n_words, round(llr, 6) AS llr FROM s WHERE llr > 30
 """
 
+_CASED = (f"list_filter(list_transform(regexp_extract_all(text, {q(X.TOKEN)}), "
+          f"lambda t: regexp_replace(t, {q(X.POSSESSIVE_CASED)}, '')), lambda t: NOT regexp_matches(t, {q(X.ALL_DIGITS)}))")
+SQL["cloud_by_label"] = f"""
+WITH {LABELLED_CTES.strip()},
+t AS (SELECT social_media || '/' || sentiment AS g, unnest(texts) AS text FROM lab),
+tt AS (SELECT g, {_CASED} AS l FROM t),
+w AS (SELECT g, w FROM (SELECT g, unnest(l) AS w FROM tt) WHERE NOT list_contains({STOP}, lower(w))),
+sp AS (SELECT g, lower(w) AS k, w, count(*) AS c FROM w GROUP BY ALL),
+best AS (SELECT g, k, w AS spelling FROM sp QUALIFY row_number() OVER (PARTITION BY g, k ORDER BY c DESC, w) = 1),
+canon AS (SELECT x.g, x.k, coalesce(y.k, x.k) AS word, coalesce(y.spelling, x.spelling) AS spelling
+          FROM best x LEFT JOIN best y ON y.g = x.g AND x.k = y.k || 's' AND NOT ends_with(x.k, 'ss')),
+uni AS (SELECT c.g, c.word, c.spelling, sum(sp.c) AS n FROM sp JOIN canon c USING (g, k) GROUP BY ALL),
+tot AS (SELECT g, count(*) AS nn FROM w GROUP BY g),
+pr AS (SELECT g, unnest(list_zip(l[1:len(l) - 1], l[2:len(l)])) AS pz FROM tt WHERE len(l) > 1),
+c12 AS (SELECT pr.g, a.word AS w1, b.word AS w2, CAST(count(*) AS DOUBLE) AS ab FROM pr
+        JOIN canon a ON a.g = pr.g AND a.k = lower(pz[1]) JOIN canon b ON b.g = pr.g AND b.k = lower(pz[2]) GROUP BY ALL),
+j AS (SELECT c12.g, w1, w2, ab, a.spelling || ' ' || b.spelling AS entry,
+             CAST(tot.nn AS DOUBLE) AS nn, CAST(a.n AS DOUBLE) AS x, CAST(b.n AS DOUBLE) AS y
+      FROM c12 JOIN uni a ON a.g = c12.g AND a.word = w1 JOIN uni b ON b.g = c12.g AND b.word = w2 JOIN tot ON tot.g = c12.g),
+ph AS (SELECT g, w1, w2, entry, CAST(ab AS BIGINT) AS c FROM j WHERE nn > x AND nn > y AND -2 * (
+        (ab * ln(greatest(y / nn, 1e-10)) + (x - ab) * ln(greatest(1 - y / nn, 1e-10)))
+      + ((y - ab) * ln(greatest(y / nn, 1e-10)) + ((nn - x) - (y - ab)) * ln(greatest(1 - y / nn, 1e-10)))
+      - (ab * ln(greatest(ab / x, 1e-10)) + (x - ab) * ln(greatest(1 - ab / x, 1e-10)))
+      - ((y - ab) * ln(greatest((y - ab) / (nn - x), 1e-10)) + ((nn - x) - (y - ab)) * ln(greatest(1 - (y - ab) / (nn - x), 1e-10)))) > 30),
+off AS (SELECT g, word, sum(c) AS c FROM (SELECT g, w1 AS word, c FROM ph UNION ALL SELECT g, w2, c FROM ph) GROUP BY ALL),
+e AS (SELECT uni.g, spelling AS entry, false AS is_phrase, CAST(n - coalesce(off.c, 0) AS BIGINT) AS n
+      FROM uni LEFT JOIN off ON off.g = uni.g AND off.word = uni.word
+      UNION ALL SELECT g, entry, true, c FROM ph),
+r AS (SELECT g, entry, is_phrase, n, CAST(row_number() OVER (PARTITION BY g ORDER BY n DESC, entry, is_phrase) AS INTEGER) AS rank
+      FROM e WHERE n > 0 QUALIFY rank <= 200)
+SELECT split_part(g, '/', 1) AS social_media, split_part(g, '/', 2) AS sentiment, rank, entry, is_phrase, n,
+       round(n / max(n) OVER (PARTITION BY g), 6) AS weight FROM r
+"""
+
 _TIES = """array_to_string(list_transform(list_sort(list({{'o': ordinal, 's': sentiment}}) FILTER (WHERE {cond})),
           lambda x: x.s), ', ')"""
 SQL["dominant_least"] = f"""

@@ -37,10 +37,11 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import ship_package, written
+from .storage import ship_package, texts_of, written
 
 DEPTH = 6
 #: share of the training bytes below which a context is no node; 0: none
@@ -75,6 +76,20 @@ def gram_counts(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.
     return np.unique(gram_codes(texts, depth), return_counts=True)
 
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """``summed`` over all of ``parts``, which is emptied: the single parts are
+    free before the sort takes its memory."""
+    joined = [np.concatenate(x) for x in zip(*parts)]
+    parts.clear()
+    order = np.argsort(joined[0], kind="stable")
+    codes = joined[0][order]
+    counts = joined.pop()[order]
+    joined.clear()
+    del order
+    first = np.flatnonzero(np.diff(codes, prepend=-1)) if len(codes) else np.empty(0, np.int64)
+    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(codes, kind="stable")
     codes, counts = codes[order], counts[order]
@@ -93,7 +108,7 @@ def text_ranges(sizes: list[int], most: int = 2 << 20):
         yield lo, len(sizes)
 
 
-def count_grams(texts: DataFrame, depth: int = DEPTH, most: int = 4 << 20) -> DataFrame:
+def count_grams(texts: DataFrame, depth: int = DEPTH, most: int = 2 << 20) -> DataFrame:
     """``code, n, uses``: byte sequences of texts given as ``held_out, body``
     (binary), their counts in training texts and in all.
 
@@ -106,24 +121,20 @@ def count_grams(texts: DataFrame, depth: int = DEPTH, most: int = 4 << 20) -> Da
         return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts * (not held_out)), pa.array(counts)], ["code", "n", "uses"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.int64), np.empty(0, np.int64)
-        held = {False: none, True: none}
-        waiting: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
+        # per side what is summed so far, first, and what was met since
+        parts: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {out: [(np.empty(0, np.int64),) * 2] for out in (False, True)}
         for batch in batches:
-            side = batch.column(0).to_pylist()
-            all_bodies = batch.column(1).to_pylist()
             for out in (False, True):
-                body = [b for b, x in zip(all_bodies, side) if x == out]
-                for lo, hi in text_ranges([len(b) for b in body]):
-                    waiting[out].append(gram_counts(body[lo:hi], depth))
-                    if sum(len(c) for c, _ in waiting[out]) > max(1 << 20, len(held[out][0])):
-                        held[out] = summed(*map(np.concatenate, zip(held[out], *waiting[out])))
-                        waiting[out] = []
-                    if len(held[out][0]) > most:
-                        yield give(*held[out], out)
-                        held[out] = none
+                side = parts[out]
+                for _, _, body in texts_of(batch.column(1).filter(pc.equal(batch.column(0), out)), text_ranges):
+                    side.append(gram_counts(body, depth))
+                    if sum(len(c) for c, _ in side[1:]) > max(1 << 20, len(side[0][0])):
+                        side.append(merged(side))
+                    if len(side[0][0]) > most:
+                        yield give(*side.pop(0), out)
+                        side.insert(0, (np.empty(0, np.int64),) * 2)
         for out in (False, True):
-            yield give(*summed(*map(np.concatenate, zip(held[out], *waiting[out]))), out)
+            yield give(*merged(parts[out]), out)
 
     return (texts.select("held_out", "body").mapInArrow(run, "code long, n long, uses long")
             .groupBy("code").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")))
@@ -138,9 +149,8 @@ def count_words(texts: DataFrame, most: int = 1 << 19) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
         for batch in batches:
-            body = batch.column(0).to_pylist()
-            for lo, hi in text_ranges([len(b) for b in body]):
-                words.update(b"\n".join(body[lo:hi]).lower().split())
+            for lo, hi, body in texts_of(batch.column(0), text_ranges):
+                words.update(b"\n".join(body).lower().split())
                 words[END_WORD] += hi - lo
                 if len(words) > most:
                     yield give(words)
@@ -604,9 +614,7 @@ def score(docs: DataFrame, depth: int = DEPTH, share: float = SHARE, word_share:
         number = {w: i for i, w in enumerate(frequent)}.get
         logs = np.append(np.log10(times + 0.1), 0.0)
         for batch in batches:
-            body = batch.column(2).to_pylist()
-            for lo, hi in text_ranges([len(b) for b in body]):
-                part = body[lo:hi]
+            for lo, hi, part in texts_of(batch.column(2), text_ranges):
                 cut = [b.lower().split() for b in part]
                 sizes = np.fromiter(map(len, cut), np.int64, len(cut)) + 1
                 flat = [w for words in cut for w in (*words, END_WORD)]

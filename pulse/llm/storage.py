@@ -14,7 +14,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,9 @@ from pulse.session import scratch_path
 
 #: proven bound of what is broadcast: bytes of the Parquet files of the table
 BROADCAST_BYTES = 8 << 20
+#: rows of an Arrow batch that goes to a Python worker
+ROWS_PER_BATCH = 2000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -52,8 +58,19 @@ def small_or_shuffled(df: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if table_bytes(df) <= most_bytes else df
 
 
+def texts_of(column: pa.Array, ranges) -> Iterator[tuple[int, int, list]]:
+    """``lo, hi, texts`` for the ``ranges`` of the sizes of a column's texts (none null):
+    a worker holds the texts of one range as Python objects, not those of a batch."""
+    for lo, hi in ranges(pc.binary_length(column).to_pylist()):
+        yield lo, hi, column.slice(lo, hi - lo).to_pylist()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (once per context)."""
+    """Make this package importable in Python workers (once per context), and have
+    them given ``ROWS_PER_BATCH`` rows at a time: whole texts lie in a batch twice,
+    in the executor and in its worker."""
+    if int(spark.conf.get(_ROWS)) > ROWS_PER_BATCH or int(spark.conf.get(_ROWS)) <= 0:
+        spark.conf.set(_ROWS, str(ROWS_PER_BATCH))
     sc = spark.sparkContext
     if getattr(sc, "_pulse_shipped", False):
         return

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import ship_package, small_or_shuffled, written
+from .storage import ship_package, small_or_shuffled, texts_of, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -237,7 +237,7 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
-def text_ranges(sizes: list[int], most: int = 4 << 20):
+def text_ranges(sizes: list[int], most: int = 1 << 20):
     """Ranges of about ``most`` bytes, one text at least."""
     lo = held = 0
     for i, n in enumerate(sizes):
@@ -260,9 +260,7 @@ def sketch(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            body = batch.column(1).to_pylist()
-            for lo, hi in text_ranges([len(b) for b in body]):
-                part = body[lo:hi]
+            for lo, hi, part in texts_of(batch.column(1), text_ranges):
                 doc, shingle, weight = bags(part)
                 sig = signatures(doc, shingle, weight, len(part), slots)
                 size = np.bincount(doc, weight, len(part)).astype(np.int64)

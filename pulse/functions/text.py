@@ -33,7 +33,9 @@ NEWLINES = r"\n+"
 COMMENT_URL = "https?://" + NWS + "+|www\\." + NWS + "+"
 WS_RUN = WS + "+"
 EDGE_SPACE = r"\A | \z"
-
+# The runs that are not one plain space already, in any text and in ASCII alone.
+UNEVEN_RUN = " " + WS + "+|[" + _WS_BODY.replace(r"\s", r"\t-\r") + "]" + WS + "*"
+UNEVEN_RUN_ASCII = r" [\t-\r\x1c-\x20]+|[\t-\r\x1c-\x1f][\t-\r\x1c-\x20]*"
 
 
 def _emoji_class() -> str:
@@ -82,6 +84,10 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def clean_thread_text(col) -> Column:
     """Null -> one space; else strip, remove links, newline runs -> space.
 
@@ -100,9 +106,13 @@ def clean_comment_text(col) -> Column:
     A missing text is treated as the empty string.
     """
     c = F.coalesce(_c(col), F.lit(""))
-    no_links = F.regexp_replace(c, COMMENT_URL, " ")
-    collapsed = F.regexp_replace(no_links, WS_RUN, " ")
-    return F.regexp_replace(collapsed, EDGE_SPACE, "")
+    # only texts with a link are searched for links, and a plain single space,
+    # by far the most frequent run, is left as it is; spaces are then single, so
+    # trimming takes off one at each edge
+    no_links = F.when(c.contains("://") | c.contains("www."), F.regexp_replace(c, COMMENT_URL, " ")).otherwise(c)
+    collapsed = F.when(_ascii(c), F.regexp_replace(no_links, UNEVEN_RUN_ASCII, " ")).otherwise(
+        F.regexp_replace(no_links, UNEVEN_RUN, " "))
+    return F.trim(collapsed)
 
 
 def has_text(col) -> Column:
@@ -141,8 +151,7 @@ def tokens(col) -> Column:
 def cased_tokens(col) -> Column:
     """Tokens as ``term_tokens`` gives them, in the letters of the text."""
     found = F.regexp_extract_all(F.coalesce(_c(col), F.lit("")), F.lit(TOKEN), 0)
-    stripped = F.transform(found, lambda t: F.regexp_replace(t, POSSESSIVE_CASED, ""))
-    return F.filter(stripped, lambda t: ~t.rlike(ALL_DIGITS))
+    return _counted(found, lambda t: t.endswith("'s") | t.endswith("'S"))
 
 
 def truncate_tokens(tok: Column, n: int = MAX_SCORED_TOKENS) -> Column:
@@ -153,5 +162,13 @@ def truncate_tokens(tok: Column, n: int = MAX_SCORED_TOKENS) -> Column:
 def term_tokens(col) -> Column:
     """Tokens as counted for term clouds: lower-cased, trailing 's removed,
     all-digit tokens dropped (stop-words are removed later by a join)."""
-    stripped = F.transform(tokens(col), lambda t: F.regexp_replace(t, POSSESSIVE, ""))
-    return F.filter(stripped, lambda t: ~t.rlike(ALL_DIGITS))
+    return _counted(tokens(col), lambda t: t.endswith("'s"))
+
+
+def _counted(found: Column, possessive) -> Column:
+    """``found`` without the ending of possessives and without all-digit tokens. A
+    token is tested by its bytes; only one that does not begin with an ASCII letter
+    can be all digits, so few are matched with the pattern."""
+    stripped = F.transform(found, lambda t: F.when(possessive(t), F.left(t, F.length(t) - 2)).otherwise(t))
+    letter = lambda t: ((t >= "a") & (t < "{")) | ((t >= "A") & (t < "["))
+    return F.filter(stripped, lambda t: letter(t) | ~t.rlike(ALL_DIGITS))

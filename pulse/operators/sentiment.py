@@ -72,8 +72,10 @@ class LexiconScorer:
         branches = " ".join(
             f"WHEN t IN ({', '.join(quote(x) for x in sorted(words))}) THEN {w}"
             for w, words in sorted(by_weight.items()))
-        return F.expr(f"aggregate(transform(_pulse_tokens, t -> CASE {branches} ELSE 0 END), "
-                      f"CAST(0 AS BIGINT), (a, x) -> a + x)")
+        listed = ", ".join(quote(w) for w in sorted(w for words in by_weight.values() for w in words))
+        # few tokens have a weight: one test tells the others, which need no branch
+        return F.expr(f"aggregate(filter(_pulse_tokens, t -> t IN ({listed})), CAST(0 AS BIGINT), "
+                      f"(a, t) -> a + CAST(CASE {branches} ELSE 0 END AS BIGINT))")
 
     def weight_of(self, df: DataFrame, word: str) -> Column:
         """The weight of one word: a literal, or a scalar subquery."""

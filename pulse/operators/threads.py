@@ -66,16 +66,16 @@ def thread_text(post_text: Column | str = "comment_raw_text",
                 comments: Column | str = "comments") -> Column:
     """Post text (if any) then `` commento:`` + each non-blank comment.
 
-    A blank post leaves the text starting with the separator. Comments are
-    folded in array order with ``aggregate`` - no ``concat_ws``, which would
-    drop the leading separator.
+    A blank post leaves the text starting with the separator. Every comment brings
+    its own separator and the pieces are joined once, in array order: a fold
+    would copy the text so far for every comment.
     """
     post = F.col(post_text) if isinstance(post_text, str) else post_text
     cs = F.col(comments) if isinstance(comments, str) else comments
     start = F.when(has_text(post), post).otherwise(F.lit(""))
-    return F.aggregate(drop_blank_comments(F.coalesce(cs, _empty_comments())), start,
-                       lambda acc, c: F.concat(acc, F.lit(THREAD_SEPARATOR),
-                                               c.getField("comment_raw_text")))
+    pieces = F.transform(drop_blank_comments(F.coalesce(cs, _empty_comments())),
+                         lambda c: F.concat(F.lit(THREAD_SEPARATOR), c.getField("comment_raw_text")))
+    return F.concat(start, F.array_join(pieces, ""))
 
 
 def item_texts(df: DataFrame) -> Column:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.functions.time import PLATFORM_FORMAT
+from pulse.session import materialised
 from pulse.sources import normalize as N
 
 # Origin of derived publish instants: 2025-05-25T00:00:00Z.
@@ -129,7 +130,8 @@ def source_threads(spark: SparkSession, sf_dir: str):
     with the smallest id as the post and the others as its comments."""
     rows = comment_rows(spark, sf_dir)
     ids = F.regexp_extract("content_id", r"(\d+)$", 1).cast("bigint")
-    rows = rows.withColumn("position", ids)
+    # cleaned once: posts and comments, their texts and their parts all read these rows
+    rows = materialised(rows.withColumn("position", ids), "source_rows")
     first = rows.groupBy(F.col("scope").alias("_scope")).agg(F.min("position").alias("_first"))
     rows = rows.join(first, rows["scope"] == first["_scope"])
     is_post = F.col("position") == F.col("_first")

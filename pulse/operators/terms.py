@@ -12,6 +12,7 @@ import functools
 import glob
 import os
 import zipfile
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,9 +73,12 @@ def term_counts(df: DataFrame, group_cols: list[str], text_col: str = "text",
 
 
 def term_frequency(df: DataFrame, group_cols: list[str], text_col: str = "text",
-                   top: int = TOP_TERMS, stopwords=None) -> DataFrame:
-    """The ``top`` most frequent terms per group (ties by term), ranked."""
-    counts = term_counts(df, group_cols, text_col, stopwords)
+                   top: int = TOP_TERMS, stopwords=None, counted: PairCounts | None = None) -> DataFrame:
+    """The ``top`` most frequent terms per group (ties by term), ranked.
+
+    ``counted``: the counts of the same texts, where they were made already.
+    """
+    counts = term_counts(df, group_cols, text_col, stopwords) if counted is None else counted.words
     ranked = top_n(counts, group_cols, [F.col("n").desc(), F.col("term").asc()], top, "rank")
     # cloud weight: count relative to the group's most frequent term
     # (a window over at most ``top`` rows per group)
@@ -82,6 +86,33 @@ def term_frequency(df: DataFrame, group_cols: list[str], text_col: str = "text",
     return ranked.withColumn("weight", F.round(F.col("n") / top_count, 6))
 
 
+class PairCounts(NamedTuple):
+    """What ``pair_counts`` found: ``group..., w1, w2, _n`` and ``group..., term, n``."""
+    pairs: DataFrame
+    words: DataFrame
+
+
+def pair_counts(df: DataFrame, group_cols: list[str], text_col: str = "text", stopwords=None) -> PairCounts:
+    """Counts of all words and adjacent pairs per group, stop-words removed, as tables
+    in the shared scratch folder: the texts are read and tokenised once for A6 and A7.
+
+    Zipping the tokens with themselves shifted by one gives every token once as
+    w1 (the last one, or one before a stop-word, with w2 = null) and every
+    adjacent pair; one partial aggregate counts both. Word counts are then sums
+    over that (much smaller) table.
+    """
+    sw = stopwords if stopwords is not None else default_stopwords()
+    toks = df.select(*group_cols, term_tokens(F.col(text_col)).alias("_t"))
+    nxt = F.slice("_t", 2, F.size("_t"))
+    grams = toks.select(*group_cols, F.explode(F.arrays_zip(F.col("_t").alias("w1"), nxt.alias("w2"))).alias("_z"))
+    grams = grams.select(*group_cols, F.col("_z.w1").alias("w1"), F.col("_z.w2").alias("w2"))
+    kept = (grams.filter(_not_stop(F.col("w1"), sw))
+            .withColumn("w2", F.when(F.col("w2").isNotNull() & _not_stop(F.col("w2"), sw), F.col("w2"))))
+    pairs = materialised(kept.groupBy(*group_cols, "w1", "w2").agg(F.count(F.lit(1)).alias("_n")), "pair_counts")
+    words = pairs.groupBy(*group_cols, F.col("w1").alias("term")).agg(F.sum("_n").alias("n"))
+    return PairCounts(pairs, materialised(words, "word_counts"))
+
+
 def likelihood_ratio(c12: str, c1: str, c2: str, n: str) -> Column:
     """Dunning's log-likelihood ratio of a pair from the columns of its count, of
     its words' counts and of all words (formula in ``collocations``)."""
@@ -96,7 +127,7 @@ def likelihood_ratio(c12: str, c1: str, c2: str, n: str) -> Column:
 
 
 def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
-                 min_llr: float = MIN_LLR, stopwords=None) -> DataFrame:
+                 min_llr: float = MIN_LLR, stopwords=None, counted: PairCounts | None = None) -> DataFrame:
     """Adjacent word pairs scored with Dunning's log-likelihood ratio.
 
     Pairs are formed within one text before stop-word removal, and kept only
@@ -106,22 +137,10 @@ def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
     L(k, n, x) = k ln max(x, eps) + (n-k) ln max(1-x, eps),
     LLR = -2 [L(c12,c1,p) + L(c2-c12,N-c1,p) - L(c12,c1,p1) - L(c2-c12,N-c1,p2)],
     and 0 when N <= c1 or N <= c2. Pairs with LLR > ``min_llr`` are returned.
+    ``counted``: the counts of the same texts, where they were made already.
     """
-    sw = stopwords if stopwords is not None else default_stopwords()
-    # One pass over the text: zipping the tokens with themselves shifted by
-    # one gives every token once as w1 (the last one with w2 = null) and
-    # every adjacent pair; one partial aggregate counts both. Unigram counts
-    # are then sums over that (much smaller) table, which is written to the
-    # shared scratch folder, so the text is read and tokenised once.
-    toks = df.select(*group_cols, term_tokens(F.col(text_col)).alias("_t"))
-    nxt = F.slice("_t", 2, F.size("_t"))
-    grams = toks.select(*group_cols, F.explode(F.arrays_zip(F.col("_t").alias("w1"), nxt.alias("w2"))).alias("_z"))
-    grams = grams.select(*group_cols, F.col("_z.w1").alias("w1"), F.col("_z.w2").alias("w2"))
-    kept = (grams.filter(_not_stop(F.col("w1"), sw))
-            .withColumn("w2", F.when(F.col("w2").isNotNull() & _not_stop(F.col("w2"), sw), F.col("w2"))))
-    counts = materialised(kept.groupBy(*group_cols, "w1", "w2").agg(F.count(F.lit(1)).alias("_n")), "pair_counts")
+    counts, uni = pair_counts(df, group_cols, text_col, stopwords) if counted is None else counted
     c12 = counts.filter(F.col("w2").isNotNull()).withColumnRenamed("_n", "c12")
-    uni = materialised(counts.groupBy(*group_cols, F.col("w1").alias("term")).agg(F.sum("_n").alias("n")), "word_counts")
     totals = uni.groupBy(*group_cols).agg(F.sum("n").alias("n_words"))
     # groups are few (platforms x labels): their totals are broadcast, so the pairs
     # are not shuffled on a handful of keys; many groups are joined by shuffle
@@ -129,7 +148,8 @@ def collocations(df: DataFrame, group_cols: list[str], text_col: str = "text",
         totals = F.broadcast(totals)
     u1 = uni.select(*group_cols, F.col("term").alias("w1"), F.col("n").alias("c1"))
     u2 = uni.select(*group_cols, F.col("term").alias("w2"), F.col("n").alias("c2"))
-    scored = c12.join(u1, [*group_cols, "w1"]).join(u2, [*group_cols, "w2"]).join(totals, group_cols)
+    # words before groups: a sort compares the first key's bytes, and groups are few
+    scored = c12.join(u1, ["w1", *group_cols]).join(u2, ["w2", *group_cols]).join(totals, group_cols)
     return (scored.withColumn("llr", likelihood_ratio("c12", "c1", "c2", "n_words")).filter(F.col("llr") > min_llr)
             .select(*group_cols, "w1", "w2", "c12", "c1", "c2", "n_words", "llr"))
 
@@ -164,23 +184,26 @@ def cloud_list(df: DataFrame, group_cols: list[str], text_col: str = "text", top
     keys = materialised(keys, "cloud_words")
     single = keys.select(*g, F.col("key").alias("single"), F.col("spelling").alias("single_spelling"))
     stem = F.when(F.col("key").endswith("s") & ~F.col("key").endswith("ss"), F.expr("left(key, length(key) - 1)"))
-    merged = keys.withColumn("single", stem).join(single, [*g, "single"], "left").select(
+    merged = keys.withColumn("single", stem).join(single, ["single", *g], "left").select(
         *g, "key", F.when(F.col("single_spelling").isNotNull(), F.col("single")).otherwise(F.col("key")).alias("word"),
         F.coalesce("single_spelling", "spelling").alias("spelling"), "c")
     merged = materialised(merged, "cloud_merged")
-    totals = merged.groupBy(*g, "word", "spelling").agg(F.sum("c").alias("n"))
-    all_words = merged.groupBy(*g).agg(F.sum("c").alias("n_words"))
+    totals = materialised(merged.groupBy(*g, "word", "spelling").agg(F.sum("c").alias("n")), "cloud_totals")
+    all_words = totals.groupBy(*g).agg(F.sum("n").alias("n_words"))
     if all_words.count() <= BROADCAST_GROUPS:
         all_words = F.broadcast(all_words)
 
-    # phrases, over the merged words
-    of = lambda k, w: merged.select(*g, F.col("key").alias(k), F.col("word").alias(w))
-    both = (counts.filter(F.col("w2").isNotNull()).groupBy(*g, F.lower("w1").alias("k1"), F.col("w2").alias("k2"))
-            .agg(F.sum("c").alias("c")).join(of("k1", "a"), [*g, "k1"]).join(of("k2", "b"), [*g, "k2"])
-            .groupBy(*g, "a", "b").agg(F.sum("c").alias("c12")))
-    named = lambda w, c: totals.select(*g, F.col("word").alias(w), F.col("n").alias(c), F.col("spelling").alias(f"s_{w}"))
-    scored = both.join(named("a", "c1"), [*g, "a"]).join(named("b", "c2"), [*g, "b"]).join(all_words, g)
-    phrases = materialised(scored.filter(likelihood_ratio("c12", "c1", "c2", "n_words") > min_llr)
+    # phrases, over the merged words: each word of a pair brings its merged word and
+    # that one's count in one join, so the pairs are shuffled once a word and once to
+    # be summed; words come before groups in the keys (see ``collocations``)
+    counted = materialised(merged.select(*g, "key", "word").join(totals.select(*g, "word", "n"), ["word", *g]), "cloud_counted")
+    of = lambda k, w, c: counted.select(*g, F.col("key").alias(k), F.col("word").alias(w), F.col("n").alias(c))
+    both = (counts.filter(F.col("w2").isNotNull()).select(*g, F.lower("w1").alias("k1"), F.col("w2").alias("k2"), "c")
+            .join(of("k1", "a", "c1"), ["k1", *g]).join(of("k2", "b", "c2"), ["k2", *g])
+            .groupBy("a", "b", *g).agg(F.sum("c").alias("c12"), F.max("c1").alias("c1"), F.max("c2").alias("c2")))
+    found = both.join(all_words, g).filter(likelihood_ratio("c12", "c1", "c2", "n_words") > min_llr).select(*g, "a", "b", "c12")
+    spelt_as = lambda w: totals.select(*g, F.col("word").alias(w), F.col("spelling").alias(f"s_{w}"))
+    phrases = materialised(found.join(spelt_as("a"), ["a", *g]).join(spelt_as("b"), ["b", *g])
                            .select(*g, "a", "b", "c12", F.concat_ws(" ", "s_a", "s_b").alias("entry")), "cloud_phrases")
 
     used = (phrases.select(*g, F.explode(F.array("a", "b")).alias("word"), "c12").groupBy(*g, "word").agg(F.sum("c12").alias("used")))

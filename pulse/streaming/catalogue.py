@@ -18,7 +18,7 @@ from pulse.operators.sentiment import score_comments, score_threads
 from pulse.plans import common as CM
 from pulse.plans import oracle as O
 from pulse.schema import DISCOVERY_PAGE
-from pulse.session import scratch_path
+from pulse.session import materialised, scratch_path
 from pulse.sinks.files import stage_documents, stage_keyed, write_parquet, write_report
 from pulse.sources import tables as TB
 from pulse.sources.files import read_comments, read_threads
@@ -240,7 +240,8 @@ def report_tables(spark: SparkSession, sf: str) -> DataFrame:
     platform's folder at a time, through a partition filter)."""
     CM.prepare(spark)
     base = scratch_path(spark, "report")
-    lab = CM.labelled(spark, sf)
+    # the tables need these columns alone: scored once, read by each of them
+    lab = materialised(CM.labelled(spark, sf).select("social_media", "sentiment"), "report_labels")
     write_report({"label_share": R.label_share(lab), "label_counts": R.label_counts(lab),
                   "summary": R.render_summary(lab)}, base)
     shares = spark.read.parquet(f"{base}/label_share")

@@ -331,6 +331,7 @@ def stream_sentiment_over_time(spark: SparkSession, sf: str) -> DataFrame:
     many = rows.agg((F.max("number") + 1).alias("many")).first()["many"]
     late = F.when(F.col("number") % 31 == 0, 3).when(F.col("number") % 7 == 0, 1).otherwise(0)
     waves = rows.withColumn("wave", F.least(F.floor(F.col("number") * CHUNKS / F.lit(many)) + late, F.lit(CHUNKS - 1))).drop("number")
+    waves = materialised(waves, "waves")   # scored once, not for every wave
     per_wave = _land_in_order(waves, f"{base}/landing", "wave")
     for _run in ("first", "restart"):
         src = spark.readStream.schema(waves.schema).option("maxFilesPerTrigger", per_wave).json(f"{base}/landing")

@@ -268,13 +268,14 @@ def final_report(spark: SparkSession, store: str, out: str | None = None) -> dic
     labelled = spark.read.parquet(store)
     shares = R.label_share(labelled)
     texts = labelled.select("social_media", "content_id", "sentiment", F.explode(item_texts(labelled)).alias("text"))
+    counted = TR.pair_counts(texts, groups)   # words and pairs of A6 and A7, tokenised once
     groups = ["social_media", "sentiment"]
     tables = {
         "label_share": shares,
         "item_series": R.item_series(labelled, ["publish_date", "content_id"]),
         "texts_by_label": R.texts_by_label(texts),
-        "terms_by_label": TR.term_frequency(texts, groups),
-        "collocations_by_label": TR.collocations(texts, groups),
+        "terms_by_label": TR.term_frequency(texts, groups, counted=counted),
+        "collocations_by_label": TR.collocations(texts, groups, counted=counted),
         "dominant_least": R.dominant_from_shares(shares),
         "insights": R.insights_from_shares(shares),
         "summary": R.render_summary(labelled),

@@ -115,15 +115,14 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
     source = source.observe("cycle", F.count(F.lit(1)).alias("items"),
                             F.approx_count_distinct(F.col(keys[-1])).alias("approx_distinct"))
 
-    def once(rows: DataFrame, path: str, seen: Ledger, run: str, batch_id: int) -> None:
-        """Rows whose key is new into the batch's folder, then their keys into the ledger."""
-        rows = rows.persist()
+    def once(rows: DataFrame, pick: Callable[[DataFrame], DataFrame], path: str, seen: Ledger, run: str, batch_id: int) -> None:
+        """Of each key that is new one row (``pick``) into the batch's folder, then the
+        keys into the ledger. Known keys go first, so a replay picks among nothing."""
         look = seen.lookup(rows, f"{run}/{batch_id}")
-        fresh = look.unseen().persist()
+        fresh = pick(look.unseen()).persist()
         fresh.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))  # K2
         look.record(fresh)                                                        # K4
         fresh.unpersist()
-        rows.unpersist()
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -132,9 +131,9 @@ def ingest_stream(source: DataFrame, store: str, ledger: str, checkpoint: str,
         ok = batch
         if rejects:
             ok, rejected = FL.quarantine(batch)
-            rejected = with_identity(rejected).withColumn("_key", F.sha2("_row", 256)).dropDuplicates(["reason", "_key"])
-            once(rejected, rejects, Ledger(spark, f"{rejects}_ledger", ["reason", "_key"]), run, batch_id)
-        once(D.keep_first(ok, keys, order_cols), store, Ledger(spark, ledger, keys), run, batch_id)
+            rejected = with_identity(rejected).withColumn("_key", F.sha2("_row", 256))
+            once(rejected, lambda r: r.dropDuplicates(["reason", "_key"]), rejects, Ledger(spark, f"{rejects}_ledger", ["reason", "_key"]), run, batch_id)
+        once(ok, lambda r: D.keep_first(r, keys, order_cols), store, Ledger(spark, ledger, keys), run, batch_id)
         if metrics:
             stored = spark.read.schema(ok.schema).parquet(batch_folder(store, run, batch_id))
             both = ok.select(*keys[:-1], F.lit(0).alias("new")).unionByName(stored.select(*keys[:-1], F.lit(1).alias("new")))
@@ -268,8 +267,8 @@ def final_report(spark: SparkSession, store: str, out: str | None = None) -> dic
     labelled = spark.read.parquet(store)
     shares = R.label_share(labelled)
     texts = labelled.select("social_media", "content_id", "sentiment", F.explode(item_texts(labelled)).alias("text"))
-    counted = TR.pair_counts(texts, groups)   # words and pairs of A6 and A7, tokenised once
     groups = ["social_media", "sentiment"]
+    counted = TR.pair_counts(texts, groups)   # words and pairs of A6 and A7, tokenised once
     tables = {
         "label_share": shares,
         "item_series": R.item_series(labelled, ["publish_date", "content_id"]),

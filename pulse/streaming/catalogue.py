@@ -297,7 +297,7 @@ def stream_label_cycles(spark: SparkSession, sf: str) -> DataFrame:
     CM.prepare(spark)
     base = scratch_path(spark, "label_cycles")
     number = F.substring_index("content_id", "_", -1).cast("long")
-    rows = CM.comments(spark, sf)
+    rows = materialised(CM.comments(spark, sf), "cycle_rows")   # normalised once for all stagings
     broken = rows.withColumn("publish_date", F.when(number % 4 != 0, F.col("publish_date")))
 
     def cycle(checkpoint: str) -> None:

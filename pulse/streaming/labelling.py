@@ -46,7 +46,9 @@ def label_cycles(source: DataFrame, label: Callable[[DataFrame], DataFrame], bas
         by = f"{run}/{batch_id}"
         ledger = Ledger(spark, f"{base}/labelled", ["_id"])
         queue, numbers = BatchTable(spark, f"{base}/rejects"), BatchTable(spark, f"{base}/numbers")
-        docs = latest_staged(batch, key)
+        # documents labelled before go first: only the others are shuffled whole
+        staged = batch.withColumn("_id", F.sha2(staged_identity(batch, key), 256))
+        docs = latest_staged(ledger.lookup(staged, by).unseen().drop("_id"), key)
         fresh = docs.columns
         waiting = queue.before(run, batch_id)
         if waiting is not None:

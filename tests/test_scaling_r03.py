@@ -14,6 +14,7 @@ from pulse.operators import dedup as D
 from pulse.operators import terms as TR
 from pulse.operators.threads import thread_text
 from pulse.plans import catalogue as PC
+from pulse.schema import COMMENT_STRUCT
 from pulse.sources import tables as TB
 from pulse.streaming import catalogue as SC
 from pulse.streaming import jobs as J
@@ -70,7 +71,9 @@ def test_big_threads_reads_cleaned_rows(spark, tmp_path):
 
 def test_thread_text_copies_nothing_per_comment(spark):
     df = spark.sql("SELECT 'p' AS comment_raw_text, array('a', ' ', NULL, 'b') AS texts")
-    df = df.select("comment_raw_text", F.transform("texts", lambda t: F.struct(t.alias("comment_raw_text"))).alias("comments"))
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in COMMENT_STRUCT.fields]
+    full = lambda t: F.struct(*[t.alias(c.name) if c.name == "comment_raw_text" else o for c, o in zip(COMMENT_STRUCT.fields, others)])
+    df = df.select("comment_raw_text", F.transform("texts", full).alias("comments"))
     glued = df.select(thread_text(comments=F.col("comments")).alias("t"))
     assert glued.first().t == "p commento:a commento:b"
     assert "aggregate(" not in _plan(glued)

@@ -18,9 +18,10 @@ bucket every member is compared with the bucket's best connected text only, the
 verified links are joined to classes, and where members of several classes are
 left in a bucket, members of different classes are compared, chunk by chunk,
 unless their signatures rule out the threshold (by 5.5 standard deviations). So
-a bucket of n copies costs n comparisons, not n squared; what grows faster is the
-number of pairs of different classes whose signatures are just below it, which
-have to be looked at to lose no link.
+a bucket of n copies costs n comparisons, not n squared. The outsiders of a bucket
+(members outside its largest class) meet all its members, to lose no link; that is
+done block by block in arrays within a task, texts beside signatures, and only the
+links between classes leave it: no table holds these pairs.
 
 Equal texts are one node from the start (by MD5, pre-aggregated), so exact
 copies cost nothing after the first scan. Only candidates' texts are shuffled.
@@ -54,7 +55,11 @@ SLOTS = 512
 #: deviations beyond its expectation a similar pair's difference may lie
 SLOT_BITS = 4
 SIGMAS = 5.5
+#: outsiders of a bucket, and shingles of theirs, that a task holds at a time
 CHUNK = 256
+CHUNK_SHINGLES = 1 << 21
+#: pairs whose signatures are compared at a time
+PAIRS = 8192
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -223,6 +228,14 @@ def _short(sig: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(top.reshape(docs, -1, per) << shift, axis=2)
 
 
+def different_slots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of unequal kept parts of each pair of packed signatures."""
+    x = a ^ b
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+
+
 def most_different_slots(slots: int, threshold: float) -> int:
     """Differing kept parts beyond which a pair is ruled out.
 
@@ -319,13 +332,14 @@ def components(links: DataFrame) -> DataFrame:
     and that root's own root (pointer jumping), until nothing changes; each
     round's table is written, so a lost executor costs one round's tasks.
     """
-    both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                   "minhash-links")
+    links = written(links.select("a", "b"), "minhash-links")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     roots = written(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.col("key")).alias("root")), "minhash-roots")
     while True:
-        near = both.join(roots, both.b == roots.key).groupBy(F.col("a").alias("key")).agg(F.min("root").alias("near"))
+        known = small_or_shuffled(roots)
+        near = both.join(known, both.b == known.key).groupBy(F.col("a").alias("key")).agg(F.min("root").alias("near"))
         step = roots.join(near, "key", "left").select("key", "root", F.least("root", F.coalesce("near", "root")).alias("next"))
-        up = roots.select(F.col("key").alias("next"), F.col("root").alias("above"))
+        up = small_or_shuffled(roots.select(F.col("key").alias("next"), F.col("root").alias("above")))
         fresh = written(step.join(up, "next", "left").select(
             "key", F.least("next", F.coalesce("above", "next")).alias("root"),
             (F.least("next", F.coalesce("above", "next")) != F.col("root")).alias("moved")), "minhash-roots")
@@ -334,24 +348,114 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def _different_slots(a: str, b: str, slots: int) -> Column:
-    """Number of unequal four-bit parts of two packed signatures."""
-    total = F.lit(0)
-    for i in range(-(-slots * SLOT_BITS // 64)):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
-
+class _Rows:
+    """Members of open buckets as arrays: a batch of them, or outsiders that are held."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        column = lambda name: batch.column(batch.schema.get_field_index(name))
+        wide = lambda name: column(name).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)
+        self.bucket, self.chunk, self.n = (column(c).to_numpy() for c in ("bucket", "chunk", "n"))
+        self.own, self.inside, self.star = (column(c).to_numpy(zero_copy_only=False) for c in ("own", "inside", "star"))
+        self.slots, self.bands, self.body = wide("slots"), wide("bands"), column("body")
+        self.key, self.root = column("key").to_pylist(), column("root").to_pylist()
+
+
+class _Outsiders:
+    """The outsiders of one bucket and chunk; every member of the bucket meets them."""
+
+    def __init__(self, bucket: int, threshold: float, slots: int):
+        self.bucket, self.threshold, self.most = bucket, threshold, most_different_slots(slots, threshold)
+        self.n, self.star = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.slots = self.bands = None
+        self.key, self.root, self.body, self.bag = [], [], [], {}
+        self.number: dict[bytes, int] = {}  # of the outsiders' roots
+        self.of = np.zeros(0, np.int64)
+        self.joined: set[tuple[bytes, bytes]] = set()
+
+    def hold(self, rows: _Rows, lo: int, hi: int) -> None:
+        self.n, self.star = np.append(self.n, rows.n[lo:hi]), np.append(self.star, rows.star[lo:hi])
+        self.slots, self.bands = (new[lo:hi] if old is None else np.concatenate((old, new[lo:hi]))
+                                  for old, new in ((self.slots, rows.slots), (self.bands, rows.bands)))
+        self.key += rows.key[lo:hi]
+        self.root += rows.root[lo:hi]
+        self.body += rows.body.slice(lo, hi - lo).to_pylist()
+        self.of = np.append(self.of, [self.number.setdefault(r, len(self.number)) for r in rows.root[lo:hi]])
+
+    def meet(self, rows: _Rows, lo: int, hi: int) -> Iterator[tuple[bytes, bytes]]:
+        """Roots of two classes that a similar pair of an outsider and a row joins."""
+        held, own = len(self.key), int(rows.own[lo:hi].sum())
+        if own:  # they come first
+            self.hold(rows, lo, lo + own)
+        if not self.key:
+            return
+        n = rows.n[lo:hi]
+        root = np.array([self.number.get(r, -1) for r in rows.root[lo:hi]])
+        # outsiders of this chunk meet those before them
+        after = np.where(rows.own[lo:hi], held + np.arange(hi - lo), len(self.key))
+        mask = (self.of[:, None] != root) & (np.arange(len(self.key))[:, None] < after)
+        mask &= np.minimum(self.n[:, None], n) >= self.threshold * np.maximum(self.n[:, None], n)
+        mask &= ~(self.star[:, None] | rows.star[lo:hi])  # the star has met all
+        one, two = np.nonzero(mask)
+        two += lo
+        for at in range(0, len(one), PAIRS):
+            i, j = one[at:at + PAIRS], two[at:at + PAIRS]
+            close = different_slots(self.slots[i], rows.slots[j]) <= self.most
+            i, j = i[close], j[close]
+            # a pair is taken in the first bucket that it shares, and there once
+            band = (self.bands[i] == rows.bands[j]).argmax(axis=1)
+            first = rows.bands[j, band].view(np.int64) == self.bucket
+            yield from self.similar(rows, i[first].tolist(), j[first].tolist())
+
+    def similar(self, rows: _Rows, one: list[int], two: list[int]) -> Iterator[tuple[bytes, bytes]]:
+        pairs = {}
+        for i, j in zip(one, two):
+            if rows.own[j] or rows.inside[j] or self.key[i] < rows.key[j]:
+                pairs.setdefault(j, []).append(i)
+        held = sorted({i for some in pairs.values() for i in some} - self.bag.keys())
+        self.bag.update(zip(held, _each_bag([self.body[i] for i in held])))
+        for (j, some), y in zip(pairs.items(), _each_bag([rows.body[j].as_py() for j in pairs])):
+            for i in some:
+                link = min(self.root[i], rows.root[j]), max(self.root[i], rows.root[j])
+                if link not in self.joined and _overlap(*self.bag[i], *y) >= self.threshold:
+                    self.joined.add(link)
+                    yield link
+
+
+def _each_bag(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingles and weights of each text."""
+    for lo, hi in text_ranges([len(t) for t in texts]):
+        doc, shingle, weight = bags(texts[lo:hi])
+        edge = np.searchsorted(doc, np.arange(hi - lo + 1))
+        for a, b in zip(edge, edge[1:]):
+            yield shingle[a:b], weight[a:b]
+
+
+def class_links(members: DataFrame, threshold: float = THRESHOLD, slots: int = SLOTS) -> DataFrame:
+    """``a, b``: roots of classes that a similar pair of a bucket's members joins.
+
+    One row per member and chunk of its bucket's outsiders: ``bucket, chunk, own``
+    (an outsider of this chunk), ``inside`` (of the largest class), ``star, key,
+    root, n, slots, bands, body``.
+    """
+    ship_package(members.sparkSession)
 
-def _first_shared(a: str, b: str, bands: int) -> Column:
-    """The first band that two texts share."""
-    out = None
-    for i in range(bands):
-        same = F.get(a, F.lit(i)) == F.get(b, F.lit(i))
-        out = F.when(same, F.get(a, F.lit(i))) if out is None else out.when(same, F.get(a, F.lit(i)))
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = block = None
+        for batch in batches:
+            rows, found = _Rows(batch), set()
+            edge = np.ones(batch.num_rows, bool)
+            edge[1:] = (rows.bucket[1:] != rows.bucket[:-1]) | (rows.chunk[1:] != rows.chunk[:-1])
+            begin = np.flatnonzero(edge).tolist()
+            for lo, hi in zip(begin, [*begin[1:], batch.num_rows]):
+                here = int(rows.bucket[lo]), int(rows.chunk[lo])
+                if here != last:
+                    last, block = here, _Outsiders(here[0], threshold, slots)
+                found.update(block.meet(rows, lo, hi))
+            yield pa.RecordBatch.from_arrays([pa.array([link[k] for link in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return (members.select("bucket", "chunk", "own", "inside", "star", "key", "root", "n", "slots", "bands", "body")
+            .repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", F.col("own").desc())
+            .mapInArrow(run, "a binary, b binary"))
 
 
 def text_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -372,41 +476,40 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
                 .agg(F.max(F.struct("degree", "key")).alias("best")).select("bucket", F.col("best.key").alias("first")))
     buckets = written(shared.join(stars_of, "bucket"), "minhash-buckets")
 
+    def bodies_of(wanted: DataFrame) -> DataFrame:
+        return docs.select("key", "body").join(wanted, "key", "left_semi").dropDuplicates(["key"])
+
     def bodies(pairs: DataFrame) -> DataFrame:
-        wanted = small_or_shuffled(written(
-            pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "minhash-wanted"))
-        return written(docs.select("key", "body").join(wanted, "key", "left_semi").dropDuplicates(["key"]), "minhash-bodies")
+        return written(bodies_of(small_or_shuffled(written(
+            pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "minhash-wanted"))), "minhash-bodies")
 
     stars = written(buckets.where("key != first").select(
         F.least("first", "key").alias("a"), F.greatest("first", "key").alias("b")).distinct(), "minhash-stars")
-    links = written(verified(stars, bodies(stars), threshold), "minhash-verified")
-    roots = components(links)
+    roots = components(verified(stars, bodies(stars), threshold))
 
     # buckets in which several classes are left: of two members of different
     # classes one at least is outside the bucket's largest class
-    state = buckets.join(roots, "key", "left").select("bucket", "members", "key", F.coalesce("root", "key").alias("root"))
-    mixed = (state.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket")
-             .agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots")).where("roots > 1").drop("roots"))
-    open_ = written(state.join(mixed, "bucket").join(texts.select("key", "n", "slots", "bands"), "key"), "minhash-open")
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    own = ("key", "root", "major", "n", "slots", "bands")
-    one = open_.where("root != major").select("bucket", F.pmod(F.hash("key"), chunks).alias("chunk"),
-                                              *[F.col(c).alias(f"{c}1") for c in own])
-    two = open_.select("bucket", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
-                       *[F.col(c).alias(f"{c}2") for c in own])
-    slots = max(SLOTS, bands * rows)
-    # a pair is taken in the first bucket that it shares, and there once
-    close = ((F.col("root1") != F.col("root2")) & ((F.col("root2") == F.col("major2")) | (F.col("key1") < F.col("key2")))
-             & (F.least("n1", "n2") >= threshold * F.greatest("n1", "n2"))
-             & (_different_slots("slots1", "slots2", slots) <= most_different_slots(slots, threshold))
-             & (_first_shared("bands1", "bands2", bands) == one.bucket))
-    pairs = one.join(two, (one.bucket == two.bucket) & (one.chunk == two.chunk) & close).select(
-        F.least("key1", "key2").alias("a"), F.greatest("key1", "key2").alias("b")).distinct()
-    pairs = written(pairs.join(stars, ["a", "b"], "left_anti"), "minhash-cross")
-    if not pairs.limit(1).count():
+    state = buckets.join(roots, "key", "left").select("bucket", "key", "first", F.coalesce("root", "key").alias("root"))
+    mixed = (state.join(texts.select("key", "n"), "key").groupBy("bucket", "root")
+             .agg(F.count("*").alias("n"), F.sum("n").alias("shingles")).groupBy("bucket")
+             .agg(F.max(F.struct("n", "root", "shingles")).alias("major"), F.sum("n").alias("n"),
+                  F.sum("shingles").alias("shingles"), F.count("*").alias("roots")).where("roots > 1")
+             .select("bucket", F.col("major.root").alias("major"), F.greatest(
+                 F.ceil((F.col("n") - F.col("major.n")) / CHUNK),
+                 F.ceil((F.col("shingles") - F.col("major.shingles")) / CHUNK_SHINGLES)).cast("int").alias("chunks")))
+    open_ = written(state.join(mixed, "bucket").select(
+        "bucket", "key", "root", "chunks", (F.col("root") == F.col("major")).alias("inside"),
+        (F.col("key") == F.col("first")).alias("star")), "minhash-open")
+    wanted = small_or_shuffled(written(open_.select("key").distinct(), "minhash-wanted"))
+    members = (open_.join(texts.join(wanted, "key", "left_semi"), "key").join(bodies_of(wanted), "key")
+               .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+               .withColumn("own", ~F.col("inside") & (F.pmod(F.hash("key"), F.col("chunks")) == F.col("chunk"))))
+    more = written(class_links(members, threshold, max(SLOTS, bands * rows)), "minhash-class-links")
+    if not more.limit(1).count():
         return roots
-    more = verified(pairs, bodies(pairs), threshold)
-    return components(written(links.unionByName(more), "minhash-all-links"))
+    merged = components(more).select(F.col("key").alias("old"), F.col("root").alias("new"))
+    alone = merged.join(roots, merged.old == roots.key, "left_anti").select(F.col("old").alias("key"), F.col("new").alias("root"))
+    return roots.join(merged, roots.root == merged.old, "left").select("key", F.coalesce("new", "root").alias("root")).unionByName(alone)
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -127,3 +127,24 @@ def test_signatures_rule_out_fewer_similar_pairs_than_the_bands_miss():
     lost = sum(comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(most + 1, n + 1))
     missed = (1 - minhash.THRESHOLD ** minhash.ROWS) ** minhash.BANDS
     assert lost < 1e-7 and lost + missed < 3e-6
+
+
+def test_no_table_grows_with_the_square_of_a_group(spark, monkeypatch):
+    """Texts that share most of their words meet in the same buckets and are all
+    just below the threshold: their pairs are compared without a row a pair."""
+    words, made = [f"v{i}" for i in range(60)], {}
+    texts = [" ".join(words + [f"p{k}q{j}" for j in range(9)]) for k in range(120)]
+    texts += [t + " tail" for t in texts[:10]]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    table = minhash.written
+
+    def counted(df, name):
+        out = table(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    got = minhash.near_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.class_id, r.class_rows) for r in got), key=str) == brute(docs)
+    assert minhash.THRESHOLD > minhash.similarity(texts[0].encode(), texts[1].encode()) > 0.75
+    assert max(made.values()) <= minhash.BANDS * len(docs)

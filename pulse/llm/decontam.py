@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import small_or_shuffled, written
+from .storage import small_or_shuffled, written, written_small
 
 WINDOW = 10
 #: fixed value: what is no word character, before lower-casing
@@ -41,8 +41,8 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def raw_words(text: Column) -> Column:
-    """Words in their own case."""
-    return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(f"[^{_NOT_WORD}]+"), F.lit(0))
+    """Words in their own case: what lies between the runs of other characters."""
+    return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), f"[{_NOT_WORD}]+"), "")
 
 
 def words_of(text: Column) -> Column:
@@ -110,9 +110,11 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     # the empty word after the last one carries the length
     marked = terms.select("term", "term").toDF("hash", "term").unionByName(
         terms.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("hash"), F.lit(None).cast("long").alias("term")))
-    marked = small_or_shuffled(written(marked, "decontam-terms"))
-    rows = docs.select(F.col("doc_id"), text_key(F.col("text")).alias("key"),
-                       F.posexplode(F.concat(raw_words(F.col("text")), F.array(F.lit("")))).alias("pos", "word"))
+    marked = small_or_shuffled(written_small(marked, "decontam-terms"))
+    # the key stands below the explode, so that it is computed once a document and not once a posting
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"),
+                        F.concat(raw_words(F.col("text")), F.array(F.lit(""))).alias("words"))
+    rows = keyed.select("doc_id", "key", F.posexplode("words").alias("pos", "word"))
     return rows.select("doc_id", "key", "pos", term_of(F.col("word")).alias("hash")).join(marked, "hash").select(
         "term", "key", "pos", F.when(F.col("term").isNull(), F.col("doc_id")).alias("doc_id"))
 
@@ -138,7 +140,7 @@ def _run_pattern(window: int) -> str:
 def phrase_matches(docs: DataFrame, items: DataFrame, found: DataFrame, window: int = WINDOW) -> DataFrame:
     """Exact matches: ``key, item, hits`` (positions of the hit words)."""
     keyed = docs.select(text_key(F.col("text")).alias("key"), "text")
-    wanted = small_or_shuffled(written(found.select("key").distinct(), "decontam-keys"))
+    wanted = small_or_shuffled(written_small(found.select("key").distinct(), "decontam-keys"))
     texts = keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"]).select("key", words_of(F.col("text")).alias("doc"))
     rows = found.join(texts, "key").join(small_or_shuffled(items), "item")
     lo = F.greatest(F.lit(0), -F.col("begin"))
@@ -171,10 +173,10 @@ def proximity_matches(index: DataFrame, entries: DataFrame, slop: int) -> DataFr
 
 def build_index(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Items, window entries and postings, as tables in the scratch folder."""
-    table = written(item_table(items, window), "decontam-items")
-    terms = small_or_shuffled(written(
+    table = written_small(item_table(items, window), "decontam-items")
+    terms = small_or_shuffled(written_small(
         table.select(F.explode("words").alias("word")).select(term_of(F.col("word")).alias("term")).distinct(), "decontam-vocabulary"))
-    entries = written(anchors(table, written(occurrences(docs, terms), "decontam-counts")), "decontam-entries")
+    entries = written_small(anchors(table, written_small(occurrences(docs, terms), "decontam-counts")), "decontam-entries")
     used = entries.select(F.explode(F.array("term1", "term2")).alias("term")).where("term is not null").distinct()
     return table, entries, written(postings(docs, used), "decontam-postings")
 
@@ -185,12 +187,12 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataF
     table, entries, index = build_index(docs, items, window)
     found = written(diagonals(index, entries), "decontam-diagonals")
     matches = phrase_matches(docs, table, found, window)
-    names = small_or_shuffled(written(item_ids(items), "decontam-names"))
+    names = small_or_shuffled(written_small(item_ids(items), "decontam-names"))
     hits = matches.join(names, "item", "left").groupBy("key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"),
         F.sort_array(F.collect_set("item_id")).alias("ids"))
     lengths = index.where("term is null").select("doc_id", "key", F.col("pos").cast("long").alias("n_words"))
-    return lengths, written(hits, "decontam-hits")
+    return lengths, written_small(hits, "decontam-hits")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def written_small(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for a table that grows with a side input: at most one file a
+    core, so that no width of shuffle turns it into hundreds of tiny files."""
+    return written(df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism)), name)
+
+
 def table_bytes(df: DataFrame) -> int:
     """Bytes of the files behind a table that ``written`` returned."""
     jvm = df.sparkSession._jvm

@@ -1,3 +1,4 @@
+import glob
 import re
 
 from pulse.llm import decontam
@@ -78,3 +79,37 @@ def test_no_python_in_the_plans(spark):
     for frame in (decontam.postings(docs, items.selectExpr("item_id as term")), decontam.occurrences(docs, items.selectExpr("item_id as term"))):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_are_those_of_the_pattern(spark):
+    texts = [t for _, t in DOCS + ITEMS] + ["...", "a", " a", "a ", "\x00a\x7fb", "x_y-Z9", "É…é\u00a0ñ 日本 😀a", "a\n\n\tb\r", "`@[{aZ}]/:"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        "text", decontam.raw_words(decontam.F.col("text")).alias("raw"), decontam.words_of(decontam.F.col("text")).alias("words")).collect()
+    for r in rows:
+        assert r.words == words(r.text)
+        assert r.raw == re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r.text or "")
+
+
+def test_text_keys_are_computed_once_a_document(spark):
+    docs, items = frames(spark)
+    plan = decontam.postings(docs, items.selectExpr("item_id as term"))._jdf.queryExecution().executedPlan().toString()
+    assert 0 <= plan.rindex("Generate posexplode") < plan.index("md5(")
+
+
+def test_wide_shuffles_do_not_scatter_small_tables(spark):
+    docs, items = frames(spark)
+    cores = spark.sparkContext.defaultParallelism
+    wide = {"spark.sql.shuffle.partitions": str(4 * cores), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    many = spark.createDataFrame([(k, f"word{k} thing{k}") for k in range(20 * cores)], "item_id long, text string")
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        table, entries, _ = decontam.build_index(docs, many)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for part in (table, entries):
+        folder = part.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        assert len(glob.glob(f"{folder}/*.parquet")) <= cores
+    assert table.count() == 20 * cores

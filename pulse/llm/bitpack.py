@@ -212,15 +212,18 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str | None = None,
             yield pa.RecordBatch.from_pylist(
                 [{"doc_id": None, "shard": shard, "doc": None, "uri": uri, "n_ids": n_ids, "n_docs": n_docs}], schema=schema)
 
-    rows = written(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_at"))
-        .repartitionByRange("doc_id", "_at").sortWithinPartitions("doc_id", "_at").select("doc_id", "text")
-        .mapInArrow(run, "doc_id long, shard int, doc long, uri string, n_ids long, n_docs long"), "bitpack-index")
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_at"))
+            .repartitionByRange("doc_id", "_at").sortWithinPartitions("doc_id", "_at").select("doc_id", "text")
+            .mapInArrow(run, "doc_id long, shard int, doc long, uri string, n_ids long, n_docs long"))
+    if with_index:
+        rows = written(rows, "bitpack-index")
     shards = rows.filter("uri is not null").select("shard", "uri", "n_ids", "n_docs")
     # a row per shard: the one global order here is over the small manifest
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     manifest = written(shards.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0))), "bitpack-manifest")
-    return manifest, rows.filter("uri is null").select("doc_id", "shard", "doc")
+    # without an index the manifest is all that is written, so ``rows`` must not be run again
+    index = rows.filter("uri is null") if with_index else docs.sparkSession.createDataFrame([], rows.schema)
+    return manifest, index.select("doc_id", "shard", "doc")
 
 
 def one_task_each(table: DataFrame, *keys: str) -> DataFrame:

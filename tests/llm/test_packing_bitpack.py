@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -97,6 +98,19 @@ def test_shards_hold_the_document_ids(spark, odd_docs):
     assert [(r.doc_id is not None, r.doc_id or 0) for r in rows] == want
 
 
+def test_without_an_index_only_the_manifest_is_written(spark, odd_docs, monkeypatch):
+    names = []
+    monkeypatch.setattr(bitpack, "written", lambda df, name, f=bitpack.written: names.append(name) or f(df, name))
+    folder = scratch_path(spark, "t")
+    manifest, index = bitpack.write_shards(odd_docs.repartition(5), folder, with_index=False)
+    assert names == ["bitpack-manifest"] and len(manifest.inputFiles()) == 1
+    n = manifest.count()
+    assert index.columns == ["doc_id", "shard", "doc"] and index.count() == 0
+    assert bitpack.read_documents(manifest).count() == odd_docs.count()
+    # nothing of the above encoded the texts again
+    assert len(os.listdir(folder.removeprefix("file:"))) == n
+
+
 def test_long_texts_are_cut_where_nothing_changes():
     from pulse.llm.chunked_bpe import Vocabulary
     words = Vocabulary(tokenizer_path(bitpack.TOKENIZER), special=False)

@@ -40,8 +40,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def written_small(df: DataFrame, name: str) -> DataFrame:
-    """``written`` for a table that grows with a side input: at most one file a
-    core, so that no width of shuffle turns it into hundreds of tiny files."""
+    """``written`` for a small table behind a shuffle of its own: at most one file
+    a core, so that no width of shuffle turns it into hundreds of tiny files."""
     return written(df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism)), name)
 
 

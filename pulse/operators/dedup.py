@@ -16,6 +16,9 @@ log = logging.getLogger(__name__)
 
 LEDGER_KEYS = ["social_media", "scope", "content_id"]
 
+#: bitmaps (4 KB each) that ``marked`` sends to every task; a prime, so that the numbers of many tasks spread over them
+BITMAPS = 4093
+
 
 def keep_first(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """One row per key: the first in ``order_cols`` (make the order total).
@@ -86,3 +89,18 @@ def ledger_entries(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """K4: the (platform, scope, id) entries a processed frame adds."""
     keys = keys or LEDGER_KEYS
     return df.select(*keys).dropDuplicates(keys)
+
+
+def marked(rows: DataFrame, some: DataFrame, number: str) -> DataFrame:
+    """``rows`` whose ``number`` (as of ``monotonically_increasing_id``) is one of ``some``.
+
+    One bit a number is broadcast, so no row is shuffled. Rows of so many tasks or so
+    long ones that two of their blocks share a bitmap can pass in excess (never be
+    missed): join the result with ``some`` on the number where that counts.
+    """
+    bucket, bit = F.pmod(F.bitmap_bucket_number(number), F.lit(BITMAPS)), F.bitmap_bit_position(number)
+    bits = some.where(F.col(number).isNotNull()).select(bucket.alias("_bucket"), bit.alias("_bit"))
+    bits = bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(bits), bucket == F.col("_bucket"))
+    return found.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("_bucket", "_bits")

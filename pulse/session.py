@@ -98,6 +98,15 @@ def materialised(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df):
+    """``df``, checkpointed unless its plan brings the same rows in the same order at
+    every reading (a file scan does, what a shuffle hands out does not)."""
+    if df._jdf.queryExecution().toRdd().outputDeterministicLevel().toString() == "DETERMINATE":
+        return df
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)

@@ -42,11 +42,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     writer.parquet(path)
 
 
-def stage_documents(df: DataFrame, path: str) -> None:
+def stage_documents(df: DataFrame, path: str, packed: bool = False) -> None:
     """K2: one JSON document per thread / comment, appended to the landing
     folder. The labelling jobs keep one document per id, so staging an id again
-    (e.g. after a crash between staging and the ledger) changes no result."""
-    df.write.mode("append").json(path)
+    (e.g. after a crash between staging and the ledger) changes no result.
+    ``packed``: as gzip, which readers of the folder unpack by themselves."""
+    writer = df.write.mode("append")
+    if packed:
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.json(path)
 
 
 def stage_keyed(df: DataFrame, path: str, position: Column | None = None) -> int:
@@ -62,7 +66,7 @@ def stage_keyed(df: DataFrame, path: str, position: Column | None = None) -> int
     while not folders.claim(spark, f"{path}/_seq/{seq}"):
         seq += 1
     at = F.monotonically_increasing_id() if position is None else position.cast("long")
-    stage_documents(df.withColumn(STAGED_ORDER[0], F.lit(seq).cast("long")).withColumn(STAGED_ORDER[1], at), path)
+    stage_documents(df.withColumn(STAGED_ORDER[0], F.lit(seq).cast("long")).withColumn(STAGED_ORDER[1], at), path, packed=True)
     return seq
 
 
@@ -74,17 +78,18 @@ def staged_identity(docs: DataFrame, key: str = "content_id") -> Column:
     return F.coalesce(F.col(key), raw, content)
 
 
-def latest_staged(docs: DataFrame, key: str = "content_id") -> DataFrame:
+def latest_staged(docs: DataFrame, key: str = "content_id", content_hash: str | None = None) -> DataFrame:
     """K2, read side: the last staged document of each id, with its identity ``_row``.
 
     An aggregate with a partial phase. Documents staged without order come before
-    all others; what the order does not decide, a hash of the content does.
+    all others; what the order does not decide, a hash of the content does
+    (``content_hash``: the column with it, in frames without the content).
     """
     for c in STAGED_ORDER:
         if c not in docs.columns:
             docs = docs.withColumn(c, F.lit(None).cast("long"))
     plain = [c for c in docs.columns if c not in STAGED_ORDER]
-    order = F.struct(*STAGED_ORDER, F.xxhash64(*plain))
+    order = F.struct(*STAGED_ORDER, F.col(content_hash) if content_hash else F.xxhash64(*plain))
     last = F.max_by(F.struct(*docs.columns), order)
     return docs.withColumn("_row", staged_identity(docs, key)).groupBy("_row").agg(last.alias("_last")).select("_row", "_last.*")
 

@@ -9,7 +9,9 @@ from the totals of the cycles before, and every cycle writes how many it added p
 platform and label, so a report reads numbers and counts instead of making them.
 
 The cost of a cycle is that of its documents and the waiting rejects: ids labelled
-before are found in a bucketed ledger, all other state is one row a platform. Everything
+before are found in a bucketed ledger, all other state is one row a platform. What a
+cycle does with each document is decided on its key, order and reason; texts are read
+again where they are written, and only what is written is shuffled whole, once. Everything
 a cycle writes has a name of its own and is a function of the state before it, so
 a replay overwrites it; a run from a fresh checkpoint finds all ids in the ledger.
 """
@@ -22,15 +24,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.operators import filters as FL
+from pulse.operators.dedup import marked
 from pulse.operators.ledger import Ledger
 from pulse.operators.sequence import number_rows
 from pulse.schema import CORRUPT_COLUMN, STAGED_ORDER
+from pulse.session import settled
 from pulse.sinks.files import latest_staged, staged_identity
 from pulse.streaming.jobs import _run
 from pulse.streaming.state import BatchTable, added, batch_folder, run_id
 
 _WAITING = ["reason", "attempts", "first_rejected", "last_rejected"]
 
+#: shuffle files go when the query that wrote them ends, not when the driver happens to collect garbage
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def label_cycles(source: DataFrame, label: Callable[[DataFrame], DataFrame], base: str, checkpoint: str,
                  key: str = "content_id", trigger: str | None = "availableNow", processing_time: str | None = None):
@@ -42,49 +49,71 @@ def label_cycles(source: DataFrame, label: Callable[[DataFrame], DataFrame], bas
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        spark.conf.set(_CLEANUP, "true")   # the stream's own session
         run = run_id(spark, checkpoint)
         by = f"{run}/{batch_id}"
         ledger = Ledger(spark, f"{base}/labelled", ["_id"])
         queue, numbers = BatchTable(spark, f"{base}/rejects"), BatchTable(spark, f"{base}/numbers")
-        # documents labelled before go first: only the others are shuffled whole
-        staged = batch.withColumn("_id", F.sha2(staged_identity(batch, key), 256))
-        docs = latest_staged(ledger.lookup(staged, by).unseen().drop("_id"), key)
-        fresh = docs.columns
+        for c in STAGED_ORDER:
+            if c not in batch.columns:
+                batch = batch.withColumn(c, F.lit(None).cast("long"))
+        plain = [c for c in batch.columns if c not in STAGED_ORDER]
+        fresh = ["_row", *batch.columns]
+        # numbered as read: the batch is planned once, so each reading of it gives the same numbers
+        batch = settled(batch).select(staged_identity(batch, key).alias("_row"), "*", F.monotonically_increasing_id().alias("_at"))
+        reason = FL.quarantine_reason(batch.select(*plain))
+
+        def short(docs: DataFrame, *more) -> DataFrame:
+            """What is decided on; malformed lines have their whole text as identity, so it holds a digest."""
+            return docs.select(F.sha2("_row", 256).alias("_id"), F.when(reason.isNull(), F.col("_row")).alias("_ok"), "social_media",
+                               *STAGED_ORDER, F.xxhash64(*plain).alias("_hash"), "_at", reason.alias("reason"), *more)
+
+        staged = short(batch).persist()
+        docs = latest_staged(ledger.lookup(staged, by).unseen(), "_id", "_hash").drop("_row")
         waiting = queue.before(run, batch_id)
         if waiting is not None:
+            waiting = waiting.withColumn("_at", F.lit(None).cast("long"))
             # a newer staging of a waiting document takes its place and its history
-            past = waiting.select("_row", F.col("attempts").alias("_a"), F.col("first_rejected").alias("_f"))
-            again = waiting.select(*fresh).join(docs.select("_row"), "_row", "left_anti")
-            docs = docs.unionByName(again).join(past, "_row", "left")
+            kept = short(waiting, F.col("attempts").alias("_a"), F.col("first_rejected").alias("_f"))
+            again = kept.drop("_a", "_f").join(docs.select("_id"), "_id", "left_anti")
+            docs = docs.unionByName(again).join(kept.select("_id", "_a", "_f"), "_id", "left")
         else:
             docs = docs.withColumn("_a", F.lit(None).cast("int")).withColumn("_f", F.lit(None).cast("timestamp"))
-        # malformed lines have their whole text as identity: the ledger keeps a digest
-        docs = docs.withColumn("_id", F.sha2("_row", 256)).persist()
+        docs = docs.persist()
         look = ledger.lookup(docs, by)
-        todo = look.unseen().withColumn("reason", FL.quarantine_reason(docs.drop("_row", "_id", "_a", "_f", *STAGED_ORDER))).persist()
-        ok = todo.where("reason is null").drop("reason", "_a", "_f", CORRUPT_COLUMN)
-        number = number_rows(ok.select("_row", "social_media", *STAGED_ORDER), ["social_media"], [*STAGED_ORDER, "_row"], "item")
-        number = number.select(F.col("_row").alias("_r"), "item")
-        labelled = label(ok)
-        labelled = labelled.join(number, labelled["_row"] == number["_r"]).drop("_r")
+        todo = look.unseen().persist()
+
+        def whole(some: DataFrame, where) -> DataFrame:
+            """The documents of ``some``, and waiting ones to be joined with it (``where`` holds for both)."""
+            out = marked(batch, some, "_at")
+            return out if waiting is None else out.unionByName(waiting.where(where).select(*out.columns))
+
+        ok = todo.where("reason is null")
+        number = number_rows(ok.select("_ok", "_at", "social_media", *STAGED_ORDER), ["social_media"], [*STAGED_ORDER, "_ok"], "item")
+        number = number.select(F.col("_ok").alias("_r"), F.col("_at").alias("_n_at"), "item")
+        labelled = label(whole(ok, reason.isNull()).withColumn("_id", F.sha2("_row", 256)).drop(CORRUPT_COLUMN))
+        labelled = labelled.join(number, (labelled["_row"] == number["_r"]) & labelled["_at"].eqNullSafe(number["_n_at"])).drop("_r", "_at", "_n_at")
         totals = numbers.before(run, batch_id)
         if totals is not None:
             totals = totals.select(F.col("social_media").alias("_p"), F.col("n").alias("_n"))
             labelled = labelled.join(F.broadcast(totals), labelled["social_media"] == totals["_p"], "left")   # a row per known platform
             labelled = labelled.withColumn("item", F.col("item") + F.coalesce("_n", F.lit(0))).drop("_p", "_n")
         folder = batch_folder(f"{base}/store", run, batch_id)
-        labelled.withColumn("labelled_at", F.current_timestamp()).write.mode("overwrite").parquet(folder)
+        labelled.withColumn("labelled_at", F.current_timestamp()).write.mode("overwrite").option("compression", "zstd").parquet(folder)
         done = spark.read.schema(labelled.schema).parquet(folder)
         gained = done.groupBy("social_media", "sentiment").agg(F.count(F.lit(1)).alias("n"))
         gained.write.mode("overwrite").parquet(batch_folder(f"{base}/counts", run, batch_id))
         numbers.write(added(numbers.before(run, batch_id), gained, ["social_media"]), run, batch_id)
-        left = todo.where("reason is not null").select(
-            *fresh, "reason", (F.coalesce("_a", F.lit(0)) + 1).alias("attempts"),
+        bad = todo.where("reason is not null")
+        past = bad.select(F.col("_id").alias("_r"), F.col("_at").alias("_n_at"), F.col("reason").alias("_why"), "_a", "_f")
+        left = whole(bad, reason.isNotNull())
+        left = left.join(past, (F.sha2(left["_row"], 256) == past["_r"]) & left["_at"].eqNullSafe(past["_n_at"])).select(
+            *fresh, F.col("_why").alias("reason"), (F.coalesce("_a", F.lit(0)) + 1).alias("attempts"),
             F.coalesce("_f", F.current_timestamp()).alias("first_rejected"), F.current_timestamp().alias("last_rejected"))
         queue.write(left, run, batch_id)
         look.record(done)
-        todo.unpersist()
-        docs.unpersist()
+        for kept_rows in (todo, docs, staged):
+            kept_rows.unpersist()
 
     writer = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return _run(writer, trigger, processing_time)

@@ -56,7 +56,7 @@ class BatchTable:
         """The state after this micro-batch; returns it as written."""
         made = [n for n in folders.names(self.spark, self.path) if n.startswith("v")]
         own = self._own(run, batch_id) or f"v{int(made[-1][1:13]) + 1 if made else 0:012d}-{run}.{batch_id}"
-        df.write.mode("overwrite").parquet(f"{self.path}/{own}")
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{own}")
         for old in [n for n in made if n < own][:-KEPT]:
             folders.delete(self.spark, f"{self.path}/{old}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{own}")

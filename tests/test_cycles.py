@@ -2,13 +2,16 @@
 
 import datetime as dt
 import os
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from pulse.operators import dedup as D
 from pulse.operators import ledger as LG
 from pulse.plans import common as CM
-from pulse.session import scratch_path
+from pulse.session import scratch_path, settled
 from pulse.sinks.files import latest_staged, stage_keyed
 from pulse.sources.files import read_comments
 from pulse.streaming import jobs as J
@@ -168,6 +171,63 @@ def test_rejects_are_tried_again_and_leave_when_accepted(spark, cycles):
     assert "Exchange" not in series._jdf.queryExecution().executedPlan().toString()      # read, not made
 
 
+def bytes_below(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files)
+
+
+def shuffled(spark):
+    """Bytes that the session's shuffles have on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).length() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_"))
+
+
+def test_cycles_hold_texts_once(spark, cycles):
+    rng = random.Random(4)
+    rows = [(f"id{i}", "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=20_000)), i % 4 > 0) for i in range(200)]
+    texts = sum(len(t) for _, t, _ in rows)
+    for _ in range(2):
+        stage_keyed(doc(spark, rows), f"{cycles.base}/s")
+    before = shuffled(spark)
+    for checkpoint in ("ckpt", "fresh"):
+        src = read_comments(spark, f"{cycles.base}/s", streaming=True, sequence=True)
+        LB.label_cycles(src, _label_comments, f"{cycles.base}/out", f"{cycles.base}/{checkpoint}")
+    # staged twice as packed documents; no shuffle of whole documents outlives its query
+    assert bytes_below(f"{cycles.base}/s") < 1.5 * texts
+    for _ in range(50):                                   # files are removed in the background
+        if shuffled(spark) - before < 0.25 * texts:
+            break
+        time.sleep(0.2)
+    assert shuffled(spark) - before < 0.25 * texts
+    assert spark.read.parquet(f"{cycles.base}/out/store").count() == 150
+    assert {r.attempts for r in LB.waiting_rejects(spark, f"{cycles.base}/out").collect()} == {2}
+
+
+def test_marked_rows_are_those_named(spark, monkeypatch):
+    rows = spark.range(200_000, numPartitions=3).withColumn("n", F.monotonically_increasing_id())
+    some = rows.where("id % 7 = 0 or id in (0, 1, 199999)").select("n").union(spark.sql("select cast(null as long)"))
+    want = {i for i in range(200_000) if i % 7 == 0 or i in (1, 199_999)}
+    found = D.marked(rows, some, "n")
+    assert settled(rows) is rows and settled(rows.repartition(2, "id")).count() == 200_000
+    assert "ExistingRDD" in settled(rows.repartition(2, "id"))._jdf.queryExecution().executedPlan().toString()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == ["id", "n"] and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r.id for r in found.collect()} == want and found.count() == len(want)
+    assert D.marked(rows, some.limit(0), "n").count() == 0
+    monkeypatch.setattr(D, "BITMAPS", 1)                  # shared bitmaps let more pass, none is missed
+    assert want < {r.id for r in D.marked(rows, some, "n").collect()}
+
+
+def test_last_staged_among_equal_places(spark, cycles):
+    """Where the order does not decide, the hash of the content does, whole or short."""
+    for text in ("one", "two", "three"):
+        (doc(spark, [("a", text, True), ("b", text, False)]).withColumn("staged_seq", F.lit(1)).withColumn("staged_pos", F.lit(1))
+         .write.mode("append").json(f"{cycles.base}/s"))
+    want = {r.content_id: r.comment_raw_text for r in latest_staged(read_comments(spark, f"{cycles.base}/s", sequence=True)).collect()}
+    store, waiting = cycles()
+    kept = {r.content_id: r.comment_raw_text for r in LB.waiting_rejects(spark, f"{cycles.base}/out").collect()}
+    assert {i: t for i, t, _ in store} | kept == want and set(waiting) == {"b"}
+
+
 def test_windows_late_rows_and_replay(spark):
     base = scratch_path(spark, "windows")
 
